@@ -28,6 +28,7 @@ from functools import lru_cache
 
 import pyarrow as pa
 import regex
+import tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import read
@@ -52,9 +53,17 @@ def byte_letters() -> list[str]:
     return letters
 
 
+#: The tokenizers library's own tables answer for letters that Python's don't have yet.
+LIBRARY_NFC, LIBRARY_LOWER = tokenizers.normalizers.NFC(), tokenizers.normalizers.Lowercase()
+LIBRARY_KINDS = [(name, tokenizers.pre_tokenizers.Split(tokenizers.Regex(rf"\p{{{name}}}"), "isolated")) for name in ("L", "N")]
+
+
+@lru_cache(maxsize=1 << 16)
 def kind(letter: str) -> str:
     """l, n, s or o: letter, number, white space, other."""
     category = unicodedata.category(letter)
+    if category == "Cn":  # Python's tables may be older than the library's
+        category = next((name for name, split in LIBRARY_KINDS if len(split.pre_tokenize_str(f"{letter}{letter}")) == 2), category)
     return "s" if letter in SPACES else {"L": "l", "N": "n"}.get(category[0], "o")
 
 
@@ -109,6 +118,8 @@ class Vocabulary:
         self.specials = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
 
     def normalise(self, text: str) -> str:
+        if text and max(text) >= LATEST and any(unicodedata.category(letter) == "Cn" for letter in text):
+            return LIBRARY_LOWER.normalize_str(LIBRARY_NFC.normalize_str(text))
         text = unicodedata.normalize("NFC", text)
         return "".join(map(str.lower, text)) if "Σ" in text else text.lower()
 
