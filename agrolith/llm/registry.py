@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup
+from . import bpe, exact_dedup, pii
 
 QUERIES = {
+    "op2_pii": pii.op2_pii,
     "op5_bpe": bpe.op5_bpe,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
 }
