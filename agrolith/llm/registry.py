@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, pii
+from . import bpe, exact_dedup, pii, toxicity
 
 QUERIES = {
     "op2_pii": pii.op2_pii,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_bpe": bpe.op5_bpe,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
 }
