@@ -39,6 +39,7 @@ LATEST = "\u0530"
 #: Fixed by the vocabulary's pattern.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 CACHE_WORDS = 150_000
+NONE = 1 << 30
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 FULL_SCHEMA = "doc_id bigint, ids array<int>, decoded string"
 
@@ -104,13 +105,15 @@ class Vocabulary:
         self.inner = [self.ids[letter] for letter in byte_letters()]
         self.final = [self.ids[letter + self.end] for letter in byte_letters()]
         width = {number: len(entry.removesuffix(self.end)) for entry, number in self.ids.items()}
-        self.ranks: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank_of: dict[tuple[int, int], int] = {}
+        self.pieces: dict[bytes, list[int]] = {}
         rules = []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
             rule = (self.ids[left], self.ids[right], self.ids[left + right])
-            self.ranks[rule[:2]] = (rank, rule[2])
+            self.rank_of[rule[:2]] = rank
             rules.append(rule)
+        self.merged_of = [rule[2] for rule in rules]
         self.width = width
         self.lookahead = sufficient_lookahead(rules, width)
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
@@ -124,27 +127,34 @@ class Vocabulary:
         return "".join(map(str.lower, text)) if "Σ" in text else text.lower()
 
     def merge(self, symbols: list[int]) -> list[int]:
-        """All merges of a sequence: the earliest rule among neighbouring pairs first, from left to right."""
-        ranks = self.ranks
-        while len(symbols) > 1:
-            best = min((ranks[pair] for pair in zip(symbols, symbols[1:], strict=False) if pair in ranks), default=None)
-            if best is None:
+        """All merges of a sequence, the earliest rule first, from left to right. The ranks of neighbours are kept."""
+        rank_of, merged_of = self.rank_of.get, self.merged_of
+        ranks = [rank_of(pair, NONE) for pair in zip(symbols, symbols[1:], strict=False)]
+        while ranks:
+            best = min(ranks)
+            if best == NONE:
                 break
-            merged, out, at, last = best[1], [], 0, len(symbols) - 1
-            while at <= last:
-                if at < last and ranks.get((symbols[at], symbols[at + 1])) == best:
-                    out.append(merged)
-                    at += 2
-                else:
-                    out.append(symbols[at])
-                    at += 1
-            symbols = out
+            at = ranks.index(best)
+            symbols[at : at + 2] = [merged_of[best]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank_of((symbols[at - 1], symbols[at]), NONE)
+            if at < len(ranks):
+                ranks[at] = rank_of((symbols[at], symbols[at + 1]), NONE)
         return symbols
 
     def piece(self, piece: bytes) -> Iterable[int]:
         """The ids of one piece between splits."""
+        known = self.pieces.get(piece)
+        if known is not None:
+            return known
         if len(piece) <= BLOCK:
-            return self.merge([*map(self.inner.__getitem__, piece[:-1]), self.final[piece[-1]]])
+            known = self.merge([*map(self.inner.__getitem__, piece[:-1]), self.final[piece[-1]]])
+            if len(piece) <= 64:
+                if len(self.pieces) >= 2 * CACHE_WORDS:
+                    self.pieces.clear()
+                self.pieces[piece] = known
+            return known
         transducer = Transducer(self)
         return [*transducer.feed(piece), *transducer.close()]
 
@@ -216,8 +226,9 @@ class Decoder:
 
     def __init__(self, vocabulary: Vocabulary, mode: str = "pieces") -> None:
         self.vocabulary, self.mode, self.started = vocabulary, mode, False
-        self.bytes_of = {letter: byte for byte, letter in enumerate(byte_letters())}
-        self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
+        if mode == "text":
+            self.bytes_of = {letter: byte for byte, letter in enumerate(byte_letters())}
+            self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, number: int) -> str:
         entry = self.vocabulary.entries[number]
@@ -232,7 +243,7 @@ class Decoder:
         return self.utf8.decode(data) + (self.utf8.decode(b"", True) + " " if ends else "")
 
     def close(self) -> str:
-        return self.utf8.decode(b"", True)
+        return self.utf8.decode(b"", True) if self.mode == "text" else ""
 
 
 @lru_cache(maxsize=4)
