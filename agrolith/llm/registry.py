@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, pii, toxicity
+from . import bpe, exact_dedup, hmm, pii, toxicity
 
 QUERIES = {
+    "op1_hmm": hmm.op1_hmm,
     "op2_pii": pii.op2_pii,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_bpe": bpe.op5_bpe,
