@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, hmm, pii, toxicity
+from . import bpe, exact_dedup, hmm, pii, recompression, toxicity
 
 QUERIES = {
     "op1_hmm": hmm.op1_hmm,
@@ -10,5 +10,6 @@ QUERIES = {
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_bpe": bpe.op5_bpe,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op8_recompression": recompression.op8_recompression,
 }
 ORACLES = {"op6_exact_dedup": exact_dedup.SQL}
