@@ -178,72 +178,92 @@ class Block:
         return np.flatnonzero((most == self.grams) & (self.grams != NONE)), doubt
 
 
-ANSWER = "row bigint, places binary"
-SENT = "part int, entries binary, row bigint, places binary"
+ANSWER = "block bigint, found binary"
+SENT = "part int, entries binary, block bigint"
 PICK = np.dtype([("name", "<u8"), ("row", "<i8"), ("place", "<u4")])
 SPAN = np.dtype([("name", "<u8"), ("more", "<u4"), ("place", "<u4"), ("row", "<i8")])
-ONCE, TWICE = -1, -2
+FOUND = np.dtype([("row", "<i8"), ("place", "<u4")])
+#: In place of a row: the block has the entry more than once and has answered its own rows.
+TWICE = -2
 
 
-def answers(rows: np.ndarray, places: np.ndarray) -> tuple[list[int], list[bytes]]:
-    """Places by row."""
-    order = np.lexsort((places, rows))
-    rows, places = rows[order], places[order].astype("<u4")
-    cuts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]])) if len(rows) else np.empty(0, np.int64)
-    return rows[cuts].tolist(), [part.tobytes() for part in np.split(places, cuts[1:])] if len(rows) else []
-
-
-def share(entries: np.ndarray, parts: int) -> Iterator[pa.RecordBatch]:
-    """Decides a block by itself, then sends: what occurs twice in it is answered and sent once as known (row TWICE),
-    the rest is sent with its place."""
+def grouped(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries in the order of their names, where each name begins, and how often it occurs."""
     key = [name for name in ("name", "more") if name in entries.dtype.names]
-    entries = entries[np.lexsort([entries[name] for name in reversed(key)])]
-    if not len(entries):
-        return
+    order = np.lexsort([entries[name] for name in reversed(key)])
+    entries = entries[order]
     fresh = np.ones(len(entries), dtype=bool)
     fresh[1:] = np.logical_or.reduce([entries[name][1:] != entries[name][:-1] for name in key])
     heads = np.flatnonzero(fresh)
-    counts = np.diff(np.append(heads, len(entries)))
-    repeated = np.repeat(counts > 1, counts)
-    rows, places = answers(entries["row"][repeated], entries["place"][repeated])
+    return order, heads, np.diff(np.append(heads, len(entries)))
+
+
+def found_bytes(entries: np.ndarray) -> bytes:
+    out = np.empty(len(entries), FOUND)
+    out["row"], out["place"] = entries["row"], entries["place"]
+    return out.tobytes()
+
+
+def sent_batch(parts: list[int], blobs: list[bytes], block: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(blobs, pa.binary()), pa.array([block] * len(parts), pa.int64())], ["part", "entries", "block"])
+
+
+def share(entries: np.ndarray, places: np.ndarray, block: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Decides a block by itself, then sends: what occurs twice in it is answered (part -1 - ...) and sent once as
+    known, the rest is sent with its place. places says by which name an entry finds its part."""
+    if not len(entries):
+        return
+    order, heads, counts = grouped(entries)
+    entries, places = entries[order], places[order]
+    own = entries[np.repeat(counts > 1, counts)]
+    if len(own):
+        yield sent_batch([-1 - block % parts], [found_bytes(own)], block)
     sent = entries[heads].copy()
     sent["row"][counts > 1] = TWICE
-    part = (sent["name"] % np.uint64(parts)).astype(np.int32)
+    part = (places[heads] % np.uint64(parts)).astype(np.int32)
     order = np.argsort(part, kind="stable")
     sent, part = sent[order], part[order]
     cuts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-    blobs = [x.tobytes() for x in np.split(sent, cuts[1:])]
-    none = pa.nulls(len(blobs), pa.binary())
-    names = ["part", "entries", "row", "places"]
-    yield pa.RecordBatch.from_arrays([pa.array(part[cuts], pa.int32()), pa.array(blobs, pa.binary()), pa.nulls(len(blobs), pa.int64()), none], names)
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array([-1 - (row % parts) for row in rows], pa.int32()), pa.nulls(len(rows), pa.binary()), pa.array(rows, pa.int64()), pa.array(places, pa.binary())], names)
+    yield sent_batch(part[cuts].tolist(), [x.tobytes() for x in np.split(sent, cuts[1:])], block)
 
 
 def repeated(sent: DataFrame, kind: np.dtype) -> DataFrame:
-    """(row, places) of all entries that occur at least twice, from blocks' shares."""
+    """(row, places) of all entries that occur at least twice, from blocks' shares. Answers go back by block, which
+    holds no more of them than it has words, and come out as one row a document."""
 
     def decide(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = []
+        blobs, senders = [], []
         for batch in batches:
-            if key[0].as_py() < 0:  # a block's own answers pass through
-                yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(3)], ["row", "places"])
+            if key[0].as_py() < 0:
+                yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(1)], ["block", "found"])
             else:
                 blobs += batch.column(1).to_pylist()
-        if blobs:
-            entries = np.frombuffer(b"".join(blobs), kind)
-            names = [name for name in ("name", "more") if name in kind.names]
-            entries = entries[np.lexsort([entries[name] for name in reversed(names)])]
-            fresh = np.ones(len(entries), dtype=bool)
-            fresh[1:] = np.logical_or.reduce([entries[name][1:] != entries[name][:-1] for name in names])
-            heads = np.flatnonzero(fresh)
-            counts = np.diff(np.append(heads, len(entries)))
-            known = np.logical_or.reduceat(entries["row"] == TWICE, heads) | (counts > 1)
-            found = entries[np.repeat(known, counts) & (entries["row"] >= 0)]
-            rows, places = answers(found["row"], found["place"])
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(places, pa.binary())], ["row", "places"])
-
-    return sent.groupBy("part").applyInArrow(decide, ANSWER).groupBy("row").agg(F.collect_list("places").alias("places"))
+                senders += batch.column(2).to_pylist()
+        if not blobs:
+            return
+        entries = np.frombuffer(b"".join(blobs), kind)
+        sender = np.repeat(np.array(senders, np.int64), [len(blob) // kind.itemsize for blob in blobs])
+        order, heads, counts = grouped(entries)
+        entries, sender = entries[order], sender[order]
+        known = np.logical_or.reduceat(entries["row"] == TWICE, heads) | (counts > 1)
+        wanted = np.repeat(known, counts) & (entries["row"] >= 0)
+        entries, sender = entries[wanted], sender[wanted]
+        order = np.argsort(sender, kind="stable")
+        entries, sender = entries[order], sender[order]
+        if len(sender):
+            cuts = np.flatnonzero(np.concatenate([[True], sender[1:] != sender[:-1]]))
+            yield pa.RecordBatch.from_arrays([pa.array(sender[cuts]), pa.array([found_bytes(x) for x in np.split(entries, cuts[1:])], pa.binary())], ["block", "found"])
+
+    def gather(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.frombuffer(b"".join(blob for batch in batches for blob in batch.column(1).to_pylist()), FOUND)
+        found = found[np.lexsort((found["place"], found["row"]))]
+        if len(found):
+            cuts = np.flatnonzero(np.concatenate([[True], found["row"][1:] != found["row"][:-1]]))
+            places = np.split(found["place"], cuts[1:])
+            yield pa.RecordBatch.from_arrays([pa.array(found["row"][cuts]), pa.array([x.tobytes() for x in places], pa.binary())], ["row", "places"])
+
+    decided = sent.groupBy("part").applyInArrow(decide, ANSWER)
+    return decided.groupBy("block").applyInArrow(gather, "row bigint, places binary")
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:
@@ -263,8 +283,13 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list
         yield rows, texts, places
 
 
-def joined_places(own: list[bytes] | None) -> np.ndarray:
-    return np.frombuffer(b"".join(own or []), "<u4").astype(np.int64)
+#: The place of a document that has a window without a pick.
+DOUBT = 0xFFFFFFFF
+
+
+def places_of(own: bytes | None) -> np.ndarray:
+    places = np.frombuffer(own or b"", "<u4").astype(np.int64)
+    return places[places != DOUBT]
 
 
 def share_picks(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
@@ -274,9 +299,11 @@ def share_picks(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.Re
         entries = np.empty(len(starts), PICK)
         entries["name"], entries["row"] = block.grams[starts], ids[block.doc[starts]]
         entries["place"] = starts - block.begins[block.doc[starts]]
-        yield from share(entries, parts)
+        yield from share(entries, entries["name"], rows[0], parts)
         if len(doubt):
-            yield pa.RecordBatch.from_arrays([pa.array([-1 - int(ids[d]) % parts for d in doubt], pa.int32()), pa.nulls(len(doubt), pa.binary()), pa.array(ids[doubt], pa.int64()), pa.array([b""] * len(doubt), pa.binary())], ["part", "entries", "row", "places"])
+            marks = np.empty(len(doubt), PICK)
+            marks["row"], marks["place"] = ids[doubt], DOUBT
+            yield sent_batch([-1 - rows[0] % parts], [found_bytes(marks)], rows[0])
 
 
 def share_windows(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
@@ -286,7 +313,7 @@ def share_windows(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.
             continue
         shared = np.zeros(len(block.names), dtype=np.uint64)
         for at, own in enumerate(places):
-            shared[block.begins[at] + joined_places(own)] = 1
+            shared[block.begins[at] + places_of(own)] = 1
         # the lowest bit of a pick's name tells whether it is shared
         least = block.picked(np.where(block.grams == NONE, NONE, block.grams | (np.uint64(1) - shared)))
         starts = np.flatnonzero(block.inside & ((least == NONE) | (least & np.uint64(1) == 0)))
@@ -295,7 +322,8 @@ def share_windows(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.
         entries["more"] = fingerprints(block.names, WINDOW, POLY_B)[starts] >> np.uint64(32)
         entries["row"] = ids[block.doc[starts]]
         entries["place"] = starts - block.begins[block.doc[starts]]
-        yield from share(entries, parts)
+        # equal windows have equal picks; by pick, neighbouring windows meet their copies in the same part
+        yield from share(entries, np.where(least[starts] == NONE, entries["name"], mix(least[starts])), rows[0], parts)
 
 
 def removed_words(n_words: int, starts: np.ndarray) -> np.ndarray:
@@ -315,7 +343,8 @@ def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = with_rows(docs)
     picks = repeated(rows.select("row", "text").mapInArrow(lambda b: share_picks(b, parts), SENT), PICK)
-    doubted = rows.join(picks, "row").select("row", "text", "places")
+    # doc_id comes along so that this join and the last one read the same exchange of the texts
+    doubted = rows.join(picks, "row", "left").select("row", "text", "places", "doc_id").where(F.col("places").isNotNull())
     return rows, repeated(doubted.mapInArrow(lambda b: share_windows(b, parts), SENT), SPAN)
 
 
@@ -334,7 +363,7 @@ def remove_repeats(docs: DataFrame, digests: bool = False) -> DataFrame:
                 words = (text or b"").split()
                 n_words.append(len(words))
                 if own:
-                    gone = removed_words(len(words), joined_places(own))
+                    gone = removed_words(len(words), places_of(own))
                     words = [word for word, out in zip(words, gone.tolist(), strict=True) if not out]
                 n_removed.append(n_words[-1] - len(words))
                 joined = b" ".join(words)
