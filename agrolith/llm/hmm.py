@@ -42,8 +42,10 @@ HELD_OUT = (10, 0)
 ALPHA = 0.1
 #: No token holds white space, so this key is the end's alone.
 END = b" "
-#: Texts are recursed together up to so many tokens, and counted together up to so many.
-TOKENS_AT_ONCE = 400_000
+#: Texts are recursed together up to so many tokens, held for that (as class numbers) up to so many, so that long ones
+#: meet others of their length, and counted together up to so many.
+TOKENS_AT_ONCE = 600_000
+HELD_TOKENS = 5_000_000
 COUNT_AT_ONCE = 1_500_000
 CACHE = 300_000
 
@@ -69,10 +71,9 @@ class ClassCache(dict):
 CLASS_OF = ClassCache()
 
 
-def class_sequences(texts: list[bytes | None]) -> list[np.ndarray]:
+def class_sequences(tokenised: list[list[bytes]]) -> list[np.ndarray]:
     out = []
-    for text in texts:
-        words = tokens_of(text)
+    for words in tokenised:
         row = np.fromiter(map(CLASS_OF.__getitem__, words), np.int32, len(words))
         out.append(np.append(row, np.int32(CLASSES)))
     return out
@@ -113,40 +114,35 @@ def batches_by_length(sequences: list[np.ndarray]) -> Iterator[np.ndarray]:
         yield order[start:]
 
 
-def by_step(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens of sequences sorted by falling length, laid out step by step, and where each step begins."""
+def by_step(sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The tokens of sequences sorted by falling length, laid out step by step; where each step begins; and whose
+    token is where. A step's tokens stand in the order of their sequences, so the longer ones' places stay the same."""
     lengths = np.array([len(s) for s in sequences])
-    steps = int(lengths[0])
-    width = np.searchsorted(-lengths, -np.arange(steps), side="left")
+    width = np.searchsorted(-lengths, -np.arange(int(lengths[0])), side="left")
     begins = np.concatenate([[0], np.cumsum(width)])
     flat = np.concatenate(sequences)
     within = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    place = begins[within] + np.repeat(np.arange(len(lengths)), lengths)
-    out = np.empty(len(flat), dtype=np.int32)
-    out[place] = flat
-    return out, begins
-
-
-def forward(p: Parameters, sequences: list[np.ndarray], keep: bool = False):
-    """Log10 likelihood of each sequence (sorted by falling length); with keep also the scaled alphas by step."""
-    tokens, begins = by_step(sequences)
-    emitted = p.emit[tokens]
-    logs = np.zeros(len(sequences))
-    alpha = np.broadcast_to(p.start, (len(sequences), len(p.start)))
-    scales = np.empty(len(tokens))
-    for step in range(len(begins) - 1):
-        a, b = begins[step], begins[step + 1]
-        rows = emitted[a:b]
-        rows *= alpha[: b - a] if step == 0 else alpha[: b - a] @ p.move
-        scale = rows.sum(axis=1)
-        rows /= scale[:, None]
-        scales[a:b] = scale
-        alpha = rows
-    logs_by_token = np.log10(scales)
-    for step in range(len(begins) - 1):
-        a, b = begins[step], begins[step + 1]
-        logs[: b - a] += logs_by_token[a:b]
-    return (logs, tokens, begins, emitted, scales) if keep else logs
+    own = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
+    place = begins[within] + own
+    tokens, owners = np.empty(len(flat), np.int32), np.empty(len(flat), np.int32)
+    tokens[place], owners[place] = flat, own
+    return tokens, begins, owners
+
+
+def forward(p: Parameters, sequences: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Log10 likelihood of each sequence (sorted by falling length); tokens, begins, scaled alphas and scales by step."""
+    tokens, begins, owners = by_step(sequences)
+    alphas, scales = p.emit[tokens], np.empty(len(tokens))
+    ones, moved = np.ones(len(p.start)), np.empty((len(sequences), len(p.start)))
+    moved[:] = p.start
+    places = begins.tolist()
+    for a, b in zip(places, places[1:], strict=False):
+        rows, scale = alphas[a:b], scales[a:b]
+        np.multiply(rows, moved[: b - a], out=rows)
+        np.dot(rows, ones, out=scale)
+        np.divide(rows, scale[:, None], out=rows)
+        np.dot(rows, p.move, out=moved[: b - a])
+    return np.bincount(owners, weights=np.log10(scales), minlength=len(sequences)), tokens, begins, alphas, scales
 
 
 def expected_counts(p: Parameters, sequences: list[np.ndarray], totals: tuple[np.ndarray, np.ndarray, np.ndarray]) -> float:
@@ -154,25 +150,26 @@ def expected_counts(p: Parameters, sequences: list[np.ndarray], totals: tuple[np
     start, move, emit = totals
     likelihood = 0.0
     for group in batches_by_length(sequences):
-        own = [sequences[at] for at in group]
-        logs, tokens, begins, alphas, scales = forward(p, own, keep=True)
+        logs, tokens, begins, alphas, scales = forward(p, [sequences[at] for at in group])
         likelihood += logs.sum()
-        gamma = np.empty_like(alphas)
-        beta = np.ones((0, len(p.start)))
-        for step in range(len(begins) - 2, -1, -1):
-            a, b = begins[step], begins[step + 1]
-            full = np.ones((b - a, len(p.start)))
-            full[: len(beta)] = beta
-            np.multiply(alphas[a:b], full, out=gamma[a:b])
-            if step:
-                weighted = p.emit[tokens[a:b]] * full / scales[a:b, None]
-                before = alphas[begins[step - 1] : begins[step - 1] + (b - a)]
-                move += p.move * (before.T @ weighted)
-                beta = weighted @ p.move.T
-        gamma /= gamma.sum(axis=1, keepdims=True)
-        start += gamma[: begins[1]].sum(axis=0)
+        betas, weighted = np.empty_like(alphas), p.emit[tokens]
+        np.divide(weighted, scales[:, None], out=weighted)
+        beta, back = np.ones((len(group), len(p.start))), np.ascontiguousarray(p.move.T)
+        places = begins.tolist()
+        for step in range(len(places) - 2, -1, -1):
+            a, b = places[step], places[step + 1]
+            own, rows = beta[: b - a], weighted[a:b]
+            betas[a:b] = own
+            np.multiply(rows, own, out=rows)
+            np.dot(rows, back, out=own)
+        later = np.arange(begins[1], len(tokens))
+        before = later - np.repeat(begins[1:-1] - begins[:-2], np.diff(begins)[1:])
+        move += p.move * (alphas[before].T @ weighted[begins[1] :])
+        np.multiply(betas, alphas, out=betas)
+        np.divide(betas, betas.sum(axis=1, keepdims=True), out=betas)
+        start += betas[: begins[1]].sum(axis=0)
         for state in range(len(p.start)):
-            emit[:, state] += np.bincount(tokens, weights=gamma[:, state], minlength=CLASSES + 1)
+            emit[:, state] += np.bincount(tokens, weights=betas[:, state], minlength=CLASSES + 1)
     return likelihood
 
 
@@ -188,7 +185,7 @@ def start_parameters(docs: DataFrame, start_docs: int = START_DOCS) -> Parameter
     """A starting point only: all parameters are re-estimated on all training texts afterwards."""
     texts = training(docs).where(F.octet_length("_text") < 20_000).limit(start_docs).toArrow().column(0).cast(pa.binary()).to_pylist()
     p = Parameters.initial()
-    sequences = class_sequences(texts)
+    sequences = class_sequences([tokens_of(text) for text in texts])
     for _ in range(START_PASSES if sequences else 0):
         totals = blank()
         expected_counts(p, sequences, totals)
@@ -209,10 +206,10 @@ def baum_welch(docs: DataFrame, p: Parameters, passes: int = PASSES) -> Paramete
             held, size = [], 0
             for batch in batches:
                 for text in batch.column(0).cast(pa.binary()).to_pylist():
-                    held += class_sequences([text])
+                    held += class_sequences([tokens_of(text)])
                     size += len(held[-1])
                     seen = True
-                    if size >= TOKENS_AT_ONCE:
+                    if size >= HELD_TOKENS:
                         expected_counts(p, held, totals)
                         held, size = [], 0
             if held:
@@ -308,14 +305,15 @@ def score_documents(docs: DataFrame, p: Parameters, lex: Lexical, counts: DataFr
         names = ["key", "n", "row", "n_tokens", "known", "sum", "model", "doc"]
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
-            sequences = class_sequences(texts)
+            tokenised = [tokens_of(text) for text in texts]
+            sequences = class_sequences(tokenised)
             model = np.zeros(len(texts))
             for group in batches_by_length(sequences):
-                model[group] = forward(p, [sequences[at] for at in group])
+                model[group] = forward(p, [sequences[at] for at in group])[0]
             keys, times, owners = [], [], []
             known, sums = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-            for at, text in enumerate(texts):
-                words = Counter(tokens_of(text))
+            for at, found in enumerate(tokenised):
+                words = Counter(found)
                 words[END] = 1
                 n_known, total = 0, 0.0
                 for word, n in words.items():
