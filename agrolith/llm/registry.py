@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, hmm, pii, recompression, toxicity
+from . import bpe, exact_dedup, hmm, jaccard_join, merkle, mixing, pii, recompression, toxicity
 
 QUERIES = {
     "op1_hmm": hmm.op1_hmm,
     "op2_pii": pii.op2_pii,
+    "op3_mixing": mixing.op3_mixing,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_bpe": bpe.op5_bpe,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
+    "op7_merkle": merkle.op7_merkle,
     "op8_recompression": recompression.op8_recompression,
+    "op10_jaccard": jaccard_join.op10_jaccard,
 }
 ORACLES = {"op6_exact_dedup": exact_dedup.SQL}
