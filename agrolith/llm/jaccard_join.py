@@ -35,7 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import checkpoint_dir, read
-from .components import connected_components
+from .components import connected_components, cross_pairs, rows_wanted
 from .recompression import K1, K2, NameCache, mix
 
 #: Counters of the table of document counts by hashed shingle.
@@ -190,7 +190,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "names_a", "names_b").mapInArrow(check, "a bigint, b bigint")
 
 
-def possible(n: str, m: str):
+def possible(n, m):
     """The larger set cannot hold the smaller one often enough otherwise."""
     return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
 
@@ -244,24 +244,21 @@ def similarity_join(docs: DataFrame, words: int = 3) -> Joined:
     lists = lists.join(named.select(F.col("s1").alias("l1"), F.col("s2").alias("l2"), F.col("node").alias("b")), ["l1", "l2"]).select("key", "a", "b", "n", "b0", "b1", "b2", "b3").checkpoint()
 
     wanted = lists.select(F.col("a").alias("row")).distinct()
-    sets = rows.join(wanted, "row").select(F.col("row").alias("node"), "text").mapInArrow(lambda batches: set_rows(batches, words), "node bigint, names binary").checkpoint()
+    sets = rows_wanted(rows, wanted).select(F.col("row").alias("node"), "text").mapInArrow(lambda batches: set_rows(batches, words), "node bigint, names binary").checkpoint()
 
     sizes_of = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"))
-    votes = lists.where("a <> b").groupBy("a", "b", "n").agg(F.count(F.lit(1)).alias("votes")).join(sizes_of, "b").where(possible("n", "n_b"))
+    votes = lists.where("a <> b").groupBy("a", "b", "n").agg(F.count(F.lit(1)).alias("votes")).join(sizes_of, "b").where(possible(F.col("n"), F.col("n_b")))
     best = votes.groupBy("a").agg(F.max(F.struct("votes", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
     links = small_links.unionByName(verified(best, sets)).checkpoint()
 
     classes = connected_components(links)
-    tagged = lists.drop("b").distinct().join(classes.withColumnRenamed("node", "a"), "a", "left").select("key", "a", F.coalesce("component", "a").alias("c"), "n", "b0", "b1", "b2", "b3").checkpoint()
-    sizes = tagged.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"))
-    major = sizes.groupBy("key").agg(F.max(F.struct("size", "c")).alias("top"), F.count(F.lit(1)).alias("classes")).where("classes > 1").select("key", F.col("top.c").alias("major"))
-    open_lists = tagged.join(major, "key")
-    minor = open_lists.where("c <> major").select("key", *(F.col(x).alias(f"{x}_") for x in ("a", "c", "n", "b0", "b1", "b2", "b3")))
-    differ = sum((F.bit_count(F.col(f"b{i}").bitwiseXOR(F.col(f"b{i}_"))) for i in range(4)), F.lit(0))
-    # |A xor B| <= 10 % of the union, and the union is at most n / 0.9 of the smaller set
-    near = (differ * PERCENT <= F.least("n", "n_") * (100 - PERCENT)) & possible("n", "n_")
-    rest = open_lists.join(minor, "key").where((F.col("c") != F.col("c_")) & near)
-    rest = rest.select(F.greatest("a", "a_").alias("a"), F.least("a", "a_").alias("b")).distinct()
+
+    def near(one, two):
+        differ = sum((F.bit_count(one(f"b{i}").bitwiseXOR(two(f"b{i}"))) for i in range(4)), F.lit(0))
+        # |A xor B| <= 10 % of the union, and the union is at most n / 0.9 of the smaller set
+        return (differ * PERCENT <= F.least(one("n"), two("n")) * (100 - PERCENT)) & possible(one("n"), two("n"))
+
+    rest = cross_pairs(lists.drop("b"), classes, ["n", "b0", "b1", "b2", "b3"], near)
     return Joined(documents.join(named, ["s1", "s2"]), links.unionByName(verified(rest, sets)).checkpoint())
 
 

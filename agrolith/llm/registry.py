@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, hmm, jaccard_join, merkle, mixing, pii, recompression, toxicity
+from . import bpe, exact_dedup, fuzzy_lines, hmm, jaccard_join, merkle, mixing, pii, recompression, toxicity
 
 QUERIES = {
     "op1_hmm": hmm.op1_hmm,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_merkle": merkle.op7_merkle,
     "op8_recompression": recompression.op8_recompression,
+    "op9_fuzzy_lines": fuzzy_lines.op9_fuzzy_lines,
     "op10_jaccard": jaccard_join.op10_jaccard,
 }
 ORACLES = {"op6_exact_dedup": exact_dedup.SQL}
