@@ -47,18 +47,18 @@ def connected_components(links: DataFrame) -> DataFrame:
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def cross_pairs(lists: DataFrame, classes: DataFrame, own: list[str], near) -> DataFrame:
+def cross_pairs(lists: DataFrame, classes: DataFrame, nodes: DataFrame, own: list[str], near) -> DataFrame:
     """Pairs (a > b) of one list whose nodes are in different components and are near.
 
-    lists: (key, a, *own). In each list only the nodes outside its largest component meet the rest, so a list whose
-    nodes are already connected gives nothing, however long it is. near takes two functions that give a column of
-    either side. The longer side is joined unaggregated, which adaptive execution splits.
+    lists: (key, a). In each list only the nodes outside its largest component meet the rest, so a list whose nodes
+    are already connected gives nothing, however long it is. nodes: (node, *own), joined to what is left; near takes
+    two functions that give a column of either side. The longer side is joined unaggregated, which adaptive execution
+    splits.
     """
-    tagged = lists.distinct().join(classes.withColumnRenamed("node", "a"), "a", "left")
-    tagged = tagged.select("key", "a", F.coalesce("component", "a").alias("c"), *own).checkpoint()
+    tagged = lists.join(classes.withColumnRenamed("node", "a"), "a", "left").select("key", "a", F.coalesce("component", "a").alias("c"))
     sizes = tagged.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"))
     major = sizes.groupBy("key").agg(F.max(F.struct("size", "c")).alias("top"), F.count(F.lit(1)).alias("classes")).where("classes > 1").select("key", F.col("top.c").alias("major"))
-    open_lists = tagged.join(major, "key")
+    open_lists = tagged.join(major, "key").join(nodes.select(F.col("node").alias("a"), *own), "a").checkpoint()
     minor = open_lists.where("c <> major").select("key", *(F.col(x).alias(f"{x}_") for x in ("a", "c", *own)))
     pairs = open_lists.join(minor, "key").where((F.col("c") != F.col("c_")) & near(F.col, lambda name: F.col(f"{name}_")))
     return pairs.select(F.greatest("a", "a_").alias("a"), F.least("a", "a_").alias("b")).distinct()

@@ -3,19 +3,20 @@
 A document's set is a 128-bit value (two sums over its shingles), so documents with equal sets are one node. Distinct
 sets are joined by size:
 
-* Small sets enumerate subsets: with at most 17 shingles, two different sets reach 90 % only if one is the other less
-  one shingle, so each set offers its subsets of one shingle fewer by value, and an equi-join with the sets of that
-  size finds every link without candidates.
-* Large sets scan inverted lists of their rarest shingles: among its n - ceil(0.9 n) + 1 rarest ones a set has one
-  that any partner has among its own. Rare is measured by a fixed-size table of document counts by hashed shingle, a
-  global order in which common passages come last; its errors cost time, never links.
+* Small sets enumerate subsets: with at most 17 shingles, two different sets reach 90 % (the default; the sizes follow
+  from the similarity) only if one is the other less one shingle, so each set offers its subsets of one shingle fewer
+  by value, and an equi-join with the sets of that size finds every link without candidates.
+* Large sets scan inverted lists of their rarest shingles: among its n - ceil(t n) + 1 rarest ones a set has one
+  that any partner has among its own. Rare is measured by the counts of the shingle's words in a
+  fixed-size table of word counts by hashed word: a global order in which common words and passages come last; its
+  errors cost time, never links.
 
 The boundary is the size up to which enumerating costs less than scanning lists of the measured mean length.
 
-A list is not turned into pairs. First each set meets the first set of its lists (the one most of its lists agree on);
-verified pairs give components. Then only the sets outside the largest component of a list meet the others of that
-list in other components, screened by size and by a 256-bit parity signature, which bounds the difference from below.
-Pairs within one component are never needed. All verified on whole shingle sets.
+A list is not turned into pairs. First each set meets the first set of each of its lists, screened by size and by a
+256-bit parity signature, which bounds the difference from below; verified pairs give components. Then only the sets
+outside the largest component of a list meet the others of that list in other components, screened alike. Pairs within
+one component are never needed. All are verified on whole shingle sets.
 
 Defined results: null texts and texts without words have an empty set, no links, and themselves as component; texts
 with fewer words than the shingle length have the whole sequence as one shingle; rows with a null doc_id take part and
@@ -38,30 +39,42 @@ from .common import checkpoint_dir, read
 from .components import connected_components, cross_pairs, rows_wanted
 from .recompression import K1, K2, NameCache, mix
 
-#: Counters of the table of document counts by hashed shingle.
+#: Counters of the table of word counts by hashed word.
 COUNTERS = 1 << 18
 #: Sets of one list that are compared under one leader; a longer list is dealt to several leaders.
 LIST_PART = 1000
 SLICES = 32
-#: At 90 % a set of 17 is the largest whose partners all differ by one shingle.
-LARGEST_SMALL = 17
-LEAST_SMALL = 9
-PERCENT = 90
+WORDS, PERCENT = 3, 90
 NAME_OF = NameCache()
 DOC_SCHEMA = "row bigint, doc_id bigint, n bigint, s1 bigint, s2 bigint, b0 bigint, b1 bigint, b2 bigint, b3 bigint, slice int, counts binary"
 
 
-def shingles(text: bytes | None, words: int) -> np.ndarray:
-    """The distinct shingles' 64-bit names, in order. A-Z are lower-cased; words are [^\\x20\\x09-\\x0D]+."""
+def word_names(text: bytes | None) -> np.ndarray:
+    """A-Z are lower-cased; words are [^\\x20\\x09-\\x0D]+."""
     tokens = (text or b"").lower().split()
-    if not tokens:
-        return np.empty(0, np.uint64)
-    names = np.fromiter(map(NAME_OF.__getitem__, tokens), np.uint64, len(tokens))
+    return np.fromiter(map(NAME_OF.__getitem__, tokens), np.uint64, len(tokens))
+
+
+def shingles(names: np.ndarray, words: int, counts: np.ndarray | None = None):
+    """The distinct shingles' 64-bit names, in order; with counts also how often each is to be expected (as the
+    logarithm of its words' counters) and the least counter of its words."""
+    if not len(names):
+        return (names, np.empty(0), np.empty(0)) if counts is not None else names
     width = min(words, len(names))
-    out = mix(names[: len(names) - width + 1] + np.uint64(width))
+    stop = len(names) - width + 1
+    out = mix(names[:stop] + np.uint64(width))
+    for at in range(1, width):
+        out = mix(out * K1 + names[at : stop + at])
+    if counts is None:
+        return np.unique(out)
+    out, first = np.unique(out, return_index=True)
+    own = counts[(names % np.uint64(COUNTERS)).astype(np.int64)]
+    logs = np.log(own + 1.0)
+    expected, least = logs[:stop].copy(), own[:stop].copy()
     for at in range(1, width):
-        out = mix(out * K1 + names[at : len(names) - width + 1 + at])
-    return np.unique(out)
+        expected += logs[at : stop + at]
+        np.minimum(least, own[at : stop + at], out=least)
+    return out, expected[first], least[first]
 
 
 def set_value(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -80,26 +93,32 @@ def parity(names: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
-def needed(n: int) -> int:
+def needed(n: int, percent: int) -> int:
     """The least overlap of a set of n with a partner."""
-    return (PERCENT * n + 99) // 100
+    return (percent * n + 99) // 100
+
+
+def small_sizes(percent: int) -> range:
+    """Sizes of sets that have different partners and whose partners of their size or more differ by one shingle:
+    n / (n + 1) reaches the similarity, n / (n + 2) doesn't. At 90 % 9 to 17, at 80 % 4 to 7."""
+    least = -(-percent // (100 - percent))
+    return range(least, -(-2 * percent // (100 - percent)))
 
 
 def describe(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    """One row a document; after the last, the partition's counts of documents by hashed shingle, cut in slices."""
+    """One row a document; after the last, the partition's counts by hashed word, cut in slices."""
     counts = np.zeros(COUNTERS, np.int64)
     names = [part.split()[0] for part in DOC_SCHEMA.split(", ")]
     for batch in batches:
         rows: list[list] = [[] for _ in range(7)]
         for text in batch.column(2).cast(pa.binary()).to_pylist():
-            own = shingles(text, words)
+            names_of = word_names(text)
+            own = shingles(names_of, words)
             first, second = set_value(own)
             bits = parity(own)
+            np.add.at(counts, (names_of % np.uint64(COUNTERS)).astype(np.int64), 1)
             for column, value in zip(rows, [len(own), signed(first.sum(dtype=np.uint64)), signed(second.sum(dtype=np.uint64)), *bits.tolist()], strict=True):
                 column.append(value)
-            counts += np.bincount((own % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS) if len(own) > COUNTERS // 64 else 0
-            if len(own) <= COUNTERS // 64:
-                np.add.at(counts, (own % np.uint64(COUNTERS)).astype(np.int64), 1)
         n = batch.num_rows
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in rows), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
     parts = np.array_split(counts.astype("<u4"), SLICES)
@@ -116,30 +135,30 @@ def add_slices(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
     yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["slice", "counts"])
 
 
-def boundary(counts: np.ndarray) -> int:
-    """The largest size for which n + 1 subset keys cost less than the scan of its lists; 8 if there is none.
-
-    The mean list that a shingle meets is F2 / F1; F2 is the sum of squared counters less what chance adds to it.
+def boundary(counts: np.ndarray, percent: int) -> int:
+    """The largest size for which n + 1 subset keys cost less than the scan of its lists; one below the small sizes if
+    there is none. The mean list that a word meets is F2 / F1; F2 is the sum of squared counters less what chance adds
+    to it.
     """
-    f1 = float(counts.sum())
+    sizes, f1 = small_sizes(percent), float(counts.sum())
     if not f1:
-        return LEAST_SMALL - 1
+        return sizes.start - 1
     f2 = max(float((counts.astype(float) ** 2).sum()) - f1 * f1 / len(counts), f1)
-    mean = f2 / f1
-    sizes = [n for n in range(LEAST_SMALL, LARGEST_SMALL + 1) if n + 1 <= (n - needed(n) + 1) * (1 + mean)]
-    return max(sizes, default=LEAST_SMALL - 1)
+    cheaper = [n for n in sizes if n + 1 <= (n - needed(n, percent) + 1) * (1 + f2 / f1)]
+    return max(cheaper, default=sizes.start - 1)
 
 
 KEY_SCHEMA = "kind int, key bigint, key2 bigint, s1 bigint, s2 bigint, parts int"
 SUBSET, LIST = 0, 1
 
 
-def keys_of(batches: Iterator[pa.RecordBatch], words: int, counts: np.ndarray, limit: int) -> Iterator[pa.RecordBatch]:
+def keys_of(batches: Iterator[pa.RecordBatch], words: int, percent: int, counts: np.ndarray, limit: int) -> Iterator[pa.RecordBatch]:
     """SUBSET: a subset's value (key, key2) and the set. LIST: a shingle (key), the part of its list that the set is
-    dealt to (key2), and the set. A shingle whose counter stands out has a list of several parts, by size."""
+    dealt to (key2), and the set. A shingle whose words are all very frequent may have a long list, which is dealt to
+    parts, by the count of its rarest word."""
     names = [part.split()[0] for part in KEY_SCHEMA.split(", ")]
     seen: set[tuple[int, int]] = set()
-    common = 4 * counts.mean()
+    common, least = 4 * counts.mean(), small_sizes(percent).start
     for batch in batches:
         columns: list[list[np.ndarray]] = [[] for _ in names]
 
@@ -148,9 +167,9 @@ def keys_of(batches: Iterator[pa.RecordBatch], words: int, counts: np.ndarray, l
                 column.append(value)
 
         for text in batch.column(0).cast(pa.binary()).to_pylist():
-            own = shingles(text, words)
+            own, expected, rarest = shingles(word_names(text), words, counts)
             n = len(own)
-            if n < LEAST_SMALL:  # linked with equal sets only
+            if n < least:  # linked with equal sets only
                 continue
             a, b = set_value(own)
             s1, s2 = a.sum(dtype=np.uint64), b.sum(dtype=np.uint64)
@@ -159,12 +178,11 @@ def keys_of(batches: Iterator[pa.RecordBatch], words: int, counts: np.ndarray, l
             if len(seen) > 200_000:
                 seen.clear()
             seen.add((int(s1), int(s2)))
-            if LEAST_SMALL < n <= limit + 1:
+            if least < n <= limit + 1:
                 put(np.full(n, SUBSET), s1 - a, s2 - b, np.full(n, s1), np.full(n, s2), np.ones(n, np.int64))
             if n > limit:
-                count = counts[(own % np.uint64(COUNTERS)).astype(np.int64)]
-                order = np.lexsort((own, count))[: n - needed(n) + 1]
-                rare, parts = own[order], 1 + np.maximum(count[order] - common, 0).astype(np.int64) // LIST_PART
+                order = np.lexsort((own, expected))[: n - needed(n, percent) + 1]
+                rare, parts = own[order], 1 + np.maximum(rarest[order] - common, 0).astype(np.int64) // LIST_PART
                 k = len(rare)
                 put(np.full(k, LIST), rare, s1 % parts.astype(np.uint64), np.full(k, s1), np.full(k, s2), parts)
         if columns[0]:
@@ -172,27 +190,29 @@ def keys_of(batches: Iterator[pa.RecordBatch], words: int, counts: np.ndarray, l
             yield pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), *(pa.array(x.view(np.int64)) for x in longs), pa.array(parts.astype(np.int32))], names)
 
 
-def overlap_at_least(a: np.ndarray, b: np.ndarray) -> bool:
+def overlap_at_least(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     both = len(a) + len(b) - len(np.union1d(a, b))
-    return 100 * both >= PERCENT * (len(a) + len(b) - both)
+    return 100 * both >= percent * (len(a) + len(b) - both)
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets reach the similarity. The side with fewer sets, b, is joined last."""
+def verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose sets reach the similarity; only their documents' texts are read again."""
+    wanted = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
+    sets = rows_wanted(rows, wanted).select(F.col("row").alias("node"), "text").mapInArrow(lambda batches: set_rows(batches, words), "node bigint, names binary").checkpoint()
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("names").alias("names_a")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("names").alias("names_b")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [overlap_at_least(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            good = [overlap_at_least(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
     return both.select("a", "b", "names_a", "names_b").mapInArrow(check, "a bigint, b bigint")
 
 
-def possible(n, m):
+def possible(n, m, percent: int):
     """The larger set cannot hold the smaller one often enough otherwise."""
-    return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
 class Joined:
@@ -202,20 +222,20 @@ class Joined:
         self.documents, self.links = documents, links
 
 
-def similarity_join(docs: DataFrame, words: int = 3) -> Joined:
+def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Joined:
     spark = docs.sparkSession
     checkpoint_dir(spark)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     described = rows.mapInArrow(lambda batches: describe(batches, words), DOC_SCHEMA).checkpoint()
     added = described.where("slice is not null").select("slice", "counts").groupBy("slice").applyInArrow(add_slices, "slice int, counts binary").collect()
     counts = np.concatenate([np.frombuffer(bytes(x[1]), np.int64) for x in sorted(added, key=lambda x: x[0])]) if added else np.zeros(COUNTERS, np.int64)
-    limit = boundary(counts)
+    limit = boundary(counts, percent)
     table = spark.sparkContext.broadcast(counts)
 
     documents = described.where("slice is null").drop("slice", "counts")
     nodes = documents.groupBy("s1", "s2").agg(F.min("row").alias("node"), F.min("n").alias("n"), *(F.min(f"b{i}").alias(f"b{i}") for i in range(4))).checkpoint()
 
-    keys = docs.select(docs["text"].alias("text")).mapInArrow(lambda batches: keys_of(batches, words, table.value, limit), KEY_SCHEMA)
+    keys = docs.select(docs["text"].alias("text")).mapInArrow(lambda batches: keys_of(batches, words, percent, table.value, limit), KEY_SCHEMA)
     # one exchange: the rows of a list's part meet, and each subset key passes through under a place of its own
     place = F.when(F.col("kind") == LIST, F.xxhash64("key", "key2")).otherwise(F.xxhash64("key", "key2", "s1", "s2"))
     by_part = W.partitionBy("place", "kind", "key", "key2").orderBy("s1", "s2")
@@ -231,7 +251,7 @@ def similarity_join(docs: DataFrame, words: int = 3) -> Joined:
     )
     named = nodes.select("s1", "s2", "node")
     subsets = shared.where(F.col("kind") == SUBSET).select("key", "key2", "s1", "s2").distinct()
-    whole = nodes.where(F.col("n").between(LEAST_SMALL, limit)).select(F.col("s1").alias("key"), F.col("s2").alias("key2"), F.col("node").alias("b"))
+    whole = nodes.where(F.col("n").between(small_sizes(percent).start, limit)).select(F.col("s1").alias("key"), F.col("s2").alias("key2"), F.col("node").alias("b"))
     small_links = subsets.join(whole, ["key", "key2"]).join(named, ["s1", "s2"]).select(F.col("node").alias("a"), "b")
 
     lists = shared.where(F.col("kind") == LIST).drop("kind", "key2").distinct()
@@ -240,47 +260,42 @@ def similarity_join(docs: DataFrame, words: int = 3) -> Joined:
     heads = lists.where((F.col("parts") > 1) & (F.col("s1") == F.col("l1")) & (F.col("s2") == F.col("l2")))
     heads = heads.withColumn("l1", F.first("s1").over(by_list)).withColumn("l2", F.first("s2").over(by_list))
     lists = lists.unionByName(heads).drop("parts")
-    lists = lists.join(nodes.select("s1", "s2", F.col("node").alias("a"), "n", "b0", "b1", "b2", "b3"), ["s1", "s2"])
-    lists = lists.join(named.select(F.col("s1").alias("l1"), F.col("s2").alias("l2"), F.col("node").alias("b")), ["l1", "l2"]).select("key", "a", "b", "n", "b0", "b1", "b2", "b3").checkpoint()
-
-    wanted = lists.select(F.col("a").alias("row")).distinct()
-    sets = rows_wanted(rows, wanted).select(F.col("row").alias("node"), "text").mapInArrow(lambda batches: set_rows(batches, words), "node bigint, names binary").checkpoint()
-
-    sizes_of = nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"))
-    votes = lists.where("a <> b").groupBy("a", "b", "n").agg(F.count(F.lit(1)).alias("votes")).join(sizes_of, "b").where(possible(F.col("n"), F.col("n_b")))
-    best = votes.groupBy("a").agg(F.max(F.struct("votes", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
-    links = small_links.unionByName(verified(best, sets)).checkpoint()
-
-    classes = connected_components(links)
+    lists = lists.join(named.withColumnRenamed("node", "a"), ["s1", "s2"])
+    lists = lists.join(named.select(F.col("s1").alias("l1"), F.col("s2").alias("l2"), F.col("node").alias("b")), ["l1", "l2"]).select("key", "a", "b").checkpoint()
 
     def near(one, two):
         differ = sum((F.bit_count(one(f"b{i}").bitwiseXOR(two(f"b{i}"))) for i in range(4)), F.lit(0))
-        # |A xor B| <= 10 % of the union, and the union is at most n / 0.9 of the smaller set
-        return (differ * PERCENT <= F.least(one("n"), two("n")) * (100 - PERCENT)) & possible(one("n"), two("n"))
+        # sets differ by 1 - t of their union at most, and the union is at most the smaller set over t
+        return (differ * percent <= F.least(one("n"), two("n")) * (100 - percent)) & possible(one("n"), two("n"), percent)
 
-    rest = cross_pairs(lists.drop("b"), classes, ["n", "b0", "b1", "b2", "b3"], near)
-    return Joined(documents.join(named, ["s1", "s2"]), links.unionByName(verified(rest, sets)).checkpoint())
+    own = ["n", "b0", "b1", "b2", "b3"]
+    first = lists.where("a <> b").select("a", "b").distinct().join(nodes.select(F.col("node").alias("a"), *own), "a")
+    first = first.join(nodes.select(F.col("node").alias("b"), *(F.col(x).alias(f"{x}_") for x in own)), "b")
+    first = first.where(near(F.col, lambda name: F.col(f"{name}_"))).select("a", "b").checkpoint()
+    links = small_links.unionByName(verified(first, rows, words, percent)).checkpoint()
+    rest = cross_pairs(lists.select("key", "a").distinct(), connected_components(links), nodes, own, near).checkpoint()
+    return Joined(documents.join(named, ["s1", "s2"]), links.unionByName(verified(rest, rows, words, percent)).checkpoint())
 
 
 def set_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names = [shingles(text, words).tobytes() for text in batch.column(1).cast(pa.binary()).to_pylist()]
+        names = [shingles(word_names(text), words).tobytes() for text in batch.column(1).cast(pa.binary()).to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.binary())], ["node", "names"])
 
 
-def classes_of(docs: DataFrame, words: int = 3) -> DataFrame:
+def classes_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """row, doc_id, n_shingles, component_id for every row of docs."""
-    joined = similarity_join(docs, words)
+    joined = similarity_join(docs, words, percent)
     components = connected_components(joined.links)
     members = joined.documents.join(components, "node", "left").select("row", "doc_id", "n", F.when(F.col("n") == 0, -1 - F.col("row")).otherwise(F.coalesce("component", "node")).alias("class"))
     least = members.groupBy("class").agg(F.min("doc_id").alias("component_id"))
     return members.join(least, "class").select("row", "doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
-def keep_one(docs: DataFrame, words: int = 3) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each class stays, the one with the smallest doc_id (of equal ones the first row)."""
     named = docs.withColumn("agrolith_row", F.monotonically_increasing_id())
-    found = classes_of(docs, words)
+    found = classes_of(docs, words, percent)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id", "doc_id").agg(F.min("row").alias("agrolith_row"))
     return named.join(kept.select("agrolith_row"), "agrolith_row", "left_semi").drop("agrolith_row")
 
