@@ -81,18 +81,19 @@ def followers(ids: DataFrame) -> DataFrame:
 
 
 def with_edits(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, text's tree, the edited text, its tree, and the next document's tree."""
+    """doc_id, n_chars, text's tree, the edited text, its tree, and the next document's doc_id and tree."""
     checkpoint_dir(docs.sparkSession)
     text = F.coalesce(docs["text"], F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"))
     order = followers(rows.select("row", "doc_id", F.char_length("text").alias("n_chars")))
     own = rows.join(order, "row").withColumn("tree", tree(F.col("text")))
     # half of each text at most travels to the row that it follows, with the blocks and root of its tree
-    heads = own.select(F.col("follows").alias("row"), F.substr("text", F.lit(1), F.col("half")).alias("head"), F.struct("tree.root", "tree.blocks").alias("next_tree"))
+    # and its doc_id, with which both sides read the same exchange of the texts
+    heads = own.select(F.col("follows").alias("row"), F.col("doc_id").alias("next_id"), F.substr("text", F.lit(1), F.col("half")).alias("head"), F.struct("tree.root", "tree.blocks").alias("next_tree"))
     paired = own.select("row", "doc_id", "text", "tree").join(heads, "row")
     n = F.char_length("text")
     edited = F.concat(F.substr("text", F.lit(1), n - F.floor(n / 2).cast("int")), F.col("head"))
-    return paired.select("doc_id", n.cast("long").alias("n_chars"), "tree", edited.alias("edited"), tree(edited).alias("edited_tree"), "next_tree")
+    return paired.select("doc_id", n.cast("long").alias("n_chars"), "tree", edited.alias("edited"), tree(edited).alias("edited_tree"), "next_id", "next_tree")
 
 
 def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,4 +106,5 @@ def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("edited_tree.root").alias("edited_fingerprint"),
         likeness(F.col("tree"), F.col("edited_tree")).alias("near_edited"),
         likeness(F.col("tree"), F.col("next_tree")).alias("near_next"),
+        "next_id",
     )
