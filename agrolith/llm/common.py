@@ -45,3 +45,10 @@ def lower_az(text: Column) -> Column:
 def remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of doc_id as text, modulo modulus; a null doc_id counts as the empty string."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus)).cast("int")
+
+
+def stored(frame: DataFrame, purpose: str) -> DataFrame:
+    """The frame's rows as a table in the shared folder, read again: computed once, lineage cut, columns compressed."""
+    path = shared_dir(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)

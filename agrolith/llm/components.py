@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint_dir
+from .common import stored
 
 
 def large_star(links: DataFrame) -> DataFrame:
@@ -27,11 +27,10 @@ def small_star(links: DataFrame) -> DataFrame:
 def connected_components(links: DataFrame) -> DataFrame:
     """(node, component) of the nodes in links (a, b: numbers or strings); component is the smallest node reachable.
 
-    Rounds end when the links stay the same, which a checksum of all links tells. Lineage is cut by checkpoints in the
-    shared folder. A hub's links are joined with one row per node, which adaptive execution splits.
+    Rounds end when the links stay the same, which a checksum of all links tells. Lineage is cut by tables in the shared
+    folder. A hub's links are joined with one row per node, which adaptive execution splits.
     """
-    checkpoint_dir(links.sparkSession)
-    links = links.where("a <> b").select("a", "b").distinct().checkpoint()
+    links = stored(links.where("a <> b").select("a", "b").distinct(), "links")
 
     def checksum(frame: DataFrame) -> tuple:
         row = frame.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -39,7 +38,7 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     state = None
     while True:
-        links = small_star(large_star(links)).checkpoint()
+        links = stored(small_star(large_star(links)), "links")
         new = checksum(links)
         if new == state or new[0] == 0:
             break
@@ -58,7 +57,7 @@ def cross_pairs(lists: DataFrame, classes: DataFrame, nodes: DataFrame, own: lis
     tagged = lists.join(classes.withColumnRenamed("node", "a"), "a", "left").select("key", "a", F.coalesce("component", "a").alias("c"))
     sizes = tagged.groupBy("key", "c").agg(F.count(F.lit(1)).alias("size"))
     major = sizes.groupBy("key").agg(F.max(F.struct("size", "c")).alias("top"), F.count(F.lit(1)).alias("classes")).where("classes > 1").select("key", F.col("top.c").alias("major"))
-    open_lists = tagged.join(major, "key").join(nodes.select(F.col("node").alias("a"), *own), "a").checkpoint()
+    open_lists = stored(tagged.join(major, "key").join(nodes.select(F.col("node").alias("a"), *own), "a"), "lists")
     minor = open_lists.where("c <> major").select("key", *(F.col(x).alias(f"{x}_") for x in ("a", "c", *own)))
     pairs = open_lists.join(minor, "key").where((F.col("c") != F.col("c_")) & near(F.col, lambda name: F.col(f"{name}_")))
     return pairs.select(F.greatest("a", "a_").alias("a"), F.least("a", "a_").alias("b")).distinct()

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import checkpoint_dir, read
+from .common import read, stored
 from .components import connected_components, cross_pairs, rows_wanted
 from .recompression import K1, K2, NameCache, mix
 
@@ -198,7 +198,8 @@ def overlap_at_least(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 def verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose sets reach the similarity; only their documents' texts are read again."""
     wanted = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
-    sets = rows_wanted(rows, wanted).select(F.col("row").alias("node"), "text").mapInArrow(lambda batches: set_rows(batches, words), "node bigint, names binary").checkpoint()
+    sets = rows_wanted(rows, wanted).select(F.col("row").alias("node"), "text").mapInArrow(lambda batches: set_rows(batches, words), "node bigint, names binary")
+    sets = stored(sets, "sets")
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("names").alias("names_a")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("names").alias("names_b")), "b")
 
@@ -224,30 +225,29 @@ class Joined:
 
 def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Joined:
     spark = docs.sparkSession
-    checkpoint_dir(spark)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    described = rows.mapInArrow(lambda batches: describe(batches, words), DOC_SCHEMA).checkpoint()
+    described = stored(rows.mapInArrow(lambda batches: describe(batches, words), DOC_SCHEMA), "sets")
     added = described.where("slice is not null").select("slice", "counts").groupBy("slice").applyInArrow(add_slices, "slice int, counts binary").collect()
     counts = np.concatenate([np.frombuffer(bytes(x[1]), np.int64) for x in sorted(added, key=lambda x: x[0])]) if added else np.zeros(COUNTERS, np.int64)
     limit = boundary(counts, percent)
     table = spark.sparkContext.broadcast(counts)
 
     documents = described.where("slice is null").drop("slice", "counts")
-    nodes = documents.groupBy("s1", "s2").agg(F.min("row").alias("node"), F.min("n").alias("n"), *(F.min(f"b{i}").alias(f"b{i}") for i in range(4))).checkpoint()
+    nodes = stored(documents.groupBy("s1", "s2").agg(F.min("row").alias("node"), F.min("n").alias("n"), *(F.min(f"b{i}").alias(f"b{i}") for i in range(4))), "nodes")
 
     keys = docs.select(docs["text"].alias("text")).mapInArrow(lambda batches: keys_of(batches, words, percent, table.value, limit), KEY_SCHEMA)
     # one exchange: the rows of a list's part meet, and each subset key passes through under a place of its own
     place = F.when(F.col("kind") == LIST, F.xxhash64("key", "key2")).otherwise(F.xxhash64("key", "key2", "s1", "s2"))
     by_part = W.partitionBy("place", "kind", "key", "key2").orderBy("s1", "s2")
-    shared = (
+    shared = stored(
         keys.withColumn("place", place)
         .withColumn("l1", F.first("s1").over(by_part))
         .withColumn("l2", F.first("s2").over(by_part))
         .withColumn("before", F.lag("s1").over(by_part))
         .withColumn("after", F.lead("s1").over(by_part))
         .where((F.col("kind") == SUBSET) | (F.col("parts") > 1) | F.col("before").isNotNull() | F.col("after").isNotNull())
-        .select("kind", "key", "key2", "s1", "s2", "l1", "l2", "parts")
-        .checkpoint()
+        .select("kind", "key", "key2", "s1", "s2", "l1", "l2", "parts"),
+        "keys",
     )
     named = nodes.select("s1", "s2", "node")
     subsets = shared.where(F.col("kind") == SUBSET).select("key", "key2", "s1", "s2").distinct()
@@ -261,7 +261,8 @@ def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     heads = heads.withColumn("l1", F.first("s1").over(by_list)).withColumn("l2", F.first("s2").over(by_list))
     lists = lists.unionByName(heads).drop("parts")
     lists = lists.join(named.withColumnRenamed("node", "a"), ["s1", "s2"])
-    lists = lists.join(named.select(F.col("s1").alias("l1"), F.col("s2").alias("l2"), F.col("node").alias("b")), ["l1", "l2"]).select("key", "a", "b").checkpoint()
+    lists = lists.join(named.select(F.col("s1").alias("l1"), F.col("s2").alias("l2"), F.col("node").alias("b")), ["l1", "l2"])
+    lists = stored(lists.select("key", "a", "b"), "lists")
 
     def near(one, two):
         differ = sum((F.bit_count(one(f"b{i}").bitwiseXOR(two(f"b{i}"))) for i in range(4)), F.lit(0))
@@ -271,10 +272,11 @@ def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     own = ["n", "b0", "b1", "b2", "b3"]
     first = lists.where("a <> b").select("a", "b").distinct().join(nodes.select(F.col("node").alias("a"), *own), "a")
     first = first.join(nodes.select(F.col("node").alias("b"), *(F.col(x).alias(f"{x}_") for x in own)), "b")
-    first = first.where(near(F.col, lambda name: F.col(f"{name}_"))).select("a", "b").checkpoint()
-    links = small_links.unionByName(verified(first, rows, words, percent)).checkpoint()
-    rest = cross_pairs(lists.select("key", "a").distinct(), connected_components(links), nodes, own, near).checkpoint()
-    return Joined(documents.join(named, ["s1", "s2"]), links.unionByName(verified(rest, rows, words, percent)).checkpoint())
+    first = first.where(near(F.col, lambda name: F.col(f"{name}_"))).select("a", "b")
+    first = stored(first, "pairs")
+    links = stored(small_links.unionByName(verified(first, rows, words, percent)), "links")
+    rest = stored(cross_pairs(lists.select("key", "a").distinct(), connected_components(links), nodes, own, near), "pairs")
+    return Joined(documents.join(named, ["s1", "s2"]), stored(links.unionByName(verified(rest, rows, words, percent)), "links"))
 
 
 def set_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
