@@ -26,8 +26,11 @@ from .common import checkpoint_dir, read
 #: Domains by label, and the share of tokens that each is to have.
 DOMAINS = {"good": "quality = 1 AND toxic = 0", "rough": "quality = 0 AND toxic = 0", "toxic": "toxic = 1"}
 TARGETS = {"good": 0.90, "rough": 0.08, "toxic": 0.02}
-#: In the pipeline: tokens to keep of what each domain has.
-THINNED = {"good": 1.0, "rough": 0.5, "toxic": 0.1}
+#: In the pipeline, after the toxicity stage: tokens to keep of what each domain has. What is still labelled toxic there
+#: can hardly be told by a posterior, so no target is set against it.
+THINNED = {"good": 1.0, "rough": 0.5, "toxic": 1.0}
+#: Without repeats a document with at least this rate stays.
+WHOLE = 0.95
 PASSES, TOLERANCE = 30, 1e-6
 #: Words that the classifier may look for, found among at most WORD_ROWS labelled rows.
 TELLING_WORDS, WORD_ROWS = 16, 3000
@@ -151,9 +154,9 @@ def copies(rate: Column, *key: str) -> Column:
 
 
 def thin(docs: DataFrame, labels: DataFrame, wanted: dict[str, float] | None = None) -> DataFrame:
-    """The documents that a mixture without repeats keeps: rates of one and above keep, lower ones by chance."""
+    """The documents that a mixture without repeats keeps: rates from WHOLE on keep, lower ones by a hashed chance."""
     fitted, _ = rates(docs, labels, wanted or THINNED, relative=True)
-    kept = fitted.where(copies(F.col("rate") + 1e-3, "doc_id", "row") >= 1).select(F.col("row").alias("agrolith_row"))
+    kept = fitted.where((F.col("rate") >= WHOLE) | (copies(F.col("rate"), "doc_id", "row") >= 1)).select(F.col("row").alias("agrolith_row"))
     return docs.withColumn("agrolith_row", F.monotonically_increasing_id()).join(kept, "agrolith_row", "left_semi").drop("agrolith_row")
 
 
