@@ -12,7 +12,7 @@ the same rows by logistic regression. Closed-class words (targets, negations, ve
 
 Defined results: a null or empty text has the score of a text without matches; a null doc_id is passed on and counts
 as not held out unless the remainder of the empty string says so; rows repeat as they come in; empty tables give no
-rows, and without usable labels the lexicon is empty and every score equal; very long texts are read whole in linear
+rows, and without usable labels the lexicon is empty and every score next to 0; very long texts are read whole in linear
 time; other columns, clashing names included, are ignored.
 """
 
@@ -229,20 +229,23 @@ def learn_lexicon(texts: list[str], toxic: np.ndarray) -> tuple[dict[str, float]
     return words, prefixes
 
 
-def fit(texts: list[str], toxic: list[int], steps: int = 3000, rate: float = 1.0, ridge: float = 1e-3) -> Model:
+def fit(texts: list[str], toxic: list[int], steps: int = 50, ridge: float = 1e-3) -> Model:
+    if not texts:
+        return Model({}, {}, {}, -30.0, 0.0)
     labels = np.array(toxic, dtype=bool)
     words, prefixes = learn_lexicon(texts, labels) if labels.any() and (~labels).any() else ({}, {})
     blank = Model(words, prefixes, {}, 0.0, 0.0)
     x = np.array([blank.describe(text)[0] for text in texts]).reshape(len(texts), len(MATCHED) + 1)
-    y, n = labels.astype(float), max(len(texts), 1)
-    weights, bias = np.zeros(x.shape[1]), 0.0
-    for _ in range(steps):
-        error = 1 / (1 + np.exp(-(x @ weights + bias))) - y
-        step = rate * (error @ x / n + ridge * weights)
-        bias -= rate * error.sum() / n
-        weights -= step
-        if np.abs(step).max(initial=0.0) < 1e-6:
+    x = np.hstack([x, np.ones((len(x), 1))])
+    y, all_weights = labels.astype(float), np.zeros(x.shape[1])
+    penalty = np.diag([ridge * max(len(x), 1)] * (x.shape[1] - 1) + [1e-6])
+    for _ in range(steps):  # Newton
+        p = 1 / (1 + np.exp(-np.clip(x @ all_weights, -30, 30)))
+        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + penalty, x.T @ (p - y) + penalty @ all_weights)
+        all_weights -= step
+        if np.abs(step).max(initial=0.0) < 1e-8:
             break
+    weights, bias = all_weights[:-1], all_weights[-1]
     return Model(words, prefixes, {kind: float(w) for kind, w in zip(MATCHED, weights, strict=False)}, float(bias), float(weights[-1]))
 
 
