@@ -13,7 +13,7 @@ sets are joined by size:
 
 The boundary is the size up to which enumerating costs less than scanning lists of the measured mean length.
 
-A list is not turned into pairs. First each set meets the first set of each of its lists, screened by size and by a
+A list is not turned into pairs. First each set meets the first one of its lists' first sets, screened by size and by a
 256-bit parity signature, which bounds the difference from below; verified pairs give components. Then only the sets
 outside the largest component of a list meet the others of that list in other components, screened alike. Pairs within
 one component are never needed. All are verified on whole shingle sets.
@@ -196,19 +196,20 @@ def overlap_at_least(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose sets reach the similarity; only their documents' texts are read again."""
+    """The pairs (a, b) of nodes whose sets reach the similarity; only their documents' texts are read again, and
+    travel as texts, which compress better than sets."""
     wanted = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
-    sets = rows_wanted(rows, wanted).select(F.col("row").alias("node"), "text").mapInArrow(lambda batches: set_rows(batches, words), "node bigint, names binary")
-    sets = stored(sets, "sets")
-    left = pairs.join(sets.select(F.col("node").alias("a"), F.col("names").alias("names_a")), "a")
-    both = left.join(sets.select(F.col("node").alias("b"), F.col("names").alias("names_b")), "b")
+    texts = rows_wanted(rows, wanted).select(F.col("row").alias("node"), "text")
+    left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [overlap_at_least(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            one, two = (batch.column(at).cast(pa.binary()).to_pylist() for at in (2, 3))
+            good = [overlap_at_least(shingles(word_names(x), words), shingles(word_names(y), words), percent) for x, y in zip(one, two, strict=True)]
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
 
-    return both.select("a", "b", "names_a", "names_b").mapInArrow(check, "a bigint, b bigint")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
 
 
 def possible(n, m, percent: int):
@@ -272,19 +273,13 @@ def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     own = ["n", "b0", "b1", "b2", "b3"]
     first = lists.where("a <> b").select("a", "b").distinct().join(nodes.select(F.col("node").alias("a"), *own), "a")
     first = first.join(nodes.select(F.col("node").alias("b"), *(F.col(x).alias(f"{x}_") for x in own)), "b")
-    first = first.where(near(F.col, lambda name: F.col(f"{name}_"))).select("a", "b")
+    first = first.where(near(F.col, lambda name: F.col(f"{name}_"))).groupBy("a").agg(F.min("b").alias("b"))
     first = stored(first, "pairs")
     links = stored(small_links.unionByName(verified(first, rows, words, percent)), "links")
     rest = stored(cross_pairs(lists.select("key", "a").distinct(), connected_components(links), nodes, own, near), "pairs")
     return Joined(documents.join(named, ["s1", "s2"]), stored(links.unionByName(verified(rest, rows, words, percent)), "links"))
 
 
-def set_rows(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        names = [shingles(word_names(text), words).tobytes() for text in batch.column(1).cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.binary())], ["node", "names"])
-
-
 def classes_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """row, doc_id, n_shingles, component_id for every row of docs."""
     joined = similarity_join(docs, words, percent)
