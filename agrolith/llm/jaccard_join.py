@@ -13,8 +13,8 @@ sets are joined by size:
 
 The boundary is the size up to which enumerating costs less than scanning lists of the measured mean length.
 
-A list is not turned into pairs. First each set meets the first one of its lists' first sets, screened by size and by a
-256-bit parity signature, which bounds the difference from below; verified pairs give components. Then only the sets
+A list is not turned into pairs. First each set meets the first one of its lists' first sets, screened by size, by a
+256-bit parity signature and by a histogram, which bound the difference from below; verified pairs give components. Then only the sets
 outside the largest component of a list meet the others of that list in other components, screened alike. Pairs within
 one component are never needed. All are verified on whole shingle sets.
 
@@ -46,7 +46,7 @@ LIST_PART = 1000
 SLICES = 32
 WORDS, PERCENT = 3, 90
 NAME_OF = NameCache()
-DOC_SCHEMA = "row bigint, doc_id bigint, n bigint, s1 bigint, s2 bigint, b0 bigint, b1 bigint, b2 bigint, b3 bigint, slice int, counts binary"
+DOC_SCHEMA = "row bigint, doc_id bigint, n bigint, s1 bigint, s2 bigint, b0 bigint, b1 bigint, b2 bigint, b3 bigint, hist binary, slice int, counts binary"
 
 
 def word_names(text: bytes | None) -> np.ndarray:
@@ -93,6 +93,12 @@ def parity(names: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
+def histogram(names: np.ndarray) -> bytes:
+    """Counts by 256 buckets, at most 255 each: two sets differ in at least as many shingles as their counts do."""
+    counts = np.bincount(((names >> np.uint64(8)) & np.uint64(255)).astype(np.int64), minlength=256)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def needed(n: int, percent: int) -> int:
     """The least overlap of a set of n with a partner."""
     return (percent * n + 99) // 100
@@ -111,19 +117,21 @@ def describe(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Recor
     names = [part.split()[0] for part in DOC_SCHEMA.split(", ")]
     for batch in batches:
         rows: list[list] = [[] for _ in range(7)]
+        hists: list[bytes] = []
         for text in batch.column(2).cast(pa.binary()).to_pylist():
             names_of = word_names(text)
             own = shingles(names_of, words)
             first, second = set_value(own)
             bits = parity(own)
+            hists.append(histogram(own))
             np.add.at(counts, (names_of % np.uint64(COUNTERS)).astype(np.int64), 1)
             for column, value in zip(rows, [len(own), signed(first.sum(dtype=np.uint64)), signed(second.sum(dtype=np.uint64)), *bits.tolist()], strict=True):
                 column.append(value)
         n = batch.num_rows
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in rows), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in rows), pa.array(hists, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
     parts = np.array_split(counts.astype("<u4"), SLICES)
     none = [pa.nulls(SLICES, pa.int64())] * 9
-    yield pa.RecordBatch.from_arrays([*none, pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names)
+    yield pa.RecordBatch.from_arrays([*none, pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names)
 
 
 def add_slices(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,6 +220,21 @@ def verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> Dat
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
 
 
+def sifted(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the histograms of their sets allow, which tells long sets apart."""
+    both = pairs.join(nodes.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("hist").alias("h_a")), "a")
+    both = both.join(nodes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("hist").alias("h_b")), "b")
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(at).to_pylist()), np.uint8).reshape(-1, 256).astype(np.int16) for at in (2, 3))
+            differ = np.abs(one - two).sum(axis=1)
+            least = np.minimum(batch.column(4).to_numpy(), batch.column(5).to_numpy())
+            yield batch.select([0, 1]).filter(pa.array(differ * percent <= least * (100 - percent), pa.bool_()))
+
+    return both.select("a", "b", "h_a", "h_b", "n_a", "n_b").mapInArrow(sift, "a bigint, b bigint")
+
+
 def possible(n, m, percent: int):
     """The larger set cannot hold the smaller one often enough otherwise."""
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
@@ -234,7 +257,7 @@ def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     table = spark.sparkContext.broadcast(counts)
 
     documents = described.where("slice is null").drop("slice", "counts")
-    nodes = stored(documents.groupBy("s1", "s2").agg(F.min("row").alias("node"), F.min("n").alias("n"), *(F.min(f"b{i}").alias(f"b{i}") for i in range(4))), "nodes")
+    nodes = stored(documents.groupBy("s1", "s2").agg(F.min("row").alias("node"), F.min("n").alias("n"), F.min("hist").alias("hist"), *(F.min(f"b{i}").alias(f"b{i}") for i in range(4))), "nodes")
 
     keys = docs.select(docs["text"].alias("text")).mapInArrow(lambda batches: keys_of(batches, words, percent, table.value, limit), KEY_SCHEMA)
     # one exchange: the rows of a list's part meet, and each subset key passes through under a place of its own
@@ -273,10 +296,11 @@ def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     own = ["n", "b0", "b1", "b2", "b3"]
     first = lists.where("a <> b").select("a", "b").distinct().join(nodes.select(F.col("node").alias("a"), *own), "a")
     first = first.join(nodes.select(F.col("node").alias("b"), *(F.col(x).alias(f"{x}_") for x in own)), "b")
-    first = first.where(near(F.col, lambda name: F.col(f"{name}_"))).groupBy("a").agg(F.min("b").alias("b"))
-    first = stored(first, "pairs")
+    first = sifted(first.where(near(F.col, lambda name: F.col(f"{name}_"))).select("a", "b"), nodes, percent)
+    first = stored(first.groupBy("a").agg(F.min("b").alias("b")), "pairs")
     links = stored(small_links.unionByName(verified(first, rows, words, percent)), "links")
-    rest = stored(cross_pairs(lists.select("key", "a").distinct(), connected_components(links), nodes, own, near), "pairs")
+    rest = cross_pairs(lists.select("key", "a").distinct(), connected_components(links), nodes, own, near)
+    rest = stored(sifted(rest, nodes, percent), "pairs")
     return Joined(documents.join(named, ["s1", "s2"]), stored(links.unionByName(verified(rest, rows, words, percent)), "links"))
 
 
