@@ -2,5 +2,29 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    """Registers a query, with its SQL where SQL can express it."""
+
+    def register(function: Query) -> Query:
+        QUERIES[name] = function
+        if sql is not None:
+            ORACLES[name] = sql
+        return function
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+from . import analytics, relational  # noqa: E402, F401  they register their queries
