@@ -98,8 +98,8 @@ def avoided_loss_sampled(spark: SparkSession, cv: float, reduction: float, runs:
     base = spark.range(runs * draws).select((F.col("id") % runs).alias("run"), (1 + cv * F.randn(seed)).alias("x"), (1 + cv * (1 - reduction) * F.randn(seed + 1)).alias("y"))
     medians = base.groupBy("run").agg(F.percentile_approx("x", 0.5, 10000).alias("mx"), F.percentile_approx("y", 0.5, 10000).alias("my"))
     low = base.join(F.broadcast(medians), "run")  # one row a run
-    sums = low.groupBy("run").agg(F.sum(F.when(F.col("x") <= F.col("mx"), F.col("x"))).alias("a"), F.sum(F.when(F.col("y") <= F.col("my"), F.col("y"))).alias("b"))
-    return sums.select("run", F.greatest(F.lit(0.0), (F.col("b") - F.col("a")) / F.abs("a")).alias("avoided"))
+    sums = low.groupBy("run").agg(F.sum(F.when(F.col("x") <= F.col("mx"), F.col("x"))).alias("a"), F.sum(F.when(F.col("y") <= F.col("my"), F.col("y"))).alias("b"), F.sum("x").alias("all"))
+    return sums.select("run", F.greatest(F.lit(0.0), (F.col("b") - F.col("a")) / F.col("all")).alias("avoided"))
 
 
 def triangular(u: Column, low: float, mode: float, high: float) -> Column:

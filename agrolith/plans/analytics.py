@@ -196,9 +196,9 @@ def upper_median(spark, sf_dir):
     return table(spark, sf_dir, "customer").groupBy("c_nationkey").agg(A.upper_median("c_acctbal").alias("median"))
 
 
-@query("detrended", NATION_YEARS + ", f AS (SELECT nation, regr_slope(total, year) AS s, regr_intercept(total, year) AS i FROM y GROUP BY 1) SELECT y.nation, year, round(s, 1) AS trend_slope, round(total - (i + s * year), 1) AS anomaly FROM y JOIN f USING (nation)")
+@query("detrended", NATION_YEARS + ", f AS (SELECT nation, regr_slope(total, year) AS s, regr_intercept(total, year) AS i FROM y GROUP BY 1) SELECT y.nation, year, round(s / 1e6, 4) AS trend_slope, round((total - (i + s * year)) / 1e6, 4) AS anomaly FROM y JOIN f USING (nation)")
 def detrended(spark, sf_dir):
-    return A.detrended(nation_years(spark, sf_dir), ["nation"], "year", "total").select("nation", "year", F.round("trend_slope", 1).alias("trend_slope"), F.round("anomaly", 1).alias("anomaly"))
+    return A.detrended(nation_years(spark, sf_dir), ["nation"], "year", "total").select("nation", "year", F.round(F.col("trend_slope") / 1e6, 4).alias("trend_slope"), F.round(F.col("anomaly") / 1e6, 4).alias("anomaly"))
 
 
 # seasons

@@ -160,14 +160,14 @@ def many_to_one(spark, sf_dir):
     return relational.many_to_one(table(spark, sf_dir, "supplier"), nations, "s_nationkey").select("s_suppkey", "s_name", "n_name")
 
 
-@query("star_lookup", "SELECT r_name, p_brand, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey JOIN part ON l_partkey = p_partkey GROUP BY r_name, p_brand")
+@query("star_lookup", "SELECT r_name, p_brand, CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))) AS DOUBLE) AS revenue, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey JOIN part ON l_partkey = p_partkey GROUP BY r_name, p_brand")
 def star_lookup(spark, sf_dir):
     t = lambda name: table(spark, sf_dir, name)
     places = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
     customers = t("customer").join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "r_name")  # one row a nation
     orders = t("orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "r_name")
     lines = t("lineitem").join(t("part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return lines.groupBy("r_name", "p_brand").agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"), F.count(F.lit(1)).alias("n"))
+    return lines.groupBy("r_name", "p_brand").agg(F.sum((F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")).cast("double").alias("revenue"), F.count(F.lit(1)).alias("n"))
 
 
 TOKENS = [("NATION_1",), ("nation two",), ("East",), ("Old Name",), ("no such place",)]
