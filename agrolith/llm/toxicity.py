@@ -34,6 +34,8 @@ SAMPLE_LABELS = 12_000
 HELD_OUT = (4, 2)
 THRESHOLD = 0.3
 LEXICON = 256
+#: Words whose patterns are kept at hand while the lexicon is learnt.
+MEMO_WORDS = 50_000
 PREFIXES = range(3, 9)
 #: A pattern enters the lexicon for at least this log-likelihood ratio.
 LEAST_GAIN = 12.0
@@ -171,28 +173,27 @@ class Model:
 
 def learn_lexicon(texts: list[str], toxic: np.ndarray) -> tuple[dict[str, float], dict[str, float]]:
     """Words ("=word") and beginnings ("word") picked one by one: each time the one that tells the most about the toxic
-    texts not covered so far. One text of those that begin alike counts, so copies don't speak for their words. Then the words that clean texts all but lack,
-    since a text may hold one of them alone."""
+    texts not covered so far. One text of those that begin alike counts, so copies don't speak for their words. Then the
+    words that clean texts all but lack, since a text may hold one of them alone."""
     first: dict[tuple, int] = {}
     for at, text in enumerate(texts):
         first.setdefault((bool(toxic[at]), *text.lower().split(None, 6)[:6]), at)
     texts, toxic = [texts[at] for at in first.values()], toxic[[*first.values()]]
-    keys_of: dict[str, list[str]] = {}
 
     def keys(word: str) -> list[str]:
-        found = keys_of.get(word)
-        if found is None:
-            found = keys_of[word] = [f"={word}", *(word[:n] for n in PREFIXES if n < len(word) or n == len(word))]
-        return found
-
-    def keyset(text: str) -> set[str]:
-        return {key for word in set(WORD.findall(text.lower())) for key in keys(word)}
+        return [f"={word}", *(word[:n] for n in PREFIXES if n <= len(word))]
 
     support: dict[str, list[int]] = defaultdict(list)
     positives = np.flatnonzero(toxic)
+    # most patterns are rare: a first pass counts hashed patterns, so that the second one stores few of those
+    counted, mask = np.zeros(1 << 20, np.int32), (1 << 20) - 1
+    for at in positives:
+        own_keys = {key for word in set(WORD.findall(texts[at].lower())) for key in keys(word)}
+        counted[np.unique(np.array([hash(key) & mask for key in own_keys], np.int64))] += 1
     for at in positives:
-        for key in keyset(texts[at]):
-            support[key].append(int(at))
+        for key in {key for word in set(WORD.findall(texts[at].lower())) for key in keys(word)}:
+            if counted[hash(key) & mask] >= 4:
+                support[key].append(int(at))
     support = {key: rows for key, rows in support.items() if len(rows) >= 4}
     against: Counter = Counter()
     clean = np.flatnonzero(~toxic)
@@ -202,6 +203,8 @@ def learn_lexicon(texts: list[str], toxic: np.ndarray) -> tuple[dict[str, float]
         for word in set(WORD.findall(texts[at].lower())):
             hit = wanted.get(word)
             if hit is None:
+                if len(wanted) >= MEMO_WORDS:
+                    wanted.clear()
                 hit = wanted[word] = [key for key in keys(word) if key in support]
             own.update(hit)
         against.update(own)
