@@ -52,3 +52,15 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(frame.sparkSession, purpose)
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def steady(docs: DataFrame) -> DataFrame:
+    """docs if it is a scan of files with projections and filters, whose row numbers are the same in every plan; any
+    other frame is written to the shared folder first, since its rows may come in another order each time."""
+    nodes, names = [docs._jdf.queryExecution().optimizedPlan()], set()
+    while nodes:
+        node = nodes.pop()
+        names.add(node.nodeName().split(" ")[0])
+        children = node.children()
+        nodes += [children.apply(at) for at in range(children.size())]
+    return docs if names <= {"Project", "Filter", "LogicalRelation", "Relation"} else stored(docs, "input")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .common import checkpoint_dir, lower_az, read, shared_dir
+from .common import checkpoint_dir, lower_az, read, shared_dir, steady
 
 LOG_SCHEMA = "_doc bigint, _file bigint, _row bigint, _digest binary"
 STATE_SETTINGS = {
@@ -37,7 +37,7 @@ def normalised(docs: DataFrame):
 def located(docs: DataFrame) -> DataFrame:
     """_doc, _text and the locator (_file, _row): hash of the file's path and row number in the file.
 
-    A frame that is not a plain file scan gets Spark's row number instead, which a deterministic plan reproduces.
+    A frame without files behind it gets Spark's row number instead; deduplicate() writes such a frame to files first.
     """
     try:
         file, row = F.xxhash64(docs["_metadata.file_path"]), docs["_metadata.row_index"]
@@ -93,7 +93,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     The texts of hits (groups of two or more) alone are read again and compared. Joins are on the digest with the
     long side unaggregated, which adaptive execution splits where one text is held by many rows.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, steady(docs)
     checkpoint_dir(spark)
     log_dir, state_dir = shared_dir(spark, "dedup-log"), shared_dir(spark, "dedup-state")
     append_log(docs, log_dir)
@@ -125,6 +125,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """The documents that stay, with their columns as they were."""
+    docs = steady(docs)
     decided = deduplicate(docs).where("kept").select("locator_file", "locator_row")
     try:
         file, row = F.xxhash64(docs["_metadata.file_path"]), docs["_metadata.row_index"]

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import read, stored
+from .common import read, steady, stored
 from .components import connected_components, cross_pairs, rows_wanted
 from .recompression import K1, K2, NameCache, mix
 
@@ -248,7 +248,7 @@ class Joined:
 
 
 def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Joined:
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, steady(docs)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     described = stored(rows.mapInArrow(lambda batches: describe(batches, words), DOC_SCHEMA), "sets")
     added = described.where("slice is not null").select("slice", "counts").groupBy("slice").applyInArrow(add_slices, "slice int, counts binary").collect()
@@ -315,6 +315,7 @@ def classes_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each class stays, the one with the smallest doc_id (of equal ones the first row)."""
+    docs = steady(docs)
     named = docs.withColumn("agrolith_row", F.monotonically_increasing_id())
     found = classes_of(docs, words, percent)
     kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id", "doc_id").agg(F.min("row").alias("agrolith_row"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import checkpoint_dir, read
+from .common import checkpoint_dir, read, steady
 
 BLOCK = 64
 SECTION = 8
@@ -83,6 +83,7 @@ def followers(ids: DataFrame) -> DataFrame:
 def with_edits(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, text's tree, the edited text, its tree, and the next document's doc_id and tree."""
     checkpoint_dir(docs.sparkSession)
+    docs = steady(docs)
     text = F.coalesce(docs["text"], F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"))
     order = followers(rows.select("row", "doc_id", F.char_length("text").alias("n_chars")))

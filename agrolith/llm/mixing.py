@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint_dir, read
+from .common import checkpoint_dir, read, steady
 
 #: Domains by label, and the share of tokens that each is to have.
 DOMAINS = {"good": "quality = 1 AND toxic = 0", "rough": "quality = 0 AND toxic = 0", "toxic": "toxic = 1"}
@@ -155,6 +155,7 @@ def copies(rate: Column, *key: str) -> Column:
 
 def thin(docs: DataFrame, labels: DataFrame, wanted: dict[str, float] | None = None) -> DataFrame:
     """The documents that a mixture without repeats keeps: rates from WHOLE on keep, lower ones by a hashed chance."""
+    docs = steady(docs)
     fitted, _ = rates(docs, labels, wanted or THINNED, relative=True)
     kept = fitted.where((F.col("rate") >= WHOLE) | (copies(F.col("rate"), "doc_id", "row") >= 1)).select(F.col("row").alias("agrolith_row"))
     return docs.withColumn("agrolith_row", F.monotonically_increasing_id()).join(kept, "agrolith_row", "left_semi").drop("agrolith_row")

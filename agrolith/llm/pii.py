@@ -236,7 +236,7 @@ class Field:
 def fit(texts: list[str], steps: int = 150, rate: float = 0.5, ridge: float = 1e-3) -> Field:
     """Emission weights by maximum entropy on tokens labelled by base spans, chain weights by smoothed pair counts,
     and the skip strength by how often tied tokens agree."""
-    rows, labels, pairs, agree, ties = [], [], np.ones((len(LABELS), len(LABELS))), 1.0, 2.0
+    rows, labels, pairs, agree, ties = [], [], np.ones((len(LABELS), len(LABELS))), 9.0, 10.0
     for text in texts:
         tokens = Tokens(text, base_spans(text))
         for word, label in zip(tokens.words, tokens.clamped, strict=True):

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read
+from .common import read, steady
 
 WINDOW = 35
 ROUNDS = 2
@@ -341,7 +341,7 @@ def with_rows(docs: DataFrame) -> DataFrame:
 def repeated_windows(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows of docs (row, text, doc_id), and by row the starts of its windows that occur twice or more."""
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = with_rows(docs)
+    rows = with_rows(steady(docs))
     picks = repeated(rows.select("row", "text").mapInArrow(lambda b: share_picks(b, parts), SENT), PICK)
     # doc_id comes along so that this join and the last one read the same exchange of the texts
     doubted = rows.join(picks, "row", "left").select("row", "text", "places", "doc_id").where(F.col("places").isNotNull())
