@@ -189,6 +189,17 @@ def test_crowded_keys(spark, monkeypatch):
     test_fuzzy_lines(spark)
 
 
+def test_simhash_votes():
+    rng = np.random.default_rng(9)
+    lines = [[b"w%d" % i for i in rng.choice(5000, n, replace=False)] for n in [*rng.integers(1, 200, 40), 1, 2, 200, 201, 700]]
+    got = fuzzy_lines.simhashes(lines)
+    for line, sim in zip(lines, got, strict=True):
+        names, pairs, _ = fuzzy_lines.names_of([line])
+        for bit in range(64):
+            votes = sum(3 * (int(n) >> bit & 1) for n in names) + sum(int(n) >> bit & 1 for n in pairs[:-1])
+            assert (int(sim) >> bit & 1) == (2 * votes > 4 * len(line) - 1)
+
+
 def test_edit_distance():
     rng = np.random.default_rng(6)
 
