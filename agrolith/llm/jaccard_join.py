@@ -13,10 +13,10 @@ sets are joined by size:
 
 The boundary is the size up to which enumerating costs less than scanning lists of the measured mean length.
 
-A list is not turned into pairs. First each set meets the first one of its lists' first sets, screened by size, by a
-256-bit parity signature and by a histogram, which bound the difference from below; verified pairs give components. Then only the sets
-outside the largest component of a list meet the others of that list in other components, screened alike. Pairs within
-one component are never needed. All are verified on whole shingle sets.
+A list is not turned into pairs. First each set meets the one that most of its lists begin with, screened by size, by a
+256-bit parity signature and by a histogram, which bound the difference from below; verified pairs give components.
+Then only the sets outside the largest component of a list meet the others of that list in other components, screened
+alike. Pairs within one component are never needed. All are verified on whole shingle sets.
 
 Defined results: null texts and texts without words have an empty set, no links, and themselves as component; texts
 with fewer words than the shingle length have the whole sequence as one shingle; rows with a null doc_id take part and
@@ -294,10 +294,12 @@ def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         return (differ * percent <= F.least(one("n"), two("n")) * (100 - percent)) & possible(one("n"), two("n"), percent)
 
     own = ["n", "b0", "b1", "b2", "b3"]
-    first = lists.where("a <> b").select("a", "b").distinct().join(nodes.select(F.col("node").alias("a"), *own), "a")
-    first = first.join(nodes.select(F.col("node").alias("b"), *(F.col(x).alias(f"{x}_") for x in own)), "b")
-    first = sifted(first.where(near(F.col, lambda name: F.col(f"{name}_"))).select("a", "b"), nodes, percent)
-    first = stored(first.groupBy("a").agg(F.min("b").alias("b")), "pairs")
+    votes = lists.where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes"))
+    best = votes.groupBy("a").agg(F.max(F.struct("votes", (-F.col("b")).alias("b"))).alias("best")).select("a", (-F.col("best.b")).alias("b"))
+    best = best.join(nodes.select(F.col("node").alias("a"), *own), "a")
+    best = best.join(nodes.select(F.col("node").alias("b"), *(F.col(x).alias(f"{x}_") for x in own)), "b")
+    best = best.where(near(F.col, lambda name: F.col(f"{name}_"))).select("a", "b")
+    first = stored(sifted(best, nodes, percent), "pairs")
     links = stored(small_links.unionByName(verified(first, rows, words, percent)), "links")
     rest = cross_pairs(lists.select("key", "a").distinct(), connected_components(links), nodes, own, near)
     rest = stored(sifted(rest, nodes, percent), "pairs")
