@@ -326,3 +326,16 @@ def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> Dat
 
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes_of(read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, shingle FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS shingle FROM d)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+sized AS (SELECT s.doc_id, shingle, n FROM s JOIN n USING (doc_id)),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny, count(*) AS common FROM sized a JOIN sized b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) GROUP BY ALL),
+link AS (SELECT x, y FROM p WHERE 100 * common >= 90 * (nx + ny - common)),
+reach AS (SELECT doc_id, doc_id AS other FROM d UNION SELECT reach.doc_id, y FROM reach JOIN link ON other = x)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(reach.other) AS component_id FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.doc_id = d.doc_id GROUP BY d.doc_id
+"""

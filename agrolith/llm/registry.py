@@ -16,4 +16,9 @@ QUERIES = {
     "op9_fuzzy_lines": fuzzy_lines.op9_fuzzy_lines,
     "op10_jaccard": jaccard_join.op10_jaccard,
 }
-ORACLES = {"op6_exact_dedup": exact_dedup.SQL}
+#: Model scores, fits, fingerprints and vocabularies have no SQL form; those queries are tested by brute force.
+ORACLES = {
+    "op6_exact_dedup": exact_dedup.SQL,
+    "op8_recompression": recompression.SQL,
+    "op10_jaccard": jaccard_join.SQL,
+}

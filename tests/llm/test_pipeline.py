@@ -1,9 +1,10 @@
 """The pipeline against a plain version of its stages, and its SQL-checked query."""
 
 import duckdb
+import pytest
 
 import corpus_pipeline
-from agrolith.llm import exact_dedup, toxicity
+from agrolith.llm import registry, toxicity
 from agrolith.llm.common import read
 
 SF = "/root/testdata/sf0.001"
@@ -40,9 +41,10 @@ def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
 
 
-def test_exact_dedup_sql(spark):
+@pytest.mark.parametrize("name", registry.ORACLES)
+def test_sql(spark, name):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
-    got = exact_dedup.op6_exact_dedup(spark, SF).toPandas().sort_values("doc_id").reset_index(drop=True)
-    expected = con.sql(exact_dedup.SQL).df().sort_values("doc_id").reset_index(drop=True)
+    got = registry.QUERIES[name](spark, SF).toPandas().sort_values("doc_id").reset_index(drop=True)
+    expected = con.sql(registry.ORACLES[name]).df().sort_values("doc_id").reset_index(drop=True)
     assert got[expected.columns.tolist()].equals(expected)
