@@ -64,9 +64,9 @@ def cross_pairs(lists: DataFrame, classes: DataFrame, nodes: DataFrame, own: lis
 BUCKETS = 1 << 18
 
 
-def rows_wanted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """rows (with a column row) joined with wanted by row. Rows that certainly aren't wanted are left out before the
-    exchange, by a table of hashed rows with BUCKETS entries at most, which bounds what is broadcast."""
-    bucket = F.pmod(F.xxhash64("row"), F.lit(BUCKETS))
+def rows_wanted(rows: DataFrame, wanted: DataFrame, keys: tuple[str, ...] = ("row",)) -> DataFrame:
+    """rows joined with wanted by keys. Rows that certainly aren't wanted are left out before the exchange, by a table
+    of hashed keys with BUCKETS entries at most, which bounds what is broadcast."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
     present = wanted.select(bucket.alias("bucket")).distinct()
-    return rows.join(F.broadcast(present), bucket == F.col("bucket"), "left_semi").join(wanted, "row")
+    return rows.join(F.broadcast(present), bucket == F.col("bucket"), "left_semi").join(wanted, list(keys))

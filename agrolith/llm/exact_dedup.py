@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from .common import checkpoint_dir, lower_az, read, shared_dir, steady
+from .components import rows_wanted
 
 LOG_SCHEMA = "_doc bigint, _file bigint, _row bigint, _digest binary"
 STATE_SETTINGS = {
@@ -104,7 +105,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
 
     hits = joined.where("_size > 1")
     texts = located(docs).select("_file", "_row", "_text")
-    hit_texts = hits.join(texts, ["_file", "_row"])
+    hit_texts = rows_wanted(texts, hits, ("_file", "_row"))
     keepers = hit_texts.where("_kept").select(F.col("_digest").alias("_digest_k"), F.col("_text").alias("_stored"))
     checked = hit_texts.join(keepers, F.col("_digest") == F.col("_digest_k"))
     same = F.when(F.col("_text") == F.col("_stored"), F.col("_keep._doc")).otherwise(F.raise_error(F.lit("two texts share a digest")).cast("long"))
