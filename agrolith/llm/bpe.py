@@ -257,6 +257,12 @@ class WordCache(dict):
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary, self.old = vocabulary, {}
 
+    def forget(self) -> None:
+        """At a partition's end, so that workers don't carry caches into other stages."""
+        self.clear()
+        self.old = {}
+        self.vocabulary.pieces.clear()
+
     def __missing__(self, word: bytes) -> tuple[bytes, bytes]:
         found = self.old.get(word)
         if found is None:
@@ -308,6 +314,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, digests: bool = F
                     second.append(decoded.decode())
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())] if digests else [batch.column(0), pa.array(first, pa.list_(pa.int32())), pa.array(second, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in (SCHEMA if digests else FULL_SCHEMA).split(", ")])
+        cache.forget()
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     return rows.mapInArrow(run, SCHEMA if digests else FULL_SCHEMA)

@@ -47,7 +47,7 @@ END = b" "
 TOKENS_AT_ONCE = 600_000
 HELD_TOKENS = 5_000_000
 COUNT_AT_ONCE = 1_500_000
-CACHE = 300_000
+CACHE = 200_000
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:

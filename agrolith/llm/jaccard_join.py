@@ -118,7 +118,8 @@ def describe(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Recor
     for batch in batches:
         rows: list[list] = [[] for _ in range(7)]
         hists: list[bytes] = []
-        for text in batch.column(2).cast(pa.binary()).to_pylist():
+        for value in batch.column(2).cast(pa.binary()):
+            text = value.as_py()
             names_of = word_names(text)
             own = shingles(names_of, words)
             first, second = set_value(own)
@@ -129,6 +130,7 @@ def describe(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Recor
                 column.append(value)
         n = batch.num_rows
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in rows), pa.array(hists, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+    NAME_OF.clear()  # workers don't carry caches into other stages
     parts = np.array_split(counts.astype("<u4"), SLICES)
     none = [pa.nulls(SLICES, pa.int64())] * 9
     yield pa.RecordBatch.from_arrays([*none, pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names)
@@ -167,14 +169,23 @@ def keys_of(batches: Iterator[pa.RecordBatch], words: int, percent: int, counts:
     names = [part.split()[0] for part in KEY_SCHEMA.split(", ")]
     seen: set[tuple[int, int]] = set()
     common, least = 4 * counts.mean(), small_sizes(percent).start
-    for batch in batches:
-        columns: list[list[np.ndarray]] = [[] for _ in names]
+    columns: list[list[np.ndarray]] = [[] for _ in names]
+    held = 0
 
-        def put(*values: np.ndarray, to: list[list[np.ndarray]] = columns) -> None:
-            for column, value in zip(to, values, strict=True):
-                column.append(value)
+    def put(*values: np.ndarray) -> int:
+        for column, value in zip(columns, values, strict=True):
+            column.append(value)
+        return len(values[0])
 
-        for text in batch.column(0).cast(pa.binary()).to_pylist():
+    def out() -> pa.RecordBatch:
+        kind, *longs, parts = (np.concatenate(column) for column in columns)
+        for column in columns:
+            column.clear()
+        return pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), *(pa.array(x.view(np.int64)) for x in longs), pa.array(parts.astype(np.int32))], names)
+
+    for batch in batches:
+        for value in batch.column(0).cast(pa.binary()):
+            text = value.as_py()
             own, expected, rarest = shingles(word_names(text), words, counts)
             n = len(own)
             if n < least:  # linked with equal sets only
@@ -183,19 +194,22 @@ def keys_of(batches: Iterator[pa.RecordBatch], words: int, percent: int, counts:
             s1, s2 = a.sum(dtype=np.uint64), b.sum(dtype=np.uint64)
             if (int(s1), int(s2)) in seen:
                 continue
-            if len(seen) > 200_000:
+            if len(seen) > 100_000:
                 seen.clear()
             seen.add((int(s1), int(s2)))
             if least < n <= limit + 1:
-                put(np.full(n, SUBSET), s1 - a, s2 - b, np.full(n, s1), np.full(n, s2), np.ones(n, np.int64))
+                held += put(np.full(n, SUBSET), s1 - a, s2 - b, np.full(n, s1), np.full(n, s2), np.ones(n, np.int64))
             if n > limit:
                 order = np.lexsort((own, expected))[: n - needed(n, percent) + 1]
                 rare, parts = own[order], 1 + np.maximum(rarest[order] - common, 0).astype(np.int64) // LIST_PART
                 k = len(rare)
-                put(np.full(k, LIST), rare, s1 % parts.astype(np.uint64), np.full(k, s1), np.full(k, s2), parts)
-        if columns[0]:
-            kind, *longs, parts = (np.concatenate(column) for column in columns)
-            yield pa.RecordBatch.from_arrays([pa.array(kind.astype(np.int32)), *(pa.array(x.view(np.int64)) for x in longs), pa.array(parts.astype(np.int32))], names)
+                held += put(np.full(k, LIST), rare, s1 % parts.astype(np.uint64), np.full(k, s1), np.full(k, s2), parts)
+            if held >= 200_000:
+                yield out()
+                held = 0
+    if held:
+        yield out()
+    NAME_OF.clear()
 
 
 def overlap_at_least(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -213,9 +227,10 @@ def verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> Dat
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, two = (batch.column(at).cast(pa.binary()).to_pylist() for at in (2, 3))
-            good = [overlap_at_least(shingles(word_names(x), words), shingles(word_names(y), words), percent) for x, y in zip(one, two, strict=True)]
+            one, two = (batch.column(at).cast(pa.binary()) for at in (2, 3))
+            good = [overlap_at_least(shingles(word_names(x.as_py()), words), shingles(word_names(y.as_py()), words), percent) for x, y in zip(one, two, strict=True)]
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
+        NAME_OF.clear()
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
 

@@ -36,7 +36,7 @@ ROUNDS = 2
 #: Words that an eligible symbol's borders may depend on before it, and words from its start on.
 BEFORE, GRAM = 6, 16
 FAR = 1 << 30
-CACHE = 300_000
+CACHE = 200_000
 #: Words that a block decides on together.
 BLOCK_WORDS = 1_500_000
 K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -281,6 +281,7 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list
                 rows, texts, places, size = [], [], [], 0
     if rows:
         yield rows, texts, places
+    NAME_OF.clear()  # workers don't carry caches into other stages
 
 
 #: The place of a document that has a window without a pick.
