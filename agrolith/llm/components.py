@@ -45,7 +45,7 @@ def connected_components(links: DataFrame) -> DataFrame:
 
 
 def cross_pairs(lists: DataFrame, classes: DataFrame, nodes: DataFrame, own: list[str], near) -> DataFrame:
-    """Pairs (a > b) of one list whose nodes are in different components and are near.
+    """Pairs (a, b) of one list whose nodes are in different components and are near, a outside the list's largest one.
 
     lists: (key, a). In each list only the nodes outside its largest component meet the rest, so a list whose nodes
     are already connected gives nothing, however long it is. nodes: (node, *own), joined to what is left; near takes
@@ -58,7 +58,8 @@ def cross_pairs(lists: DataFrame, classes: DataFrame, nodes: DataFrame, own: lis
     open_lists = stored(tagged.join(major, "key").join(nodes.select(F.col("node").alias("a"), *own), "a"), "lists")
     minor = open_lists.where("c <> major").select("key", *(F.col(x).alias(f"{x}_") for x in ("a", "c", *own)))
     pairs = open_lists.join(minor, "key").where((F.col("c") != F.col("c_")) & near(F.col, lambda name: F.col(f"{name}_")))
-    return pairs.select(F.greatest("a", "a_").alias("a"), F.least("a", "a_").alias("b")).distinct()
+    once = (F.col("c") == F.col("major")) | (F.col("a_") > F.col("a"))
+    return pairs.where(once).select(F.col("a_").alias("a"), F.col("a").alias("b")).distinct()
 
 
 BUCKETS = 1 << 18

@@ -16,7 +16,8 @@ The boundary is the size up to which enumerating costs less than scanning lists
 A list is not turned into pairs. First each set meets the one that most of its lists begin with, screened by size, by a
 256-bit parity signature and by a histogram, which bound the difference from below; verified pairs give components.
 Then only the sets outside the largest component of a list meet the others of that list in other components, screened
-alike. Pairs within one component are never needed. All are verified on whole shingle sets.
+alike; where these are many, each set tries one at a time and components grow between. Pairs within one component are
+never needed. All are verified on whole shingle sets.
 
 Defined results: null texts and texts without words have an empty set, no links, and themselves as component; texts
 with fewer words than the shingle length have the whole sequence as one shingle; rows with a null doc_id take part and
@@ -43,6 +44,8 @@ from .recompression import K1, K2, NameCache, mix
 COUNTERS = 1 << 18
 #: Sets of one list that are compared under one leader; a longer list is dealt to several leaders.
 LIST_PART = 1000
+#: Pairs a set may have on average before they are tried one by one.
+MANY = 8
 SLICES = 32
 WORDS, PERCENT = 3, 90
 NAME_OF = NameCache()
@@ -255,6 +258,28 @@ def possible(n, m, percent: int):
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
+def tried_in_rounds(links: DataFrame, pairs: DataFrame, verify) -> tuple[DataFrame, DataFrame]:
+    """While a set has more than MANY pairs on average, each tries one of them; the links found join components, and
+    pairs within a component are dropped. Gives the links and the pairs that are left, all of which are to be tried.
+    A round that links less than a tenth of the sets is the last."""
+    number = 0
+    while True:
+        total, sets = pairs.agg(F.count(F.lit(1)), F.countDistinct("a")).first()
+        if total <= MANY * sets:
+            return links, pairs
+        tried = pairs.groupBy("a").agg(F.min_by("b", F.xxhash64("a", "b", F.lit(number))).alias("b"))
+        found = stored(verify(tried), "links")
+        links = stored(links.unionByName(found), "links")
+        classes = connected_components(links)
+        for side in ("a", "b"):
+            named = classes.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
+            pairs = pairs.join(named, side, "left").withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
+        pairs = stored(pairs.where("c_a <> c_b").select("a", "b"), "pairs")
+        number += 1
+        if found.count() * 10 < sets:
+            return links, pairs
+
+
 class Joined:
     """documents: one row a document with its node. links: links between nodes, enough to give all components."""
 
@@ -317,6 +342,7 @@ def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     first = stored(sifted(best, nodes, percent), "pairs")
     links = stored(small_links.unionByName(verified(first, rows, words, percent)), "links")
     rest = cross_pairs(lists.select("key", "a").distinct(), connected_components(links), nodes, own, near)
+    links, rest = tried_in_rounds(links, stored(rest, "pairs"), lambda pairs: verified(stored(sifted(pairs, nodes, percent), "pairs"), rows, words, percent))
     rest = stored(sifted(rest, nodes, percent), "pairs")
     return Joined(documents.join(named, ["s1", "s2"]), stored(links.unionByName(verified(rest, rows, words, percent)), "links"))
 

@@ -236,3 +236,9 @@ def test_components(spark):
 @pytest.mark.parametrize("run", [exact_dedup.deduplicate, jaccard_join.classes_of, recompression.remove_repeats, fuzzy_lines.remove_fuzzy_lines])
 def test_empty_tables(empty, run):
     assert run(empty).count() == 0
+
+
+def test_jaccard_in_rounds(stored_docs, plain, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "MANY", 0)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.classes_of(stored_docs, 2, 50).collect())
+    assert got == classes(plain, 50, 2)
