@@ -31,7 +31,7 @@ import regex
 import tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read
+from .common import read, tidy
 
 BLOCK = 4096
 #: The first code point from which letter and number classes differ between versions of Unicode.
@@ -259,9 +259,8 @@ class WordCache(dict):
 
     def forget(self) -> None:
         """At a partition's end, so that workers don't carry caches into other stages."""
-        self.clear()
         self.old = {}
-        self.vocabulary.pieces.clear()
+        tidy(self, self.vocabulary.pieces)
 
     def __missing__(self, word: bytes) -> tuple[bytes, bytes]:
         found = self.old.get(word)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,11 +50,33 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus)).cast("int")
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
-    """The frame's rows as a table in the shared folder, read again: computed once, lineage cut, columns compressed."""
-    path = shared_dir(frame.sparkSession, purpose)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    """The frame's rows as a table in the shared folder, read again: computed once, lineage cut, columns compressed.
+
+    Arrow batches of whole texts are kept small meanwhile, since each is held by the JVM and by a worker.
+    """
+    spark, path = frame.sparkSession, shared_dir(frame.sparkSession, purpose)
+    before = spark.conf.get(ARROW_BYTES, None)
+    if before is not None:
+        spark.conf.set(ARROW_BYTES, "8m")
+    try:
+        frame.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(ARROW_BYTES, before)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def tidy(*caches: dict) -> None:
+    """Called by workers at a partition's end: they serve other stages later, and shouldn't carry memory there."""
+    for cache in caches:
+        cache.clear()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc alone has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def steady(docs: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import read, steady, stored
+from .common import read, steady, stored, tidy
 from .components import connected_components, cross_pairs, rows_wanted
 from .recompression import K1, K2, NameCache, mix
 
@@ -133,7 +133,7 @@ def describe(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Recor
                 column.append(value)
         n = batch.num_rows
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in rows), pa.array(hists, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
-    NAME_OF.clear()  # workers don't carry caches into other stages
+    tidy(NAME_OF)  # workers don't carry caches into other stages
     parts = np.array_split(counts.astype("<u4"), SLICES)
     none = [pa.nulls(SLICES, pa.int64())] * 9
     yield pa.RecordBatch.from_arrays([*none, pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names)
@@ -212,7 +212,7 @@ def keys_of(batches: Iterator[pa.RecordBatch], words: int, percent: int, counts:
                 held = 0
     if held:
         yield out()
-    NAME_OF.clear()
+    tidy(NAME_OF)
 
 
 def overlap_at_least(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -233,7 +233,7 @@ def verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> Dat
             one, two = (batch.column(at).cast(pa.binary()) for at in (2, 3))
             good = [overlap_at_least(shingles(word_names(x.as_py()), words), shingles(word_names(y.as_py()), words), percent) for x, y in zip(one, two, strict=True)]
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
-        NAME_OF.clear()
+        tidy(NAME_OF)
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
 

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, steady
+from .common import read, steady, tidy
 
 WINDOW = 35
 ROUNDS = 2
@@ -281,7 +281,7 @@ def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list
                 rows, texts, places, size = [], [], [], 0
     if rows:
         yield rows, texts, places
-    NAME_OF.clear()  # workers don't carry caches into other stages
+    tidy(NAME_OF)  # workers don't carry caches into other stages
 
 
 #: The place of a document that has a window without a pick.
