@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import checkpoint_dir, read, remainder
+from .common import checkpoint_dir, read, remainder, stored, tidy
 
 STATES = 6
 CLASSES = 1 << 14
@@ -194,39 +194,53 @@ def start_parameters(docs: DataFrame, start_docs: int = START_DOCS) -> Parameter
 
 
 def baum_welch(docs: DataFrame, p: Parameters, passes: int = PASSES) -> Parameters:
-    """Each pass covers all training texts; what a partition sends is one fixed-size block of counts, cut in slices
+    """Each pass covers all training texts. The first one also stores their class sequences (two bytes a token), which
+    the others read instead of the texts. What a partition sends is one fixed-size block of counts, cut in slices
     that are added up by slice, so neither the shuffle's tasks nor the driver get more with more partitions."""
     states, slices = len(p.start), 64
-    rows = training(docs)
+    names = ["part", "counts"]
+    table: DataFrame | None = None
     for _ in range(passes):
         current = p
 
-        def count(batches: Iterator[pa.RecordBatch], p: Parameters = current) -> Iterator[pa.RecordBatch]:
+        def count(batches: Iterator[pa.RecordBatch], p: Parameters = current, first: bool = table is None) -> Iterator[pa.RecordBatch]:
             totals, seen = blank(states), False
             held, size = [], 0
             for batch in batches:
-                for text in batch.column(0).cast(pa.binary()).to_pylist():
-                    held += class_sequences([tokens_of(text)])
+                sequences = []
+                for value in batch.column(0).cast(pa.binary()):
+                    if first:
+                        held += class_sequences([tokens_of(value.as_py())])
+                        sequences.append(held[-1].astype("<u2").tobytes())
+                    else:
+                        held.append(np.frombuffer(value.as_py(), "<u2").astype(np.int32))
                     size += len(held[-1])
                     seen = True
                     if size >= HELD_TOKENS:
                         expected_counts(p, held, totals)
                         held, size = [], 0
+                if sequences:
+                    yield pa.RecordBatch.from_arrays([pa.nulls(len(sequences), pa.int32()), pa.array(sequences, pa.binary())], names)
             if held:
                 expected_counts(p, held, totals)
+            tidy(CLASS_OF)
             if seen:
                 vector = np.concatenate([x.ravel() for x in totals]).astype(np.float64)
                 parts = np.array_split(vector, slices)
-                yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], ["part", "counts"])
+                yield pa.RecordBatch.from_arrays([pa.array(range(slices), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names)
 
         def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total: np.ndarray | None = None
             for batch in batches:
                 for block in batch.column(1).to_pylist():
                     total = np.frombuffer(block).copy() if total is None else total + np.frombuffer(block)
-            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["part", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names)
 
-        counted = rows.mapInArrow(count, "part int, counts binary")
+        source = training(docs) if table is None else table.where("part IS NULL").select("counts")
+        counted = source.mapInArrow(count, "part int, counts binary")
+        if table is None:
+            table = counted = stored(counted, "classes")
+        counted = counted.where("part IS NOT NULL")
         added = counted.groupBy("part").applyInArrow(add, "part int, counts binary").collect()
         if not added:
             break
@@ -247,8 +261,8 @@ def word_counts(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
         for batch in batches:
-            for text in batch.column(0).cast(pa.binary()).to_pylist():
-                words = tokens_of(text)
+            for value in batch.column(0).cast(pa.binary()):
+                words = tokens_of(value.as_py())
                 counts.update(words)
                 counts[END] += 1
                 size += len(words)
@@ -304,15 +318,12 @@ def score_documents(docs: DataFrame, p: Parameters, lex: Lexical, counts: DataFr
         heavy = {word: math.log10(n + ALPHA) for word, n in lex.heavy.items()}
         names = ["key", "n", "row", "n_tokens", "known", "sum", "model", "doc"]
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()
-            tokenised = [tokens_of(text) for text in texts]
-            sequences = class_sequences(tokenised)
-            model = np.zeros(len(texts))
-            for group in batches_by_length(sequences):
-                model[group] = forward(p, [sequences[at] for at in group])[0]
-            keys, times, owners = [], [], []
-            known, sums = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-            for at, found in enumerate(tokenised):
+            ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
+            sequences, keys, times, owners = [], [], [], []
+            known, sums, model = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts))
+            for at, text in enumerate(texts):
+                found = tokens_of(text.as_py())
+                sequences += class_sequences([found])
                 words = Counter(found)
                 words[END] = 1
                 n_known, total = 0, 0.0
@@ -326,7 +337,9 @@ def score_documents(docs: DataFrame, p: Parameters, lex: Lexical, counts: DataFr
                         n_known += n
                         total += n * own
                 known[at], sums[at] = n_known, total
-                model[at] -= lex.by_class[sequences[at]].sum()
+            for group in batches_by_length(sequences):
+                model[group] = forward(p, [sequences[at] for at in group])[0]
+            model -= np.array([lex.by_class[sequence].sum() for sequence in sequences])
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(times, pa.int64()), pa.array(owners, pa.int64()), *(pa.nulls(len(keys), t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()))], names)
             row_keys = [b" row" + i.to_bytes(8, "little") for i in ids]  # no word holds a space: these join with nothing
             yield pa.RecordBatch.from_arrays([pa.array(row_keys, pa.binary()), pa.array([0] * len(ids), pa.int64()), pa.array(ids, pa.int64()), pa.array([len(s) for s in sequences], pa.int64()), pa.array(known), pa.array(sums), pa.array(model), batch.column(2)], names)
