@@ -14,7 +14,7 @@ sets are joined by size:
 The boundary is the size up to which enumerating costs less than scanning lists of the measured mean length.
 
 A list is not turned into pairs. First each set meets the one that most of its lists begin with, screened by size, by a
-256-bit parity signature and by a histogram, which bound the difference from below; verified pairs give components.
+1024-bit parity signature and by a histogram, which bound the difference from below; verified pairs give components.
 Then only the sets outside the largest component of a list meet the others of that list in other components, screened
 alike; where these are many, each set tries one at a time and components grow between. Pairs within one component are
 never needed. All are verified on whole shingle sets.
@@ -49,7 +49,9 @@ MANY = 8
 SLICES = 32
 WORDS, PERCENT = 3, 90
 NAME_OF = NameCache()
-DOC_SCHEMA = "row bigint, doc_id bigint, n bigint, s1 bigint, s2 bigint, b0 bigint, b1 bigint, b2 bigint, b3 bigint, hist binary, slice int, counts binary"
+#: Longs of the parity signature: sets of up to about twice as many shingles as bits are told apart by it.
+SIGNS = 16
+DOC_SCHEMA = "row bigint, doc_id bigint, n bigint, s1 bigint, s2 bigint, " + "".join(f"b{i} bigint, " for i in range(SIGNS)) + "hist binary, slice int, counts binary"
 
 
 def word_names(text: bytes | None) -> np.ndarray:
@@ -91,14 +93,14 @@ def signed(x) -> int:
 
 
 def parity(names: np.ndarray) -> np.ndarray:
-    """256 bits, each the parity of the shingles dealt to it: two sets differ in at least as many shingles as bits."""
-    odd = np.bincount((names & np.uint64(255)).astype(np.int64), minlength=256) & 1
+    """64 * SIGNS bits, each the parity of the shingles dealt to it: two sets differ in at least as many shingles as bits."""
+    odd = np.bincount((names & np.uint64(64 * SIGNS - 1)).astype(np.int64), minlength=64 * SIGNS) & 1
     return np.packbits(odd.astype(np.uint8)).view("<i8")
 
 
 def histogram(names: np.ndarray) -> bytes:
     """Counts by 256 buckets, at most 255 each: two sets differ in at least as many shingles as their counts do."""
-    counts = np.bincount(((names >> np.uint64(8)) & np.uint64(255)).astype(np.int64), minlength=256)
+    counts = np.bincount(((names >> np.uint64(16)) & np.uint64(255)).astype(np.int64), minlength=256)
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
@@ -119,7 +121,7 @@ def describe(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Recor
     counts = np.zeros(COUNTERS, np.int64)
     names = [part.split()[0] for part in DOC_SCHEMA.split(", ")]
     for batch in batches:
-        rows: list[list] = [[] for _ in range(7)]
+        rows: list[list] = [[] for _ in range(3 + SIGNS)]
         hists: list[bytes] = []
         for value in batch.column(2).cast(pa.binary()):
             text = value.as_py()
@@ -135,7 +137,7 @@ def describe(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in rows), pa.array(hists, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
     tidy(NAME_OF)  # workers don't carry caches into other stages
     parts = np.array_split(counts.astype("<u4"), SLICES)
-    none = [pa.nulls(SLICES, pa.int64())] * 9
+    none = [pa.nulls(SLICES, pa.int64())] * (5 + SIGNS)
     yield pa.RecordBatch.from_arrays([*none, pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names)
 
 
@@ -297,7 +299,7 @@ def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     table = spark.sparkContext.broadcast(counts)
 
     documents = described.where("slice is null").drop("slice", "counts")
-    nodes = stored(documents.groupBy("s1", "s2").agg(F.min("row").alias("node"), F.min("n").alias("n"), F.min("hist").alias("hist"), *(F.min(f"b{i}").alias(f"b{i}") for i in range(4))), "nodes")
+    nodes = stored(documents.groupBy("s1", "s2").agg(F.min("row").alias("node"), F.min("n").alias("n"), F.min("hist").alias("hist"), *(F.min(f"b{i}").alias(f"b{i}") for i in range(SIGNS))), "nodes")
 
     keys = docs.select(docs["text"].alias("text")).mapInArrow(lambda batches: keys_of(batches, words, percent, table.value, limit), KEY_SCHEMA)
     # one exchange: the rows of a list's part meet, and each subset key passes through under a place of its own
@@ -329,11 +331,11 @@ def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     lists = stored(lists.select("key", "a", "b"), "lists")
 
     def near(one, two):
-        differ = sum((F.bit_count(one(f"b{i}").bitwiseXOR(two(f"b{i}"))) for i in range(4)), F.lit(0))
+        differ = sum((F.bit_count(one(f"b{i}").bitwiseXOR(two(f"b{i}"))) for i in range(SIGNS)), F.lit(0))
         # sets differ by 1 - t of their union at most, and the union is at most the smaller set over t
         return (differ * percent <= F.least(one("n"), two("n")) * (100 - percent)) & possible(one("n"), two("n"), percent)
 
-    own = ["n", "b0", "b1", "b2", "b3"]
+    own = ["n", *(f"b{i}" for i in range(SIGNS))]
     votes = lists.where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes"))
     best = votes.groupBy("a").agg(F.max(F.struct("votes", (-F.col("b")).alias("b"))).alias("best")).select("a", (-F.col("best.b")).alias("b"))
     best = best.join(nodes.select(F.col("node").alias("a"), *own), "a")
