@@ -38,7 +38,7 @@ BLOCK = 4096
 LATEST = "\u0530"
 #: Fixed by the vocabulary's pattern.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
-CACHE_WORDS = 100_000
+CACHE_WORDS = 120_000
 NONE = 1 << 30
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 FULL_SCHEMA = "doc_id bigint, ids array<int>, decoded string"
@@ -151,7 +151,7 @@ class Vocabulary:
         if len(piece) <= BLOCK:
             known = self.merge([*map(self.inner.__getitem__, piece[:-1]), self.final[piece[-1]]])
             if len(piece) <= 64:
-                if len(self.pieces) >= CACHE_WORDS:
+                if len(self.pieces) >= 2 * CACHE_WORDS:
                     self.pieces.clear()
                 self.pieces[piece] = known
             return known
