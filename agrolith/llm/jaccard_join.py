@@ -263,7 +263,7 @@ def possible(n, m, percent: int):
 def tried_in_rounds(links: DataFrame, pairs: DataFrame, verify) -> tuple[DataFrame, DataFrame]:
     """While a set has more than MANY pairs on average, each tries one of them; the links found join components, and
     pairs within a component are dropped. Gives the links and the pairs that are left, all of which are to be tried.
-    A round that links less than a tenth of the sets is the last."""
+    A round that links less than a quarter of the sets is the last."""
     number = 0
     while True:
         total, sets = pairs.agg(F.count(F.lit(1)), F.countDistinct("a")).first()
@@ -278,7 +278,7 @@ def tried_in_rounds(links: DataFrame, pairs: DataFrame, verify) -> tuple[DataFra
             pairs = pairs.join(named, side, "left").withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
         pairs = stored(pairs.where("c_a <> c_b").select("a", "b"), "pairs")
         number += 1
-        if found.count() * 10 < sets:
+        if found.count() * 4 < sets:
             return links, pairs
 
 
