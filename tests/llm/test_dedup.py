@@ -183,6 +183,24 @@ def test_fuzzy_lines(spark):
     assert sum(k[2] * n for k, n in got.items()) > 60
 
 
+def test_fuzzy_lines_of_few_words(spark):
+    """An edited word moves more SimHash bits than NEAR in short lines; all pairs are linked nevertheless."""
+    rng = np.random.default_rng(12)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(3, 8))) for _ in range(900)]
+    base = [list(rng.choice(words, n)) for n in [9] * 30 + [27] * 30 + [60] * 30]
+    lines = [" ".join(own) for own in base]
+    for own in base:
+        copy = list(own)
+        copy[4] = str(rng.choice(words))
+        lines.append(" ".join(copy))
+    lines += ["are.", "anre.", "short one", "short ane"]
+    plain = list(enumerate(lines))
+    every = sum(len(t.split()) > 0 for _, t in plain) - len(lines_of(plain, 64))
+    got = fuzzy_lines.remove_fuzzy_lines(spark.createDataFrame(plain, "doc_id bigint, text string"))
+    assert sum(r.n_removed for r in got.collect()) >= 0.95 * every
+    assert len(lines_of(plain, fuzzy_lines.NEAR)) > len(lines_of(plain, 64)) + 0.5 * every
+
+
 def test_crowded_keys(spark, monkeypatch):
     monkeypatch.setattr(fuzzy_lines, "LOCAL", 3)
     monkeypatch.setattr(fuzzy_lines, "SHORT", 5)
