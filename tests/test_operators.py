@@ -203,3 +203,15 @@ def test_views(spark):
 def test_growing_results(spark):
     *_, (last, done) = growing(spark.range(10))
     assert done and len(last) == 10
+
+
+def test_simulations_run_at_the_operators_defaults(spark, monkeypatch):
+    from agrolith.plans import analytics
+
+    calls = []
+    monkeypatch.setattr(finance, "avoided_loss_sampled", lambda *args, **named: calls.append(named))
+    monkeypatch.setattr(finance, "simulate", lambda *args, **named: calls.append(named))
+    monkeypatch.setattr(finance, "simulation_bands", lambda simulated: simulated)
+    analytics.avoided_loss_sampled(spark, "")
+    analytics.simulation_bands(spark, "")
+    assert len(calls) == 2 and not any({"draws", "simulations"} & set(named) for named in calls)
