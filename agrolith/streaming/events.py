@@ -113,13 +113,23 @@ class Cancellable:
 
 
 class Latest:
-    """A foreachBatch sink that keeps the newest batch's frame: a slow reader skips what came between."""
+    """A foreachBatch sink that keeps the newest batch's frame: a slow reader skips what came between.
+
+    Each batch is written whole to a folder of its own below the shared one; the folders of earlier batches stay, since
+    a reader may still be at one. Nothing comes to the driver.
+    """
 
     def __init__(self) -> None:
-        self.number, self.rows = -1, []
+        self.number, self.path, self.schema = -1, None, None
 
     def __call__(self, batch: DataFrame, number: int) -> None:
-        self.number, self.rows = number, batch.limit(10_000).collect()
+        path = shared(batch.sparkSession, "latest")
+        batch.write.parquet(path)
+        self.number, self.path, self.schema = number, path, batch.schema
+
+    def frame(self, spark: SparkSession) -> DataFrame | None:
+        """All rows of the newest batch; None before the first."""
+        return None if self.path is None else spark.read.schema(self.schema).parquet(self.path)
 
 
 class Queue:

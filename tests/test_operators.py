@@ -215,3 +215,14 @@ def test_simulations_run_at_the_operators_defaults(spark, monkeypatch):
     analytics.avoided_loss_sampled(spark, "")
     analytics.simulation_bands(spark, "")
     assert len(calls) == 2 and not any({"draws", "simulations"} & set(named) for named in calls)
+
+
+def test_latest_keeps_whole_batches(spark):
+    from agrolith.streaming.events import Latest
+
+    latest = Latest()
+    assert latest.frame(spark) is None
+    latest(spark.range(5), 0)
+    latest(spark.range(25_000), 1)
+    got = latest.frame(spark)
+    assert latest.number == 1 and got.count() == 25_000 and got.agg({"id": "sum"}).first()[0] == 25_000 * 24_999 // 2
