@@ -15,6 +15,7 @@ reach are met as closely as least squares allows; other columns are ignored, or
 
 from __future__ import annotations
 
+import logging
 import math
 
 import numpy as np
@@ -26,12 +27,7 @@ from .common import checkpoint_dir, read, steady
 #: Domains by label, and the share of tokens that each is to have.
 DOMAINS = {"good": "quality = 1 AND toxic = 0", "rough": "quality = 0 AND toxic = 0", "toxic": "toxic = 1"}
 TARGETS = {"good": 0.90, "rough": 0.08, "toxic": 0.02}
-#: In the pipeline, after the toxicity stage: tokens to keep of what each domain has. What is still labelled toxic there
-#: can hardly be told by a posterior, so no target is set against it.
-THINNED = {"good": 1.0, "rough": 0.5, "toxic": 1.0}
-#: Without repeats a document with at least this rate stays.
-WHOLE = 0.95
-PASSES, TOLERANCE = 30, 1e-6
+PASSES, TOLERANCE, STEPS = 30, 1e-6, 14
 #: Words that the classifier may look for, found among at most WORD_ROWS labelled rows.
 TELLING_WORDS, WORD_ROWS = 16, 3000
 BINS = 12
@@ -153,11 +149,69 @@ def copies(rate: Column, *key: str) -> Column:
     return F.floor(rate + part).cast("int")
 
 
+def reachable(has: np.ndarray, shares: np.ndarray) -> np.ndarray:
+    """Shares without repeats: a domain is asked for no more tokens than it has, the whole is scaled to one."""
+    asked = np.minimum(has.sum() * shares / max(shares.sum(), 1e-12), has)
+    return asked / asked.sum()
+
+
+def box_rates(table: DataFrame, domains: list[str], wanted: dict[str, float]) -> tuple[Column, dict[str, tuple[float, float, float]]]:
+    """Rates in [0, 1], nearest to one by tokens, whose tokens by domain have the reachable shares; and of each domain
+    its share wanted, share reachable and share reached.
+
+    The least squares of 1 - rate under these shares have the solution min(1, max(0, 1 + v p)) with v orthogonal to the
+    shares, v being the least of a convex function: Newton's steps, the best of STEPS halvings, each from K sums.
+    """
+    k, n = len(domains), F.col("tokens").cast("double")
+    p = [F.element_at("p", at + 1) for at in range(k)]
+    has = np.array([x or 0.0 for x in table.agg(*(F.sum(n * x) for x in p)).first()]) if k else np.zeros(0)
+    if has.sum() <= 0:
+        return F.lit(1.0), {}
+    shares = np.array([wanted.get(name, 0.0) for name in domains])
+    targets = reachable(has, shares)
+    free = np.linalg.svd(targets[None])[2][1:].T
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    raw = lambda v: F.lit(1.0) + sum((F.lit(float(v[i])) * p[i] for i in range(k)), F.lit(0.0))
+
+    def sums(v: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        x = raw(v)
+        inner = n * ((x > 0) & (x < 1)).cast("double")
+        r = F.least(F.lit(1.0), F.greatest(F.lit(0.0), x))
+        row = [y or 0.0 for y in table.agg(*(F.sum(r * n * y) for y in p), *(F.sum(w * p[i] * p[j]) for w in (inner, n) for i, j in pairs)).first()]
+        grams = np.zeros((2, k, k))
+        for which in range(2):
+            for at, (i, j) in enumerate(pairs):
+                grams[which, i, j] = grams[which, j, i] = row[k + which * len(pairs) + at]
+        return np.array(row[:k]), grams[0], grams[1]
+
+    def cost(v: np.ndarray) -> Column:
+        x = raw(v)
+        return F.sum(n * F.when(x > 1, x - 0.5).when(x > 0, x * x / 2).otherwise(0.0))
+
+    y = np.zeros(k - 1)
+    for _ in range(2 * PASSES):
+        reached, inner, whole = sums(free @ y)
+        if reached.sum() <= 1e-6 * has.sum():
+            raise ValueError(f"no rates in [0, 1] give the shares {dict(zip(domains, targets.round(6).tolist(), strict=True))}")
+        if np.abs(reached - reached.sum() * targets).max() <= TOLERANCE * reached.sum():
+            break
+        step = np.linalg.pinv(free.T @ (inner + 1e-3 * whole) @ free) @ (free.T @ reached)
+        tried = [y - step * 0.5**half for half in range(STEPS)]
+        costs = table.agg(*(cost(free @ z) for z in tried)).first()
+        y = tried[int(np.argmin(costs))]
+    return F.least(F.lit(1.0), F.greatest(F.lit(0.0), raw(free @ y))), dict(zip(domains, zip((shares / shares.sum()).tolist(), targets.tolist(), (reached / reached.sum()).tolist(), strict=True), strict=True))
+
+
 def thin(docs: DataFrame, labels: DataFrame, wanted: dict[str, float] | None = None) -> DataFrame:
-    """The documents that a mixture without repeats keeps: rates from WHOLE on keep, lower ones by a hashed chance."""
+    """The documents that a mixture without repeats keeps, each by a hashed chance of its rate in [0, 1]. The shares
+    wanted, reachable and reached of each domain are logged."""
     docs = steady(docs)
-    fitted, _ = rates(docs, labels, wanted or THINNED, relative=True)
-    kept = fitted.where((F.col("rate") >= WHOLE) | (copies(F.col("rate"), "doc_id", "row") >= 1)).select(F.col("row").alias("agrolith_row"))
+    table, domains = posteriors(docs, labels)
+    table = table.checkpoint()
+    rate, shares = box_rates(table, domains, wanted or TARGETS)
+    for name, own in shares.items():
+        logging.getLogger(__name__).info("%s: share wanted %.4f, reachable %.4f, reached %.4f", name, *own)
+    kept = table.where(copies(rate, "doc_id", "row") >= 1).select(F.col("row").alias("agrolith_row"))
     return docs.withColumn("agrolith_row", F.monotonically_increasing_id()).join(kept, "agrolith_row", "left_semi").drop("agrolith_row")
 
 

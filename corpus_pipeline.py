@@ -29,7 +29,7 @@ def near_copies_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mixed_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents stay by their rate in the target mixture; rates of one and above keep."""
+    """Documents stay by their rate in the target mixture; rates are in [0, 1], so nothing is repeated."""
     return mixing.thin(docs, read(spark, sf_dir, "labels"))
 
 

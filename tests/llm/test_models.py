@@ -166,6 +166,24 @@ def test_mixing_meets_targets(spark):
     assert np.mean([r[by_domain == 0].mean() > r[by_domain == 2].mean()]) == 1
 
 
+def test_thinning_meets_reachable_shares(spark):
+    """Rates in [0, 1] with the shares wanted, against the conditions that only the nearest such rates fulfil."""
+    rng = np.random.default_rng(3)
+    p, n = rng.dirichlet([6, 0.4, 0.5], 600), rng.integers(1, 500, 600).astype(float)
+    table = spark.createDataFrame([(int(t), x.tolist()) for t, x in zip(n, p, strict=True)], "tokens bigint, p array<double>")
+    rate, shares = mixing.box_rates(table, ["good", "rough", "toxic"], mixing.TARGETS)
+    got = table.withColumn("rate", rate).collect()
+    p, n, r = np.array([x.p for x in got]), np.array([x.tokens for x in got]), np.array([x.rate for x in got])
+    asked = np.minimum(n.sum() * np.array(list(mixing.TARGETS.values())), n @ p)
+    kept = (r * n) @ p
+    assert r.min() >= 0 and r.max() <= 1 and kept.sum() > 0.3 * n.sum()
+    assert kept / kept.sum() == pytest.approx(asked / asked.sum(), rel=1e-4)
+    assert [own[2] for own in shares.values()] == pytest.approx(kept / kept.sum(), rel=1e-6)
+    inner = (r > 1e-6) & (r < 1 - 1e-6)
+    v = np.linalg.lstsq(p[inner], r[inner] - 1, rcond=None)[0]
+    assert abs(v @ asked) < 1e-5 * asked.sum() and np.allclose(r, np.clip(1 + p @ v, 0, 1), atol=1e-6)
+
+
 def test_mixing_without_labels(stored_docs, spark, empty):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     fitted, _ = mixing.rates(stored_docs, none)
