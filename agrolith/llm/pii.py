@@ -48,6 +48,10 @@ DIGIT = re.compile(r"[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 #: A candidate token: a maximal stretch without white space that holds a digit or an at sign.
 CANDIDATE = re.compile(r"[^\s0-9@]*+[0-9@]\S*+")
+#: Stretches of digits with blanks, brackets, points and hyphens between them, and at most so many taken as one number.
+STRETCHES = re.compile(r"\(?[0-9]++(?:[ ().-]{1,3}[0-9]++)++")
+DIGITS = re.compile(r"[0-9]++")
+PARTS = 6
 TRIM = "\"'()[]{}<>,;:!?.*#$%&|"
 
 
@@ -105,8 +109,34 @@ def digits_tail(token: str) -> str:
     return digits[-7:] if len(digits) >= 7 else ""
 
 
+def spaced(text: str, numbers: list[str]) -> Iterator[tuple[int, int]]:
+    """Spans of neighbouring stretches of digits that together give one of the numbers or its end, or end in it. At
+    each last stretch the longest such span counts."""
+    tails: dict[str, list[str]] = {}
+    for number in dict.fromkeys(numbers):
+        tails.setdefault(number[-7:], []).append(number)
+    for match in STRETCHES.finditer(text):
+        parts = [(part.start() + match.start(), part[0]) for part in DIGITS.finditer(match[0])]
+        end = len(parts)
+        while end > 1:
+            digits, best = "", None
+            for first in range(end - 1, max(end - 1 - PARTS, -1), -1):
+                digits = parts[first][1] + digits
+                if len(digits) > 19:
+                    break
+                if first < end - 1 and len(digits) >= 7 and any(number.endswith(digits) or digits.endswith(number) for number in tails.get(digits[-7:], ())):
+                    best = first
+            if best is None:
+                end -= 1
+                continue
+            start = parts[best][0] - (text[max(parts[best][0] - 1, 0)] == "(")
+            yield start, parts[end - 1][0] + len(parts[end - 1][1])
+            end = best
+
+
 class Tokens:
-    """The field's nodes: base spans (clamped) and the candidates outside them, in order of the text."""
+    """The field's nodes: base spans (clamped) and the candidates outside them, in order of the text. Digits in several
+    stretches that make up a base span's number are one candidate."""
 
     def __init__(self, text: str, spans: dict[str, list[tuple[int, int]]]) -> None:
         covered = sorted((start, end, number + 1) for number, kind in enumerate(KINDS) for start, end in spans[kind])
@@ -118,14 +148,19 @@ class Tokens:
                 blocked.append([start, end])
         starts = np.array([start for start, _ in blocked], dtype=np.int64)
         ends = np.array([end for _, end in blocked], dtype=np.int64)
+        free = lambda start, end: (at := int(np.searchsorted(ends, start, side="right"))) == len(ends) or starts[at] >= end
+        numbers = [digits for start, end, _ in covered if len(digits := NOT_DIGIT.sub("", text[start:end])) >= LEAST_KEY]
+        joined = sorted(span for span in spaced(text, numbers) if free(*span)) if numbers else []
+        nodes += [(start, end, 0) for start, end in joined]
+        joined_ends = np.array([end for _, end in joined], dtype=np.int64)
         for match in CANDIDATE.finditer(text):
             token = match[0]
             start = match.start() + len(token) - len(token.lstrip(TRIM))
             end = match.start() + len(token.rstrip(TRIM))
             if end <= start:
                 continue
-            at = int(np.searchsorted(ends, start, side="right"))
-            if at == len(ends) or starts[at] >= end:
+            at = int(np.searchsorted(joined_ends, start, side="right"))
+            if free(start, end) and (at == len(joined) or joined[at][0] >= end):
                 nodes.append((start, end, 0))
         nodes.sort()
         self.nodes = nodes

@@ -124,6 +124,13 @@ def test_field_adds_copies_and_nothing_else():
         assert field.added(clean, pii.base_spans(clean)) == []
 
 
+@pytest.mark.parametrize("form", ["487 555 7209", "(487) 555 7209", "(487) 555-7209", "555 7209", "1 487 555 7209"])
+def test_field_ties_spaced_forms(form):
+    field = pii.fit(sample())
+    text = f"Call +1 (487) 555-7209 now. Later {form} again; order 99 88 77 66 55, code 123 4567."
+    assert [(k, text[a:b]) for k, a, b in field.added(text, pii.base_spans(text))] == [("phone", form)]
+
+
 def test_find(stored_docs, spark):
     rows = [(1, sample()[0]), (2, None), (3, ""), (None, "é 4539578763621486")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
