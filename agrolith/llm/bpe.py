@@ -1,29 +1,31 @@
 """Byte-pair encoding as a streaming transducer with bounded lookahead, and its incremental decoder.
 
 A merge list fixes how far to the right a token boundary can depend on the text: `sufficient_lookahead` bounds it in
-bytes with one pass over the merges. `Transducer.feed` therefore holds at most a block and the lookahead, emits a
-token once no further byte can change it, and drops what it has emitted. Pieces of ordinary length never reach that
-limit and are answered from a bounded two-generation cache of white-space separated words, which changes no result:
-white space separates everything the vocabulary's normaliser and splitter do.
+bytes with one pass over the merges. Each document has one `Encoder`, which takes its text in chunks and emits ids as
+soon as nothing that follows can change them: white space ends everything that the vocabulary's normaliser, splitter
+and merges do, so the words before it are stable; a word without an end goes on through a `Transducer`, which holds a
+block and the lookahead at most. What a finished word or piece came to is remembered in tables of bounded bytes, which
+changes no result. The encoder holds no ids and no text beyond an unfinished word's last block.
 
-The decoder is a state machine that takes one id at a time: `pieces` joins vocabulary entries by a space, as a
-vocabulary without a decoder does; `text` turns entries back to bytes, ends words, and holds an unfinished UTF-8
-sequence until its last byte comes.
+The decoder is a state machine, one for a document, that takes ids as they come and gives the text that they make
+certain: `pieces` joins vocabulary entries by a space, as a vocabulary without a decoder does; `text` turns entries back
+to bytes, ends words, and holds an unfinished UTF-8 sequence until its last byte comes.
 
 Defined results: a null text counts as empty and has no ids; a null doc_id is passed on; rows repeat as they come in;
-an empty table gives no rows; very long texts and words use the same bounded buffers; other columns are ignored.
+an empty table gives no rows; very long texts and words use the same bounded buffers (a word is held whole only as far
+as it has no two neighbouring letters, where alone it may be cut); other columns are ignored.
 """
 
 from __future__ import annotations
 
 import codecs
 import hashlib
+import heapq
 import itertools
 import json
-import struct
 import unicodedata
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -31,15 +33,22 @@ import regex
 import tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import read, tidy
+from .common import read, stored, tidy
 
 BLOCK = 4096
 #: The first code point from which letter and number classes differ between versions of Unicode.
 LATEST = "\u0530"
 #: Fixed by the vocabulary's pattern.
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
-CACHE_WORDS = 120_000
+#: Bytes, by estimate, of each of the two generations of remembered words, and of remembered pieces.
+WORD_BYTES, PIECE_BYTES = 20_000_000, 10_000_000
+#: What an entry takes beside its own bytes.
+ENTRY_BYTES = 140
+#: Bytes of text that an encoder is given at a time, and the longest word or piece that is remembered.
+CHUNK, LONGEST = 1 << 16, 64
 NONE = 1 << 30
+#: Between these a letter may join with the one before it.
+JAMO = ((0x1100, 0x11FF), (0xA960, 0xA97F), (0xD7B0, 0xD7FF))
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 FULL_SCHEMA = "doc_id bigint, ids array<int>, decoded string"
 
@@ -91,6 +100,25 @@ def sufficient_lookahead(merges: list[tuple[int, int, int]], width: dict[int, in
     return most
 
 
+class Memo(dict):
+    """What was found for a key; the oldest half goes when the bytes of two generations are reached."""
+
+    def __init__(self, limit: int) -> None:
+        self.limit, self.size, self.old = limit, 0, {}
+
+    def put(self, key: bytes, value: bytes) -> bytes:
+        self[key] = value
+        self.size += len(key) + len(value) + ENTRY_BYTES
+        if self.size > self.limit:
+            self.old, self.size = dict(self), 0
+            self.clear()
+        return value
+
+    def forget(self) -> None:
+        self.old, self.size = {}, 0
+        self.clear()
+
+
 class Vocabulary:
     """A word-end byte-pair vocabulary: NFC, lower case, split into contractions, letters, single digits and the rest."""
 
@@ -98,27 +126,36 @@ class Vocabulary:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
-        self.ids: dict[str, int] = model["vocab"]
+        ids: dict[str, int] = model["vocab"]
         self.end: str = model["end_of_word_suffix"]
         self.special = {token["content"]: token["id"] for token in spec["added_tokens"]}
-        self.entries = {number: entry for entry, number in self.ids.items()} | {number: text for text, number in self.special.items()}
-        self.inner = [self.ids[letter] for letter in byte_letters()]
-        self.final = [self.ids[letter + self.end] for letter in byte_letters()]
-        width = {number: len(entry.removesuffix(self.end)) for entry, number in self.ids.items()}
+        self.entries = [""] * (1 + max([*ids.values(), *self.special.values()]))
+        for entry, number in [*ids.items(), *self.special.items()]:
+            self.entries[number] = entry
+        self.entry_bytes = [entry.encode() for entry in self.entries]
+        self.inner = [ids[letter] for letter in byte_letters()]
+        self.final = [ids[letter + self.end] for letter in byte_letters()]
+        self.width = {number: len(entry.removesuffix(self.end)) for entry, number in ids.items()}
         self.rank_of: dict[tuple[int, int], int] = {}
-        self.pieces: dict[bytes, list[int]] = {}
         rules = []
         for rank, pair in enumerate(model["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            rule = (self.ids[left], self.ids[right], self.ids[left + right])
+            rule = (ids[left], ids[right], ids[left + right])
             self.rank_of[rule[:2]] = rank
             rules.append(rule)
         self.merged_of = [rule[2] for rule in rules]
-        self.width = width
-        self.lookahead = sufficient_lookahead(rules, width)
+        self.lookahead = sufficient_lookahead(rules, self.width)
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.splitter = regex.compile(pattern)
         self.specials = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
+        self.longest_special = max(map(len, self.special), default=0)
+        self.words, self.pieces = Memo(WORD_BYTES), Memo(PIECE_BYTES)
+
+    def forget(self) -> None:
+        """At a partition's end, so that workers don't carry what they remember into other stages."""
+        self.words.forget()
+        self.pieces.forget()
+        tidy()
 
     def normalise(self, text: str) -> str:
         if text and max(text) >= LATEST and any(unicodedata.category(letter) == "Cn" for letter in text):
@@ -127,47 +164,61 @@ class Vocabulary:
         return "".join(map(str.lower, text)) if "Σ" in text else text.lower()
 
     def merge(self, symbols: list[int]) -> list[int]:
-        """All merges of a sequence, the earliest rule first, from left to right. The ranks of neighbours are kept."""
+        """All merges of a sequence, the earliest rule first, from left to right. Long ones keep the neighbours' ranks
+        in a heap and the symbols in a linked list, so that a merge costs a logarithm of the length."""
         rank_of, merged_of = self.rank_of.get, self.merged_of
+        last = len(symbols) - 1
+        if last >= LONGEST:
+            return self.merge_long(symbols)
         ranks = [rank_of(pair, NONE) for pair in zip(symbols, symbols[1:], strict=False)]
-        while ranks:
-            best = min(ranks)
-            if best == NONE:
-                break
+        while last and (best := min(ranks)) != NONE:
             at = ranks.index(best)
-            symbols[at : at + 2] = [merged_of[best]]
-            del ranks[at]
+            symbols[at] = new = merged_of[best]
+            del symbols[at + 1], ranks[at]
+            last -= 1
             if at:
-                ranks[at - 1] = rank_of((symbols[at - 1], symbols[at]), NONE)
-            if at < len(ranks):
-                ranks[at] = rank_of((symbols[at], symbols[at + 1]), NONE)
+                ranks[at - 1] = rank_of((symbols[at - 1], new), NONE)
+            if at < last:
+                ranks[at] = rank_of((new, symbols[at + 1]), NONE)
         return symbols
 
-    def piece(self, piece: bytes) -> Iterable[int]:
-        """The ids of one piece between splits."""
-        known = self.pieces.get(piece)
-        if known is not None:
-            return known
-        if len(piece) <= BLOCK:
-            known = self.merge([*map(self.inner.__getitem__, piece[:-1]), self.final[piece[-1]]])
-            if len(piece) <= 64:
-                if len(self.pieces) >= 2 * CACHE_WORDS:
-                    self.pieces.clear()
-                self.pieces[piece] = known
-            return known
-        transducer = Transducer(self)
-        return [*transducer.feed(piece), *transducer.close()]
-
-    def word(self, word: str) -> list[int]:
-        """The ids of a stretch of text: special entries are found in it as it stands, the rest is normalised."""
-        out: list[int] = []
+    def merge_long(self, symbols: list[int]) -> list[int]:
+        rank_of, merged_of, n = self.rank_of.get, self.merged_of, len(symbols)
+        after, before = [*range(1, n), -1], [-1, *range(n - 1)]
+        heap = [(rank, at) for at, pair in enumerate(zip(symbols, symbols[1:], strict=False)) if (rank := rank_of(pair, NONE)) != NONE]
+        heapq.heapify(heap)
+        while heap:
+            rank, at = heapq.heappop(heap)
+            second = after[at]
+            if symbols[at] < 0 or second < 0 or rank_of((symbols[at], symbols[second]), NONE) != rank:
+                continue
+            symbols[at], symbols[second] = merged_of[rank], -1
+            after[at] = then = after[second]
+            if then >= 0:
+                before[then] = at
+                if (new := rank_of((symbols[at], symbols[then]), NONE)) != NONE:
+                    heapq.heappush(heap, (new, at))
+            if (last := before[at]) >= 0 and (new := rank_of((symbols[last], symbols[at]), NONE)) != NONE:
+                heapq.heappush(heap, (new, last))
+        return [symbol for symbol in symbols if symbol >= 0]
+
+    def piece(self, piece: bytes) -> bytes:
+        """The packed ids of one piece between splits, through the transducer."""
+        known = self.pieces.get(piece) or self.pieces.old.get(piece)
+        if known is None:
+            transducer = Transducer(self)
+            known = packed(transducer.feed(piece) + transducer.close())
+        return self.pieces.put(piece, known) if len(piece) <= LONGEST and piece not in self.pieces else known
+
+    def word(self, word: str) -> bytes:
+        """The packed ids of a stretch of text: special entries are found in it as it stands, the rest is normalised."""
+        out: list[bytes] = []
         for part in self.specials.split(word) if "<|" in word else (word,):
             if part in self.special:
-                out.append(self.special[part])
+                out.append(packed([self.special[part]]))
             else:
-                for piece in self.split(self.normalise(part)):
-                    out.extend(self.piece(piece.encode()))
-        return out
+                out += [self.piece(piece.encode()) for piece in self.split(self.normalise(part))]
+        return b"".join(out)
 
     def split(self, text: str) -> Iterator[str]:
         """What the vocabulary's pattern finds. Beyond LATEST the classes are those of unicodedata: the pattern engine
@@ -200,8 +251,8 @@ class Transducer:
     def __init__(self, vocabulary: Vocabulary, block: int = BLOCK) -> None:
         self.vocabulary, self.block, self.held = vocabulary, block, bytearray()
 
-    def feed(self, data: bytes) -> Iterator[int]:
-        v = self.vocabulary
+    def feed(self, data: bytes) -> list[int]:
+        v, out = self.vocabulary, []
         for start in range(0, len(data), self.block):
             self.held += data[start : start + self.block]
             if len(self.held) < self.block + v.lookahead + 1:
@@ -211,18 +262,108 @@ class Transducer:
                 if done + v.width[number] > stable:
                     break
                 done += v.width[number]
-                yield number
+                out.append(number)
             del self.held[:done]
+        return out
+
+    def close(self) -> list[int]:
+        v, held = self.vocabulary, self.held
+        if not held:
+            return []
+        symbols = [*map(v.inner.__getitem__, held)]
+        symbols[-1] = v.final[held[-1]]
+        held.clear()
+        return v.merge(symbols)
+
+
+def packed(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit integers."""
+    return array("I", ids).tobytes()
+
 
-    def close(self) -> Iterator[int]:
-        v = self.vocabulary
-        if self.held:
-            yield from v.merge([*map(v.inner.__getitem__, self.held[:-1]), v.final[self.held[-1]]])
-        self.held.clear()
+class Encoder:
+    """A document's text in, in chunks that may end anywhere; packed ids out as soon as they are stable."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary, self.held = vocabulary, b""
+        self.open: Transducer | None = None  # the piece of letters in which a long word was cut
+
+    def feed(self, data: bytes) -> bytes:
+        data = self.held + data
+        words = data.split()  # at [\x20\x09-\x0D]+
+        self.held = words.pop() if words and data[-1] not in b" \t\n\x0b\x0c\r" else b""
+        out = []
+        if self.open and words:
+            out.append(self.finished(words.pop(0)))
+        known, old, v = self.vocabulary.words, self.vocabulary.words.old, self.vocabulary
+        for word in words:
+            ids = known.get(word)
+            if ids is None:
+                ids = old.get(word)
+                if ids is None:
+                    ids = v.word(word.decode())
+                if len(word) <= LONGEST:
+                    known.put(word, ids)
+                    old = known.old
+            out.append(ids)
+        if len(self.held) > BLOCK:
+            out.append(self.advanced())
+        return b"".join(out)
+
+    def advanced(self) -> bytes:
+        """What of the unfinished word's beginning is stable: up to the last place where it may be cut."""
+        text = self.held.decode(errors="ignore")
+        cut = cut_of(text, self.vocabulary.longest_special)
+        if not cut:
+            return b""
+        first, left = text[:cut], len(text[:cut].encode())
+        self.held = self.held[left:]
+        return self.through(first, False)
+
+    def through(self, text: str, last: bool) -> bytes:
+        """A stretch of a long word; the piece of letters at its end stays open unless it is the last stretch."""
+        v, out = self.vocabulary, []
+        pieces: list[bytes | int] = []
+        for part in v.specials.split(text) if "<|" in text else (text,):
+            pieces += [v.special[part]] if part in v.special else [piece.encode() for piece in v.split(v.normalise(part))]
+        if self.open and pieces:
+            first = pieces.pop(0)  # letters, since the word was cut between letters
+            out.append(packed(self.open.feed(first)))
+            if pieces or last:
+                out.append(packed(self.open.close()))
+                self.open = None
+        elif self.open and last:
+            out.append(packed(self.open.close()))
+            self.open = None
+        goes_on = not last and not self.open and pieces and not isinstance(pieces[-1], int) and kind(pieces[-1].decode()[0]) == "l"
+        tail = pieces.pop() if goes_on else None
+        out += [packed([piece]) if isinstance(piece, int) else v.piece(piece) for piece in pieces]
+        if tail is not None:
+            self.open = Transducer(v)
+            out.append(packed(self.open.feed(tail)))
+        return b"".join(out)
+
+    def finished(self, word: bytes) -> bytes:
+        return self.through(word.decode(), True)
+
+    def close(self) -> bytes:
+        word, self.held = self.held, b""
+        return self.finished(word) if self.open else self.vocabulary.word(word.decode()) if word else b""
+
+
+def cut_of(text: str, special: int) -> int:
+    """The last place between two letters that neither compose nor belong to a contraction or a special entry, or 0."""
+    for at in range(len(text) - 1, 2, -1):
+        if not all(unicodedata.category(letter)[0] == "L" for letter in text[at - 3 : at + 1]):  # three letters before: no contraction
+            continue
+        if any(low <= ord(text[at]) <= high for low, high in JAMO) or "<|" in text[max(0, at - special) : at + 1]:
+            continue
+        return at
+    return 0
 
 
 class Decoder:
-    """One id in, the text that it makes certain out."""
+    """Ids in, the text that they make certain out."""
 
     def __init__(self, vocabulary: Vocabulary, mode: str = "pieces") -> None:
         self.vocabulary, self.mode, self.started = vocabulary, mode, False
@@ -242,49 +383,30 @@ class Decoder:
         data = bytes(self.bytes_of[letter] for letter in entry.removesuffix(self.vocabulary.end))
         return self.utf8.decode(data) + (self.utf8.decode(b"", True) + " " if ends else "")
 
+    def feed_block(self, ids: array) -> bytes:
+        """The same for a block of ids, in UTF-8."""
+        if self.mode == "text" or not ids:
+            return "".join(map(self.feed, ids)).encode()
+        found = b" ".join(map(self.vocabulary.entry_bytes.__getitem__, ids))
+        out = b" " + found if self.started else found
+        self.started = True
+        return out
+
     def close(self) -> str:
         return self.utf8.decode(b"", True) if self.mode == "text" else ""
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-class WordCache(dict):
-    """Word -> (ids as little-endian 32-bit integers, decoded pieces); two generations of CACHE_WORDS at most."""
-
-    def __init__(self, vocabulary: Vocabulary) -> None:
-        self.vocabulary, self.old = vocabulary, {}
-
-    def forget(self) -> None:
-        """At a partition's end, so that workers don't carry caches into other stages."""
-        self.old = {}
-        tidy(self, self.vocabulary.pieces)
-
-    def __missing__(self, word: bytes) -> tuple[bytes, bytes]:
-        found = self.old.get(word)
-        if found is None:
-            ids = self.vocabulary.word(word.decode())
-            decoder = Decoder(self.vocabulary)
-            found = (struct.pack(f"<{len(ids)}I", *ids), "".join(map(decoder.feed, ids)).encode())
-        if len(word) <= 64:
-            if len(self) >= CACHE_WORDS:
-                self.old = dict(self)
-                self.clear()
-            self[word] = found
-        return found
-
-
-@lru_cache(maxsize=4)
-def word_cache(path: str) -> WordCache:
-    return WordCache(vocabulary(path))
-
-
-def encode_text(text: bytes, cache: WordCache) -> tuple[bytes, bytes]:
-    """Ids (packed) and decoded text. bytes.split() splits at [\\x20\\x09-\\x0D]+."""
-    found = list(map(cache.__getitem__, text.split()))
-    return b"".join([x[0] for x in found]), b" ".join([x[1] for x in found if x[1]])
+def encoded_stream(text: bytes, v: Vocabulary, chunk: int = CHUNK) -> Iterator[array]:
+    """The ids of a text, as the encoder gives them out chunk by chunk."""
+    encoder = Encoder(v)
+    for start in range(0, len(text), chunk):
+        yield array("I", encoder.feed(text[start : start + chunk]))
+    yield array("I", encoder.close())
 
 
 def default_path() -> str:
@@ -294,30 +416,41 @@ def default_path() -> str:
 
 
 def encode_documents(docs: DataFrame, path: str | None = None, digests: bool = False) -> DataFrame:
-    """doc_id with ids and decoded text, or with their count and digests, so that long results needn't travel."""
+    """doc_id with ids and decoded text, or with their count and digests, which are kept up as the ids come."""
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_cache(path)
+        v = vocabulary(path)
         for batch in batches:
-            texts = batch.column(1).cast(pa.binary())
             counts, first, second = [], [], []
-            for value in texts:
-                ids, decoded = encode_text(value.as_py() or b"", cache)
-                counts.append(len(ids) // 4)
-                if digests:
-                    first.append(hashlib.sha256(ids).hexdigest())
-                    second.append(hashlib.sha256(decoded).hexdigest())
-                else:
-                    first.append(array("i", ids).tolist())
-                    second.append(decoded.decode())
+            for value in batch.column(1).cast(pa.binary()):
+                decoder, n, ids_seen, text_seen = Decoder(v), 0, hashlib.sha256(), hashlib.sha256()
+                ids, decoded = array("I"), []
+                for some in encoded_stream(value.as_py() or b"", v):
+                    found = decoder.feed_block(some)
+                    if digests:
+                        n += len(some)
+                        ids_seen.update(some)
+                        text_seen.update(found)
+                    else:
+                        ids += some
+                        decoded.append(found)
+                counts.append(n)
+                first.append(ids_seen.hexdigest() if digests else ids.tolist())
+                second.append(text_seen.hexdigest() if digests else b"".join(decoded).decode())
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(first, pa.string()), pa.array(second, pa.string())] if digests else [batch.column(0), pa.array(first, pa.list_(pa.int32())), pa.array(second, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in (SCHEMA if digests else FULL_SCHEMA).split(", ")])
-        cache.forget()
+        v.forget()
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
     return rows.mapInArrow(run, SCHEMA if digests else FULL_SCHEMA)
 
 
+def encoded_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: a small table, which is stored so that batches of texts are small
+    while it is made."""
+    return stored(encode_documents(docs, path, digests=True), "encoded")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_documents(read(spark, sf_dir, "documents"), digests=True)
+    return encoded_digests(read(spark, sf_dir, "documents"))

@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -53,20 +54,23 @@ def remainder(doc_id: Column, modulus: int) -> Column:
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
-def stored(frame: DataFrame, purpose: str) -> DataFrame:
-    """The frame's rows as a table in the shared folder, read again: computed once, lineage cut, columns compressed.
-
-    Arrow batches of whole texts are kept small meanwhile, since each is held by the JVM and by a worker.
-    """
-    spark, path = frame.sparkSession, shared_dir(frame.sparkSession, purpose)
+@contextlib.contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches of 8 MB at most for what runs meanwhile: each is held by the JVM and by a worker. The session's own
+    setting comes back afterwards; where there was none, it is unset again."""
     before = spark.conf.get(ARROW_BYTES, None)
-    if before is not None:
-        spark.conf.set(ARROW_BYTES, "8m")
+    spark.conf.set(ARROW_BYTES, "8m")
     try:
-        frame.write.parquet(path)
+        yield
     finally:
-        if before is not None:
-            spark.conf.set(ARROW_BYTES, before)
+        spark.conf.unset(ARROW_BYTES) if before is None else spark.conf.set(ARROW_BYTES, before)
+
+
+def stored(frame: DataFrame, purpose: str) -> DataFrame:
+    """The frame's rows as a table in the shared folder, read again: computed once, lineage cut, columns compressed."""
+    spark, path = frame.sparkSession, shared_dir(frame.sparkSession, purpose)
+    with small_batches(spark):
+        frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

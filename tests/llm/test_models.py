@@ -265,13 +265,43 @@ def by_library(library, text):
     return struct.pack(f"<{len(ids)}I", *ids), library.decode(ids, skip_special_tokens=False).encode()
 
 
+def through(text, v, chunk=bpe.CHUNK):
+    decoder, ids, decoded = bpe.Decoder(v), b"", b""
+    for some in bpe.encoded_stream(text.encode(), v, chunk):
+        ids, decoded = ids + some.tobytes(), decoded + decoder.feed_block(some)
+    return ids, decoded
+
+
 def test_encoding(library, texts):
-    cache, rng = bpe.WordCache(bpe.vocabulary(bpe.default_path())), random.Random(1)
-    cases = [t or "" for t in texts] + ["x" * 9000, "ab" * 5000, "I'm don't 'S !'s ''s", "<|endoftext|>a<|startoftext|> B<|", "ΣΑΣ İ ﬀ é \x1c \x85 ᲊ 𐗃", "1234 ½ ² 一二"]
+    v, rng = bpe.vocabulary(bpe.default_path()), random.Random(1)
+    cases = [t or "" for t in texts] + ["x" * 9000, "ab" * 5000, "I'm don't 'S !'s ''s", "<|endoftext|>a<|startoftext|> B<|", "ΣΑΣ İ ﬀ é \x1c \x85 ᲊ 𐗃", "1234 ½ ² 一二"]
     for letters in ("abt", "aeinth' ", "é ß#", "ABC<|endoftext|> x"):
         cases += ["".join(rng.choice(letters) for _ in range(rng.randint(0, 200))) for _ in range(100)]
     for text in cases:
-        assert bpe.encode_text(text.encode(), cache) == by_library(library, text)
+        assert through(text, v) == by_library(library, text)
+        assert through(text, v, 7) == by_library(library, text)
+
+
+@pytest.mark.parametrize("letters", ["abcdeint", "aİé'sΣ", "한국ᄀ\u1161\u11a8a", "ab1'!.re", "ab<|endoftext|>", "一丁丂か\u3099", "é\u0301eﬁ"])
+def test_long_words_are_cut(library, letters, monkeypatch):
+    """Words without an end go through in stretches, whatever letters stand at their borders."""
+    monkeypatch.setattr(bpe, "BLOCK", 40)
+    v, rng = bpe.vocabulary(bpe.default_path()), random.Random(8)
+    for _ in range(60):
+        text = " ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 400))) for _ in range(3))
+        encoder, most = bpe.Encoder(v), 0
+        for at in range(0, len(data := text.encode()), 11):
+            encoder.feed(data[at : at + 11])
+            most = max(most, len(encoder.held))
+        assert through(text, v, 11) == by_library(library, text)
+        assert most < 120 or letters != "abcdeint"
+
+
+def test_long_merges():
+    v, rng = bpe.vocabulary(bpe.default_path()), random.Random(3)
+    for _ in range(200):
+        symbols = [v.inner[rng.choice(b"abeinrst")] for _ in range(rng.randint(1, 64))]
+        assert v.merge_long(list(symbols)) == v.merge(list(symbols))
 
 
 def test_streaming_equals_whole():
@@ -288,7 +318,7 @@ def test_streaming_equals_whole():
 def test_decoding_to_text():
     v = bpe.vocabulary(bpe.default_path())
     d = bpe.Decoder(v, "text")
-    ids = [n for w in "über 日本 ok".split() for n in v.word(w)]
+    ids = [n for w in "über 日本 ok".split() for n in np.frombuffer(v.word(w), "<u4").tolist()]
     assert "".join(map(d.feed, ids)) + d.close() == "über 日本 ok "
 
 
