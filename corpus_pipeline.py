@@ -35,7 +35,7 @@ def mixed_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the digests of ids and decoded text."""
-    return bpe.encode_documents(docs, digests=True)
+    return bpe.encoded_digests(docs)
 
 
 STAGES = [
