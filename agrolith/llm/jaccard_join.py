@@ -15,9 +15,9 @@ The boundary is the size up to which enumerating costs less than scanning lists
 
 A list is not turned into pairs. First each set meets the one that most of its lists begin with, screened by size, by a
 1024-bit parity signature and by a histogram, which bound the difference from below; verified pairs give components.
-Then only the sets outside the largest component of a list meet the others of that list in other components, screened
-alike; where these are many, each set tries one at a time and components grow between. Pairs within one component are
-never needed. All are verified on whole shingle sets.
+While lists hold many pairs of different components, each set then tries a few partners of its lists, drawn by a hash,
+and components grow; what stays open meets in full, the sets outside a list's largest component with the others, screened
+alike. Pairs within one component are never needed. All are verified on whole shingle sets.
 
 Defined results: null texts and texts without words have an empty set, no links, and themselves as component; texts
 with fewer words than the shingle length have the whole sequence as one shingle; rows with a null doc_id take part and
@@ -37,15 +37,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import read, steady, stored, tidy
-from .components import connected_components, cross_pairs, rows_wanted
+from .components import closed, connected_components, near_pairs, rows_wanted
 from .recompression import K1, K2, NameCache, mix
 
 #: Counters of the table of word counts by hashed word.
 COUNTERS = 1 << 18
 #: Sets of one list that are compared under one leader; a longer list is dealt to several leaders.
 LIST_PART = 1000
-#: Pairs a set may have on average before they are tried one by one.
-MANY = 8
 SLICES = 32
 WORDS, PERCENT = 3, 90
 NAME_OF = NameCache()
@@ -249,8 +247,8 @@ def sifted(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             one, two = (np.frombuffer(b"".join(batch.column(at).to_pylist()), np.uint8).reshape(-1, 256).astype(np.int16) for at in (2, 3))
             differ = np.abs(one - two).sum(axis=1)
-            least = np.minimum(batch.column(4).to_numpy(), batch.column(5).to_numpy())
-            yield batch.select([0, 1]).filter(pa.array(differ * percent <= least * (100 - percent), pa.bool_()))
+            sizes = batch.column(4).to_numpy() + batch.column(5).to_numpy()
+            yield batch.select([0, 1]).filter(pa.array(differ * (100 + percent) <= sizes * (100 - percent), pa.bool_()))
 
     return both.select("a", "b", "h_a", "h_b", "n_a", "n_b").mapInArrow(sift, "a bigint, b bigint")
 
@@ -260,28 +258,6 @@ def possible(n, m, percent: int):
     return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
-def tried_in_rounds(links: DataFrame, pairs: DataFrame, verify) -> tuple[DataFrame, DataFrame]:
-    """While a set has more than MANY pairs on average, each tries one of them; the links found join components, and
-    pairs within a component are dropped. Gives the links and the pairs that are left, all of which are to be tried.
-    A round that links less than a quarter of the sets is the last."""
-    number = 0
-    while True:
-        total, sets = pairs.agg(F.count(F.lit(1)), F.countDistinct("a")).first()
-        if total <= MANY * sets:
-            return links, pairs
-        tried = pairs.groupBy("a").agg(F.min_by("b", F.xxhash64("a", "b", F.lit(number))).alias("b"))
-        found = stored(verify(tried), "links")
-        links = stored(links.unionByName(found), "links")
-        classes = connected_components(links)
-        for side in ("a", "b"):
-            named = classes.select(F.col("node").alias(side), F.col("component").alias(f"c_{side}"))
-            pairs = pairs.join(named, side, "left").withColumn(f"c_{side}", F.coalesce(f"c_{side}", side))
-        pairs = stored(pairs.where("c_a <> c_b").select("a", "b"), "pairs")
-        number += 1
-        if found.count() * 4 < sets:
-            return links, pairs
-
-
 class Joined:
     """documents: one row a document with its node. links: links between nodes, enough to give all components."""
 
@@ -332,21 +308,19 @@ def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     def near(one, two):
         differ = sum((F.bit_count(one(f"b{i}").bitwiseXOR(two(f"b{i}"))) for i in range(SIGNS)), F.lit(0))
-        # sets differ by 1 - t of their union at most, and the union is at most the smaller set over t
-        return (differ * percent <= F.least(one("n"), two("n")) * (100 - percent)) & possible(one("n"), two("n"), percent)
+        # of n + m shingles, sets with d in one of them only share (n + m - d) / 2: d is (1 - t) / (1 + t) of n + m at most
+        return (differ * (100 + percent) <= (one("n") + two("n")) * (100 - percent)) & possible(one("n"), two("n"), percent)
 
     own = ["n", *(f"b{i}" for i in range(SIGNS))]
     votes = lists.where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes"))
     best = votes.groupBy("a").agg(F.max(F.struct("votes", (-F.col("b")).alias("b"))).alias("best")).select("a", (-F.col("best.b")).alias("b"))
-    best = best.join(nodes.select(F.col("node").alias("a"), *own), "a")
-    best = best.join(nodes.select(F.col("node").alias("b"), *(F.col(x).alias(f"{x}_") for x in own)), "b")
-    best = best.where(near(F.col, lambda name: F.col(f"{name}_"))).select("a", "b")
-    first = stored(sifted(best, nodes, percent), "pairs")
-    links = stored(small_links.unionByName(verified(first, rows, words, percent)), "links")
-    rest = cross_pairs(lists.select("key", "a").distinct(), connected_components(links), nodes, own, near)
-    links, rest = tried_in_rounds(links, stored(rest, "pairs"), lambda pairs: verified(stored(sifted(pairs, nodes, percent), "pairs"), rows, words, percent))
-    rest = stored(sifted(rest, nodes, percent), "pairs")
-    return Joined(documents.join(named, ["s1", "s2"]), stored(links.unionByName(verified(rest, rows, words, percent)), "links"))
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        return verified(stored(sifted(pairs, nodes, percent), "pairs"), rows, words, percent)
+
+    links = stored(small_links.unionByName(verify(near_pairs(best, nodes, own, near))), "links")
+    links = closed(lists.select("key", "a").distinct(), links, nodes, own, near, verify)
+    return Joined(documents.join(named, ["s1", "s2"]), links)
 
 
 def classes_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

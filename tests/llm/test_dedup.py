@@ -256,7 +256,25 @@ def test_empty_tables(empty, run):
     assert run(empty).count() == 0
 
 
-def test_jaccard_in_rounds(stored_docs, plain, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "MANY", 0)
-    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.classes_of(stored_docs, 2, 50).collect())
-    assert got == classes(plain, 50, 2)
+@pytest.mark.parametrize(("words", "percent"), [(2, 50), (3, 90)])
+def test_jaccard_in_rounds(spark, stored_docs, plain, monkeypatch, words, percent):
+    """Rounds of a few partners a node, and lists that are dealt to parts, lose no link."""
+    monkeypatch.setattr(components, "MANY", 0)
+    monkeypatch.setattr(components, "DEALT", 3)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.classes_of(stored_docs, words, percent).collect())
+    assert got == classes(plain, percent, words)
+
+
+def test_jaccard_near_copies_without_a_common_partner(spark):
+    """A group whose members all differ from their base by nearly the bound, so that its links are no star."""
+    rng = np.random.default_rng(2)
+    base = [f"w{i}" for i in range(60)]
+    rows = []
+    for at in range(90):
+        own = list(base)
+        for place in rng.choice(60, 2, replace=False):
+            own[place] = f"x{at}y{place}"
+        rows.append((at, " ".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.classes_of(docs, 3, 75).collect())
+    assert got == classes(rows, 75, 3) and len({k[2] for k in got}) < 90
