@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, MapType, StructType
 
 #: Month names as they stand in titles.
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
@@ -57,6 +58,25 @@ def fill_template(template: Column, values: dict[str, Column], left: str = ":::"
     return out
 
 
+def with_fallback(value: Column, fallback: Column, kind: DataType, other: DataType) -> Column:
+    """value with what it lacks taken from fallback, field by field at any depth; kind and other are their types. Maps
+    take the keys that they lack, anything but a struct or map is taken whole."""
+    if isinstance(kind, MapType) and isinstance(other, MapType):
+        return F.when(value.isNull(), fallback).otherwise(F.map_concat(F.map_filter(fallback, lambda k, _: ~F.map_contains_key(value, k)), F.map_filter(value, lambda _, v: v.isNotNull())))
+    if not (isinstance(kind, StructType) and isinstance(other, StructType)):
+        return F.coalesce(value, fallback)
+    names = list(dict.fromkeys([*kind.names, *other.names]))
+    fields = []
+    for name in names:
+        if name not in other.names:
+            fields.append(value[name].alias(name))
+        elif name not in kind.names:
+            fields.append(fallback[name].alias(name))
+        else:
+            fields.append(with_fallback(value[name], fallback[name], kind[name].dataType, other[name].dataType).alias(name))
+    return F.struct(*fields)
+
+
 def localised(texts: Column, language: str, fallback: str = "en") -> Column:
     """An entry of a language -> text map, with a fallback language."""
     return F.coalesce(texts[language], texts[fallback])
@@ -76,10 +96,14 @@ def escape_html(text: Column) -> Column:
     return text
 
 
+def number_tokens(text: Column) -> Column:
+    """All numbers of a text as they stand, thousands separators removed."""
+    found = F.regexp_extract_all(text, F.lit(r"(-?[0-9][0-9,]*(?:\.[0-9]+)?)"), F.lit(1))
+    return F.transform(found, lambda x: F.replace(x, F.lit(","), F.lit("")))
+
+
 def numbers_in(text: Column) -> Column:
-    """All numbers of a text, thousands separators removed."""
-    found = F.regexp_extract_all(text, F.lit(r"(-?\d[\d,]*(?:\.\d+)?)"), F.lit(1))
-    return F.transform(found, lambda x: F.replace(x, F.lit(","), F.lit("")).cast("double"))
+    return F.transform(number_tokens(text), lambda x: x.cast("double"))
 
 
 def numeric_cell(text: Column) -> Column:
@@ -98,7 +122,16 @@ def cell_kind(text: Column) -> Column:
 
 def leading_name(text: Column) -> Column:
     """The tokens before the first one that has a digit or is a dash."""
-    return F.trim(F.regexp_extract(text, r"^((?:[^\s\d][^\s\d]*\s*(?![-–—]\s))*)", 1))
+    tokens = F.filter(F.split(text, r"\s+"), lambda x: x != "")
+    stop = F.array_position(F.transform(tokens, lambda x: x.rlike("[0-9]") | x.isin("-", "–", "—")), True)
+    return F.concat_ws(" ", F.when(stop > 0, F.slice(tokens, F.lit(1), (stop - 1).cast("int"))).otherwise(tokens))
+
+
+def numeric_rest(text: Column) -> Column:
+    """The tokens from that one on."""
+    tokens = F.filter(F.split(text, r"\s+"), lambda x: x != "")
+    stop = F.array_position(F.transform(tokens, lambda x: x.rlike("[0-9]") | x.isin("-", "–", "—")), True)
+    return F.when(stop > 0, F.slice(tokens, stop.cast("int"), F.size(tokens))).otherwise(F.array().cast("array<string>"))
 
 
 def wrap_words(text: Column, width: int) -> Column:
@@ -142,6 +175,24 @@ def without_extension(name: Column) -> Column:
     return F.regexp_replace(name, r"\.[^./]+$", "")
 
 
+def prefix_code(code: Column, size: int) -> Column:
+    """The leading characters, such as a place code's parent."""
+    return F.substring(code, 1, size)
+
+
+def tail_in(text: Column, mark: str, known: list[str]) -> Column:
+    """What follows the last mark if it is one of the known, else null; a text without the mark has no tail."""
+    tail = tail_after(text, mark)
+    return F.when(F.contains(text, F.lit(mark)) & tail.isin(*known), tail)
+
+
+def matches_form(text: Column, pattern: str) -> Column:
+    return F.coalesce(text.rlike(pattern), F.lit(False))
+
+
+#: Forms of identifiers and of dates in headers.
+ISO_DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+HEADER = r"^[A-Z]{1,4}[0-9]{1,3}(?:\.[0-9]+)*$"
 UUID = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 
 
@@ -181,13 +232,35 @@ def is_after(year: Column, month: Column, other_year: Column, other_month: Colum
     return F.struct(year, month) > F.struct(other_year, other_month)
 
 
+def crop_year(label: Column) -> Column:
+    """The calendar year in which a crop year such as 2019/20 or 2019/2020 ends; a plain year is its own."""
+    first, last = F.regexp_extract(label, r"^\s*([0-9]{4})", 1).try_cast("int"), F.regexp_extract(label, r"/\s*([0-9]{2,4})\s*$", 1).try_cast("int")
+    century = F.floor(first / 100) * 100
+    short = F.when(century + last < first, century + 100 + last).otherwise(century + last)
+    return F.when(last.isNull(), first).when(last >= 1000, last).otherwise(short).cast("int")
+
+
+def predictor_season(season: Column) -> Column:
+    """The season whose state is known before a target season; null where there is none."""
+    return F.create_map(*(F.lit(x) for pair in PREDICTOR.items() for x in pair))[season]
+
+
+def season_of(month: Column) -> Column:
+    """The label of the three months around a month."""
+    return F.element_at(F.array(*map(F.lit, SEASONS)), month.cast("int"))
+
+
 def from_epoch_ms(value: Column) -> Column:
     return F.timestamp_millis(value.cast("long"))
 
 
+#: Forms in which a date may be written, each a pattern of the date parser.
+DATE_FORMS = ("yyyy", "yyyy-MM", "yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mmXXX", "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX", "M/d/yyyy", "M/d/yy", "M/d/yyyy HH:mm", "M/d/yyyy HH:mm:ss")
+
+
 def parse_date(text: Column) -> Column:
-    """ISO or month/day/year, with or without a time; anything else is null."""
-    return F.coalesce(F.try_to_timestamp(text), F.try_to_timestamp(text, F.lit("M/d/yyyy H:mm")), F.try_to_timestamp(text, F.lit("M/d/yyyy")))
+    """A time in one of DATE_FORMS; anything else is null."""
+    return F.coalesce(*(F.try_to_timestamp(text, F.lit(form)) for form in DATE_FORMS))
 
 
 def age_state(last: Column, today: Column, allowed_days: Column) -> Column:
@@ -206,6 +279,43 @@ def percent_of(value: Column, whole: Column) -> Column:
     return F.try_divide(value, whole) * 100
 
 
+def rounded(value: Column, digits: int, policy: str = "sql") -> Column:
+    """The library's rounding: "sql" takes halves away from zero, "even" to the even neighbour."""
+    if policy not in ("sql", "even"):
+        raise ValueError(f"unknown rounding {policy!r}")
+    return F.round(value, digits) if policy == "sql" else F.bround(value, digits)
+
+
+def dominant_class(shares: dict[str, Column]) -> Column:
+    """The name of the largest share, the first of equal ones; null where none is above 0."""
+    top = F.greatest(*(F.coalesce(s, F.lit(0.0)) for s in shares.values()))
+    out = F.when(F.lit(False), "")
+    for name, share in shares.items():
+        out = out.when((share == top) & (top > 0), name)
+    return out
+
+
+def min_max(value: Column, low: Column, high: Column) -> Column:
+    """0 to 1 between two bounds; null where they are equal."""
+    return F.try_divide(value - low, high - low)
+
+
+def priority_of(key: Column, ranks: dict[str, int]) -> Column:
+    """The rank of a class key; null if it has none."""
+    return F.create_map(*(F.lit(x) for pair in ranks.items() for x in pair))[key]
+
+
+def significant(value: Column, digits: int) -> Column:
+    """Rounded to so many significant digits."""
+    power = F.pow(F.lit(10.0), F.lit(digits - 1) - F.floor(F.log10(F.abs(value))))
+    return F.when(value == 0, F.lit(0.0)).otherwise(F.round(value * power) / power)
+
+
+def usd(value: Column) -> Column:
+    """Compact, with a sign before the mark: -$1.2K."""
+    return F.concat(F.when(value < 0, F.lit("-")).otherwise(F.lit("")), F.lit("$"), compact_number(F.abs(value)))
+
+
 def tolerant_equal(a: Column, b: Column, absolute: float, relative: float) -> Column:
     return F.abs(a - b) < F.greatest(F.lit(absolute), F.abs(a) * relative)
 
@@ -273,5 +383,30 @@ def column_sums(rows: Column, size: int) -> Column:
     return F.aggregate(rows, zero, lambda total, row: F.zip_with(total, row, lambda a, b: a + F.coalesce(b, F.lit(0.0))))
 
 
+def by_layout(cells: Column, layout: list[tuple[str, int]]) -> Column:
+    """Cells in the order of a layout to structs (metric, year, value); cells beyond the layout are dropped, missing ones
+    give null values."""
+    places = F.array(*(F.struct(F.lit(metric).alias("metric"), F.lit(year).alias("year")) for metric, year in layout))
+    return F.transform(places, lambda place, at: F.struct(place["metric"].alias("metric"), place["year"].alias("year"), F.get(cells, at).alias("value")))
+
+
+def balanced_slice(text: Column, start: Column, left: str = "{", right: str = "}") -> Column:
+    """From the first left brace at or behind start (from 1) to the right one that closes it; braces within double quotes
+    don't count; null if it isn't closed."""
+    first = F.instr(F.substr(text, start), left) + start - 1
+    rest = F.when(F.instr(F.substr(text, start), left) > 0, F.substr(text, first))
+    state = F.struct(F.lit(0).alias("depth"), F.lit(False).alias("quoted"), F.lit(False).alias("escaped"), F.lit(0).alias("at"), F.lit(0).alias("end"))
+
+    def step(s: Column, letter: Column) -> Column:
+        quote = (letter == '"') & ~s["escaped"]
+        depth = F.when(s["quoted"] | (s["end"] > 0), s["depth"]).otherwise(s["depth"] + F.when(letter == left, 1).when(letter == right, -1).otherwise(0))
+        at = s["at"] + 1
+        end = F.when(s["end"] > 0, s["end"]).when((letter == right) & ~s["quoted"] & (depth == 0), at).otherwise(F.lit(0))
+        return F.struct(depth.alias("depth"), (s["quoted"] != quote).alias("quoted"), (s["quoted"] & (letter == "\\") & ~s["escaped"]).alias("escaped"), at.alias("at"), end.alias("end"))
+
+    end = F.aggregate(F.split(rest, ""), state, step, lambda s: s["end"])
+    return F.when(end > 0, F.substr(rest, F.lit(1), end))
+
+
 def length_prefixed(parts: Column) -> Column:
     return F.concat_ws("", F.transform(parts, lambda x: F.concat(F.length(x), F.lit("|"), x)))

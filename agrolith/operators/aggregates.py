@@ -20,7 +20,8 @@ def positive_sums(df: DataFrame, keys: list[str], value: str, name: str) -> Data
 def quantile_summary(value: Column, prefix: str = "") -> list[Column]:
     """p10, p50, p90, mean and n over finite values."""
     finite = F.when(~F.isnan(value) & (F.abs(value) != float("inf")), value)
-    quantiles = [F.percentile(finite, q).alias(f"{prefix}{n}") for q, n in ((0.1, "p10"), (0.5, "p50"), (0.9, "p90"))]
+    shares = F.percentile(finite, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9)))  # one aggregate, read three times
+    quantiles = [F.get(shares, F.lit(at)).alias(f"{prefix}{n}") for at, n in enumerate(("p10", "p50", "p90"))]
     return [*quantiles, F.avg(finite).alias(f"{prefix}mean"), F.count(finite).alias(f"{prefix}n")]
 
 
@@ -103,12 +104,22 @@ def groups_since(df: DataFrame, keys: list[str], order: list[str], head: Column,
     return df.withColumn(name, F.sum(F.when(head, 1).otherwise(0)).over(W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)))
 
 
-def merged_wrapped(df: DataFrame, keys: list[str], order: list[str], name: str, value: str) -> DataFrame:
-    """A name without value is put before the name of the next row, which has the value."""
-    by = W.partitionBy(*keys).orderBy(*order)
-    previous_name, previous_value = F.lag(name).over(by), F.lag(value).over(by)
-    joined = F.when(previous_value.isNull() & previous_name.isNotNull(), F.concat_ws(" ", previous_name, F.col(name))).otherwise(F.col(name))
-    return df.withColumn("_joined", joined).where(F.col(value).isNotNull()).withColumn(name, F.col("_joined")).drop("_joined")
+def merged_wrapped(df: DataFrame, keys: list[str], order: str | list[str], name: str, value: str) -> DataFrame:
+    """Names without a value are put before the name of the next row that has one, however many there are; names at a
+    key's end without any such row are dropped."""
+    orders = [order] if isinstance(order, str) else order
+    by = W.partitionBy(*keys).orderBy(*orders)
+    before = F.sum(F.when(F.col(value).isNotNull(), 1).otherwise(0)).over(by.rowsBetween(W.unboundedPreceding, -1))
+    parts = df.withColumn("_group", F.coalesce(before, F.lit(0)))
+    names = F.transform(F.array_sort(F.collect_list(F.when(F.col(name).isNotNull(), F.struct(*orders, F.col(name).alias("_n"))))), lambda x: x["_n"])
+    merged = parts.groupBy(*keys, "_group").agg(*(F.max(o).alias(o) for o in orders), F.concat_ws(" ", names).alias(name), F.max(value).alias(value))
+    return merged.where(F.col(value).isNotNull()).drop("_group")
+
+
+def with_average(df: DataFrame, label: str, text: str, *values: str) -> DataFrame:
+    """The rows, and one more labelled text with the mean of the values; other columns are null there."""
+    average = df.agg(*(F.avg(v).alias(v) for v in values)).withColumn(label, F.lit(text))
+    return df.unionByName(average, allowMissingColumns=True)
 
 
 def repeats_before(df: DataFrame, keys: list[str], order: list[str], value: str, name: str = "repeated") -> DataFrame:
@@ -136,9 +147,9 @@ def largest_cluster(df: DataFrame, keys: list[str], value: str, jump: float) ->
 
 
 def upper_median(value: str) -> Column:
-    """The element n // 2 of the sorted values."""
-    values = F.array_sort(F.collect_list(value))
-    return F.element_at(values, (F.floor(F.size(values) / 2) + 1).cast("int"))
+    """The element n // 2 of the sorted values: the discrete median from above. Its buffer counts distinct values and is
+    combined before the shuffle."""
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value}` DESC)")
 
 
 def median_band(df: DataFrame, keys: list[str], value: str, confirmed: Column, band: float = 0.5) -> DataFrame:

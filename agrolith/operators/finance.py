@@ -13,7 +13,6 @@ from pyspark.sql.types import DoubleType
 
 from .aggregates import exceedance, quantile_summary
 
-DEFAULT_RATE = 0.08
 PHI0 = 1 / math.sqrt(2 * math.pi)
 
 
@@ -26,14 +25,14 @@ def discounted(value: Column, rate: Column, t: Column) -> Column:
     return value / F.pow(1 + rate, t)
 
 
-def npv_series(df: DataFrame, keys: list[str], order: str, flow: str, rate: float = DEFAULT_RATE) -> DataFrame:
+def npv_series(df: DataFrame, keys: list[str], order: str, flow: str, rate: float) -> DataFrame:
     """t and npv: the running discounted sum."""
     df = df.withColumn("t", position(keys, order))
     by = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
     return df.withColumn("npv", F.sum(discounted(F.col(flow), F.lit(rate), F.col("t"))).over(by))
 
 
-def bcr_series(df: DataFrame, keys: list[str], order: str, benefit: str, cost: str, rate: float = DEFAULT_RATE) -> DataFrame:
+def bcr_series(df: DataFrame, keys: list[str], order: str, benefit: str, cost: str, rate: float) -> DataFrame:
     """Running discounted benefit over running discounted cost; null where the cost is 0."""
     df = df.withColumn("t", position(keys, order))
     by = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
@@ -54,30 +53,44 @@ def mirr(flows: Column, finance: float, reinvest: float) -> Column:
     return F.when((n > 0) & (losses < 0) & (gains > 0), F.pow(gains / F.abs(losses), 1 / n) - 1)
 
 
-def secant_rate(flows: np.ndarray, guess: float = 0.1, most: int = 100, tolerance: float = 1e-6) -> float | None:
-    """The rate at which the flows' present value is 0, by secants from guess; None if they don't settle."""
-    times = np.arange(len(flows))
+#: Fixed values of the rate search: first guess, its step, most steps, and when it settles or gives up.
+GUESS, STEP, MOST_STEPS, SETTLED, FLAT = 0.1, 0.05, 100, 1e-6, 1e-10
 
-    def value(rate: float) -> float:
-        with np.errstate(all="ignore"):
-            return float(np.sum(flows / np.power(1 + rate, times)))
 
-    a, b = guess, guess + 0.05
-    fa, fb = value(a), value(b)
-    for _ in range(most):
-        if not (math.isfinite(fa) and math.isfinite(fb)) or abs(fb - fa) < 1e-10:
-            return None
+def secant_rates(flows: np.ndarray) -> np.ndarray:
+    """For each row of flows (padded with zeros) the rate at which its present value is 0, by secants of all rows at
+    once; NaN where they don't settle."""
+    times = np.arange(flows.shape[1])
+
+    def value(rates: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        with np.errstate(all="ignore"):
+            return (flows[rows] / np.power(1 + rates[:, None], times)).sum(axis=1)
+
+    out, rows = np.full(len(flows), np.nan), np.arange(len(flows))
+    a, b = np.full(len(rows), GUESS), np.full(len(rows), GUESS + STEP)
+    fa, fb = value(a, rows), value(b, rows)
+    for _ in range(MOST_STEPS):
+        good = np.isfinite(fa) & np.isfinite(fb) & (np.abs(fb - fa) >= FLAT)
+        rows, a, b, fa, fb = rows[good], a[good], b[good], fa[good], fb[good]
+        if not len(rows):
+            break
         c = b - fb * (b - a) / (fb - fa)
-        if abs(c - b) < tolerance:
-            return c
-        a, fa, b, fb = b, fb, c, value(c)
-    return None
+        done = np.abs(c - b) < SETTLED
+        out[rows[done]] = c[done]
+        rows, a, fa, b = rows[~done], b[~done], fb[~done], c[~done]
+        fb = value(b, rows)
+    return out
 
 
 @F.pandas_udf(DoubleType())
 def irr(flows: pd.Series) -> pd.Series:
-    """Internal rate of return of arrays of flows; null if there is none."""
-    return pd.Series([None if x is None or len(x) < 2 else secant_rate(np.asarray(x, dtype=float)) for x in flows], dtype="float64")
+    """Internal rate of return of arrays of flows; null if there is none. A batch is one matrix."""
+    sizes = np.array([0 if x is None else len(x) for x in flows])
+    padded = np.zeros((len(flows), max(int(sizes.max(initial=0)), 1)))
+    for at, own in enumerate(flows):
+        padded[at, : sizes[at]] = own if own is not None else []
+    found = secant_rates(padded)
+    return pd.Series(np.where(sizes < 2, np.nan, found)).astype("Float64").where(lambda x: ~np.isnan(np.where(sizes < 2, np.nan, found)), pd.NA)
 
 
 def cumulative_rates(df: DataFrame, keys: list[str], order: str, flow: str, finance: float, reinvest: float) -> DataFrame:
@@ -137,3 +150,17 @@ def simulation_bands(simulated: DataFrame, year: str = "year") -> DataFrame:
     """Quantiles by year of all four, and the shares of NPV above 0 and BCR above 1."""
     bands = [c for name in ("npv", "bcr", "irr_pct", "mirr_pct") for c in quantile_summary(F.col(name), f"{name}_")]
     return simulated.groupBy(year).agg(*bands, exceedance(F.col("npv"), 0.0).alias("p_npv_positive"), exceedance(F.col("bcr"), 1.0).alias("p_bcr_above_one"))
+
+
+def avoided_loss_uncertainty(spark: SparkSession, cv: float, reduction: float, runs: int = 9, draws: int = 200_000, seed: int = 1) -> DataFrame:
+    """One row: p10, p50, p90, mean and n of the runs' avoided losses (absolute values), and the samples."""
+    sampled = avoided_loss_sampled(spark, cv, reduction, runs, draws, seed).withColumn("avoided", F.abs("avoided"))
+    return sampled.agg(*quantile_summary(F.col("avoided")), F.array_sort(F.collect_list("avoided")).alias("samples"))
+
+
+def simulation_finals(simulated: DataFrame, year: str = "year") -> DataFrame:
+    """One row: the same quantiles and shares over each simulation's last year, and the number of simulations; over no
+    rows, n is 0 and the rest null."""
+    last = simulated.groupBy("simulation").agg(*(F.max_by(name, year).alias(name) for name in ("npv", "bcr", "irr_pct", "mirr_pct")))
+    finals = [c for name in ("npv", "bcr", "irr_pct", "mirr_pct") for c in quantile_summary(F.col(name), f"{name}_")]
+    return last.agg(F.count(F.lit(1)).alias("simulations"), *finals, exceedance(F.col("npv"), 0.0).alias("p_npv_positive"), exceedance(F.col("bcr"), 1.0).alias("p_bcr_above_one"))

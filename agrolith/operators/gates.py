@@ -36,16 +36,37 @@ def agreement(compared: DataFrame) -> DataFrame:
 
 
 def row_sum_gate(df: DataFrame, parts: list[str], low: float = 97, high: float = 103, least: int = 6) -> DataFrame:
-    """rows, bad rows and whether all rows' parts sum to within the limits and there are enough."""
+    """rows, bad rows and whether all rows' parts sum to within the limits and there are enough. A missing header stops."""
+    if absent := [p for p in parts if p not in df.columns]:
+        raise ValueError(f"no column {', '.join(absent)}")
     total = sum((F.coalesce(F.col(p), F.lit(0)) for p in parts), F.lit(0))
     return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~total.between(low, high)).alias("bad_rows"), ((F.count_if(~total.between(low, high)) == 0) & (F.count(F.lit(1)) >= least)).alias("passed"))
 
 
-def index_gate(df: DataFrame, key: str, page: str, page_size: int, expected: Column, pattern: str) -> DataFrame:
-    """Completeness of a paged harvest: rows, unique keys, pages, malformed keys, and whether all are as expected."""
-    n, unique, pages, bad = F.count(F.lit(1)), F.countDistinct(key), F.countDistinct(page), F.count_if(~F.col(key).cast("string").rlike(pattern))
-    wanted = F.ceil(expected / page_size)
-    return df.agg(n.alias("rows"), unique.alias("unique_keys"), pages.alias("pages"), bad.alias("malformed"), ((n == expected) & (unique == n) & (pages == wanted) & (bad == 0)).alias("complete"))
+def index_gate(df: DataFrame, key: str, page: str, page_size: int, expected: int | Column, pattern: str, echo: str | None = None, order: str | None = None) -> DataFrame:
+    """Completeness of a paged harvest: rows, unique keys, repeats, pages, malformed keys, and whether all are as expected.
+    expected: the count that the source states. echo: the page number that the source gave back. order: what must fall
+    (or stay) from page to page, by the largest of a page against the least of the one before."""
+    n, unique, pages = F.count(F.lit(1)), F.countDistinct(key), F.countDistinct(page)
+    bad = F.count_if(~F.col(key).cast("string").rlike(pattern))
+    wanted = F.lit(expected) if isinstance(expected, int) else expected
+    tests = [n == wanted, unique == n, pages == F.ceil(wanted / page_size), bad == 0]
+    found = [n.alias("rows"), unique.alias("unique_keys"), (n - unique).alias("repeats"), pages.alias("pages"), bad.alias("malformed")]
+    if echo:
+        wrong = F.count_if(~F.col(echo).eqNullSafe(F.col(page)))
+        found.append(wrong.alias("wrong_echoes"))
+        tests.append(wrong == 0)
+    whole = df.agg(*found, *(t.alias(f"_t{at}") for at, t in enumerate(tests)))
+    complete = [F.col(f"_t{at}") for at in range(len(tests))]
+    if order:
+        each = df.groupBy(page).agg(F.max(order).alias("_high"), F.min(order).alias("_low"))
+        steps = each.select(F.col("_high"), F.lag("_low").over(W.orderBy(page)).alias("_before"))  # one row a page
+        whole = whole.crossJoin(steps.agg(F.count_if(F.col("_high") > F.col("_before")).alias("out_of_order")))
+        complete.append(F.col("out_of_order") == 0)
+    passed = complete[0]
+    for test in complete[1:]:
+        passed = passed & test
+    return whole.withColumn("complete", passed).drop(*(f"_t{at}" for at in range(len(tests))))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -84,12 +105,19 @@ def qc_flags(df: DataFrame, market: str, date: str, price: str, unit: str, count
     return joined.withColumn("qc_flag", flags).drop("_times", "_median", "_on_day")
 
 
-def suspects(df: DataFrame, keys: list[str], year: str, value: str, others: list[str]) -> DataFrame:
-    """suspect and suspect_reason: far below the key's other years, or the same values as another year."""
+def suspects(df: DataFrame, keys: list[str], year: str, value: str, others: list[str], product: str | None = None, identity: tuple[str, str, str] | None = None) -> DataFrame:
+    """suspect and suspect_reason, the first that holds: far below the key's other years, the same values as another
+    year, with product the same values as another product of the key and year, with identity (quantity, price, value) a
+    product that doesn't hold. Rows are kept."""
     by = W.partitionBy(*keys)
     most = F.max(value).over(by)
     same = F.count(F.lit(1)).over(W.partitionBy(*keys, value, *others))
     reason = F.when((F.col(value) < 0.1 * most), "under_entry").when(same > 1, "identical_years")
+    if product:
+        alike = W.partitionBy(*(k for k in keys if k != product), year, value, *others)
+        reason = reason.when(F.min(product).over(alike) != F.max(product).over(alike), "identical_products")
+    if identity:
+        reason = reason.when(~product_holds(*map(F.col, identity)), "identity")
     return df.withColumn("suspect_reason", reason).withColumn("suspect", reason.isNotNull())
 
 

@@ -37,15 +37,49 @@ def left_last_wins(left: DataFrame, right: DataFrame, left_key: str, right_key:
     return joined.select(*(left[c] for c in left.columns), value.alias(nested))
 
 
+def listed(values: Iterable[str] | str | None) -> list[str]:
+    return [values] if isinstance(values, str) else [v for v in (values or []) if v is not None and str(v).strip()]
+
+
 def selected(features: DataFrame, selections: dict[str, Iterable[str] | str | None]) -> DataFrame:
     """Semi join on one or several selection sets; an empty selection selects all."""
     for name, values in selections.items():
-        wanted = [values] if isinstance(values, str) else list(values or [])
-        if wanted:
+        if wanted := listed(values):
             features = features.where(F.col(name).isin(*wanted))
     return features
 
 
+def boundaries(features: dict[int, DataFrame], names: list[str], selections: list[Iterable[str] | str | None], most: int | None = None) -> tuple[int, DataFrame]:
+    """The level to show and its features. features: level -> frame with names[: level + 1]. The level is the first one
+    without a selection, at most `most` and the deepest level there is. Features are filtered by their ancestors'
+    selections alone; those selected at the level itself are marked in `selected`, not filtered."""
+    chosen = [listed(s) for s in selections]
+    level = next((at for at, values in enumerate(chosen) if not values), len(chosen))
+    level = min(level, max(features), most if most is not None else level)
+    shown = selected(features[level], dict(zip(names[:level], chosen[:level], strict=False)))
+    own = chosen[level] if level < len(chosen) else []
+    return level, shown.withColumn("selected", F.col(names[level]).isin(*own) if own else F.lit(False))
+
+
+def included(df: DataFrame, flag: str, key: str, excluded: Iterable) -> DataFrame:
+    """Rows with the flag whose key is not excluded; a null key stays."""
+    return df.where(F.col(flag) & ~F.coalesce(F.col(key).isin(*excluded), F.lit(False))).drop(flag)
+
+
+def looked_up(left: DataFrame, known: DataFrame, name: str, key: str, normal) -> tuple[DataFrame, DataFrame]:
+    """Inner lookup on a normalised name, and the names that have no match, with their row counts."""
+    table = known.select(normal(F.col(key)).alias("_n"), *(c for c in known.columns if c not in left.columns)).dropDuplicates(["_n"])
+    named = left.withColumn("_n", normal(F.col(name)))
+    missed = named.join(table.select("_n"), "_n", "left_anti").groupBy(name).agg(F.count(F.lit(1)).alias("rows"))
+    return named.join(table, "_n").drop("_n"), missed
+
+
+def unknown_related(records: DataFrame, key: str, related: str) -> DataFrame:
+    """(key, related) for related keys that are no record's key."""
+    pairs = records.select(F.col(key).alias("_from"), F.explode(related).alias("related")).distinct()
+    return pairs.join(records.select(F.col(key).alias("related")).distinct(), "related", "left_anti").select(F.col("_from").alias(key), "related")
+
+
 def many_to_one(left: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     """Left join that raises at run time where the dimension has a key twice or a left key has no match."""
     unique = dimension.groupBy(key).agg(F.count(F.lit(1)).alias("_times"), *(F.first(c).alias(c) for c in dimension.columns if c != key))
@@ -76,18 +110,39 @@ def resolve_names(names: DataFrame, known: DataFrame, aliases: dict[str, str], n
     return joined.select(*names.columns, F.coalesce("_exact", "_by_alias", "_by_prefix").alias(key))
 
 
+#: So many centres at most are held as one array beside every point.
+FEW = 64
+
+
 def nearest(points: DataFrame, centres: DataFrame, value: str, centre: str, tolerance: float) -> DataFrame:
-    """Each point with its nearest centre within a tolerance (the smaller of two equally near ones).
+    """Each point with its nearest centre within a tolerance (the smaller of two equally near ones); repeated points
+    each stay.
 
-    Points and centres meet in cells as wide as the tolerance: a centre offers itself in three cells.
+    Up to FEW distinct centres, which a bounded look tells, stand beside every point as an array: nothing is shuffled.
+    More meet the points in cells as wide as the tolerance: a centre offers itself in three cells.
     """
+    known = [row[0] for row in centres.select(F.col(centre).cast("double")).where(F.col(centre).isNotNull()).distinct().limit(FEW + 1).collect()]
+    offer = lambda c: F.when(F.abs(F.col(value) - c) <= tolerance, F.struct(F.abs(F.col(value) - c).alias("d"), c.alias("c")))
+    if len(known) <= FEW:
+        offers = F.transform(F.array(*map(F.lit, known)).cast("array<double>"), offer)
+        return points.withColumn(centre, F.array_min(F.filter(offers, lambda x: x.isNotNull()))["c"])
     cell = F.floor(F.col(value) / tolerance)
-    offered = centres.select(F.col(centre).alias("_c"), F.explode(F.sequence(F.floor(F.col(centre) / tolerance) - 1, F.floor(F.col(centre) / tolerance) + 1)).alias("_cell"))
-    best = points.withColumn("_cell", cell).join(offered, "_cell", "left")
-    far = F.abs(F.col(value) - F.col("_c"))
-    best = best.withColumn("_offer", F.when(far <= tolerance, F.struct(far.alias("d"), F.col("_c").alias("c"))))
-    names = points.columns
-    return best.groupBy(*names).agg(F.min("_offer").alias("_best")).select(*names, F.col("_best.c").alias(centre))
+    offered = centres.select(F.col(centre).cast("double").alias("_c"), F.explode(F.sequence(F.floor(F.col(centre) / tolerance) - 1, F.floor(F.col(centre) / tolerance) + 1)).alias("_cell"))
+    numbered = points.select(F.struct("*").alias("_point"), cell.alias("_cell"), F.monotonically_increasing_id().alias("_number"))
+    met = numbered.join(offered, "_cell", "left").withColumn(value, F.col(f"_point.{value}"))
+    best = met.groupBy("_number").agg(F.first("_point").alias("_point"), F.min(offer(F.col("_c"))).alias("_best"))
+    return best.select("_point.*", F.col("_best.c").alias(centre))
+
+
+def placed(df: DataFrame, name: str, *order: Column) -> DataFrame:
+    """Row numbers from 1 in a global order, without all rows in one task: rows are dealt to ranges of the order, counted
+    by range, and numbered within. The ranges are held so that both passes see the same."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()).persist()
+    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    within = F.row_number().over(W.partitionBy("_range").orderBy(*order))
+    return ranged.join(F.broadcast(before), "_range").withColumn(name, (F.col("_before") + within).cast("long")).drop("_range", "_before")  # one row a range
 
 
 def bin_join(df: DataFrame, bins: DataFrame, value: str) -> DataFrame:

@@ -11,7 +11,9 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
+from agrolith.functions.rowwise import RowFunction, called, settled
 from agrolith.functions.types import coerce
 
 #: Operand counts: exact, or None for one and more.
@@ -36,20 +38,42 @@ class Sort:
 @dataclass
 class TableSpec:
     types: dict[str, str] = field(default_factory=dict)
-    derive: dict[str, Column | str] = field(default_factory=dict)
+    derive: dict[str, Column | str | RowFunction] = field(default_factory=dict)
     filter: list[Filter] = field(default_factory=list)
     sort: list[Sort] = field(default_factory=list)
     slice: tuple[int | None, int | None] = (None, None)
     select: list[str] | None = None
     names: dict[str, str] = field(default_factory=dict)
     nulls: str = "sql"
+    #: With a name, what a derived column raises on a row is kept in a map of that name, and the value is null.
+    errors: str | None = None
 
 
 def floating(df: DataFrame, name: str) -> bool:
     return dict(df.dtypes).get(name) in ("double", "float")
 
 
-def predicate(df: DataFrame, entry: Filter, nulls: str = "sql", like_wildcards: bool = False) -> Column:
+def numeric(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, NumericType) if name in df.columns else False
+
+
+def valid(df: DataFrame, name: str, kind: str | None = None) -> Column:
+    """Whether a value is one of its logical type (the column's own if none is given): there, not NaN, and for a text
+    such as the type's coercion takes."""
+    column = df[name]
+    if kind is None or kind in ("raw", "other", "string", "array", "object", "buffer"):
+        return column.isNotNull() & (~F.isnan(column) if floating(df, name) else F.lit(True))
+    fits = coerce(column, kind)
+    fits = fits.isNotNull() & (~F.isnan(fits) if kind in ("integer", "number") else F.lit(True))
+    return fits & (fits_integer(coerce(column, kind)) if kind == "integer" else F.lit(True))
+
+
+def fits_integer(number: Column) -> Column:
+    return number == F.floor(number)
+
+
+def predicate(df: DataFrame, entry: Filter, nulls: str = "sql", like_wildcards: bool = False, kind: str | None = None) -> Column:
+    """kind: the logical type by which v and nv judge. A null text compares with nothing in either dialect."""
     if entry.type not in OPERANDS:
         raise ValueError(f"unknown filter {entry.type!r}")
     wanted = OPERANDS[entry.type]
@@ -57,8 +81,7 @@ def predicate(df: DataFrame, entry: Filter, nulls: str = "sql", like_wildcards:
         raise ValueError(f"filter {entry.type!r} takes {wanted} operands, not {len(entry.values)}")
     column, js = df[entry.column], nulls == "js"
     values = [v if isinstance(v, Column) else F.lit(v) for v in entry.values]
-    nan = F.isnan(column) if floating(df, entry.column) else F.lit(False)
-    compared = F.coalesce(column, F.lit(0)) if js else column
+    compared = F.coalesce(column, F.lit(0)) if js and numeric(df, entry.column) else column
     match entry.type:
         case "eq":
             return column.eqNullSafe(values[0]) if js else column == values[0]
@@ -85,8 +108,8 @@ def predicate(df: DataFrame, entry: Filter, nulls: str = "sql", like_wildcards:
         case "nn":
             return column.isNotNull()
         case "v":
-            return column.isNotNull() & ~nan
-    return column.isNull() | nan
+            return valid(df, entry.column, kind)
+    return ~valid(df, entry.column, kind)
 
 
 def ordering(df: DataFrame, sorts: list[Sort]) -> list[Column]:
@@ -106,11 +129,15 @@ def evaluate(df: DataFrame, spec: TableSpec) -> DataFrame:
     # derived columns see the source under its new names, and not each other
     renamed = df.withColumnsRenamed(spec.names)
     derived = {name: (F.expr(value) if isinstance(value, str) else value) for name, value in spec.derive.items()}
+    calls = {name: value for name, value in derived.items() if isinstance(value, RowFunction)}
+    derived = {name: value for name, value in derived.items() if name not in calls} | called(renamed, calls)
     if derived:
         back = {new: old for old, new in spec.names.items()}
         df = renamed.withColumns(derived).withColumnsRenamed(back)
+    if calls:
+        df = settled(df, list(calls), spec.errors)
     for entry in spec.filter:
-        df = df.where(predicate(df, entry, spec.nulls))
+        df = df.where(predicate(df, entry, spec.nulls, kind=spec.types.get(entry.column)))
     if spec.sort:
         df = df.orderBy(*ordering(df, spec.sort))
     start, stop = spec.slice
@@ -130,14 +157,6 @@ def quoted(*parts: str) -> str:
     return ".".join("`" + part.replace("`", "``") + "`" for part in parts if part)
 
 
-def literal(value: Any) -> str:
-    if value is None:
-        return "NULL"
-    if isinstance(value, bool | int | float):
-        return str(value)
-    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def render_sql(table: str | tuple[str, ...], spec: TableSpec) -> tuple[str, list[Any]]:
     """The spec as SQL text with `?` parameters; derive and types have no SQL form and are refused."""
     if spec.derive or spec.types:

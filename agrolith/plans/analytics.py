@@ -52,11 +52,6 @@ def value_counts(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"))
 
 
-@query("approx_distinct_users")
-def approx_distinct_users(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.approx_count_distinct("user_id").alias("users"))
-
-
 @query("mode_per_user", "SELECT user_id, event_type AS mode, n AS mode_count, total FROM (SELECT user_id, event_type, count(*) AS n, CAST(sum(count(*)) OVER (PARTITION BY user_id) AS BIGINT) AS total, row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, event_type) AS place FROM events GROUP BY 1, 2) WHERE place = 1")
 def mode_per_user(spark, sf_dir):
     return A.modes(table(spark, sf_dir, "events"), ["user_id"], "event_type")
@@ -118,11 +113,11 @@ def share_apportion(spark, sf_dir):
     return A.shares(table(spark, sf_dir, "supplier").withColumn("w", weight), ["s_nationkey"], "w", "s_suppkey").select("s_suppkey", F.round("share", 8).alias("share"))
 
 
-@query("median_price_month", "SELECT p_type, year(l_shipdate) AS year, month(l_shipdate) AS month, round(median(l_extendedprice / l_quantity), 2) AS median_price, count(*) AS n_quotes FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linestatus = 'F' GROUP BY ALL")
+@query("median_price_month", "SELECT p_type, year(l_shipdate) AS year, month(l_shipdate) AS month, round(median(l_extendedprice / l_quantity), 6) AS median_price, count(*) AS n_quotes FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linestatus = 'F' GROUP BY ALL")
 def median_price_month(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").where("l_linestatus = 'F'").join(table(spark, sf_dir, "part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     keys = ["p_type", F.year("l_shipdate").cast("long").alias("year"), F.month("l_shipdate").cast("long").alias("month")]
-    return rows.groupBy(*keys).agg(F.round(F.median(F.col("l_extendedprice") / F.col("l_quantity")), 2).alias("median_price"), F.count(F.lit(1)).alias("n_quotes"))
+    return rows.groupBy(*keys).agg(F.round(F.median(F.col("l_extendedprice") / F.col("l_quantity")), 6).alias("median_price"), F.count(F.lit(1)).alias("n_quotes"))
 
 
 @query("terms_of_trade", "SELECT year(l_shipdate) AS year, round(median(l_extendedprice) FILTER (l_returnflag = 'A') / nullif(median(l_extendedprice) FILTER (l_returnflag = 'N'), 0), 6) AS terms FROM lineitem GROUP BY 1")
@@ -265,18 +260,6 @@ def analogue_topk(spark, sf_dir):
     return rows.select("nation", "year", "analogue", F.round("distance", 6).alias("distance"), F.col("place").cast("long").alias("place"))
 
 
-@query("hindcast_skill")
-def hindcast_skill(spark, sf_dir):
-    """Tercile shares of each year's three analogues against what came: rps, rpss and accuracy."""
-    years = nation_years(spark, sf_dir)
-    known = seasonal.anomalies(years, ["nation"], "year", "total", 1995, 2001, least=3).select("nation", "year", "tercile", "n", "total")
-    near = seasonal.analogues(known.select("nation", "year", F.col("n").cast("double").alias("n")), known.select("nation", "year", F.col("n").cast("double").alias("n")), ["nation"], ["n"], 3)
-    outcome = known.select("nation", F.col("year").alias("analogue"), F.col("tercile").alias("then"))
-    shares = near.join(outcome, ["nation", "analogue"]).groupBy("nation", "year").agg(*(F.avg(F.when(F.col("then") == c, 1.0).otherwise(0.0)).alias(f"p_{c.lower()}") for c in ("Dry", "Near", "Wet")))
-    forecast = shares.join(known.select("nation", "year", "tercile"), ["nation", "year"])
-    return seasonal.ranked_probability_skill(forecast, ["Dry", "Near", "Wet"], ["p_dry", "p_near", "p_wet"], "tercile")
-
-
 @query("dekad_segments", "SELECT s_suppkey, m_start, m_end FROM (SELECT s_suppkey, ((s_suppkey * 7) % 36) // 3 + 1 AS a, ((s_suppkey * 7 + 8) % 36) // 3 + 1 AS b FROM supplier) CROSS JOIN LATERAL (SELECT a AS m_start, CASE WHEN a <= b THEN b ELSE 12 END AS m_end UNION ALL SELECT 1, b WHERE a > b)")
 def dekad_segments(spark, sf_dir):
     first = C.dekad_month((F.col("s_suppkey") * 7) % 36 + 1)
@@ -331,29 +314,12 @@ def mirr_customer(spark, sf_dir):
     return flows.select("o_custkey", F.round(finance.mirr(F.col("flows"), 0.10, 0.12), 6).alias("mirr"))
 
 
-@query("irr_customer")
-def irr_customer(spark, sf_dir):
-    flows = customer_flows(spark, sf_dir).groupBy("o_custkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("year", "flow"))), lambda x: x["flow"]).alias("flows"))
-    return flows.select("o_custkey", finance.irr("flows").alias("irr"))
-
-
 @query("avoided_loss_closed", "SELECT p_brand, round(greatest(0, 0.3989422804014327 * (cv - cv * 0.7)), 8) AS avoided FROM (SELECT p_brand, stddev_samp(p_retailprice) / avg(p_retailprice) AS cv FROM part GROUP BY 1)")
 def avoided_loss_closed(spark, sf_dir):
     cv = table(spark, sf_dir, "part").groupBy("p_brand").agg((F.stddev_samp("p_retailprice") / F.avg("p_retailprice")).alias("cv"))
     return cv.select("p_brand", F.round(finance.avoided_loss(F.col("cv"), F.lit(0.3)), 8).alias("avoided"))
 
 
-@query("avoided_loss_sampled")
-def avoided_loss_sampled(spark, sf_dir):
-    return finance.avoided_loss_sampled(spark, 0.3, 0.2, runs=9)
-
-
-@query("simulation_bands")
-def simulation_bands(spark, sf_dir):
-    flows = spark.createDataFrame([(t, 0.0 if t == 0 else 300.0 + 20 * t, 1000.0 if t == 0 else 50.0, 0.1) for t in range(10)], "year int, project_benefit double, cost double, discount_rate double")
-    return finance.simulation_bands(finance.simulate(flows, (0.7, 1.0, 1.2), (0.9, 1.0, 1.3)))
-
-
 # gates
 
 
@@ -403,15 +369,10 @@ def row_sum_gate(spark, sf_dir):
     return gates.row_sum_gate(rows, ["a", "b", "c"])
 
 
-@query("index_gate", "SELECT count(*) AS rows, count(DISTINCT page_id) AS unique_keys, count(DISTINCT page_id // 20) AS pages, count(*) FILTER (NOT regexp_matches(CAST(page_id AS VARCHAR), '^[0-9]+$')) AS malformed, true AS complete FROM pages")
+@query("index_gate", "SELECT count(*) AS rows, count(DISTINCT page_id) AS unique_keys, 0 AS repeats, count(DISTINCT page_id // 20) AS pages, count(*) FILTER (NOT regexp_matches(CAST(page_id AS VARCHAR), '^[0-9]+$')) AS malformed, true AS complete FROM pages")
 def index_gate(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", F.floor(F.col("page_id") / 20).alias("p"))
-    return gates.index_gate(pages, "page_id", "p", 20, F.count(F.lit(1)), "^[0-9]+$")
-
-
-@query("content_fingerprint")
-def content_fingerprint(spark, sf_dir):
-    return gates.fingerprint(table(spark, sf_dir, "orders"))
+    return gates.index_gate(pages, "page_id", "p", 20, table(spark, sf_dir, "pages").count(), "^[0-9]+$")
 
 
 @query("missing_keys", "SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")

@@ -70,7 +70,7 @@ def unit_scaling(spark, sf_dir):
 @query("array_functions", "SELECT o_custkey, count(*) AS filled, CAST(len(list(o_totalprice)) AS BIGINT) AS n FROM orders GROUP BY 1")
 def array_functions(spark, sf_dir):
     lists = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.collect_list("o_totalprice").alias("v"), F.count(F.lit(1)).alias("n"))
-    return lists.select("o_custkey", C.filled(C.padded(F.col("v"), 1000)).cast("long").alias("filled"), F.size("v").cast("long").alias("n"))
+    return lists.select("o_custkey", C.filled(F.col("v")).cast("long").alias("filled"), F.size("v").cast("long").alias("n"))
 
 
 @query("freshness", "SELECT o_orderkey, CASE WHEN date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-08-02') <= 40 THEN 'fresh' ELSE 'late' END AS state FROM orders")

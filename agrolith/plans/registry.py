@@ -27,4 +27,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import analytics, functions, relational  # noqa: E402, F401  they register their queries
+from . import analyses, analytics, functions, relational, sourced  # noqa: E402, F401  they register their queries

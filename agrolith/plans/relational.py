@@ -5,6 +5,8 @@ Regions, nations and customers stand for the three levels of a hierarchy, part t
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from agrolith.functions import columns as C
@@ -24,35 +26,38 @@ levels AS (
 """
 
 
-def levels(spark, sf_dir):
-    """Revenue at all levels as one rollup-encoded table. Customers, nations and regions are joined smallest first;
+def levels(spark, sf_dir, depth):
+    """Revenue at one level of a rollup-encoded table: by so many leading keys, so no other level is expanded. Customers, nations and regions are joined smallest first;
     the planner broadcasts what it knows to be small."""
     region, nation = table(spark, sf_dir, "region"), table(spark, sf_dir, "nation")
     places = nation.join(region, nation["n_regionkey"] == region["r_regionkey"]).select("n_nationkey", F.col("n_name").alias("admin1_name"), F.col("r_name").alias("admin0_name"))
-    customers = table(spark, sf_dir, "customer").join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey"))  # one row a nation
+    customers = table(spark, sf_dir, "customer").join(relational.small(places), F.col("c_nationkey") == F.col("n_nationkey"))
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice")
     base = orders.join(customers.select("c_custkey", "admin0_name", "admin1_name", F.col("c_name").alias("admin2_name")), F.col("o_custkey") == F.col("c_custkey"))
-    return hierarchy.rollup_table(base, ["admin0_name", "admin1_name", "admin2_name"], F.round(F.sum("o_totalprice"), 2).alias("revenue"), F.count(F.lit(1)).alias("n_orders"))
+    return hierarchy.rollup_table(base, ["admin0_name", "admin1_name", "admin2_name"], F.round(F.sum("o_totalprice"), 2).alias("revenue"), F.count(F.lit(1)).alias("n_orders"), depths=[depth])
 
 
 @query("admin_rollup_level0", LEVELS + "SELECT * FROM levels WHERE level_id = 3")
 def admin_rollup_level0(spark, sf_dir):
-    return levels(spark, sf_dir).where(params.level_column({}, grouping="level_id"))
+    return levels(spark, sf_dir, 1).where(params.level_column({}, grouping="level_id"))
 
 
 @query("admin_rollup_level1", LEVELS + "SELECT * FROM levels WHERE admin0_name IN ('ASIA', 'EUROPE') AND admin1_name IS NOT NULL AND admin2_name IS NULL")
 def admin_rollup_level1(spark, sf_dir):
     bind = params.Bindings()
     where = params.level_sql({"admin0": ["ASIA", "EUROPE"]}, bind)
-    levels(spark, sf_dir).createOrReplaceTempView("agrolith_levels")
-    return spark.sql(f"SELECT * FROM agrolith_levels WHERE {where}", args=bind.params)
+    name = f"levels_{uuid.uuid4().hex}"
+    levels(spark, sf_dir, 2).createOrReplaceTempView(name)
+    found = spark.sql(f"SELECT * FROM {name} WHERE {where}", args=bind.params)
+    spark.catalog.dropTempView(name)  # the frame keeps its plan
+    return found
 
 
 @query("admin_rollup_level2", LEVELS + "SELECT * FROM levels WHERE admin0_name IN ('AFRICA') AND admin1_name IN (SELECT min(n_name) FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'AFRICA') AND level_id = 0")
 def admin_rollup_level2(spark, sf_dir):
     nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
     first = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).where("r_name = 'AFRICA'").agg(F.min("n_name")).first()[0]
-    return levels(spark, sf_dir).where(params.level_column({"admin0": "AFRICA", "admin1": first}, grouping="level_id"))
+    return levels(spark, sf_dir, 3).where(params.level_column({"admin0": "AFRICA", "admin1": first}, grouping="level_id"))
 
 
 @query("cube_returnflag_status", "SELECT l_returnflag, l_linestatus, CAST(GROUPING(l_returnflag, l_linestatus) AS BIGINT) AS level_id, round(sum(l_quantity), 2) AS quantity, count(*) AS n FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus)")
@@ -105,10 +110,13 @@ def spec_pipeline(spark, sf_dir):
 
 @query("spec_rendered_sql", "SELECT c_custkey AS id, c_name FROM customer WHERE c_acctbal >= 5000 AND c_mktsegment IN ('AUTOMOBILE') ORDER BY c_custkey LIMIT 40 OFFSET 5")
 def spec_rendered_sql(spark, sf_dir):
-    table(spark, sf_dir, "customer").createOrReplaceTempView("agrolith_customer")
     spec = TableSpec(filter=[Filter("gte", "c_acctbal", [5000.0]), Filter("in", "c_mktsegment", ["AUTOMOBILE"])], sort=[Sort("c_custkey")], slice=(5, 45), select=["c_custkey", "c_name"], names={"c_custkey": "id"})
-    sql, args = render_sql("agrolith_customer", spec)
-    return spark.sql(sql, args=args)
+    name = f"customer_{uuid.uuid4().hex}"
+    table(spark, sf_dir, "customer").createOrReplaceTempView(name)
+    sql, args = render_sql(name, spec)
+    found = spark.sql(sql, args=args)
+    spark.catalog.dropTempView(name)  # the frame keeps its plan
+    return found
 
 
 @query("row_search", r"SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE regexp_matches(concat_ws(' ', CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR)), '(?i)(^|\W)nation_1')")
@@ -121,18 +129,16 @@ def slice_offset(spark, sf_dir):
     return evaluate(table(spark, sf_dir, "customer"), TableSpec(sort=[Sort("c_custkey")], slice=(50, 150), select=["c_custkey", "c_name"]))
 
 
-@query("sort_nulls_last_desc", "SELECT doc_id, toxic FROM documents LEFT JOIN labels USING (doc_id) ORDER BY toxic DESC NULLS LAST, doc_id LIMIT 500")
+@query("sort_nulls_last_desc", "SELECT doc_id, toxic FROM documents LEFT JOIN labels USING (doc_id) ORDER BY toxic DESC NULLS LAST, doc_id")
 def sort_nulls_last_desc(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left").select("doc_id", "toxic")
-    return evaluate(rows, TableSpec(sort=[Sort("toxic", "desc"), Sort("doc_id")], slice=(0, 500)))
+    return evaluate(rows, TableSpec(sort=[Sort("toxic", "desc"), Sort("doc_id")]))
 
 
 @query("collated_sort", "SELECT p_type, row_number() OVER (ORDER BY p_type COLLATE NOCASE.NOACCENT) AS place FROM (SELECT DISTINCT p_type FROM part)")
 def collated_sort(spark, sf_dir):
     types = table(spark, sf_dir, "part").select("p_type").distinct()
-    # a limit beyond any number of types lets the order be merged from partitions; places come from the order's index
-    ordered = types.orderBy(F.collate("p_type", "UNICODE_CI_AI")).agg(F.array_sort(F.collect_list(F.collate("p_type", "UNICODE_CI_AI"))).alias("t"))
-    return ordered.select(F.posexplode("t")).select(F.collate("col", "UTF8_BINARY").alias("p_type"), (F.col("pos") + 1).cast("long").alias("place"))
+    return relational.placed(types, "place", F.collate("p_type", "UNICODE_CI_AI").asc())
 
 
 @query("left_last_wins", "SELECT c_custkey, last.o_orderkey AS last_order, last.o_totalprice AS last_price FROM customer LEFT JOIN (SELECT * FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1) last ON c_custkey = last.o_custkey")
@@ -164,7 +170,7 @@ def many_to_one(spark, sf_dir):
 def star_lookup(spark, sf_dir):
     t = lambda name: table(spark, sf_dir, name)
     places = t("nation").join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name")
-    customers = t("customer").join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "r_name")  # one row a nation
+    customers = t("customer").join(relational.small(places), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "r_name")
     orders = t("orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "r_name")
     lines = t("lineitem").join(t("part").select("p_partkey", "p_brand"), F.col("l_partkey") == F.col("p_partkey")).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return lines.groupBy("r_name", "p_brand").agg(F.sum((F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")).cast("double").alias("revenue"), F.count(F.lit(1)).alias("n"))

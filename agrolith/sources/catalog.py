@@ -6,6 +6,7 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from agrolith.functions.types import inferred
 
@@ -57,6 +58,9 @@ def load(spark: SparkSession, source: Any, **options: Any) -> DataFrame:
         "feather": lambda: containers.read_arrow(spark, source),
         "xml": lambda: spark.read.format("xml").option("rowTag", options.get("row_tag", "row")).load(source),
         "txt": lambda: spark.read.text(source),
+        "png": lambda: image(spark, source),
+        "jpg": lambda: image(spark, source),
+        "jpeg": lambda: image(spark, source),
         "html": lambda: spark.read.text(source, wholetext=True),
         "db": lambda: containers.read_sqlite(spark, source, options["table"]),
         "sqlite": lambda: containers.read_sqlite(spark, source, options["table"]),
@@ -65,11 +69,23 @@ def load(spark: SparkSession, source: Any, **options: Any) -> DataFrame:
     return readers.get(kind, lambda: spark.read.format("binaryFile").load(source))()
 
 
+def image(spark: SparkSession, path: str) -> DataFrame:
+    """(origin, height, width, channels, mode, data) of images."""
+    return spark.read.format("image").load(path).select("image.origin", "image.height", "image.width", "image.nChannels", "image.mode", "image.data").withColumnRenamed("nChannels", "channels")
+
+
+def chunks(spark: SparkSession, path: str, size: int = 1 << 16) -> DataFrame:
+    """A file's bytes as a stream of rows (place, chunk), in order of place."""
+    files = spark.read.format("binaryFile").load(path).where("length > 0")
+    places = F.sequence(F.lit(0), F.floor((F.col("length") - 1) / size).cast("int"))
+    return files.select("content", F.explode(places).alias("place")).select("place", F.substr("content", F.col("place") * size + 1, F.lit(size)).alias("chunk"))
+
+
 class Catalog:
-    """Sources by name, loaded when first asked for and kept until they are replaced."""
+    """Sources by name, loaded when first asked for and kept until they are replaced or, for a list, its length changes."""
 
     def __init__(self, spark: SparkSession, sources: dict[str, Any]) -> None:
-        self.spark, self.sources, self.frames = spark, dict(sources), {}
+        self.spark, self.sources, self.frames, self.sizes = spark, dict(sources), {}, {}
 
     @classmethod
     def of(cls, spark: SparkSession, sources: dict[str, Any]) -> Catalog:
@@ -79,8 +95,13 @@ class Catalog:
         return catalog
 
     def frame(self, name: str) -> DataFrame:
+        source = self.sources[name]
+        held = source.get("data") if isinstance(source, dict) else source
+        size = len(held) if isinstance(held, list) else None
+        if name in self.sizes and self.sizes[name] != size:
+            self.frames.pop(name, None)
         if name not in self.frames:
-            source = self.sources[name]
+            self.sizes[name] = size
             options = {k: v for k, v in source.items() if k not in ("data", "file")} if isinstance(source, dict) else {}
             self.frames[name] = load(self.spark, source.get("data", source.get("file")) if isinstance(source, dict) else source, **options)
         return self.frames[name]

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,13 +23,24 @@ def csv_line(columns: list[str]) -> Column:
 
 
 def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, header: bool = True) -> None:
-    """CRLF lines in part files; each part begins with the header, so each is a file of its own. A byte-order mark is
-    added by csv_text(), for downloads."""
+    """CRLF lines in part files; each part begins with the header, so each is a file of its own, and an empty frame gives
+    one with the header alone. A byte-order mark is added by csv_text(), for downloads."""
     columns = columns or df.columns
-    df.select(csv_line(columns).alias("value")).write.option("lineSep", "\r\n").mode("overwrite").text(path)
+    lines = df.select(csv_line(columns).alias("value"))
     if header:
-        names = df.sparkSession.createDataFrame([(",".join(columns),)], "value string")
-        names.write.option("lineSep", "\r\n").mode("append").text(f"{path}/_header")
+        names = ",".join(columns)
+
+        def headed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            first = True
+            for batch in batches:
+                if first and batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([pa.array([names])], ["value"])
+                    first = False
+                yield pa.RecordBatch.from_arrays([batch.column(0)], ["value"])
+
+        alone = df.sparkSession.createDataFrame([(names,)], "value string")
+        lines = alone.coalesce(1) if df.isEmpty() else lines.mapInArrow(headed, "value string")
+    lines.write.option("lineSep", "\r\n").mode("overwrite").text(path)
 
 
 def csv_text(df: DataFrame, columns: list[str] | None = None, bom: bool = True, last_newline: bool = True, most_rows: int = 100_000) -> str:

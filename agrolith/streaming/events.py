@@ -9,10 +9,12 @@ import tempfile
 import time
 import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def timestamped(df: DataFrame, ts: str = "ts") -> DataFrame:
@@ -47,15 +49,21 @@ def deduplicated(df: DataFrame, keys: list[str], late: str, ts: str = "ts") -> D
 
 
 def shared(spark: SparkSession, purpose: str) -> str:
-    """A new folder below spark.checkpoint.dir, or a temporary one where that is unset."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="agrolith-")
+    """A new folder below spark.checkpoint.dir. Where that is unset a temporary one will do for a local session; on a
+    cluster, whose executors don't see it, that is an error."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="agrolith-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
 def run_available(spark: SparkSession, path: str, transform: Callable[[DataFrame], DataFrame], mode: str) -> DataFrame:
     """Streams all that a folder or file of parquet holds through a transformation; the result as a table.
 
-    In complete mode a batch replaces what earlier ones wrote; in append mode batches add up.
+    In complete mode a batch replaces what earlier ones wrote; in append mode each batch has a folder of its own, which
+    a repeated batch writes anew, so none counts twice.
     """
     out, schema = shared(spark, "stream-out"), spark.read.parquet(path).schema
     pattern = path[:-1] + f"[{path[-1]}]"  # a glob, since a stream's path may not be a single file
@@ -63,36 +71,98 @@ def run_available(spark: SparkSession, path: str, transform: Callable[[DataFrame
     result = transform(rows)
 
     def store(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
+        batch.write.mode("overwrite").parquet(out if mode == "complete" else f"{out}/{number}")
 
     query = result.writeStream.outputMode(mode).option("checkpointLocation", shared(spark, "stream-state")).trigger(availableNow=True).foreachBatch(store).start()
     query.awaitTermination()
-    return spark.read.schema(result.schema).parquet(out)
-
-
-def growing(df: DataFrame, interval: float = 0.15) -> Iterator[tuple[list, bool]]:
-    """Rows as they come, yielded as a growing list at most every interval, at last with done = True. For results that
-    a user looks at; partitions are fetched one by one."""
-    rows, last = [], time.monotonic()
-    for row in df.toLocalIterator(prefetchPartitions=True):
-        rows.append(row)
-        if time.monotonic() - last > interval:
-            last = time.monotonic()
-            yield rows, False
-    yield rows, True
-
-
-def batches(df: DataFrame, rows: int = 10_000) -> Iterator[pa.RecordBatch]:
-    """Arrow batches of a result, at most so many rows each."""
-    held: list = []
-    schema = df.limit(0).toArrow().schema
-    for row in df.toLocalIterator(prefetchPartitions=True):
-        held.append(row.asDict())
-        if len(held) == rows:
-            yield pa.RecordBatch.from_pylist(held, schema=schema)
-            held = []
-    if held:
-        yield pa.RecordBatch.from_pylist(held, schema=schema)
+    if mode != "complete":
+        spark.createDataFrame([], result.schema).write.parquet(f"{out}/none")  # a stream without rows has a result too
+    return spark.read.schema(result.schema).option("recursiveFileLookup", True).parquet(out)
+
+
+def growing(df: DataFrame, interval: float = 0.15) -> Iterator[Growing]:
+    """Rows as they come, yielded as a growing list at most every interval, at last with done = True; an error ends it
+    with the rows so far. For results that a user looks at; partitions are fetched one by one."""
+    out, last = Growing([], df.schema), time.monotonic()
+    try:
+        for row in df.toLocalIterator(prefetchPartitions=True):
+            out.rows.append(row)
+            if time.monotonic() - last > interval:
+                last = time.monotonic()
+                yield out
+    except Exception as error:  # noqa: BLE001  what a query raises is part of what is delivered
+        out.error = error
+    out.done = True
+    yield out
+
+
+@dataclass
+class Growing:
+    rows: list
+    schema: StructType
+    done: bool = False
+    error: Exception | None = None
+
+
+def batches(df: DataFrame) -> Iterator[pa.RecordBatch]:
+    """Arrow batches of a result as the executors make them: a row of the fetched frame is a whole batch in IPC form."""
+
+    def packed(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, batch.schema) as writer:
+                writer.write_batch(batch)
+            yield pa.RecordBatch.from_arrays([pa.array([out.getvalue().to_pybytes()], pa.binary())], ["ipc"])
+
+    for row in df.mapInArrow(packed, "ipc binary").toLocalIterator(prefetchPartitions=True):
+        yield from pa.ipc.open_stream(pa.BufferReader(bytes(row[0])))
+
+
+def generated(spark: SparkSession, start: int, stop: int, step: int = 1) -> DataFrame:
+    """The values of a range, as rows."""
+    return spark.range(start, stop, step).withColumnRenamed("id", "value")
+
+
+def ticks(spark: SparkSession, per_second: int = 1) -> DataFrame:
+    """A stream of (timestamp, value), the value counting up: a clock."""
+    return spark.readStream.format("rate").option("rowsPerSecond", per_second).load()
+
+
+def filtered_stream(df: DataFrame, condition: Column) -> DataFrame:
+    return df.where(condition)
+
+
+def mapped_stream(df: DataFrame, **columns: Column) -> DataFrame:
+    return df.select(*(column.alias(name) for name, column in columns.items()))
+
+
+def value_at(df: DataFrame, order: str, place: int, value: str):
+    """The value at a place (from 0) of an order; None beyond the end. Only place + 1 rows are ordered by the driver's
+    plan (a top-k), and one comes to it."""
+    row = df.orderBy(order).offset(place).limit(1).select(value).collect()
+    return row[0][0] if row else None
+
+
+class Mutable:
+    """A value that readers of a Views definition see anew when it is set."""
+
+    def __init__(self, views: Views, name: str, value: DataFrame) -> None:
+        self.views, self.name = views, name
+        self.set(value)
+
+    def set(self, value: DataFrame) -> None:
+        self.views.define(self.name, [], lambda: value, replace=True)
+
+
+def refreshed(old: DataFrame, new: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """A snapshot after a refresh, and what changed (state: added or revised): rows of new replace those of their key where
+    they differ, keys that new lacks stay. A refresh without changes gives no changed rows, so nothing need be written."""
+    values = [c for c in old.columns if c not in keys]
+    own = old.select(*keys, F.xxhash64(*values).alias("_hash"), F.lit(True).alias("_there"))
+    told = new.join(own, keys, "left").withColumn("state", F.when(F.col("_there").isNull(), "added").when(F.xxhash64(*values) != F.col("_hash"), "revised"))
+    changed = told.where(F.col("state").isNotNull()).select(*old.columns, "state")
+    kept = old.join(changed.select(*keys), keys, "left_anti")
+    return kept.select(*old.columns).unionByName(changed.drop("state")), changed
 
 
 class Cancellable:

@@ -144,8 +144,9 @@ def test_text_functions(spark):
 
 
 def test_rates_of_return(spark):
-    assert finance.secant_rate(np.array([-100.0, 60.0, 60.0])) == pytest.approx(0.1306623863, abs=1e-6)
-    assert finance.secant_rate(np.array([10.0, 10.0])) is None
+    rates = finance.secant_rates(np.array([[-100.0, 60.0, 60.0], [10.0, 10.0, 0.0]]))
+    assert rates[0] == pytest.approx(0.1306623863, abs=1e-6)
+    assert np.isnan(rates[1])
     df = spark.createDataFrame([([-100.0, 60.0, 60.0],), ([5.0],), ([1.0, 2.0],)], "f array<double>")
     got = df.select(finance.irr("f"), finance.mirr(F.col("f"), 0.1, 0.1)).collect()
     assert got[0][1] == pytest.approx((126 / 100) ** 0.5 - 1)
@@ -201,20 +202,77 @@ def test_views(spark):
 
 
 def test_growing_results(spark):
-    *_, (last, done) = growing(spark.range(10))
-    assert done and len(last) == 10
+    *_, last = growing(spark.range(10))
+    assert last.done and len(last.rows) == 10 and last.error is None and last.schema.names == ["id"]
+    *_, failed = growing(spark.range(10).select(F.when(F.col("id") == 9, F.raise_error(F.lit("bad"))).otherwise(F.col("id"))))
+    assert failed.done and "bad" in str(failed.error)
 
 
-def test_simulations_run_at_the_operators_defaults(spark, monkeypatch):
-    from agrolith.plans import analytics
+def test_simulations_run_at_the_operators_defaults():
+    import inspect
 
-    calls = []
-    monkeypatch.setattr(finance, "avoided_loss_sampled", lambda *args, **named: calls.append(named))
-    monkeypatch.setattr(finance, "simulate", lambda *args, **named: calls.append(named))
-    monkeypatch.setattr(finance, "simulation_bands", lambda simulated: simulated)
-    analytics.avoided_loss_sampled(spark, "")
-    analytics.simulation_bands(spark, "")
-    assert len(calls) == 2 and not any({"draws", "simulations"} & set(named) for named in calls)
+    defaults = lambda f: {n: p.default for n, p in inspect.signature(f).parameters.items()}
+    assert defaults(finance.simulate)["simulations"] == 2000 and defaults(finance.avoided_loss_uncertainty)["draws"] == 200_000
+    assert "rate" in defaults(finance.npv_series) and defaults(finance.npv_series)["rate"] is inspect.Parameter.empty
+
+
+def test_nearest_keeps_repeated_points(spark, monkeypatch):
+    points = spark.createDataFrame([(5.0, "a"), (5.0, "a"), (30.0, "b")], "v double, k string")
+    centres = spark.createDataFrame([(0.0,), (10.0,), (4.0,), (None,)], "c double")
+    expected = [(5.0, "a", 4.0), (5.0, "a", 4.0), (30.0, "b", None)]
+    assert rows(relational.nearest(points, centres, "v", "c", 6.0), "v") == expected
+    monkeypatch.setattr(relational, "FEW", 1)
+    assert rows(relational.nearest(points, centres, "v", "c", 6.0), "v") == expected
+
+
+def test_places_over_ranges(spark):
+    df = spark.createDataFrame([(x % 7, x) for x in range(200)], "a int, b int")
+    got = rows(relational.placed(df, "n", F.desc("a"), F.asc("b")), "n")
+    assert [(r[0], r[1]) for r in got] == sorted(((x % 7, x) for x in range(200)), key=lambda r: (-r[0], r[1])) and [r[2] for r in got] == [*range(1, 201)]
+
+
+def test_streams_and_values(spark, tmp_path):
+    from agrolith.streaming import events as E
+
+    assert E.value_at(spark.range(5), "id", 2, "id") == 2 and E.value_at(spark.range(5), "id", 9, "id") is None
+    views = Views()
+    held = E.Mutable(views, "base", spark.range(3))
+    views.define("n", ["base"], lambda base: base.agg(F.count(F.lit(1)).alias("n")))
+    assert views.get("n").first().n == 3
+    held.set(spark.range(8))
+    assert views.get("n").first().n == 8
+    seen = []
+    query = E.ticks(spark, 50).writeStream.foreachBatch(E.Queue(lambda batch, number: seen.append(batch.count()))).option("checkpointLocation", str(tmp_path)).start()
+    query.processAllAvailable()
+    query.stop()
+    assert seen
+    with E.Cancellable(spark) as job:
+        assert job.tag in spark.sparkContext.getJobTags()
+        job.cancel()
+    assert job.tag not in spark.sparkContext.getJobTags()
+
+
+def test_repeated_batches_count_once(spark, tmp_path, monkeypatch):
+    from agrolith.streaming import events as E
+
+    spark.range(20).write.parquet(str(tmp_path / "in.parquet"))
+    real = E.run_available(spark, str(tmp_path / "in.parquet"), lambda rows: rows, "append")
+    path = real.inputFiles()[0].rsplit("/", 2)[0]
+    spark.range(20).write.mode("overwrite").parquet(f"{path}/0")  # the batch comes a second time
+    assert spark.read.option("recursiveFileLookup", True).parquet(path).count() == 20
+
+
+def test_refresh_without_change(spark):
+    from agrolith.streaming.events import refreshed
+
+    old = spark.createDataFrame([(1, "a"), (2, None)], "k int, v string")
+    after, changed = refreshed(old, spark.createDataFrame([(2, None), (3, "c"), (1, "b")], "k int, v string"), ["k"])
+    assert rows(after, "k") == [(1, "b"), (2, None), (3, "c")] and rows(changed, "k") == [(1, "b", "revised"), (3, "c", "added")]
+
+
+def test_wrapped_rows_of_several_lines(spark):
+    df = spark.createDataFrame([(1, "A", None), (2, "B", None), (3, "C", 1.0), (4, "D", 2.0), (5, "E", None)], "o int, n string, v double").withColumn("k", F.lit(0))
+    assert [(r.n, r.v) for r in A.merged_wrapped(df, ["k"], "o", "n", "v").orderBy("o").collect()] == [("A B C", 1.0), ("D", 2.0)]
 
 
 def test_latest_keeps_whole_batches(spark):

@@ -94,7 +94,7 @@ def workbook() -> bytes:
 def test_xlsx(spark, tmp_path):
     (tmp_path / "b.xlsx").write_bytes(workbook())
     df = containers.read_xlsx(spark, str(tmp_path / "b.xlsx"), "One")
-    assert df.columns == ["#", "name", "name_"] and rows(df, "#") == [(2, "Tana", 2.0), (3, None, 3.5)]
+    assert df.columns == ["#", "name", "name_"] and rows(df, "#") == [(2, "Tana", 2.0), (3, "NaN", 3.5)]
     assert containers.cell_range("B2:C") == (1, 1, 2, None)
     assert rows(containers.read_xlsx(spark, str(tmp_path / "b.xlsx"), 0, range="B2:B3", headers=False), "#") == [(2, 2.0), (3, 3.5)]
 
@@ -115,3 +115,55 @@ def test_csv_sink(spark, tmp_path):
     sinks.write_parquet(df, str(tmp_path / "p"), {"c": "bigint", "a": "string"})
     assert spark.read.parquet(str(tmp_path / "p")).dtypes == [("c", "bigint"), ("a", "string")]
     assert '"rows": 2' in sinks.sidecar(df, title="t")
+
+
+def test_csv_parts_have_headers(spark, tmp_path):
+    sinks.write_csv(spark.range(6).repartition(3), str(tmp_path / "c"))
+    parts = [f.read_bytes() for f in (tmp_path / "c").glob("part-*")]
+    assert parts and all(p.startswith(b"id\r\n") for p in parts) and sum(p.count(b"\r\n") - 1 for p in parts) == 6
+    sinks.write_csv(spark.range(0), str(tmp_path / "e"))
+    assert b"".join(f.read_bytes() for f in (tmp_path / "e").glob("part-*")) == b"id\r\n"
+
+
+def test_seals_differ(spark):
+    table = pa.table({"x": [1]})
+    one, two = (containers.seal(spark, table, password="p") for _ in range(2))
+    assert one[5:21] != two[5:21] and one[21:33] != two[21:33]
+
+
+def test_large_files_stay_off_the_driver(spark, tmp_path):
+    (tmp_path / "big.bin").write_bytes(b"x" * 100)
+    with pytest.raises(ValueError, match="100 bytes"):
+        containers.content(spark, str(tmp_path / "big.bin"), most=50)
+
+
+def test_harvest_tries_again_and_keeps_pages(spark, tmp_path):
+    from agrolith.sources.harvest import Harvester
+
+    asked, pauses, answers = [], [], iter(["<b>2</b>", "log in", "<b>1</b>"])
+
+    def fetch(page, session):
+        asked.append((page, session))
+        return next(answers)
+
+    client = Harvester(fetch, str(tmp_path), login=lambda: len(asked), expired=lambda t: t == "log in", echo=lambda t: int(t[3]), sleep=pauses.append)
+    assert client.page(1) == client.page(1) == "<b>1</b>"
+    assert client.requests == 3 and client.hits == 1 and asked[-1][1] == 2 and pauses[1] > pauses[0]
+    with pytest.raises(RuntimeError, match="4 tries"):
+        client.page(7)
+
+
+def test_lists_that_grow_are_loaded_anew(spark):
+    held = [1, 2]
+    c = catalog.Catalog(spark, {"l": held})
+    assert c.frame("l").count() == 2
+    held.append(3)
+    assert c.frame("l").count() == 3
+
+
+def test_types_of_texts(spark):
+    from agrolith.functions.types import coerce, infer
+
+    df = spark.createDataFrame([("1", "2020-01-02", "x", "1.5", "12345678901234567890")] * 9 + [("z", "5/6/2020", "y", "NaN", "1")], "a string, b string, c string, d string, e string")
+    assert infer(df) == {"a": "integer", "b": "date", "c": "string", "d": "number", "e": "number"}
+    assert str(df.select(coerce(df.b, "date").alias("b")).distinct().orderBy("b").first().b) == "2020-01-02 00:00:00"

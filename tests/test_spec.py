@@ -110,3 +110,18 @@ def test_coercion(spark):
     assert [r.d for r in got] == [dt.datetime(2020, 1, 2), None, None, dt.datetime(2020, 1, 2)]
     assert [r.i for r in got] == [1, None, None, None]
     assert inferred(spark.createDataFrame([("1",), ("2",)], "a string")).schema["a"].dataType.simpleString() == "double"
+
+
+def test_js_comparisons_of_texts(spark):
+    df = spark.createDataFrame([("a", 1), (None, None), ("z", 5)], "t string, n int")
+    got = lambda entry: [r.t for r in evaluate(df, TableSpec(filter=[entry], nulls="js")).collect()]
+    assert got(Filter("lt", "t", ["m"])) == ["a"] and got(Filter("gte", "t", ["m"])) == ["z"]
+    assert got(Filter("lt", "n", [2])) == ["a", None]
+
+
+def test_row_function_errors(spark):
+    from agrolith.functions.rowwise import RowFunction
+
+    df = spark.createDataFrame([(1, 0), (4, 2)], "a int, b int")
+    out = evaluate(df, TableSpec(derive={"q": RowFunction(lambda r: r["a"] / r["b"], "double"), "w": RowFunction(lambda r: "q" in r)}, errors="err")).collect()
+    assert [(r.q, r.w) for r in out] == [(None, False), (2.0, False)] and "ZeroDivision" in out[0].err["q"] and out[1].err == {}
