@@ -8,7 +8,8 @@ probabilities of a text's words and its end sum to one.
 
 Training is Baum-Welch: a pass over all training texts adds up expected counts in each partition (scaled forward and
 backward recursions over many texts at once); the partitions' fixed-size counts are added by a tree of sums, and the
-next pass starts from the new parameters. Parameters start from a few passes over the first `START_DOCS` documents.
+next pass starts from the new parameters. Parameters start from a few passes over `START_DOCS` documents, the first in the
+order of a hash of doc_id.
 Scoring is the scaled forward recursion, which gives the exact likelihood of the class sequence.
 
 Word counts are joined by hashed keys. A word with at least `HEAVY` of all tokens goes to a table of at most 1 / HEAVY
@@ -180,12 +181,20 @@ def blank(states: int = STATES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def training(docs: DataFrame) -> DataFrame:
-    return docs.where(remainder(docs["doc_id"], HELD_OUT[0]) != HELD_OUT[1]).select(docs["text"].alias("_text"))
+    return docs.where(remainder(docs["doc_id"], HELD_OUT[0]) != HELD_OUT[1]).select(docs["text"].alias("_text"), docs["doc_id"].cast("long").alias("_doc"))
+
+
+def sampled_texts(rows: DataFrame, size: int) -> list[bytes | None]:
+    """Whole texts of the size doc_ids that come first in the order of a hash (of a repeated one the last in order), so
+    another order of rows gives the same. Row counts, which bound what comes to the driver, are at most size."""
+    ids = [row[0] for row in rows.select("_doc").where("_doc IS NOT NULL").distinct().orderBy(F.xxhash64("_doc"), "_doc").limit(size).collect()]
+    found = rows.where(F.col("_doc").isin(*ids)).groupBy("_doc").agg(F.max("_text").alias("_text")).orderBy(F.xxhash64("_doc"), "_doc").select("_text") if ids else rows.limit(0).select("_text")
+    return found.toArrow().column(0).cast(pa.binary()).to_pylist()
 
 
 def start_parameters(docs: DataFrame, start_docs: int = START_DOCS) -> Parameters:
     """A starting point only: all parameters are re-estimated on all training texts afterwards."""
-    texts = training(docs).where(F.octet_length("_text") < 20_000).limit(start_docs).toArrow().column(0).cast(pa.binary()).to_pylist()
+    texts = [text for text in sampled_texts(training(docs), start_docs) if text]
     p = Parameters.initial()
     sequences = class_sequences([tokens_of(text) for text in texts])
     for _ in range(START_PASSES if sequences else 0):
@@ -238,7 +247,7 @@ def baum_welch(docs: DataFrame, p: Parameters, passes: int = PASSES) -> Paramete
                     total = np.frombuffer(block).copy() if total is None else total + np.frombuffer(block)
             yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names)
 
-        source = training(docs) if table is None else table.where("part IS NULL").select("counts")
+        source = training(docs).select("_text") if table is None else table.where("part IS NULL").select("counts")
         counted = source.mapInArrow(count, "part int, counts binary")
         if table is None:
             table = counted = stored(counted, "classes")
@@ -275,7 +284,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         if counts:
             yield out()
 
-    return training(docs).mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return training(docs).select("_text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 class Lexical:
@@ -349,7 +358,7 @@ def score_documents(docs: DataFrame, p: Parameters, lex: Lexical, counts: DataFr
     numbered = docs.select(docs["doc_id"].cast("long").alias("_doc"), docs["text"].alias("_text"), F.monotonically_increasing_id().alias("_row"))
     scored = numbered.select("_row", "_text", "_doc").mapInArrow(score, "key binary, n bigint, row bigint, n_tokens bigint, known bigint, sum double, model double, doc bigint")
     light = counts.where(F.col("n") < F.lit(max(1.0, HEAVY * lex.tokens))).select(F.col("word").alias("key"), F.col("n").alias("c"))
-    joined = scored.join(light.hint("shuffle_hash"), "key", "left")
+    joined = scored.join(light, "key", "left")
     unseen = F.lit(ALPHA)
     return joined.groupBy("row").agg(
         F.max("doc").alias("doc_id"),

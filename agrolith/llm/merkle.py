@@ -1,10 +1,11 @@
 """Merkle fingerprints of documents, by DataFrame functions alone.
 
-A text is a tree: blocks of at most BLOCK code points make a paragraph (a line), SECTION paragraphs make a section,
-sections make the root. Paragraph, section and root digests are SHA-256 over their children, each level with its own
-prefix, so equal texts have equal roots and different texts different ones. Blocks carry 64-bit hashes. Trees are
-compared from the top: equal roots are equal; otherwise `differing` names the paragraphs that differ, looking only
-into sections whose digests differ, and `likeness` is the share of blocks in common (Dice, over distinct blocks).
+A text is a tree: its leaves are blocks of at most BLOCK code points of a paragraph (a line), blocks make the paragraph,
+SECTION paragraphs make a section, sections make the root. Every digest is SHA-256 over the digests below it, each level
+with its own prefix, so equal texts have equal roots and different texts different ones. Trees are compared from the top:
+equal roots are equal texts; otherwise only sections whose digests differ are opened. `differing` names the paragraphs that
+differ; `likeness` is the share of both texts' leaves that lie in a section of both, or, in the opened sections, are leaves
+of both (Dice; a leaf that repeats within the opened sections counts once). A leaf travels as 64 bits of its digest.
 
 Defined results: a null text counts as empty, which is one empty paragraph without blocks; two empty texts have
 likeness 1, an empty and a non-empty one 0; null doc_ids come last in descending order; repeated doc_ids follow each
@@ -24,27 +25,58 @@ BLOCK = 64
 SECTION = 8
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def digest(level: str, children: Column) -> Column:
     return F.sha2(F.concat(F.lit(level), F.concat_ws("", children)).cast("binary"), 256)
 
 
+def short(digests: Column) -> Column:
+    return F.transform(digests, lambda x: F.xxhash64(x))
+
+
 def tree(text: Column) -> Column:
-    """struct(root, sections, paragraphs, blocks): hex digests, and the distinct blocks' hashes."""
-    lines = F.split(text, "\n", -1)
-    paragraphs = F.transform(lines, lambda line: F.sha2(F.concat(F.lit("p"), line).cast("binary"), 256))
-    count = F.size(lines)
-    firsts = F.sequence(F.lit(1), count, F.lit(SECTION))
-    sections = F.transform(firsts, lambda first: digest("s", F.slice(paragraphs, first, F.lit(SECTION))))
-    blocks = F.flatten(F.transform(lines, lambda line: F.regexp_extract_all(line, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))))
-    hashes = F.array_distinct(F.transform(blocks, lambda block: F.xxhash64(block)))
-    return F.struct(digest("r", sections).alias("root"), sections.alias("sections"), paragraphs.alias("paragraphs"), hashes.alias("blocks"))
+    """struct(root, sections, paragraphs, leaves): hex digests; the leaves as numbers, by section."""
+    blocks = lambda line: F.regexp_extract_all(line, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    leaves = F.transform(F.split(text, "\n", -1), lambda line: F.transform(blocks(line), lambda block: F.sha2(F.concat(F.lit("b"), block).cast("binary"), 256)))
+
+    def upper(leaves: Column) -> Column:
+        firsts = F.sequence(F.lit(1), F.size(leaves), F.lit(SECTION))
+        held = F.transform(firsts, lambda first: short(F.flatten(F.slice(leaves, first, F.lit(SECTION)))))
+        return let(F.transform(leaves, lambda own: digest("p", own)), lambda paragraphs: whole(paragraphs, firsts, held))
+
+    def whole(paragraphs: Column, firsts: Column, held: Column) -> Column:
+        sections = F.transform(firsts, lambda first: digest("s", F.slice(paragraphs, first, F.lit(SECTION))))
+        return let(sections, lambda s: F.struct(digest("r", s).alias("root"), s.alias("sections"), paragraphs.alias("paragraphs"), held.alias("leaves")))
+
+    return let(leaves, upper)
+
+
+def compact(a: Column) -> Column:
+    """What likeness needs of a tree: struct(root, sections, leaves), section digests as numbers."""
+    return F.struct(a["root"].alias("root"), short(a["sections"]).alias("sections"), a["leaves"].alias("leaves"))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """0 to 1 from two trees."""
-    both = F.size(F.array_intersect(a["blocks"], b["blocks"]))
-    total = F.size(a["blocks"]) + F.size(b["blocks"])
-    return F.when(a["root"] == b["root"], 1.0).when(total == 0, 0.0).otherwise(2.0 * both / total)
+    """0 to 1 from two compact trees."""
+
+    def opened(own: Column, both: Column) -> Column:
+        """struct(closed: leaves in common sections, open: distinct leaves of the others)."""
+        pairs = F.arrays_zip(own["sections"].alias("s"), own["leaves"].alias("l"))
+        kept = F.aggregate(F.filter(pairs, lambda p: F.array_contains(both, p["s"])), F.lit(0), lambda n, p: n + F.size(p["l"]))
+        left = F.when(F.size(both) == 0, F.flatten(own["leaves"])).otherwise(F.flatten(F.transform(F.filter(pairs, lambda p: ~F.array_contains(both, p["s"])), lambda p: p["l"])))
+        return F.struct(kept.alias("closed"), F.array_distinct(left).alias("open"))
+
+    def shared(x: Column, y: Column) -> Column:
+        common = x["closed"] + y["closed"] + 2 * F.size(F.array_intersect(x["open"], y["open"]))
+        total = x["closed"] + y["closed"] + F.size(x["open"]) + F.size(y["open"])
+        return F.when(total == 0, 0.0).otherwise(common / total)
+
+    met = let(F.array_intersect(a["sections"], b["sections"]), lambda both: let(F.array(opened(a, both), opened(b, both)), lambda x: shared(F.get(x, F.lit(0)), F.get(x, F.lit(1)))))
+    return F.when(a["root"] == b["root"], 1.0).otherwise(met)
 
 
 def differing(a: Column, b: Column) -> Column:
@@ -90,7 +122,7 @@ def with_edits(docs: DataFrame) -> DataFrame:
     own = rows.join(order, "row").withColumn("tree", tree(F.col("text")))
     # half of each text at most travels to the row that it follows, with the blocks and root of its tree
     # and its doc_id, with which both sides read the same exchange of the texts
-    heads = own.select(F.col("follows").alias("row"), F.col("doc_id").alias("next_id"), F.substr("text", F.lit(1), F.col("half")).alias("head"), F.struct("tree.root", "tree.blocks").alias("next_tree"))
+    heads = own.select(F.col("follows").alias("row"), F.col("doc_id").alias("next_id"), F.substr("text", F.lit(1), F.col("half")).alias("head"), compact(F.col("tree")).alias("next_tree"))
     paired = own.select("row", "doc_id", "text", "tree").join(heads, "row")
     n = F.char_length("text")
     edited = F.concat(F.substr("text", F.lit(1), n - F.floor(n / 2).cast("int")), F.col("head"))
@@ -105,7 +137,8 @@ def op7_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         F.col("tree.root").alias("fingerprint"),
         F.col("edited_tree.root").alias("edited_fingerprint"),
-        likeness(F.col("tree"), F.col("edited_tree")).alias("near_edited"),
-        likeness(F.col("tree"), F.col("next_tree")).alias("near_next"),
+        likeness(compact(F.col("tree")), compact(F.col("edited_tree"))).alias("near_edited"),
+        likeness(compact(F.col("tree")), F.col("next_tree")).alias("near_next"),
         "next_id",
+        F.size(differing(F.col("tree"), F.col("edited_tree"))).alias("n_differing"),
     )

@@ -6,8 +6,8 @@ neighbouring candidates, and a skip potential joins distant tokens with the same
 a number recognised once in a telling form is also labelled where it stands bare. Loopy sum-product message passing runs until the messages
 settle or `ROUNDS` is reached. Base spans are clamped; the field can only add spans.
 
-Emission, chain and skip weights are fitted as a maximum-entropy model on a bounded sample of documents
-(`SAMPLE_DOCS`), whose base spans are the labels while the features see no clamp.
+Emission, chain and skip weights are fitted together by pseudo-likelihood on a bounded sample of documents (`SAMPLE_DOCS`,
+the first in the order of a hash of doc_id), whose base spans are the labels while the features see no clamp.
 
 Defined results: a null text counts as empty and has no spans; a null doc_id is passed on; repeated rows give repeated
 results; an empty table gives no rows; very long texts are scanned whole in linear time (each pattern starts only
@@ -27,17 +27,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import read
+from .hmm import sampled_texts
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
-ROUNDS = 8
+ROUNDS, SETTLED = 60, 1e-5
 SAMPLE_DOCS = 2000
 #: A token joins a base span's copies by canonical form only from this length on, so that short numbers never spread.
 LEAST_KEY = 7
 #: An added span needs at least this marginal.
 THRESHOLD = 0.5
-#: The labels of the sample come from the patterns, so emissions are surer of a token's form than they should be.
-TEMPER = 0.3
+#: The prior on emissions and chains when the field is fitted: the labels come from patterns over the same forms.
+FORM_RIDGE = 0.1
 
 DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL_LETTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -199,6 +200,13 @@ def groups_of(words: list[str]) -> list[list[int]]:
     return [members for members in by.values() if len(members) > 1]
 
 
+def hub_strength(skip: float) -> float:
+    """The strength between a member and its hub at which two members agree as by a skip potential between them: where
+    (e^2h + k - 1) / (2 e^h + k - 2) is e^skip."""
+    k, e = len(LABELS), np.exp(skip)
+    return float(np.log(e + np.sqrt(e * e + (k - 2) * e - (k - 1))))
+
+
 class Field:
     """Weights: emission (label x feature), chain (label x label) and the strength of skip potentials."""
 
@@ -206,7 +214,7 @@ class Field:
         self.emission, self.chain, self.skip = emission, chain, skip
 
     def unary(self, words: list[str]) -> np.ndarray:
-        return TEMPER * np.array([self.emission[:, features(word)].sum(axis=1) for word in words])
+        return np.array([self.emission[:, features(word)].sum(axis=1) for word in words])
 
     def marginals(self, words: list[str], clamped: np.ndarray) -> np.ndarray:
         """Loopy sum-product. A skip clique of any size costs two messages a member: its potential is attached to a
@@ -217,7 +225,7 @@ class Field:
         unary[clamped > 0, clamped[clamped > 0]] = 30.0
         groups = groups_of(words)
         pair = np.exp(self.chain)
-        hub_pair = np.exp(self.skip * np.eye(k))
+        hub_pair = np.exp(hub_strength(self.skip) * np.eye(k))
         right, left = np.zeros((n, k)), np.zeros((n, k))
         to_hub = [np.zeros((len(g), k)) for g in groups]
         from_hub = [np.zeros((len(g), k)) for g in groups]
@@ -228,7 +236,7 @@ class Field:
             out = np.log(np.exp(belief - top) @ table)
             return out - out.max(axis=-1, keepdims=True)
 
-        for _ in range(ROUNDS):
+        for turn in range(ROUNDS):
             before = skip_in.copy()
             for at in range(1, n):
                 right[at] = through(unary[at - 1] + right[at - 1] + skip_in[at - 1], pair)
@@ -240,9 +248,10 @@ class Field:
                 out = through(belief[group] - from_hub[number], hub_pair)
                 to_hub[number] = out
                 hub = out.sum(axis=0) - out
-                from_hub[number] = through(np.clip(hub, -60, 60), hub_pair)
+                sent = through(np.clip(hub, -60, 60), hub_pair)
+                from_hub[number] = sent if turn < 10 else (sent + from_hub[number]) / 2  # messages that swing settle
                 np.add.at(skip_in, group, from_hub[number])
-            if np.abs(skip_in - before).max(initial=0.0) < 1e-4:
+            if np.abs(skip_in - before).max(initial=0.0) < SETTLED:
                 break
         belief = unary + right + left + skip_in
         belief -= belief.max(axis=1, keepdims=True)
@@ -268,40 +277,57 @@ class Field:
         return out
 
 
-def fit(texts: list[str], steps: int = 150, rate: float = 0.5, ridge: float = 1e-3) -> Field:
-    """Emission weights by maximum entropy on tokens labelled by base spans, chain weights by smoothed pair counts,
-    and the skip strength by how often tied tokens agree."""
-    rows, labels, pairs, agree, ties = [], [], np.ones((len(LABELS), len(LABELS))), 9.0, 10.0
+def fit(texts: list[str], steps: int = 200, rate: float = 0.5, ridge: float = 1e-3, form_ridge: float = FORM_RIDGE) -> Field:
+    """Emission, chain and skip weights together, by pseudo-likelihood: each token's label given those of its neighbours
+    and of the tokens tied to it. Labels are the base spans; a token without one that is tied to one is unknown, not
+    "none", and takes no part, as do the tokens beside it on that side. Emissions and chains have the stronger prior,
+    since the labels come from patterns over the same forms."""
+    k = len(LABELS)
+    rows, labels, lefts, rights, ties = [], [], [], [], []
     for text in texts:
         tokens = Tokens(text, base_spans(text))
-        for word, label in zip(tokens.words, tokens.clamped, strict=True):
+        groups = groups_of(tokens.words)
+        unknown = np.zeros(len(tokens.words), bool)
+        for group in groups:
+            if tokens.clamped[group].any():
+                unknown[[at for at in group if not tokens.clamped[at]]] = True
+        agree = np.zeros((len(tokens.words), k))
+        for group in groups:
+            own = np.eye(k)[tokens.clamped[group]] * ~unknown[group][:, None]
+            agree[group] += np.minimum(own.sum(axis=0) - own, 1.0)
+        for at, word in enumerate(tokens.words):
+            if unknown[at]:
+                continue
             rows.append(features(word))
-            labels.append(label)
-        np.add.at(pairs, (tokens.clamped[:-1], tokens.clamped[1:]), 1)
-        for group in groups_of(tokens.words):
-            own = tokens.clamped[group]
-            ties += len(group)
-            agree += np.bincount(own, minlength=len(LABELS)).max()
-    weights = np.zeros((len(LABELS), WIDTH))
+            labels.append(tokens.clamped[at])
+            lefts.append(tokens.clamped[at - 1] if at and not unknown[at - 1] else -1)
+            rights.append(tokens.clamped[at + 1] if at + 1 < len(tokens.words) and not unknown[at + 1] else -1)
+            ties.append(agree[at])
+    emission, chain, skip = np.zeros((k, WIDTH)), np.zeros((k, k)), 0.0
     if rows:
-        x, y = np.zeros((len(rows), WIDTH)), np.eye(len(LABELS))[labels]
+        x, y = np.zeros((len(rows), WIDTH)), np.eye(k)[labels]
         for at, own in enumerate(rows):
             x[at, own] = 1
+        left = np.eye(k + 1)[lefts][:, :k]
+        right = np.eye(k + 1)[rights][:, :k]
+        tied, n = np.array(ties), len(rows)
         for _ in range(steps):
-            score = x @ weights.T
+            score = x @ emission.T + left @ chain + right @ chain.T + skip * tied
             score -= score.max(axis=1, keepdims=True)
             p = np.exp(score)
             p /= p.sum(axis=1, keepdims=True)
-            weights -= rate * ((p - y).T @ x / len(rows) + ridge * weights)
-    chain = np.log(pairs / pairs.sum(axis=1, keepdims=True) / (pairs.sum(axis=0) / pairs.sum()))
-    rate_agree = min(agree / ties, 0.999)
-    return Field(weights, 0.5 * chain, float(np.log(rate_agree / (1 - rate_agree) * (len(LABELS) - 1))))
+            miss = p - y
+            emission -= rate * (miss.T @ x / n + form_ridge * emission)
+            chain -= rate * ((left.T @ miss + miss.T @ right) / n + form_ridge * chain)
+            skip -= rate * ((miss * tied).sum() / max(tied.any(axis=1).sum(), 1) + ridge * skip)
+    return Field(emission, chain, float(max(skip, 0.0)))
 
 
 def fit_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Field:
-    """Fits on at most sample_docs documents that hold a digit; the limit bounds what reaches the driver."""
-    rows = docs.select(F.col("text")).where(F.col("text").rlike("[0-9]") & (F.length("text") <= 20000)).limit(sample_docs)
-    return fit(rows.toArrow().column(0).to_pylist())
+    """Fits on at most sample_docs documents that hold a digit, the first in the order of a hash of doc_id, whole; the
+    number bounds what reaches the driver."""
+    rows = docs.select(docs["doc_id"].cast("long").alias("_doc"), docs["text"].alias("_text")).where(F.col("_text").rlike("[0-9]"))
+    return fit([text.decode() for text in sampled_texts(rows, sample_docs) if text])
 
 
 SCHEMA = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_added bigint"

@@ -150,24 +150,28 @@ class Model:
                 strongest = max(strongest, strength)
         return matches, total, strongest
 
-    def describe(self, text: str | None) -> tuple[np.ndarray, float]:
-        """Features of a text (log counts by matched class, strongest word) and the sum of its clauses' weights."""
-        counts, total, strongest = Counter(), 0.0, 0.0
-        for clause in clauses((text or "").lower(), self.hits):
-            matches, weight, word = self.read(clause)
-            counts += matches
-            total += weight
-            strongest = max(strongest, word)
-        return np.array([*(math.log1p(counts[kind]) for kind in MATCHED), strongest]), total
+    def ranked(self, text: str | None) -> list[tuple[Counter, float, float]]:
+        """What read() gives for each matched clause, clauses with most matches first, equal ones in order of the text."""
+        found = [self.read(clause) for clause in clauses((text or "").lower(), self.hits)]
+        return sorted(found, key=lambda own: -own[0].total())
+
+    def describe(self, text: str | None) -> np.ndarray:
+        """Features of a text: matches by class, each clause's with half the weight of the one ranked before it, so that
+        length alone doesn't tell; and the strongest word."""
+        out = np.zeros(len(MATCHED) + 1)
+        for rank, (matches, _, strongest) in enumerate(self.ranked(text)):
+            out[:-1] += 0.5**rank * np.array([matches[kind] for kind in MATCHED])
+            out[-1] = max(out[-1], strongest)
+        return out
 
     def score(self, text: str | None) -> float:
-        """Clauses add up, each with half the weight of the one before it in size, so that length alone doesn't tell."""
-        weights, strongest = [], 0.0
-        for clause in clauses((text or "").lower(), self.hits):
-            _, weight, word = self.read(clause)
-            weights.append(weight)
+        """The fitted function: arc weights are the weights of the classes, so the clauses' weights, halved by rank, add
+        up to the features' weighted sum."""
+        total, strongest = 0.0, 0.0
+        for rank, (_, weight, word) in enumerate(self.ranked(text)):
+            total += 0.5**rank * weight
             strongest = max(strongest, word)
-        logit = self.bias + self.top * strongest + sum(w * 0.5**at for at, w in enumerate(sorted(weights, reverse=True)[:40]))
+        logit = self.bias + self.top * strongest + total
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, logit))))
 
 
@@ -238,7 +242,7 @@ def fit(texts: list[str], toxic: list[int], steps: int = 50, ridge: float = 1e-3
     labels = np.array(toxic, dtype=bool)
     words, prefixes = learn_lexicon(texts, labels) if labels.any() and (~labels).any() else ({}, {})
     blank = Model(words, prefixes, {}, 0.0, 0.0)
-    x = np.array([blank.describe(text)[0] for text in texts]).reshape(len(texts), len(MATCHED) + 1)
+    x = np.array([blank.describe(text) for text in texts]).reshape(len(texts), len(MATCHED) + 1)
     x = np.hstack([x, np.ones((len(x), 1))])
     y, all_weights = labels.astype(float), np.zeros(x.shape[1])
     penalty = np.diag([ridge * max(len(x), 1)] * (x.shape[1] - 1) + [1e-6])
@@ -255,17 +259,20 @@ def fit(texts: list[str], toxic: list[int], steps: int = 50, ridge: float = 1e-3
 def fit_labelled(docs: DataFrame, labels: DataFrame, sample_labels: int = SAMPLE_LABELS) -> Model:
     """Fits on at most sample_labels labelled rows outside the held-out remainder, in the order of a hash of doc_id.
 
-    The rows that reach the driver are bounded by sample_labels, and so is the table that is broadcast.
+    The rows that reach the driver are bounded by sample_labels, and so is the table that is broadcast. The fit is the
+    same whatever the order of the rows in their files.
     """
     chosen = (
         labels.where(labels["toxic"].isNotNull() & labels["doc_id"].isNotNull())
         .select(labels["doc_id"].cast("long").alias("_doc"), labels["toxic"].cast("int").alias("_toxic"))
         .where(remainder(F.col("_doc"), HELD_OUT[0]) != HELD_OUT[1])
+        .distinct()
         .orderBy(F.xxhash64("_doc"), "_doc", "_toxic")
         .limit(sample_labels)
     )
     rows = docs.select(docs["doc_id"].cast("long").alias("_doc"), docs["text"].alias("_text")).join(F.broadcast(chosen), "_doc")
-    table = rows.select("_text", "_toxic", "_doc").limit(2 * sample_labels).toArrow().sort_by([("_doc", "ascending"), ("_toxic", "ascending")])
+    # one text for each chosen label, the last in order where a doc_id has several: at most sample_labels rows
+    table = rows.groupBy("_doc", "_toxic").agg(F.max("_text").alias("_text")).select("_text", "_toxic", "_doc").toArrow().sort_by([("_doc", "ascending"), ("_toxic", "ascending")])
     return fit([text or "" for text in table.column(0).to_pylist()], table.column(1).to_pylist())
 
 

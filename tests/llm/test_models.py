@@ -61,6 +61,41 @@ def test_language_model(stored_docs, plain):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def test_scores_against_all_paths(spark):
+    """The whole score of a text: word counts within classes, and the sum over all paths of states."""
+    rows = [(at, text) for at, text in enumerate(["ab cd ab", "cd ab", "ab xy", "", "cd cd ab xy"] * 3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    counts = hmm.word_counts(docs)
+    lex, p = hmm.lexical(counts), hmm.Parameters.initial(3)
+    p.start = np.array([0.5, 0.3, 0.2])
+    scored = {r.doc_id: r for r in hmm.score_documents(docs, p, lex, counts).collect()}
+    own = {bytes(r.word): r.n for r in counts.collect()}
+    cls = lambda w: hmm.CLASS_OF[w]
+    totals, kinds = Counter(), Counter()
+    for word, n in own.items():
+        totals[cls(word)] += n
+        kinds[cls(word)] += 1
+    for doc_id, text in rows:
+        words = [w.encode() for w in text.split()] + [hmm.END]
+        alpha = p.start * p.emit[cls(words[0])]
+        for word in words[1:]:
+            alpha = (alpha @ p.move) * p.emit[cls(word)]
+        lexical = sum(math.log10((own.get(w, 0) + 0.1) / (totals[cls(w)] + 0.1 * (kinds[cls(w)] + 1))) for w in words)
+        assert scored[doc_id].words + scored[doc_id].model == pytest.approx(math.log10(alpha.sum()) + lexical)
+
+
+def test_layouts_give_the_same_models(spark, stored_docs):
+    """Another order and another number of partitions of the same rows change no result."""
+    other = stored_docs.repartition(5, "text").sortWithinPartitions("n_chars")
+    labels = spark.createDataFrame([(i, 1, int(i % 7 == 0)) for i in range(60)], "doc_id bigint, quality int, toxic int")
+    a, b = hmm.start_parameters(stored_docs, 20), hmm.start_parameters(other, 20)
+    assert np.allclose(a.emit, b.emit) and np.allclose(a.move, b.move)
+    f, g = pii.fit_sample(stored_docs, 20), pii.fit_sample(other, 20)
+    assert np.allclose(f.emission, g.emission) and f.skip == pytest.approx(g.skip)
+    m, n = toxicity.fit_labelled(stored_docs, labels), toxicity.fit_labelled(other, labels)
+    assert (m.words, m.prefixes, m.bias, m.top) == (n.words, n.prefixes, n.bias, n.top)
+
+
 def test_classes_sum_to_one():
     """P(word | class) of a class's known words and one unseen word sum to one."""
     counts = {b"aa": 3, b"ab": 1}
@@ -131,6 +166,49 @@ def test_field_ties_spaced_forms(form):
     assert [(k, text[a:b]) for k, a, b in field.added(text, pii.base_spans(text))] == [("phone", form)]
 
 
+def test_marginals_against_enumeration():
+    """On a field without loops (one clique, no chain) messages are exact; with a chain they come close."""
+    rng = np.random.default_rng(5)
+    k = len(pii.LABELS)
+    words = ["4875557209", "order", "487-555-7209", "x1", "4875557209"]
+    field = pii.Field(rng.normal(0, 0.4, (k, pii.WIDTH)), np.zeros((k, k)), 1.7)
+    clamped = np.array([4, 0, 0, 0, 0])
+
+    def exact(field):
+        unary = field.unary(words)
+        groups, h = pii.groups_of(words), pii.hub_strength(field.skip)
+        out = np.zeros((len(words), k))
+        for labels in itertools.product(range(k), repeat=len(words)):
+            if labels[0] != 4:
+                continue
+            weight = np.exp(sum(unary[i, y] for i, y in enumerate(labels)) + sum(field.chain[a, b] for a, b in zip(labels, labels[1:], strict=False)))
+            for group in groups:
+                weight *= sum(np.exp(h * sum(labels[i] == hub for i in group)) for hub in range(k))
+            for i, y in enumerate(labels):
+                out[i, y] += weight
+        return out / out.sum(axis=1, keepdims=True)
+
+    groups = [set(g) for g in pii.groups_of(words)]
+    assert all(g <= {0, 2, 4} for g in groups)
+    field.chain[:] = 0
+    single = pii.Field(field.emission, field.chain, 1.7)
+    pii_groups = pii.groups_of
+    pii.groups_of = lambda w: pii_groups(w)[:1]
+    try:
+        assert np.allclose(single.marginals(words, clamped), exact(single), atol=1e-4)
+        chained = pii.Field(field.emission, rng.normal(0, 0.3, (k, k)), 1.7)
+        assert np.abs(chained.marginals(words, clamped) - exact(chained)).max() < 0.08
+    finally:
+        pii.groups_of = pii_groups
+
+
+def test_hub_agrees_as_a_pair():
+    k, skip = len(pii.LABELS), 1.3
+    h = pii.hub_strength(skip)
+    pair = lambda same: sum(np.exp(h * ((hub == 0) + (hub == (0 if same else 1)))) for hub in range(k))
+    assert np.log(pair(True) / pair(False)) == pytest.approx(skip)
+
+
 def test_find(stored_docs, spark):
     rows = [(1, sample()[0]), (2, None), (3, ""), (None, "é 4539578763621486")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
@@ -199,6 +277,46 @@ def test_mixing_without_labels(stored_docs, spark, empty):
     assert mixing.thin(empty, none).count() == 0
 
 
+def test_posteriors_and_rates_by_brute_force(spark):
+    rng = random.Random(6)
+    rows, labels = [], []
+    for at in range(150):
+        style = at % 3
+        words = [rng.choice((["alpha", "beta."], ["%%%x", "!!yy"], ["nasty", "beta."])[style]) for _ in range(rng.randint(3, 40))]
+        rows.append((at, " ".join(words)))
+        if at % 2:
+            labels.append((at, int(style != 1), int(style == 2)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    table = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    fitted, _ = mixing.rates(docs, table)
+    got = sorted(fitted.collect(), key=lambda r: r.doc_id)
+    words = mixing.telling_words(docs, mixing.labelled(table))
+    columns = mixing.features(mixing.F.col("text"), words)
+    found = {r.doc_id: r for r in docs.select("doc_id", *(c.alias(n) for n, c in columns.items())).collect()}
+    names = [n for n in columns if n != "tokens"]
+    domain = {i: 2 if toxic else 0 if quality else 1 for i, quality, toxic in labels}
+    total = Counter(domain.values())
+    for r in got:
+        logits = []
+        for k in range(3):
+            logit = math.log(total[k] / len(domain))
+            for name in names:
+                same = sum(domain[i] == k and found[i][name] == found[r.doc_id][name] for i in domain)
+                logit += math.log((same + 0.5) / (total[k] + 0.5 * mixing.BINS))
+            logits.append(math.exp(logit))
+        assert r.p == pytest.approx([x / sum(logits) for x in logits], abs=1e-9)
+    p, r, n = np.array([x.p for x in got]), np.array([x.rate for x in got]), np.array([x.tokens for x in got])
+    targets = n.sum() * np.array(list(mixing.TARGETS.values()))
+    assert (r * n) @ p == pytest.approx(targets, rel=1e-4) and r.min() >= 0
+    # a plain projected gradient with many small steps meets the same targets, too
+    slow = np.ones(len(n))
+    a = p * n[:, None]
+    step = 1 / np.linalg.norm(a, 2) ** 2
+    for _ in range(200_000):
+        slow = np.maximum(0, slow - step * (a @ (slow @ a - targets)))
+    assert slow @ a == pytest.approx(targets, rel=1e-2)
+
+
 # toxicity
 
 
@@ -251,6 +369,51 @@ def test_grammar():
     assert list(toxicity.clauses("idiotic", m.hits)) == []
 
 
+def test_composed_machine_is_its_parts_in_turn():
+    rng = np.random.default_rng(1)
+    weights = {kind: float(rng.normal()) for kind in toxicity.MATCHED}
+    parts = [toxicity.within(toxicity.REPORT, 1, {toxicity.INSULT: toxicity.QUOTED, toxicity.THREAT: toxicity.QUOTED}, keeps=True), toxicity.within(toxicity.NEGATION, 3, {toxicity.INSULT: toxicity.MUTED, toxicity.THREAT: toxicity.MUTED}), toxicity.within(toxicity.TARGET, 3, {toxicity.INSULT: toxicity.AIMED, toxicity.THREAT: toxicity.AIMED_THREAT}), toxicity.scorer(weights)]
+    whole = toxicity.grammar(weights)
+
+    def run(machine, symbols):
+        state, out, total = 0, [], 0.0
+        for s in symbols:
+            out.append(int(machine.out[state, s]))
+            total += machine.weight[state, s]
+            state = machine.next[state, s]
+        return out, total
+
+    for _ in range(300):
+        symbols = rng.integers(0, toxicity.NEGATION + 2, rng.integers(0, 25)).tolist()
+        expected, total = symbols, 0.0
+        for part in parts:
+            expected, own = run(part, expected)
+            total += own
+        got, weight = run(whole, symbols)
+        assert got == expected and weight == pytest.approx(total)
+
+
+def test_score_is_the_fitted_function(spark):
+    rows = toxic_rows(200)
+    model = toxicity.fit([t for _, t, _ in rows], [y for *_, y in rows])
+    weights = np.array([model.machine.weight[0, kind] for kind in toxicity.MATCHED])
+    many = ". ".join(["you zork"] * 60 + ["not a zork"] * 70)
+    for text in [t for _, t, _ in rows] + [many, "", None]:
+        x = model.describe(text)
+        logit = model.bias + x[:-1] @ weights_of(model) + model.top * x[-1]
+        assert model.score(text) == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, logit)))))
+    assert len(weights) == len(toxicity.MATCHED)
+
+
+def weights_of(model):
+    """The arc weight with which the machine emits each matched class."""
+    out = []
+    for kind in toxicity.MATCHED:
+        places = np.argwhere(model.machine.out == kind)
+        out.append(model.machine.weight[tuple(places[0])])
+    return np.array(out)
+
+
 # encoding
 
 
@@ -336,21 +499,58 @@ def test_encoded_documents(library, stored_docs, plain):
 # fingerprints
 
 
+def plain_tree(text):
+    """(root, [(section digest, its blocks)], paragraph digests) by hashlib."""
+    sha = lambda data: hashlib.sha256(data.encode()).hexdigest()
+    lines = text.split("\n")
+    blocks = [[line[at : at + merkle.BLOCK] for at in range(0, len(line), merkle.BLOCK)] for line in lines]
+    paragraphs = [sha("p" + "".join(sha("b" + b) for b in own)) for own in blocks]
+    sections = [(sha("s" + "".join(paragraphs[at : at + merkle.SECTION])), [b for own in blocks[at : at + merkle.SECTION] for b in own]) for at in range(0, len(lines), merkle.SECTION)]
+    return sha("r" + "".join(s for s, _ in sections)), sections, paragraphs
+
+
+def plain_likeness(a, b):
+    x, y = plain_tree(a), plain_tree(b)
+    if x[0] == y[0]:
+        return 1.0
+    both = {s for s, _ in x[1]} & {s for s, _ in y[1]}
+    closed = [sum(len(own) for s, own in side[1] if s in both) for side in (x, y)]
+    opened = [{block for s, own in side[1] if s not in both for block in own} for side in (x, y)]
+    total = sum(closed) + sum(map(len, opened))
+    return (sum(closed) + 2 * len(opened[0] & opened[1])) / total if total else 0.0
+
+
 def test_merkle(stored_docs, plain):
-    got = merkle.with_edits(stored_docs).select("doc_id", "n_chars", "edited", "tree", "edited_tree", merkle.likeness(merkle.F.col("tree"), merkle.F.col("edited_tree")).alias("near"), merkle.differing(merkle.F.col("tree"), merkle.F.col("edited_tree")).alias("differ")).collect()
+    tree, edited = merkle.F.col("tree"), merkle.F.col("edited_tree")
+    got = merkle.with_edits(stored_docs).select("doc_id", "n_chars", "edited", "tree", "edited_tree", merkle.likeness(merkle.compact(tree), merkle.compact(edited)).alias("near"), merkle.likeness(merkle.compact(tree), merkle.F.col("next_tree")).alias("next"), merkle.differing(tree, edited).alias("differ")).collect()
     order = sorted(range(len(plain)), key=lambda at: (plain[at][0] is None, -(plain[at][0] or 0), at))
     expected = Counter()
     for place, at in enumerate(order):
         doc_id, text = plain[at]
         following, half = plain[order[(place + 1) % len(order)]][1], len(text) // 2
-        expected[(doc_id, len(text), text[: len(text) - half] + following[:half])] += 1
-    assert Counter((r.doc_id, r.n_chars, r.edited) for r in got) == expected
-    roots = {}
-    for r, text in zip(sorted(got, key=lambda r: r.tree.root), sorted(got, key=lambda r: r.tree.root), strict=True):
-        roots.setdefault(r.tree.root, set()).add(r.n_chars)
-        assert 0 <= r.near <= 1 and (r.near == 1) == (r.tree.root == r.edited_tree.root) or not r.tree.blocks
+        edited = text[: len(text) - half] + following[:half]
+        expected[(doc_id, len(text), edited, plain_tree(text)[0], plain_tree(edited)[0], round(plain_likeness(text, edited), 9), round(plain_likeness(text, following), 9))] += 1
+    assert Counter((r.doc_id, r.n_chars, r.edited, r.tree.root, r.edited_tree.root, round(r.near, 9), round(r.next, 9)) for r in got) == expected
+    for r in got:
         assert (r.differ == []) == (r.tree.root == r.edited_tree.root)
-    assert all(len(n) == 1 for n in roots.values())
+
+
+def test_merkle_likeness_of_moved_sections(spark):
+    rng = random.Random(4)
+    line = lambda: " ".join(rng.choice("abcdefgh") * 7 for _ in range(rng.randint(1, 30)))
+    cases = []
+    for _ in range(40):
+        a = [line() for _ in range(rng.randint(1, 60))]
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            b[rng.randrange(len(b))] = line()
+        if rng.random() < 0.3:
+            b = b[8:] + [line()] if len(b) > 8 else b
+        cases.append(("\n".join(a), "\n".join(b)))
+    df = spark.createDataFrame(cases, "a string, b string").coalesce(1)
+    near = merkle.likeness(*(merkle.compact(merkle.tree(merkle.F.col(c))) for c in "ab"))
+    for (a, b), row in zip(cases, df.select("a", "b", near.alias("n")).collect(), strict=True):
+        assert (row.a, row.b) == (a, b) and row.n == pytest.approx(plain_likeness(a, b))
 
 
 def test_merkle_locates_an_edit(spark):
@@ -358,7 +558,7 @@ def test_merkle_locates_an_edit(spark):
     edited = [*lines]
     edited[21] = "other"
     df = spark.createDataFrame([("\n".join(lines), "\n".join(edited))], "a string, b string").select(merkle.tree(merkle.F.col("a")).alias("a"), merkle.tree(merkle.F.col("b")).alias("b"))
-    row = df.select(merkle.differing(merkle.F.col("a"), merkle.F.col("b")).alias("d"), merkle.likeness(merkle.F.col("a"), merkle.F.col("b")).alias("n")).first()
+    row = df.select(merkle.differing(merkle.F.col("a"), merkle.F.col("b")).alias("d"), merkle.likeness(merkle.compact(merkle.F.col("a")), merkle.compact(merkle.F.col("b"))).alias("n")).first()
     assert row.d == [21] and 0.9 < row.n < 1
 
 
