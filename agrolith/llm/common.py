@@ -29,17 +29,28 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, also made known to DataFrame.checkpoint()."""
+    """spark.checkpoint.dir, also made known to DataFrame.checkpoint(). Where it is unset, a local session gets a temporary
+    folder; on a cluster, whose executors would not see that, it is an error."""
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     known = context.getCheckpointDir()
     if base is None:
+        if known is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = known or tempfile.mkdtemp(prefix="agrolith-")
     if known is None:
         context.setCheckpointDir(base)
     return base
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """The name, or a longer one that none of the frame's columns has."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def lower_az(text: Column) -> Column:
     """Lower-cases A-Z and nothing else. ASCII texts take the byte-wise built-in; others are translated."""
     ascii_only = F.octet_length(text) == F.char_length(text)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import read, steady, stored, tidy
+from .common import read, steady, stored, tidy, unused
 from .components import closed, connected_components, near_pairs, rows_wanted
 from .recompression import K1, K2, NameCache, mix
 
@@ -328,17 +328,20 @@ def classes_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     joined = similarity_join(docs, words, percent)
     components = connected_components(joined.links)
     members = joined.documents.join(components, "node", "left").select("row", "doc_id", "n", F.when(F.col("n") == 0, -1 - F.col("row")).otherwise(F.coalesce("component", "node")).alias("class"))
-    least = members.groupBy("class").agg(F.min("doc_id").alias("component_id"))
+    # as tables, both sides of the join are plain exchanges, which adaptive execution splits where a class is large
+    members = stored(members, "members")
+    least = stored(members.groupBy("class").agg(F.min("doc_id").alias("component_id")), "least")
     return members.join(least, "class").select("row", "doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One document of each class stays, the one with the smallest doc_id (of equal ones the first row)."""
     docs = steady(docs)
-    named = docs.withColumn("agrolith_row", F.monotonically_increasing_id())
+    number = unused("agrolith_row", docs)
+    named = docs.withColumn(number, F.monotonically_increasing_id())
     found = classes_of(docs, words, percent)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id", "doc_id").agg(F.min("row").alias("agrolith_row"))
-    return named.join(kept.select("agrolith_row"), "agrolith_row", "left_semi").drop("agrolith_row")
+    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id", "doc_id").agg(F.min("row").alias(number))
+    return named.join(kept.select(number), number, "left_semi").drop(number)
 
 
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

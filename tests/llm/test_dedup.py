@@ -278,3 +278,20 @@ def test_jaccard_near_copies_without_a_common_partner(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.classes_of(docs, 3, 75).collect())
     assert got == classes(rows, 75, 3) and len({k[2] for k in got}) < 90
+
+
+@pytest.mark.parametrize("stage", ["exact", "jaccard", "mixing"])
+def test_clashing_names_stay(spark, tmp_path, stage):
+    """Columns named as the operators' own come back as they were."""
+    from agrolith.llm import mixing
+
+    rows = [(1, "a b c d e f", 10, "x", 0.5), (2, "A b c d e f", 11, "y", None), (3, None, None, None, 1.5), (3, "other words are here now", 12, "z", 2.5)]
+    schema = "doc_id bigint, text string, agrolith_row int, agrolith_file string, `_row` double"
+    spark.createDataFrame(rows, schema).write.parquet(str(tmp_path / "d"))
+    docs = spark.read.parquet(str(tmp_path / "d"))
+    none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    run = {"exact": exact_dedup.keep_first, "jaccard": lambda d: jaccard_join.keep_one(d, 5, 80), "mixing": lambda d: mixing.thin(d, none)}[stage]
+    out = run(docs)
+    assert out.columns == docs.columns
+    got = {tuple(r) for r in out.collect()}
+    assert got <= set(rows) and len(got) >= 3
