@@ -82,7 +82,18 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     spark, path = frame.sparkSession, shared_dir(frame.sparkSession, purpose)
     with small_batches(spark):
         frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    out = spark.read.schema(frame.schema).parquet(path)
+    out.agrolith_path = path
+    return out
+
+
+def discarded(*frames: DataFrame) -> None:
+    """Deletes tables that stored() wrote and that nothing reads any more; other frames are left alone."""
+    for frame in frames:
+        if frame is not None and (path := vars(frame).get("agrolith_path")):
+            context = frame.sparkSession.sparkContext
+            where = context._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def tidy(*caches: dict) -> None:

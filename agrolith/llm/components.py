@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discarded, stored
 
 
 def large_star(links: DataFrame) -> DataFrame:
@@ -41,7 +41,8 @@ def connected_components(links: DataFrame) -> DataFrame:
     ordered = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links = stored(ordered, "links")
     while not are_stars(links):
-        links = stored(small_star(large_star(links)), "links")
+        links, before = stored(small_star(large_star(links)), "links"), links
+        discarded(before)
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
@@ -101,9 +102,10 @@ def closed(lists: DataFrame, links: DataFrame, nodes: DataFrame, own: list[str],
     round, which joins large groups of similar nodes without their pairs; when a round finds less than an eighth of the
     links of the best one, what is open meets in full.
     """
-    number, most, goes_on = 0, 0, True
+    number, most, goes_on, opened = 0, 0, True, None
     while True:
-        opened = stored(open_lists(lists, connected_components(links)), "open")
+        opened, before = stored(open_lists(lists, connected_components(links)), "open"), opened
+        discarded(before)
         rows, pairs = opened.agg(F.count(F.lit(1)), F.sum(F.when(F.col("minor"), F.col("size")).otherwise(0))).first()
         if not rows:
             return links

@@ -323,25 +323,28 @@ def similarity_join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     return Joined(documents.join(named, ["s1", "s2"]), links)
 
 
+def members_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """row, doc_id, n, class for every row of docs; a row without shingles is a class of its own."""
+    joined = similarity_join(docs, words, percent)
+    members = joined.documents.join(connected_components(joined.links), "node", "left")
+    # as a table, it is read by aggregates and joins as plain exchanges, which adaptive execution splits
+    return stored(members.select("row", "doc_id", "n", F.when(F.col("n") == 0, -1 - F.col("row")).otherwise(F.coalesce("component", "node")).alias("class")), "members")
+
+
 def classes_of(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """row, doc_id, n_shingles, component_id for every row of docs."""
-    joined = similarity_join(docs, words, percent)
-    components = connected_components(joined.links)
-    members = joined.documents.join(components, "node", "left").select("row", "doc_id", "n", F.when(F.col("n") == 0, -1 - F.col("row")).otherwise(F.coalesce("component", "node")).alias("class"))
-    # as tables, both sides of the join are plain exchanges, which adaptive execution splits where a class is large
-    members = stored(members, "members")
+    members = members_of(docs, words, percent)
     least = stored(members.groupBy("class").agg(F.min("doc_id").alias("component_id")), "least")
     return members.join(least, "class").select("row", "doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One document of each class stays, the one with the smallest doc_id (of equal ones the first row)."""
+    """One document of each class stays, the one with the smallest doc_id (of equal ones the first row, null last)."""
     docs = steady(docs)
     number = unused("agrolith_row", docs)
-    named = docs.withColumn(number, F.monotonically_increasing_id())
-    found = classes_of(docs, words, percent)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id", "doc_id").agg(F.min("row").alias(number))
-    return named.join(kept.select(number), number, "left_semi").drop(number)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    kept = members_of(docs, words, percent).groupBy("class").agg(first).select(F.col("first.row").alias(number))
+    return docs.withColumn(number, F.monotonically_increasing_id()).join(kept, number, "left_semi").drop(number)
 
 
 def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,8 +100,24 @@ def test_jaccard_small_sizes():
 def test_keep_one(stored_docs, plain):
     kept = jaccard_join.keep_one(stored_docs, 5, 80)
     assert kept.columns == stored_docs.columns
-    found = {r.component_id for r in jaccard_join.classes_of(stored_docs, 5, 80).collect()}
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(c for c in found if c is not None)
+    sets = [shingle_set(text, 5) for _, text in plain]
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                parent[find(i)] = find(j)
+    best = {}
+    for at, (doc_id, _) in enumerate(plain):
+        key = (doc_id is None, doc_id or 0)
+        best[find(at)] = min(best.get(find(at), (True, 1 << 60)), key)
+    assert Counter((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == Counter(best.values())
 
 
 def repeats(plain, window):
@@ -233,6 +249,13 @@ def test_edit_distance():
         a, b = (bytes(rng.choice(list(b"abc"), rng.integers(0, 14)).tolist()) for _ in range(2))
         assert fuzzy_lines.distance(a, b) == slow(a, b)
 
+    pairs = [tuple(bytes(rng.choice(list(b"abcd"), rng.integers(0, most)).tolist()) for _ in range(2)) for most in [14] * 200 + [200] * 60 + [400] * 8]
+    pairs += [(b"x" * 100, b"x" * 130), (b"", b"abc"), (b"same", b"same"), (b"a" * 64 + b"b", b"a" * 64), (b"q" * 1000, b"r" * 900 + b"q")]
+    assert fuzzy_lines.distances(pairs).tolist() == [slow(a, b) for a, b in pairs]
+    near = [(a, bytes(rng.choice(list(b"abcd"), 3).tolist()) + a[5:]) for a, _ in pairs]
+    first, second = zip(*pairs, *near, strict=True)
+    assert fuzzy_lines.similar_pairs(list(first), list(second)).tolist() == [fuzzy_lines.similar(a, b) for a, b in zip(first, second, strict=True)]
+
 
 def test_components(spark):
     rng = np.random.default_rng(8)
