@@ -25,7 +25,7 @@ def seasonal_means(df: DataFrame, keys: list[str], year: str, month: str, value:
         middle = (at - shift - 1 + 12) % 12 + 1
         own_year = F.col(year) + F.when(at - shift < 1, -1).when(at - shift > 12, 1).otherwise(0)
         first_year = own_year - F.when(middle == 1, 1).otherwise(0)
-        named = first_year if labelled_by == "first" else F.when(middle == 12, own_year).otherwise(own_year)
+        named = first_year if labelled_by == "first" else own_year
         offers.append(F.struct(middle.cast("int").alias("m"), named.cast("int").alias("y")))
     labels = F.array(*map(F.lit, SEASONS))
     offered = df.where(F.col(value).isNotNull()).select(*keys, value, F.explode(F.array(*offers)).alias("_s"))

@@ -38,7 +38,11 @@ def table_rows(page: str, columns: list[str]) -> list[tuple]:
     return out
 
 
-def link_rows(page: str, look_ahead: int = 900) -> list[tuple]:
+#: Fixed value: characters behind a link in which its date is looked for.
+LOOK_AHEAD = 900
+
+
+def link_rows(page: str, look_ahead: int = LOOK_AHEAD) -> list[tuple]:
     """(href, title, date) of links; the date is the first one within so many characters behind the link."""
     out = []
     for match in ANCHOR.finditer(page):
