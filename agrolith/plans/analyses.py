@@ -220,9 +220,10 @@ def cumulative_rates(spark, sf_dir):
 
 
 def conventional(flows):
-    """One outlay, then returns alone: such flows have one rate."""
+    """One outlay, then returns alone that exceed it: such flows have one rate above 0, and no other above -1."""
     rest = F.slice(flows, F.lit(2), F.size(flows))
-    return (F.get(flows, F.lit(0)) < 0) & F.exists(rest, lambda x: x > 0) & ~F.exists(rest, lambda x: x < 0)
+    total = F.aggregate(flows, F.lit(0.0), lambda a, x: a + x)
+    return (F.get(flows, F.lit(0)) < 0) & (total > 0) & ~F.exists(rest, lambda x: x < 0)
 
 
 def zero_at(flows, rate):
@@ -232,7 +233,7 @@ def zero_at(flows, rate):
     return ~conventional(flows) | F.coalesce(F.abs(finance.npv_of(flows, rate)) <= 1e-3 * size, F.lit(False))
 
 
-@query("irr_customer", FLOWS + "SELECT o_custkey, arg_min(flow, year) < 0 AND max(flow) > 0 AND count(*) FILTER (flow < 0) = 1 AS conventional, true AS zero FROM f GROUP BY 1")
+@query("irr_customer", FLOWS + "SELECT o_custkey, arg_min(flow, year) < 0 AND sum(flow) > 0 AND count(*) FILTER (flow < 0) = 1 AS conventional, true AS zero FROM f GROUP BY 1")
 def irr_customer(spark, sf_dir):
     """The present value at each customer's internal rate of return is zero, where flows are conventional."""
     flows = customer_flows(spark, sf_dir).groupBy("o_custkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("year", "flow"))), lambda x: x["flow"]).alias("flows"))
