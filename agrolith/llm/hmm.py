@@ -22,6 +22,8 @@ model with N = V = 0; an empty table gives no rows; very long texts are read who
 
 from __future__ import annotations
 
+import contextlib
+import itertools
 import math
 from collections import Counter
 from collections.abc import Iterator
@@ -326,28 +328,25 @@ def score_documents(docs: DataFrame, p: Parameters, lex: Lexical, counts: DataFr
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, lex = broadcast.value
-        heavy = {word: math.log10(n + ALPHA) for word, n in lex.heavy.items()}
+        log_of = {word: math.log10(n + ALPHA) for word, n in lex.heavy.items()}.get
         names = ["key", "n", "row", "n_tokens", "known", "sum", "model", "doc"]
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
-            sequences, keys, times, owners = [], [], [], []
+            sequences, keys, times, lights = [], [], [], np.zeros(len(texts), np.int64)
             known, sums, model = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts))
             for at, text in enumerate(texts):
                 found = tokens_of(text.as_py())
                 sequences += class_sequences([found])
                 words = Counter(found)
                 words[END] = 1
-                n_known, total = 0, 0.0
-                for word, n in words.items():
-                    own = heavy.get(word)
-                    if own is None:
-                        keys.append(word)
-                        times.append(n)
-                        owners.append(ids[at])
-                    else:
-                        n_known += n
-                        total += n * own
-                known[at], sums[at] = n_known, total
+                often = np.fromiter(words.values(), np.int64, len(words))
+                logs = np.fromiter(map(log_of, words, itertools.repeat(math.nan)), np.float64, len(words))
+                light = np.isnan(logs)
+                keys += itertools.compress(words, light.tolist())
+                times.append(often[light])
+                lights[at] = len(times[-1])
+                known[at], sums[at] = often[~light].sum(), logs[~light] @ often[~light]
+            times, owners = np.concatenate(times) if times else np.empty(0, np.int64), np.repeat(np.array(ids, np.int64), lights)
             for group in batches_by_length(sequences):
                 model[group] = forward(p, [sequences[at] for at in group])[0]
             model -= np.array([lex.by_class[sequence].sum() for sequence in sequences])
@@ -369,13 +368,29 @@ def score_documents(docs: DataFrame, p: Parameters, lex: Lexical, counts: DataFr
     )
 
 
+HASHED = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+
+
+@contextlib.contextmanager
+def hashed_where_small(spark: SparkSession) -> Iterator[None]:
+    """Meanwhile adaptive execution joins by hash where every partition of one side is seen to have at most 64 MB, which
+    spares the sort of the other one; beyond that it sorts and merges, which can spill."""
+    before = spark.conf.get(HASHED, None)
+    spark.conf.set(HASHED, "64m")
+    try:
+        yield
+    finally:
+        spark.conf.unset(HASHED) if before is None else spark.conf.set(HASHED, before)
+
+
 def language_model(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs."""
     checkpoint_dir(docs.sparkSession)
     counts = word_counts(docs).checkpoint()
     lex = lexical(counts)
     p = baum_welch(docs, start_parameters(docs))
-    scored = score_documents(docs, p, lex, counts)
+    with hashed_where_small(docs.sparkSession):
+        scored = stored(score_documents(docs, p, lex, counts), "scores")
     return scored.select(
         "doc_id",
         (remainder(F.col("doc_id"), HELD_OUT[0]) == HELD_OUT[1]).alias("held_out"),

@@ -318,3 +318,32 @@ def test_clashing_names_stay(spark, tmp_path, stage):
     assert out.columns == docs.columns
     got = {tuple(r) for r in out.collect()}
     assert got <= set(rows) and len(got) >= 3
+
+
+def test_fuzzy_lines_of_odd_tables(spark):
+    """Repeated rows, very long lines, white space of all kinds, and columns of clashing names."""
+    rng = np.random.default_rng(3)
+    long = " ".join("".join(rng.choice(list("abcdefgh"), 5)) for _ in range(20_000))
+    other = long[:-40] + "changed at the very end of the line here"
+    rows = [(1, f"{long}\nshort line of words", "x", 1), (1, f"{long}\nshort line of words", "x", 1), (2, f"  {long.upper()} \t", None, 2), (3, other, "y", 3), (4, "\n\n \x0b\n", "z", 4), (5, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, line string, node int")
+    got = sorted((r.doc_id, r.n_lines, r.n_removed) for r in fuzzy_lines.remove_fuzzy_lines(docs).collect())
+    assert got == [(1, 2, 0), (1, 2, 2), (2, 1, 1), (3, 1, 1), (4, 4, 0), (5, 0, 0)]
+
+
+def test_windows_that_only_share_a_fingerprint(monkeypatch):
+    """Fingerprints that collide stop the job instead of removing words."""
+    real = recompression.fingerprints
+    monkeypatch.setattr(recompression, "fingerprints", lambda names, width, base: real(names, width, base) * np.uint64(0) if width == recompression.WINDOW else real(names, width, base))
+    with pytest.raises(ValueError, match="share a fingerprint"):
+        words = [f"w{i}" for i in range(80)]
+        for _ in recompression.share_windows(iter([recompression.pa.RecordBatch.from_arrays([recompression.pa.array([0]), recompression.pa.array([" ".join(words)]), recompression.pa.array([np.arange(80, dtype="<u4").tobytes()])], ["row", "text", "places"])]), 3):
+            pass
+
+
+def test_runs_merge():
+    runs = recompression.runs_of(np.array([5, 5, 5, 5, 7]), np.array([3, 4, 9, 5, 0]), np.array([1, 1, 1, 1, recompression.NOWHERE]), np.array([10, 11, 16, 12, 0]))
+    assert [tuple(int(x) for x in r) for r in runs] == [(5, 3, 3, 1, 10), (5, 9, 1, 1, 16), (7, 0, 1, -1, 0)]
+    more = recompression.runs_of(np.array([5, 5, 5]), np.array([6, 7, 8]), np.array([1, 1, 1]), np.array([13, 14, 15]))
+    merged = recompression.merged(np.concatenate([runs, more]))
+    assert [tuple(int(x) for x in r) for r in merged] == [(5, 3, 7, 1, 10), (7, 0, 1, -1, 0)]
