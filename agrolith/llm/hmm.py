@@ -384,7 +384,7 @@ def hashed_where_small(spark: SparkSession) -> Iterator[None]:
 
 
 def language_model(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of docs."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, score_per_token for every row of docs."""
     checkpoint_dir(docs.sparkSession)
     counts = word_counts(docs).checkpoint()
     lex = lexical(counts)
@@ -399,6 +399,7 @@ def language_model(docs: DataFrame) -> DataFrame:
         F.lit(lex.tokens).cast("long").alias("train_tokens"),
         (F.col("words") - F.col("n_tokens") * F.lit(lex.base)).alias("base_score"),
         (F.col("words") + F.col("model")).alias("score"),
+        ((F.col("words") + F.col("model")) / F.col("n_tokens")).alias("score_per_token"),
     )
 
 

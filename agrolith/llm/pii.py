@@ -330,11 +330,11 @@ def fit_sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Field:
     return fit([text.decode() for text in sampled_texts(rows, sample_docs) if text])
 
 
-SCHEMA = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_added bigint"
+SCHEMA = "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_added bigint, n_spans bigint"
 
 
 def find(docs: DataFrame, field: Field) -> DataFrame:
-    """doc_id, base counts by kind, digest of the base spans, all spans, and how many the field added."""
+    """doc_id, base counts by kind, digest of the base spans, all spans, how many the field added, and how many there are."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [part.split()[0] for part in SCHEMA.split(", ")]
@@ -349,10 +349,10 @@ def find(docs: DataFrame, field: Field) -> DataFrame:
                 if added:
                     merged = {kind: sorted({*spans[kind], *((start, end) for k, start, end in added if k == kind)}) for kind in KINDS}
                     every = ",".join(f"{kind}:{start}:{end}" for kind in KINDS for start, end in merged[kind])
-                row = [*(len(spans[kind]) for kind in KINDS), hashlib.sha256(base.encode()).hexdigest(), every, len(added)]
+                row = [*(len(spans[kind]) for kind in KINDS), hashlib.sha256(base.encode()).hexdigest(), every, len(added), len(every.split(",")) if every else 0]
                 for column, cell in zip(columns, row, strict=True):
                     column.append(cell)
-            types = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.int64()]
+            types = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))], names)
 
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text")).mapInArrow(run, SCHEMA)

@@ -215,7 +215,7 @@ def test_find(stored_docs, spark):
     got = {r.doc_id: r for r in pii.find(docs, pii.fit_sample(docs)).collect()}
     assert (got[1].n_email, got[1].n_ip, got[1].n_card, got[1].n_phone) == (1, 1, 0, 2)
     assert got[2].base_sha256 == got[3].base_sha256 == hashlib.sha256(b"").hexdigest()
-    assert got[None].spans == "card:2:18"
+    assert got[None].spans == "card:2:18" and got[None].n_spans == 1 and got[2].n_spans == 0
     assert pii.redact(rows[0][1], got[1].spans).startswith("call [phone] or write [email] from [ip]")
     assert pii.find(stored_docs, pii.fit([])).count() == stored_docs.count()
 
