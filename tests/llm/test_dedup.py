@@ -251,7 +251,11 @@ def test_edit_distance():
 
     pairs = [tuple(bytes(rng.choice(list(b"abcd"), rng.integers(0, most)).tolist()) for _ in range(2)) for most in [14] * 200 + [200] * 60 + [400] * 8]
     pairs += [(b"x" * 100, b"x" * 130), (b"", b"abc"), (b"same", b"same"), (b"a" * 64 + b"b", b"a" * 64), (b"q" * 1000, b"r" * 900 + b"q")]
-    assert fuzzy_lines.distances(pairs).tolist() == [slow(a, b) for a, b in pairs]
+    exact = np.array([slow(a, b) for a, b in pairs])
+    assert fuzzy_lines.distances(pairs, np.full(len(pairs), 10_000)).tolist() == exact.tolist()
+    for most in (0, 3, 40, 150):
+        found = fuzzy_lines.distances(pairs, np.full(len(pairs), most))
+        assert ((found <= most) == (exact <= most)).all() and (found[exact <= most] == exact[exact <= most]).all()
     near = [(a, bytes(rng.choice(list(b"abcd"), 3).tolist()) + a[5:]) for a, _ in pairs]
     first, second = zip(*pairs, *near, strict=True)
     assert fuzzy_lines.similar_pairs(list(first), list(second)).tolist() == [fuzzy_lines.similar(a, b) for a, b in zip(first, second, strict=True)]
