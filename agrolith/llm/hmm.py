@@ -50,7 +50,7 @@ END = b" "
 TOKENS_AT_ONCE = 600_000
 HELD_TOKENS = 5_000_000
 COUNT_AT_ONCE = 1_500_000
-CACHE = 300_000
+CACHE = 500_000
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
@@ -58,9 +58,12 @@ def tokens_of(text: bytes | None) -> list[bytes]:
     return (text or b"").lower().split()
 
 
+LENGTHS = [b"\t%d" % n for n in range(8)]
+
+
 def word_class(word: bytes) -> int:
     if word.isascii():
-        return xxhash.xxh3_64_intdigest(b"%b\t%b\t%d" % (word[:3], word[-3:], min(len(word), 7))) % CLASSES
+        return xxhash.xxh3_64_intdigest(word[:3] + word[-3:] + LENGTHS[min(len(word), 7)]) % CLASSES
     text = word.decode()
     return xxhash.xxh3_64_intdigest(f"{text[:3]}\t{text[-3:]}\t{min(len(text), 7)}".encode()) % CLASSES
 
