@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, fuzzy_lines, hmm, jaccard_join, merkle, mixing, pii, recompression, toxicity
+from . import bpe, exact_dedup, fuzzy_lines, hmm, jaccard_join, manifest, merkle, mixing, pii, recompression, toxicity
 
 QUERIES = {
     "op1_hmm": hmm.op1_hmm,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_recompression": recompression.op8_recompression,
     "op9_fuzzy_lines": fuzzy_lines.op9_fuzzy_lines,
     "op10_jaccard": jaccard_join.op10_jaccard,
+    "op11_manifest": manifest.op11_manifest,
 }
 #: Model scores, fits, fingerprints and vocabularies have no SQL form; those queries are tested by brute force.
 ORACLES = {
     "op6_exact_dedup": exact_dedup.SQL,
     "op8_recompression": recompression.SQL,
     "op10_jaccard": jaccard_join.SQL,
+    "op11_manifest": manifest.SQL,
 }
