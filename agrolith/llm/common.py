@@ -62,6 +62,14 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(modulus)).cast("int")
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB's SQL for the unsigned CRC-32 of a text's UTF-8 bytes, from the reversed polynomial."""
+    digit = lambda at: f"strpos('0123456789ABCDEF', substr(hex({text}), {at}, 1)) - 1"
+    bytes_of = f"list_transform(range(strlen({text})), lambda i: (({digit('2 * i + 1')}) * 16 + ({digit('2 * i + 2')}))::UBIGINT)"
+    step = "list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END, xor(c, b) & 255)"
+    return f"xor(list_reduce({bytes_of}, lambda c, b: xor(c >> 8, {step}), 4294967295::UBIGINT), 4294967295::UBIGINT)"
+
+
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

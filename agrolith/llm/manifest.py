@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ordered import numbered
-from .common import lower_az, read, remainder, stored
+from .common import crc32_sql, lower_az, read, remainder, stored
 
 FANOUT = 8
 #: Levels that a block of a proof climbs.
@@ -300,11 +300,9 @@ def levels_sql(name: str) -> str:
     return out
 
 
-BYTE_SQL = "list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END, xor(c, b) & 255)"
-CRC_SQL = f"xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT), lambda c, b: xor(c >> 8, {BYTE_SQL}), 4294967295::UBIGINT), 4294967295::UBIGINT)"
 SQL = f"""
 WITH leaves AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, coalesce('=' || lang, '') AS tree, {leaf_sql("text")} AS leaf,
-  CASE WHEN doc_id IS NULL OR {CRC_SQL} % {TAMPER} = 0 THEN {leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {leaf_sql("text")} END AS shown FROM documents),
+  CASE WHEN doc_id IS NULL OR {crc32_sql('doc_id::VARCHAR')} % {TAMPER} = 0 THEN {leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {leaf_sql("text")} END AS shown FROM documents),
 l0 AS MATERIALIZED (SELECT row, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS spot, count(*) OVER (PARTITION BY tree) AS n, leaf AS digest, '' AS path, shown AS now FROM leaves),{levels_sql("l")}
 t0 AS MATERIALIZED (SELECT row, '' AS tree, dense_rank() OVER (ORDER BY encode(tree)) - 1 AS spot, (SELECT count(DISTINCT tree) FROM leaves) AS n, digest, path, now FROM l{SQL_LEVELS}),{levels_sql("t")}
 subs AS (SELECT row, digest AS subroot FROM l{SQL_LEVELS})

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, fuzzy_lines, hmm, jaccard_join, manifest, merkle, mixing, pii, recompression, toxicity
+from . import bpe, exact_dedup, fuzzy_lines, hmm, jaccard_join, manifest, merkle, mixing, pii, recompression, resampling, toxicity
 
 QUERIES = {
     "op1_hmm": hmm.op1_hmm,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_fuzzy_lines": fuzzy_lines.op9_fuzzy_lines,
     "op10_jaccard": jaccard_join.op10_jaccard,
     "op11_manifest": manifest.op11_manifest,
+    "op12_resampling": resampling.op12_resampling,
 }
 #: Model scores, fits, fingerprints and vocabularies have no SQL form; those queries are tested by brute force.
 ORACLES = {
@@ -23,4 +24,5 @@ ORACLES = {
     "op8_recompression": recompression.SQL,
     "op10_jaccard": jaccard_join.SQL,
     "op11_manifest": manifest.SQL,
+    "op12_resampling": resampling.SQL,
 }
