@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, fuzzy_lines, hmm, jaccard_join, manifest, merkle, mixing, pii, recompression, resampling, toxicity
+from . import bpe, exact_dedup, fuzzy_lines, hmm, hyperminhash, jaccard_join, manifest, merkle, mixing, pii, recompression, resampling, toxicity
 
 QUERIES = {
     "op1_hmm": hmm.op1_hmm,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_jaccard": jaccard_join.op10_jaccard,
     "op11_manifest": manifest.op11_manifest,
     "op12_resampling": resampling.op12_resampling,
+    "op13_hyperminhash": hyperminhash.op13_hyperminhash,
 }
 #: Model scores, fits, fingerprints and vocabularies have no SQL form; those queries are tested by brute force.
 ORACLES = {
@@ -25,4 +26,5 @@ ORACLES = {
     "op10_jaccard": jaccard_join.SQL,
     "op11_manifest": manifest.SQL,
     "op12_resampling": resampling.SQL,
+    "op13_hyperminhash": hyperminhash.SQL,
 }
