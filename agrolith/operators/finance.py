@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from .aggregates import exceedance, quantile_summary
+from .ordered import numbered, running_sums
 
 PHI0 = 1 / math.sqrt(2 * math.pi)
 
@@ -32,6 +33,12 @@ def npv_series(df: DataFrame, keys: list[str], order: str, flow: str, rate: floa
     return df.withColumn("npv", F.sum(discounted(F.col(flow), F.lit(rate), F.col("t"))).over(by))
 
 
+def npv_scan(df: DataFrame, keys: list[str], order: list[Column | str], flow: str, rate: float) -> DataFrame:
+    """The same where a key may hold any share of the rows."""
+    placed = numbered(df, keys, *order, name="t")
+    return running_sums(placed, keys, [F.col("t").asc()], {"npv": discounted(F.col(flow), F.lit(rate), F.col("t"))})
+
+
 def bcr_series(df: DataFrame, keys: list[str], order: str, benefit: str, cost: str, rate: float) -> DataFrame:
     """Running discounted benefit over running discounted cost; null where the cost is 0."""
     df = df.withColumn("t", position(keys, order))

@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .aggregates import median_band
+from .ordered import previous
 from agrolith.functions.columns import product_holds, ratio_within
 
 
@@ -60,7 +61,7 @@ def index_gate(df: DataFrame, key: str, page: str, page_size: int, expected: int
     complete = [F.col(f"_t{at}") for at in range(len(tests))]
     if order:
         each = df.groupBy(page).agg(F.max(order).alias("_high"), F.min(order).alias("_low"))
-        steps = each.select(F.col("_high"), F.lag("_low").over(W.orderBy(page)).alias("_before"))  # one row a page
+        steps = previous(each, [], [F.col(page).asc()], {"_before": "_low"})
         whole = whole.crossJoin(steps.agg(F.count_if(F.col("_high") > F.col("_before")).alias("out_of_order")))
         complete.append(F.col("out_of_order") == 0)
     passed = complete[0]

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 100_000
+from ..tables import BROADCAST_ROWS
+from .ordered import placed  # noqa: F401  part of this module's surface
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -134,17 +135,6 @@ def nearest(points: DataFrame, centres: DataFrame, value: str, centre: str, tole
     return best.select("_point.*", F.col("_best.c").alias(centre))
 
 
-def placed(df: DataFrame, name: str, *order: Column) -> DataFrame:
-    """Row numbers from 1 in a global order, without all rows in one task: rows are dealt to ranges of the order, counted
-    by range, and numbered within. The ranges are held so that both passes see the same."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id()).persist()
-    counts = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    within = F.row_number().over(W.partitionBy("_range").orderBy(*order))
-    return ranged.join(F.broadcast(before), "_range").withColumn(name, (F.col("_before") + within).cast("long")).drop("_range", "_before")  # one row a range
-
-
 def bin_join(df: DataFrame, bins: DataFrame, value: str) -> DataFrame:
     """Rows with the class whose [low, high) holds the value; null bounds are open. bins: low, high, class."""
     condition = (F.col("low").isNull() | (df[value] >= F.col("low"))) & (F.col("high").isNull() | (df[value] < F.col("high")))

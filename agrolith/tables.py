@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 
 from .streaming.events import shared
 
+#: A side of at most so many rows, which a bounded count tells, may be broadcast.
+BROADCAST_ROWS = 100_000
+
 
 def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame's rows as a table in the shared folder, read again: computed once, lineage cut, and the same rows for
