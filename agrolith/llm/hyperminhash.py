@@ -7,9 +7,9 @@ drawn by a fixed sequence until one is filled, so that small sets have full band
 the sets do.
 
 Sets that share a band meet. Of 32 bands of four registers, sets of similarity 0.85 miss all with a chance of about 5e-11.
-A meeting pair is screened by one bit a register, then by the estimate of its similarity: the share of equal registers
-less those that agree by chance. Two minima of rates u and v fall into one register's range, which is about 0.7213 /
-2 ** MANTISSA of its place, with a chance of 0.7213 / 2 ** MANTISSA * u * v / (u + v) ** 2. Both screens leave DOUBT standard
+A meeting pair is screened by a parity signature of its sets, which bounds from below in how many shingles they differ, and
+by one bit a register, then by the estimate of its similarity: the share of equal registers less those that agree by chance. Two minima of rates u and v fall into one register's range, which is about 0.7213 /
+2 ** MANTISSA of its place, with a chance of 0.7213 / 2 ** MANTISSA * u * v / (u + v) ** 2. The screens by registers leave DOUBT standard
 deviations below the asked similarity, taken for the buckets that are filled. What is left is compared on the sets of the
 whole texts.
 
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import read, small_batches, steady, stored, tidy
 from .components import closed, connected_components, near_pairs
-from .jaccard_join import NAME_OF, possible, set_value, shingles, signed, verified, word_names
+from .jaccard_join import NAME_OF, SIGNS, parity, possible, set_value, shingles, signed, verified, word_names
 
 WORDS, PERCENT = 5, 85
 BUCKET_BITS, MANTISSA, BAND = 7, 10, 4
@@ -114,10 +114,11 @@ def described(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
             some = [at for at, own in enumerate(sets) if len(own)]
             registers, filled = sketches([sets[at] for at in some])
             bits = np.packbits((registers & np.uint16(1)).astype(np.uint8), axis=1).view("<i8")
+            signs = [parity(sets[at]) for at in some]
             bands = np.ascontiguousarray(registers).astype("<u2").view("<i8")
             held: list[list] = [[None] * len(sets) for _ in range(3)]
             for place, at in enumerate(some):
-                held[0][at], held[1][at], held[2][at] = int(filled[place]), bits[place], bands[place]
+                held[0][at], held[1][at], held[2][at] = int(filled[place]), np.concatenate([bits[place], signs[place]]), bands[place]
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array([len(x) for x in sets], pa.int64()), pa.array([x[0] for x in sums], pa.int64()), pa.array([x[1] for x in sums], pa.int64()),
@@ -166,11 +167,13 @@ class NearDuplicates:
         own = ["n", "filled", "bits"]
 
         def near(one, two):
-            differ = sum((F.bit_count(F.get(one("bits"), F.lit(i)).bitwiseXOR(F.get(two("bits"), F.lit(i)))) for i in range(REGISTERS // 64)), F.lit(0))
+            apart = [F.bit_count(F.get(one("bits"), F.lit(i)).bitwiseXOR(F.get(two("bits"), F.lit(i)))) for i in range(REGISTERS // 64 + SIGNS)]
+            differ, signs = (sum(part, F.lit(0)) for part in (apart[: REGISTERS // 64], apart[REGISTERS // 64 :]))
             t, filled = percent / 100, F.least(one("filled"), two("filled"))
             # half of the registers that differ do so in this bit; two deviations in one bound
             most = (1 - t) / 2 + DOUBT * F.sqrt(F.lit(t * (1 - t) / 4) / filled) + DOUBT * F.sqrt(F.lit(1 / 16) / filled)
-            return (differ <= most * REGISTERS) & possible(one("n"), two("n"), percent)
+            bound = signs * (100 + percent) <= (one("n") + two("n")) * (100 - percent)
+            return possible(one("n"), two("n"), percent) & bound & (differ <= most * REGISTERS)
 
         def verify(pairs: DataFrame) -> DataFrame:
             return verified(stored(screened(pairs, nodes, percent), "pairs"), rows, words, percent)
