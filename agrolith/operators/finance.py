@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType
 
 from .aggregates import exceedance, quantile_summary
 from .ordered import numbered, running_sums
@@ -100,11 +100,52 @@ def irr(flows: pd.Series) -> pd.Series:
     return pd.Series(np.where(sizes < 2, np.nan, found)).astype("Float64").where(lambda x: ~np.isnan(np.where(sizes < 2, np.nan, found)), pd.NA)
 
 
+#: Numbers that the flows searched together may have, and flows that a key may have: years of a project.
+CELLS, MOST_FLOWS = 1_000_000, 10_000
+
+
+@F.pandas_udf(ArrayType(DoubleType()))
+def prefix_irrs(flows: pd.Series) -> pd.Series:
+    """For each array of flows, the internal rates of its prefixes, null where there is none. The flows of many keys are one
+    matrix, and a prefix is its first columns, so no prefix is held by itself.
+
+    Each search begins at the fixed guess, not at the rate of the prefix before: where it ends, and whether it settles at
+    all, depends on where it begins."""
+    sizes = np.array([len(x) for x in flows], int)
+    out: list[list] = [[None] * n for n in sizes]
+    order = np.argsort(sizes, kind="stable")  # keys with alike many flows are padded to each other
+    low = 0
+    while low < len(order):
+        high = low + 1
+        while high < len(order) and (high + 1 - low) * sizes[order[high]] <= CELLS:
+            high += 1
+        own, low = order[low:high], high
+        padded = np.zeros((len(own), int(sizes[own[-1]])))
+        for at, key in enumerate(own):
+            padded[at, : sizes[key]] = flows.iloc[key]
+        for width in range(2, padded.shape[1] + 1):
+            first = int(np.searchsorted(sizes[own], width))
+            for key, rate in zip(own[first:], secant_rates(padded[first:, :width]).tolist(), strict=True):
+                out[key][width - 1] = None if math.isnan(rate) else rate
+    return pd.Series(out)
+
+
 def cumulative_rates(df: DataFrame, keys: list[str], order: str, flow: str, finance: float, reinvest: float) -> DataFrame:
-    """IRR and MIRR of each prefix of a key's flows."""
-    by = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, 0)
-    prefixed = df.withColumn("_flows", F.collect_list(flow).over(by))
-    return prefixed.withColumn("irr", irr("_flows")).withColumn("mirr", mirr(F.col("_flows"), finance, reinvest)).drop("_flows")
+    """IRR and MIRR of each prefix of a key's flows. A key's flows are gathered once, for the search alone; what MIRR
+    needs are running sums. A key of more than MOST_FLOWS flows is an error."""
+    by = W.partitionBy(*keys).orderBy(order)
+    sofar, t = by.rowsBetween(W.unboundedPreceding, 0), F.row_number().over(by) - 1
+    rows = df.withColumn("_t", t)
+    losses = F.sum(F.least(F.col(flow), F.lit(0.0)) / F.pow(F.lit(1 + finance), F.col("_t"))).over(sofar)
+    gains = F.sum(F.greatest(F.col(flow), F.lit(0.0)) / F.pow(F.lit(1 + reinvest), F.col("_t"))).over(sofar) * F.pow(F.lit(1 + reinvest), F.col("_t"))
+    rows = rows.withColumn("_losses", losses).withColumn("_gains", gains)
+    both = (F.col("_t") > 0) & (F.col("_losses") < 0) & (F.col("_gains") > 0)
+    rows = rows.withColumn("mirr", F.when(both, F.pow(F.col("_gains") / F.abs("_losses"), 1 / F.col("_t")) - 1))
+    whole = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_t", *(c for c in df.columns if c not in (*keys, "_t")), "mirr"))).alias("_rows"))
+    checked = F.when(F.size("_rows") <= MOST_FLOWS, F.transform("_rows", lambda x: F.coalesce(x[flow].cast("double"), F.lit(0.0)))).otherwise(F.raise_error(F.lit(f"a key has more than {MOST_FLOWS} flows")))
+    rated = whole.withColumn("_irr", prefix_irrs(checked))
+    each = rated.select(*keys, F.explode(F.arrays_zip(F.col("_rows").alias("r"), F.col("_irr").alias("irr"))).alias("_x"))
+    return each.select(*keys, "_x.r.*", "_x.irr").select(*df.columns, "irr", "mirr")
 
 
 def avoided_loss(cv: Column, reduction: Column, absolute: bool = False) -> Column:

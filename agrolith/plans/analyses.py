@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from agrolith.functions import columns as C
 from agrolith.operators import aggregates as A
-from agrolith.operators import analyses, finance, gates, grids, hierarchy, nested, relational, seasonal
+from agrolith.operators import analyses, finance, gates, grids, hierarchy, nested, relational, seasonal, selection
 
 from .analytics import NATION_ORDERS, customer_flows, nation_orders
 from .registry import query, table
@@ -206,39 +206,42 @@ def nulls_last_places(spark, sf_dir):
     return relational.placed(rows, "place", F.col("toxic").desc_nulls_last(), F.asc("doc_id"))
 
 
-@query("cumulative_rates", FLOWS + """, t AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY year) - 1 AS t FROM f),
-m AS (SELECT a.o_custkey, a.year, a.t AS n, sum(least(b.flow, 0) / pow(1.1, b.t)) AS losses, sum(greatest(b.flow, 0) * pow(1.12, a.t - b.t)) AS gains FROM t a JOIN t b ON a.o_custkey = b.o_custkey AND b.t <= a.t GROUP BY ALL)
-SELECT o_custkey, year, CASE WHEN n > 0 AND losses < 0 AND gains > 0 THEN round(pow(gains / abs(losses), 1.0 / n) - 1, 6) END AS mirr, true AS zero FROM m""")
-def cumulative_rates(spark, sf_dir):
-    """MIRR of every prefix, and whether the present value at every prefix's IRR is nothing beside its flows."""
-    from pyspark.sql import Window as W
-
-    rows = finance.cumulative_rates(customer_flows(spark, sf_dir), ["o_custkey"], "year", "flow", 0.10, 0.12)
-    flows = F.collect_list("flow").over(W.partitionBy("o_custkey").orderBy("year").rowsBetween(W.unboundedPreceding, 0))
-    rows = rows.withColumn("_f", flows)
-    return rows.select("o_custkey", "year", F.round("mirr", 6).alias("mirr"), zero_at(F.col("_f"), F.col("irr")).alias("zero"))
-
-
-def conventional(flows):
-    """One outlay, then returns alone that exceed it: such flows have one rate above 0, and no other above -1."""
-    rest = F.slice(flows, F.lit(2), F.size(flows))
-    total = F.aggregate(flows, F.lit(0.0), lambda a, x: a + x)
-    return (F.get(flows, F.lit(0)) < 0) & (total > 0) & ~F.exists(rest, lambda x: x < 0)
+#: The search for a rate in SQL, from prefixes p (o_custkey, year, fl): secants from 0.1 and 0.15, a hundred at most, until one
+#: moves by less than 1e-6; none where the two values are as good as equal.
+SECANT = """p2 AS MATERIALIZED (SELECT * FROM p WHERE len(fl) >= 2),
+s AS (SELECT o_custkey, year, fl, 0 AS step, 0.1::DOUBLE AS a, 0.15::DOUBLE AS b, NULL::DOUBLE AS rate FROM p2
+  UNION ALL SELECT o_custkey, year, fl, step + 1, b, c, CASE WHEN abs(c - b) < 1e-6 THEN c END FROM (SELECT *, b - vb * (b - a) / (vb - va) AS c FROM (SELECT *,
+    list_sum(list_transform(fl, lambda x, i: x / pow(1 + a, i - 1))) AS va, list_sum(list_transform(fl, lambda x, i: x / pow(1 + b, i - 1))) AS vb FROM s WHERE rate IS NULL AND step < 100)
+    WHERE abs(vb - va) >= 1e-10)),
+found AS (SELECT o_custkey, year, rate FROM s WHERE rate IS NOT NULL)
+"""
 
 
-def zero_at(flows, rate):
-    """Whether the present value at a rate is nothing beside the discounted flows; flows that are not conventional may
-    have no rate or several, and pass."""
-    size = F.aggregate(F.transform(flows, lambda x, t: F.abs(x) / F.pow(F.abs(1 + rate), t)), F.lit(1.0), lambda a, x: a + x)
-    return ~conventional(flows) | F.coalesce(F.abs(finance.npv_of(flows, rate)) <= 1e-3 * size, F.lit(False))
+@query("cumulative_rates", "WITH RECURSIVE" + FLOWS.removeprefix("WITH") + """, t AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY year) - 1 AS t FROM f),
+m AS (SELECT a.o_custkey, a.year, a.t AS n, sum(least(b.flow, 0) / pow(1.1, b.t)) AS losses, sum(greatest(b.flow, 0) * pow(1.12, a.t - b.t)) AS gains FROM t a JOIN t b ON a.o_custkey = b.o_custkey AND b.t <= a.t GROUP BY ALL),
+p AS (SELECT o_custkey, year, list(flow) OVER (PARTITION BY o_custkey ORDER BY year ROWS UNBOUNDED PRECEDING) AS fl FROM f), """ + SECANT + """
+SELECT m.o_custkey, m.year, CASE WHEN n > 0 AND losses < 0 AND gains > 0 THEN round(pow(gains / abs(losses), 1.0 / n) - 1, 6) END AS mirr, round(rate, 4) AS irr FROM m LEFT JOIN found USING (o_custkey, year)""")
+def cumulative_rates(spark, sf_dir):
+    """IRR and MIRR of every prefix."""
+    rows = finance.cumulative_rates(customer_flows(spark, sf_dir), ["o_custkey"], "year", "flow", 0.10, 0.12)
+    return rows.select("o_custkey", "year", F.round("mirr", 6).alias("mirr"), F.round("irr", 4).alias("irr"))
 
 
-@query("irr_customer", FLOWS + "SELECT o_custkey, arg_min(flow, year) < 0 AND sum(flow) > 0 AND count(*) FILTER (flow < 0) = 1 AS conventional, true AS zero FROM f GROUP BY 1")
+@query("irr_customer", "WITH RECURSIVE" + FLOWS.removeprefix("WITH") + ", p AS (SELECT o_custkey, 0 AS year, list(flow ORDER BY year) AS fl FROM f GROUP BY 1), " + SECANT + "SELECT o_custkey, len(fl) AS n, round(rate, 4) AS irr FROM p LEFT JOIN found USING (o_custkey)")
 def irr_customer(spark, sf_dir):
-    """The present value at each customer's internal rate of return is zero, where flows are conventional."""
+    """Each customer's internal rate of return."""
     flows = customer_flows(spark, sf_dir).groupBy("o_custkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("year", "flow"))), lambda x: x["flow"]).alias("flows"))
-    rated = flows.withColumn("irr", finance.irr("flows"))
-    return rated.select("o_custkey", conventional(F.col("flows")).alias("conventional"), zero_at(F.col("flows"), F.col("irr")).alias("zero"))
+    return flows.select("o_custkey", F.size("flows").cast("long").alias("n"), F.round(finance.irr("flows"), 4).alias("irr"))
+
+
+@query("irr_closed", """
+WITH o AS (SELECT o_orderkey, o_totalprice AS p, o_totalprice * (1 + (o_custkey % 50) / 100.0) AS a, o_totalprice * (0.6 + (o_custkey % 30) / 100.0) AS b FROM orders)
+SELECT o_orderkey, round(a / p - 1, 4) AS two, round(2 * b / (sqrt(b * b + 4 * p * b) - b) - 1, 4) AS three FROM o""")
+def irr_closed(spark, sf_dir):
+    """Rates that have a formula: one return after a year, and two equal ones."""
+    orders = table(spark, sf_dir, "orders")
+    p, a, b = F.col("o_totalprice"), F.col("o_totalprice") * (1 + F.col("o_custkey") % 50 / F.lit(100.0)), F.col("o_totalprice") * (0.6 + F.col("o_custkey") % 30 / F.lit(100.0))
+    return orders.select("o_orderkey", F.round(finance.irr(F.array(-p, a)), 4).alias("two"), F.round(finance.irr(F.array(-p, b, b)), 4).alias("three"))
 
 
 @query("clean_median_price", """
@@ -251,7 +254,9 @@ def clean_median_price(spark, sf_dir):
     quotes = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", F.col("l_suppkey").alias("market"), F.trunc(F.col("l_shipdate").cast("date"), "year").alias("day"), F.month("l_shipdate").cast("long").alias("month"), F.col("l_extendedprice").alias("price"), F.col("l_returnflag").alias("unit"), F.nullif(F.col("l_suppkey") % 10, F.lit(0)).alias("county"))
     clean = gates.qc_flags(quotes, "market", "day", "price", "unit", "county", ["A", "N"], 9_000_000, ["l_orderkey"]).where("qc_flag = ''")
     rows = clean.join(table(spark, sf_dir, "part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-    return rows.groupBy("p_type", F.year("day").cast("long").alias("year"), "month").agg(F.round(F.median("price"), 6).alias("median_price"), F.count(F.lit(1)).alias("n_quotes"))
+    quotes = rows.select("p_type", F.year("day").cast("long").alias("year"), "month", "price")
+    found = selection.medians(quotes, ["p_type", "year", "month"], "price", "median_price")
+    return found.withColumn("median_price", F.round("median_price", 6)).withColumnRenamed("n", "n_quotes")
 
 
 # analyses

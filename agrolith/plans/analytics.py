@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from agrolith.functions import columns as C
 from agrolith.operators import aggregates as A
-from agrolith.operators import finance, gates, seasonal
+from agrolith.operators import finance, gates, seasonal, selection
 from agrolith.streaming import events as E
 
 from .registry import query, table
@@ -92,7 +92,7 @@ def distinct_lists(spark, sf_dir):
 
 @query("quantile_summary", "SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.1), 4) AS p10, round(quantile_cont(l_extendedprice, 0.5), 4) AS p50, round(quantile_cont(l_extendedprice, 0.9), 4) AS p90, round(avg(l_extendedprice), 4) AS mean, count(l_extendedprice) AS n FROM lineitem GROUP BY 1")
 def quantile_summary(spark, sf_dir):
-    summary = table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(*A.quantile_summary(F.col("l_extendedprice")))
+    summary = selection.summary(table(spark, sf_dir, "lineitem"), ["l_returnflag"], "l_extendedprice")
     return summary.select("l_returnflag", *(F.round(c, 4).alias(c) for c in ("p10", "p50", "p90", "mean")), "n")
 
 
@@ -118,14 +118,17 @@ def median_price_month(spark, sf_dir):
     """A price in cents over a quantity below 64 ends within seven digits, or not at all, so a mean of two middle prices has no
     half at the ninth digit."""
     rows = table(spark, sf_dir, "lineitem").where("l_linestatus = 'F'").join(table(spark, sf_dir, "part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-    keys = ["p_type", F.year("l_shipdate").cast("long").alias("year"), F.month("l_shipdate").cast("long").alias("month")]
-    return rows.groupBy(*keys).agg(F.round(F.median(F.col("l_extendedprice") / F.col("l_quantity")), 9).alias("median_price"), F.count(F.lit(1)).alias("n_quotes"))
+    quotes = rows.select("p_type", F.year("l_shipdate").cast("long").alias("year"), F.month("l_shipdate").cast("long").alias("month"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"))
+    found = selection.medians(quotes, ["p_type", "year", "month"], "price", "median_price")
+    return found.withColumn("median_price", F.round("median_price", 9)).withColumnRenamed("n", "n_quotes")
 
 
 @query("terms_of_trade", "SELECT year(l_shipdate) AS year, round(median(l_extendedprice) FILTER (l_returnflag = 'A') / nullif(median(l_extendedprice) FILTER (l_returnflag = 'N'), 0), 6) AS terms FROM lineitem GROUP BY 1")
 def terms_of_trade(spark, sf_dir):
-    price = lambda flag: F.median(F.when(F.col("l_returnflag") == flag, F.col("l_extendedprice")))
-    return table(spark, sf_dir, "lineitem").groupBy(F.year("l_shipdate").cast("long").alias("year")).agg(F.round(F.try_divide(price("A"), price("N")), 6).alias("terms"))
+    lines = table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").cast("long").alias("year"), "l_returnflag", "l_extendedprice")
+    found = selection.medians(lines, ["year", "l_returnflag"], "l_extendedprice")  # one row a year and flag
+    price = lambda flag: F.max(F.when(F.col("l_returnflag") == flag, F.col("median")))
+    return found.groupBy("year").agg(F.round(F.try_divide(price("A"), price("N")), 6).alias("terms"))
 
 
 @query("additivity", "SELECT l_orderkey, round(sum(l_quantity), 2) AS parts_sum, 100.0 AS total, round(100 * sum(l_quantity) / 100.0, 1) AS additivity_pct FROM lineitem GROUP BY 1")

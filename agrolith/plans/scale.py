@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from agrolith.operators import finance, ordered
+from agrolith.operators import finance, neighbours, ordered, selection, sketches, zones
 from agrolith.plans.registry import query, table
+from agrolith.sources import paged, records
+from agrolith.streaming import conflation
+from agrolith.streaming.events import shared
+from agrolith.tables import stored
 
 TIME = ["ts", "event_id"]
 
@@ -51,3 +55,142 @@ def stretch_one_key(spark, sf_dir):
 @query("npv_one_key", "SELECT event_id, t, round(sum(value / pow(1.0001, t)) OVER (ORDER BY t), 3) AS npv FROM (SELECT event_id, value, row_number() OVER (ORDER BY ts, event_id) - 1 AS t FROM events)")
 def npv_one_key(spark, sf_dir):
     return finance.npv_scan(table(spark, sf_dir, "events"), [], TIME, "value", 0.0001).select("event_id", "t", F.round("npv", 3).alias("npv"))
+
+
+@query("quantiles_one_key", "SELECT round(quantile_cont(value, 0.001), 6) AS low, round(quantile_cont(value, 0.25), 6) AS q1, round(median(value), 6) AS mid, round(quantile_cont(value, 0.999), 6) AS high, quantile_disc(value, 1.0) AS most, count(value) AS n FROM events")
+def quantiles_one_key(spark, sf_dir):
+    """Quantiles of all events' values as one group."""
+    found = selection.quantiles(table(spark, sf_dir, "events"), [], "value", {"low": 0.001, "q1": 0.25, "mid": 0.5, "high": 0.999}, {"most": lambda n: n - 1})
+    return found.select(*(F.round(c, 6).alias(c) for c in ("low", "q1", "mid", "high")), "most", "n")
+
+
+@query("upper_medians", "SELECT l_returnflag, l_linestatus, list_sort(list(l_extendedprice))[len(list(l_extendedprice)) // 2 + 1] AS median, count(*) AS n FROM lineitem GROUP BY ALL")
+def upper_medians(spark, sf_dir):
+    return selection.upper_medians(table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice")
+
+
+RANGES = [("2024-01-01", "2024-01-01"), ("2024-01-01", "2024-01-07"), ("2024-01-05", "2024-01-20"), ("2024-01-01", "2024-01-31"), ("2025-01-01", "2025-01-02")]
+
+
+@query("distinct_by_ranges", f"""
+WITH r AS (SELECT * FROM (VALUES {", ".join(f"(DATE '{low}', DATE '{high}')" for low, high in RANGES)}) AS t(low, high))
+SELECT low, high, event_type, count(*) AS rows, count(DISTINCT user_id) AS users FROM events JOIN r ON CAST(ts AS DATE) BETWEEN low AND high GROUP BY ALL""")
+def distinct_by_ranges(spark, sf_dir):
+    """Users by range of days and kind of event, from sketches a day that are written once, in two parts that overlap in a day."""
+    events = table(spark, sf_dir, "events").select(F.to_date("ts").alias("day"), "event_type", "user_id", "event_id")
+    halves = [sketches.kept(events.where(part), ["day", "event_type"], "user_id") for part in ("event_id % 3 = 0", "event_id % 3 <> 0")]
+    daily = stored(sketches.added(*halves, ["day", "event_type"]), "sketches")
+    ranges = spark.createDataFrame(RANGES, "low string, high string").select(F.to_date("low").alias("low"), F.to_date("high").alias("high"))
+    return sketches.over_ranges(daily, "day", ranges, "event_type").select("low", "high", "event_type", "rows", F.col("distinct").alias("users"))
+
+
+#: Areas of one ring, of a ring with a hole that holds an island, and of two parts, one of them thinner than a pixel.
+AREAS = {
+    "plain": [[(20.3, 11.7), (118.9, 24.1), (97.2, 131.6), (33.4, 90.8)]],
+    "hole": [[(60.7, 60.2), (230.1, 71.3), (221.4, 215.8), (71.6, 198.4)], [(100.3, 98.1), (190.6, 104.9), (181.2, 170.7), (109.4, 160.2)], [(130.1, 120.6), (160.8, 123.3), (144.7, 149.9)]],
+    "parts": [[(5.1, 180.2), (44.6, 233.7), (12.9, 229.3)], [(150.2, 10.9), (240.7, 12.3), (239.9, 12.8)]],
+}
+PIXEL = 2.5
+EDGES = ", ".join(f"('{area}', {a[0]}, {a[1]}, {b[0]}, {b[1]})" for area, rings in AREAS.items() for ring in rings for a, b in zip(ring, [*ring[1:], ring[0]], strict=True))
+
+
+@query("zonal_touched", f"""
+WITH p AS (SELECT o_orderkey % 101 AS i, (o_orderkey * 7) % 97 AS j, o_totalprice AS v, (o_orderkey % 101) * {PIXEL}::DOUBLE AS x, ((o_orderkey * 7) % 97) * {PIXEL}::DOUBLE AS y FROM orders), q AS (SELECT DISTINCT i, j, x, y FROM p),
+e AS (SELECT * FROM (VALUES {EDGES}) AS t(area, ax, ay, bx, by)),
+m AS (SELECT area, i, j,
+  greatest(least((x - ax) / (bx - ax), (x + {PIXEL} - ax) / (bx - ax)), least((y - ay) / (by - ay), (y + {PIXEL} - ay) / (by - ay)), 0) <= least(greatest((x - ax) / (bx - ax), (x + {PIXEL} - ax) / (bx - ax)), greatest((y - ay) / (by - ay), (y + {PIXEL} - ay) / (by - ay)), 1) AS hit,
+  (ay > y + {PIXEL} / 2) <> (by > y + {PIXEL} / 2) AND x + {PIXEL} / 2 < ax + (bx - ax) * (y + {PIXEL} / 2 - ay) / (by - ay) AS crossed FROM q, e),
+z AS (SELECT area, i, j FROM m GROUP BY ALL HAVING bool_or(hit) OR count(*) FILTER (crossed) % 2 = 1)
+SELECT area, count(*) AS pixels, round(avg(v), 4) AS mean FROM p JOIN z USING (i, j) GROUP BY 1""")
+def zonal_touched(spark, sf_dir):
+    """Means over the pixels that areas touch, holes, islands and parts included."""
+    rows = [(area, [[{"x": x, "y": y} for x, y in ring] for ring in rings]) for area, rings in AREAS.items()]
+    areas = spark.createDataFrame(rows, "area string, rings array<array<struct<x: double, y: double>>>")
+    key = F.col("o_orderkey")
+    pixels = table(spark, sf_dir, "orders").select((key % 101).alias("i"), (key * 7 % 97).alias("j"), "o_totalprice")
+    return zones.zonal(pixels, areas, PIXEL, "o_totalprice").withColumn("mean", F.round("mean", 4))
+
+
+@query("nearest_orders", """
+WITH o AS (SELECT o_orderkey AS id, o_orderstatus AS status, o_totalprice / 1000 AS a, dayofyear(o_orderdate) / 2.0 AS b, o_custkey % 500 * 1.0 AS c FROM orders)
+SELECT x.status, x.id, list_transform(min(sqrt((x.a - y.a) ** 2 + (x.b - y.b) ** 2 + (x.c - y.c) ** 2), 3), lambda d: round(d, 6)) AS distances FROM o x JOIN o y ON x.status = y.status AND x.id <> y.id GROUP BY ALL""")
+def nearest_orders(spark, sf_dir):
+    """The distances of the three nearest orders of a status, by price, season and customer: keys of half of all rows."""
+    season = F.dayofyear("o_orderdate") / F.lit(2.0)
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"), (F.col("o_totalprice") / 1000).alias("a"), season.alias("b"), (F.col("o_custkey") % 500).alias("c"))
+    found = neighbours.nearest_years(orders, orders, ["status"], ["a", "b", "c"], 3, "id")
+    ranked = F.array_sort(F.collect_list(F.struct("place", "distance")))
+    return found.groupBy("status", "id").agg(F.transform(ranked, lambda x: F.round(x["distance"], 6)).alias("distances"))
+
+
+@query("newest_in_state", """
+WITH e AS (SELECT user_id, ts, event_id, event_type, round(value) AS v, event_id % 2 AS half FROM events),
+a AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM e WHERE half = 0), z AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM e)
+SELECT user_id, CASE WHEN (a.event_type, a.v) = (z.event_type, z.v) THEN a.event_id ELSE z.event_id END AS event_id, z.event_type, z.v, CASE WHEN (a.event_type, a.v) <> (z.event_type, z.v) THEN 2 ELSE 1 END AS changes
+FROM (SELECT * FROM z WHERE n = 1) z LEFT JOIN (SELECT * FROM a WHERE n = 1) a USING (user_id)""")
+def newest_in_state(spark, sf_dir):
+    """Each user's newest event that changed its kind or value, from state that is kept between two runs of a stream, and the
+    number of changes."""
+    events = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", F.round("value").alias("v"))
+    source = shared(spark, "arrivals")
+    held = conflation.Conflation(spark, source, events.schema, ["user_id"], ["ts", "event_id"], ["event_type", "v"])
+    for half in (0, 1):
+        events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(source)
+        held.advance()
+    return held.snapshot().select("user_id", "event_id", "event_type", "v", "changes")
+
+
+class Responses(paged.Client):
+    """A service whose pages are files below the shared folder; beyond a page it gives no answer."""
+
+    def __init__(self, folder: str, count: int, broken_from: int | None = None) -> None:
+        self.folder, self.count, self.broken_from = folder, count, broken_from
+
+    def pages(self) -> int:
+        return self.count
+
+    def page(self, number: int) -> str:
+        if self.broken_from is not None and number >= self.broken_from:
+            raise ConnectionError("no answer")
+        found = [path for path, _ in records.listed(f"{self.folder}/page={number}")]
+        return "".join(records.opened(path).read().decode() for path in found)
+
+    def echo(self, text: str, number: int) -> int:
+        return int(text.partition("|")[0])
+
+
+@query("pages_resumed", "SELECT page_id, page_id // 20 AS page, url, length(html) AS chars FROM pages")
+def pages_resumed(spark, sf_dir):
+    """Pages of twenty rows from a service that fails halfway; a second harvest goes on at the cursor and gets the rest."""
+    rows = table(spark, sf_dir, "pages").select("page_id", F.floor(F.col("page_id") / 20).alias("page"), "url", F.char_length("html").cast("long").alias("chars"))
+    folder = shared(spark, "service")
+    line = F.to_json(F.struct("page_id", "url", "chars"))
+    texts = rows.groupBy("page").agg(F.concat(F.col("page").cast("string"), F.lit("|"), F.concat_ws("\u001e", F.collect_list(line))).alias("value"))
+    texts.repartition("page").write.partitionBy("page").option("lineSep", "\u001f").text(folder)
+    count = rows.agg(F.max("page")).first()[0]
+    count = 0 if count is None else count + 1
+    first = paged.Harvest(spark, Responses(folder, count, count // 2), 3, each=2, tries=2, pause=0.01)
+    try:
+        first.advance()
+    except Exception as error:  # noqa: BLE001  the stream's failure, of which Spark has several kinds
+        if "no answer" not in str(error) and "could not be had" not in str(error):
+            raise
+    again = paged.Harvest(spark, Responses(folder, count), 3, first.out, first.state, each=2, tries=2, pause=0.01)
+    again.advance()
+    text = F.replace(F.expr("substr(text, instr(text, '|') + 1)"), F.lit("\u001f"), F.lit(""))
+    each = again.rows().select("page", F.explode(F.split(text, "\u001e")).alias("row"))
+    return each.select(F.from_json("row", "page_id long, url string, chars long").alias("r"), "page").select("r.*", "page")
+
+
+@query("record_splits", """
+WITH m AS (SELECT o_custkey, year(o_orderdate) AS year, month(o_orderdate) AS month, floor(avg(o_totalprice) / 1000) AS v FROM orders GROUP BY ALL)
+SELECT year, month, count(*) AS n, CAST(sum(v) AS BIGINT) AS total FROM m WHERE year BETWEEN 1995 AND 1996 GROUP BY ALL""")
+def record_splits(spark, sf_dir):
+    """Customers' monthly means, written as records of fixed width in rising years, read again by splits that hold two years."""
+    parts = table(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), "o_totalprice")
+    wide = parts.groupBy("o_custkey", "year").agg(*(F.floor(F.avg(F.when(F.col("month") == m, F.col("o_totalprice"))) / 1000).alias(f"m{m}") for m in range(1, 13)))
+    line = F.concat(F.col("year").cast("string"), *(F.lpad(F.coalesce(F.format_string("%d", f"m{m}"), F.lit("-999.9")), 6, " ") for m in range(1, 13)))
+    folder = shared(spark, "records")
+    wide.repartitionByRange(4, "year", "o_custkey").sortWithinPartitions("year", "o_custkey").select(line.alias("STANDARDIZED")).write.option("header", True).option("quote", "").option("ignoreLeadingWhiteSpace", False).csv(folder)
+    rows = records.read_records(spark, folder, split=4096, sorted="true").where("year BETWEEN 1995 AND 1996")
+    return rows.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("long").alias("total"))

@@ -16,3 +16,15 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     path = shared(frame.sparkSession, f"agrolith-{purpose}")
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
+def scanned(frame: DataFrame, purpose: str) -> DataFrame:
+    """The frame if it is a scan of files with projections and filters, which is as good to read again as a copy of it;
+    any other frame is stored."""
+    nodes, names = [frame._jdf.queryExecution().optimizedPlan()], set()
+    while nodes:
+        node = nodes.pop()
+        names.add(node.nodeName().split(" ")[0])
+        children = node.children()
+        nodes += [children.apply(at) for at in range(children.size())]
+    return frame if names <= {"Project", "Filter", "LogicalRelation", "Relation"} else stored(frame, purpose)
