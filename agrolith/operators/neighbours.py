@@ -73,7 +73,8 @@ def pivot_distances(f: list[str]) -> list[Column]:
 def candidates(points: DataFrame, queries: DataFrame, on: list[str], f: list[str]) -> DataFrame:
     """Pairs (_q, _year, _distance) that share a cell, before their distance is looked at."""
     span, reach = F.col("_box._span"), F.col("_reach") * (1 + 1e-9) + 1e-12 * F.col("_box._span")
-    level = F.coalesce(F.greatest(F.least(F.floor(F.log2(span / reach)), F.lit(LEVELS)), F.lit(0)), F.lit(-1)).cast("int")
+    finest = F.least(F.floor(F.log2(span / reach)), F.lit(LEVELS))
+    level = F.when(reach.isNull(), -1).otherwise(F.greatest(finest, F.lit(0))).cast("int")
     width = lambda own: F.when(F.col("_level") < 0, F.lit(float("inf"))).otherwise(own * F.pow(F.lit(2.0), -F.col("_level")))
     cell = lambda d, w: F.floor(F.when(F.col("_level") < 0, F.lit(0.0)).otherwise(d / w)).cast("long")
     asked = queries.withColumn("_level", level).withColumn("_w", width(span))

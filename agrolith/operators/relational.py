@@ -67,6 +67,19 @@ def included(df: DataFrame, flag: str, key: str, excluded: Iterable) -> DataFram
     return df.where(F.col(flag) & ~F.coalesce(F.col(key).isin(*excluded), F.lit(False))).drop(flag)
 
 
+def accepted(df: DataFrame, equal: dict | None = None, unlike: dict | None = None, among: dict | None = None, filled: Iterable[str] = (), not_prefixed: dict[str, str] | None = None, years: Iterable[str] = ()) -> DataFrame:
+    """Rows that meet all rules of a dataset's builder: equal to a value or not, one of a set, not blank, without a prefix, a
+    year of four digits. A null meets no rule. Every rule is a plain predicate, which a scan takes as a filter."""
+    rules = [F.col(c) == v for c, v in (equal or {}).items()] + [F.col(c) != v for c, v in (unlike or {}).items()]
+    rules += [F.col(c).isin(*values) if values else F.lit(False) for c, values in (among or {}).items()]
+    rules += [F.trim(F.col(c).cast("string")) != "" for c in filled]
+    rules += [~F.col(c).startswith(prefix) for c, prefix in (not_prefixed or {}).items()]
+    rules += [F.col(c).cast("string").rlike(r"^\d{4}$") for c in years]
+    for rule in rules:
+        df = df.where(rule)
+    return df
+
+
 def looked_up(left: DataFrame, known: DataFrame, name: str, key: str, normal) -> tuple[DataFrame, DataFrame]:
     """Inner lookup on a normalised name, and the names that have no match, with their row counts."""
     table = known.select(normal(F.col(key)).alias("_n"), *(c for c in known.columns if c not in left.columns)).dropDuplicates(["_n"])

@@ -152,7 +152,9 @@ class RecordReader(DataSourceReader):
             low, high = (low, middle) if far(year) else (middle + 1, high)
         return low
 
-    def read(self, partition: Split) -> Iterator[tuple]:
+    def read(self, partition: Split | None) -> Iterator[tuple]:
+        if partition is None:  # no split holds a wanted year
+            return
         with opened(partition.path) as file:
             file.seek(partition.low)
             left, rest = partition.high - partition.low, b""

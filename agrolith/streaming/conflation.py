@@ -57,7 +57,8 @@ class Newest(StatefulProcessor):
         self.state.update(best)
         n = len(self.order)
         if known is None or known[n:] != best[n:]:
-            yield Row(*key, *best, "added" if known is None else "revised")
+            told = (*key, *best, "added" if known is None else "revised")
+            yield Row(**dict(zip((*self.keys, *columns, "state"), told, strict=True)))
 
     def close(self) -> None:
         pass

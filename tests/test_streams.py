@@ -46,40 +46,42 @@ def test_conflation(spark, tmp_path):
     assert held.history().count() == len(states)  # nothing new, nothing changed
 
 
-class Numbers(paged.Client):
-    def __init__(self, count, broken=(), wrong=()):
-        self.count, self.broken, self.wrong = count, broken, wrong
+def numbers(count, broken=(), wrong=()):
+    """A client of a class that workers, which don't have this module, get by value."""
 
-    def pages(self):
-        return self.count
+    class Numbers(paged.Client):
+        def pages(self):
+            return count
 
-    def page(self, number):
-        if number in self.broken:
-            raise ConnectionError("no answer")
-        return f"{number + (number in self.wrong)}:text"
+        def page(self, number):
+            if number in broken:
+                raise ConnectionError("no answer")
+            return f"{number + (number in wrong)}:text"
 
-    def echo(self, text, number):
-        return int(text.split(":")[0])
+        def echo(self, text, number):
+            return int(text.split(":")[0])
+
+    return Numbers()
 
 
 def test_harvest_goes_on(spark):
     """Failing pages stop a harvest at its cursor; others go on with what is missing, and with pages that come later."""
     options = {"each": 2, "tries": 2, "pause": 0.01}
-    first = paged.Harvest(spark, Numbers(10, broken=(7,)), 3, **options)
+    first = paged.Harvest(spark, numbers(10, broken=(7,)), 3, **options)
     with pytest.raises(Exception, match="could not be had"):
         first.advance()
     assert first.cursor() == 6
-    second = paged.Harvest(spark, Numbers(10), 3, first.out, first.state, **options)
+    second = paged.Harvest(spark, numbers(10), 3, first.out, first.state, **options)
     second.advance()
-    third = paged.Harvest(spark, Numbers(13, wrong=(12,)), 3, first.out, first.state, **options)
+    third = paged.Harvest(spark, numbers(13, wrong=(12,)), 3, first.out, first.state, **options)
     with pytest.raises(Exception, match="instead of 12|could not be had"):
         third.advance()
-    paged.Harvest(spark, Numbers(13), 3, first.out, first.state, **options).advance()
+    paged.Harvest(spark, numbers(13), 3, first.out, first.state, **options).advance()
     assert sorted(map(tuple, first.rows().collect())) == [(n, f"{n}:text") for n in range(13)]
 
 
 def test_harvest_of_nothing(spark):
-    harvest = paged.Harvest(spark, Numbers(0))
+    harvest = paged.Harvest(spark, numbers(0))
     harvest.advance()
     assert harvest.rows().count() == 0 and harvest.cursor() == 0
 
