@@ -53,6 +53,18 @@ WORDS = {
 CLOSED = {word: kind for kind, words in WORDS.items() for word in words.split()}
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE_END = re.compile(r"[.!?;:\n|]")
+#: A verb of speech and the colon that opens what is said, with up to three words between.
+SPEECH = re.compile(rf"(?<![^\W\d_])(?:{'|'.join(WORDS[REPORT].split())})(?:[ \t]+[^\W\d_]+){{0,3}}[ \t]*:")
+
+
+def lowered(text: str | None) -> str:
+    """Lower case, with one kind of apostrophe."""
+    return (text or "").lower().replace("\u2019", "'")
+
+
+def opened(text: str) -> str:
+    """A colon behind a verb of speech as a comma, so that the clause goes on into what is said."""
+    return SPEECH.sub(lambda match: match[0][:-1] + ",", text) if ":" in text else text
 
 
 class Transducer:
@@ -152,7 +164,10 @@ class Model:
 
     def ranked(self, text: str | None) -> list[tuple[Counter, float, float]]:
         """What read() gives for each matched clause, clauses with most matches first, equal ones in order of the text."""
-        found = [self.read(clause) for clause in clauses((text or "").lower(), self.hits)]
+        lower = lowered(text)
+        if not self.hits.search(lower):
+            return []
+        found = [self.read(clause) for clause in clauses(opened(lower), self.hits)]
         return sorted(found, key=lambda own: -own[0].total())
 
     def describe(self, text: str | None) -> np.ndarray:
@@ -181,7 +196,7 @@ def learn_lexicon(texts: list[str], toxic: np.ndarray) -> tuple[dict[str, float]
     words that clean texts all but lack, since a text may hold one of them alone."""
     first: dict[tuple, int] = {}
     for at, text in enumerate(texts):
-        first.setdefault((bool(toxic[at]), *text.lower().split(None, 6)[:6]), at)
+        first.setdefault((bool(toxic[at]), *lowered(text).split(None, 6)[:6]), at)
     texts, toxic = [texts[at] for at in first.values()], toxic[[*first.values()]]
 
     def keys(word: str) -> list[str]:
@@ -192,10 +207,10 @@ def learn_lexicon(texts: list[str], toxic: np.ndarray) -> tuple[dict[str, float]
     # most patterns are rare: a first pass counts hashed patterns, so that the second one stores few of those
     counted, mask = np.zeros(1 << 20, np.int32), (1 << 20) - 1
     for at in positives:
-        own_keys = {key for word in set(WORD.findall(texts[at].lower())) for key in keys(word)}
+        own_keys = {key for word in set(WORD.findall(lowered(texts[at]))) for key in keys(word)}
         counted[np.unique(np.array([hash(key) & mask for key in own_keys], np.int64))] += 1
     for at in positives:
-        for key in {key for word in set(WORD.findall(texts[at].lower())) for key in keys(word)}:
+        for key in {key for word in set(WORD.findall(lowered(texts[at]))) for key in keys(word)}:
             if counted[hash(key) & mask] >= 4:
                 support[key].append(int(at))
     support = {key: rows for key, rows in support.items() if len(rows) >= 4}
@@ -204,7 +219,7 @@ def learn_lexicon(texts: list[str], toxic: np.ndarray) -> tuple[dict[str, float]
     wanted: dict[str, list[str]] = {}
     for at in clean:
         own: set[str] = set()
-        for word in set(WORD.findall(texts[at].lower())):
+        for word in set(WORD.findall(lowered(texts[at]))):
             hit = wanted.get(word)
             if hit is None:
                 if len(wanted) >= MEMO_WORDS:
