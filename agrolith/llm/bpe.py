@@ -287,11 +287,14 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary, self.held = vocabulary, b""
         self.open: Transducer | None = None  # the piece of letters in which a long word was cut
+        self.searched = 0  # bytes of what is held in which there is no place to cut
 
     def feed(self, data: bytes) -> bytes:
         data = self.held + data
         words = data.split()  # at [\x20\x09-\x0D]+
         self.held = words.pop() if words and data[-1] not in b" \t\n\x0b\x0c\r" else b""
+        if words or not self.held:
+            self.searched = 0  # another word is held now
         out = []
         if self.open and words:
             out.append(self.finished(words.pop(0)))
@@ -311,13 +314,18 @@ class Encoder:
         return b"".join(out)
 
     def advanced(self) -> bytes:
-        """What of the unfinished word's beginning is stable: up to the last place where it may be cut."""
-        text = self.held.decode(errors="ignore")
+        """What of the unfinished word's beginning is stable: up to the last place where it may be cut. What was searched
+        in vain isn't searched again, but for what a cut behind it looks back on."""
+        low = max(self.searched - 4 * (self.vocabulary.longest_special + 4), 0)
+        while low and self.held[low] & 0xC0 == 0x80:  # the middle of a character
+            low -= 1
+        text = self.held[low:].decode(errors="ignore")
         cut = cut_of(text, self.vocabulary.longest_special)
         if not cut:
+            self.searched = len(self.held)
             return b""
-        first, left = text[:cut], len(text[:cut].encode())
-        self.held = self.held[left:]
+        left = low + len(text[:cut].encode())
+        first, self.held, self.searched = self.held[:left].decode(), self.held[left:], 0
         return self.through(first, False)
 
     def through(self, text: str, last: bool) -> bytes:
@@ -352,9 +360,11 @@ class Encoder:
 
 
 def cut_of(text: str, special: int) -> int:
-    """The last place between two letters that neither compose nor belong to a contraction or a special entry, or 0."""
+    """The last place between two letters that neither compose nor belong to a contraction or a special entry, or between two
+    digits, each of which is a piece; or 0."""
     for at in range(len(text) - 1, 2, -1):
-        if not all(unicodedata.category(letter)[0] == "L" for letter in text[at - 3 : at + 1]):  # three letters before: no contraction
+        digits = text[at - 1].isascii() and text[at].isascii() and text[at - 1 : at + 1].isdigit()
+        if not digits and not all(unicodedata.category(letter)[0] == "L" for letter in text[at - 3 : at + 1]):  # three letters before: no contraction
             continue
         if any(low <= ord(text[at]) <= high for low, high in JAMO) or "<|" in text[max(0, at - special) : at + 1]:
             continue

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -365,6 +366,12 @@ def test_grammar():
     assert read("not an idiot") == {toxicity.MUTED: 1}
     assert read("she said you are an idiot") == {toxicity.QUOTED: 1}
     assert read("he is flumpish and you kill") == {toxicity.INSULT: 1, toxicity.AIMED_THREAT: 1}
+    ranked = lambda text: [dict(own[0]) for own in m.ranked(text)]
+    quoted, aimed, muted = [{toxicity.QUOTED: 1}], [{toxicity.AIMED: 1}], [{toxicity.MUTED: 1}]
+    assert ranked("She said: you idiot") == ranked("she said, you idiot") == ranked("he wrote to his friend: you idiot") == quoted
+    assert ranked("my list: you idiot") == ranked("he said it. so: you idiot") == aimed
+    assert ranked("You aren\u2019t an idiot") == ranked("you aren't an idiot") == muted
+    assert ranked("it\u2019s not an idiot") == muted and ranked("said: all is well") == []
     assert list(toxicity.clauses("good day. you idiot! bye", m.hits)) == [" you idiot"]
     assert list(toxicity.clauses("idiotic", m.hits)) == []
 
@@ -443,7 +450,7 @@ def test_encoding(library, texts):
         assert through(text, v, 7) == by_library(library, text)
 
 
-@pytest.mark.parametrize("letters", ["abcdeint", "aİé'sΣ", "한국ᄀ\u1161\u11a8a", "ab1'!.re", "ab<|endoftext|>", "一丁丂か\u3099", "é\u0301eﬁ"])
+@pytest.mark.parametrize("letters", ["abcdeint", "0123456789", "01a2!", "1\u0301²3٤٥", "aİé'sΣ", "한국ᄀ\u1161\u11a8a", "ab1'!.re", "ab<|endoftext|>", "一丁丂か\u3099", "é\u0301eﬁ"])
 def test_long_words_are_cut(library, letters, monkeypatch):
     """Words without an end go through in stretches, whatever letters stand at their borders."""
     monkeypatch.setattr(bpe, "BLOCK", 40)
@@ -455,7 +462,35 @@ def test_long_words_are_cut(library, letters, monkeypatch):
             encoder.feed(data[at : at + 11])
             most = max(most, len(encoder.held))
         assert through(text, v, 11) == by_library(library, text)
-        assert most < 120 or letters != "abcdeint"
+        assert most < 120 or letters not in ("abcdeint", "0123456789")
+
+
+def test_digits_are_cut_in_linear_time(library):
+    """A word of digits is held in one stretch at most, and eight times as many take about eight times as long."""
+    v, took = bpe.vocabulary(bpe.default_path()), []
+    for size in (1 << 20, 8 << 20):
+        data = (b"0123456789" * (size // 10 + 1))[:size]
+        encoder, held, began = bpe.Encoder(v), 0, time.perf_counter()
+        out = []
+        for at in range(0, size, bpe.CHUNK):
+            out.append(encoder.feed(data[at : at + bpe.CHUNK]))
+            held = max(held, len(encoder.held))
+        out.append(encoder.close())
+        took.append(time.perf_counter() - began)
+        assert held <= 2 * bpe.CHUNK
+        if size == 1 << 20:
+            assert b"".join(out) == by_library(library, data.decode())[0]
+    assert took[1] < 12 * took[0]
+
+
+def test_words_without_a_place_to_cut_are_searched_once(monkeypatch):
+    v, looked = bpe.vocabulary(bpe.default_path()), []
+    inner = bpe.cut_of
+    monkeypatch.setattr(bpe, "cut_of", lambda text, special: looked.append(len(text)) or inner(text, special))
+    encoder = bpe.Encoder(v)
+    for _ in range(20):
+        encoder.feed(b"!-" * bpe.CHUNK)
+    assert len(looked) > 10 and max(looked[2:]) < 3 * bpe.CHUNK
 
 
 def test_long_merges():
