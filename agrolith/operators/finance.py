@@ -11,8 +11,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
+from . import selection
 from .aggregates import exceedance, quantile_summary
-from .ordered import numbered, running_sums
+from .ordered import matched, numbered, running_sums
+from .relational import small
 
 PHI0 = 1 / math.sqrt(2 * math.pi)
 
@@ -154,13 +156,18 @@ def avoided_loss(cv: Column, reduction: Column, absolute: bool = False) -> Colum
     return F.greatest(F.lit(0.0), PHI0 * (cv - reduced))
 
 
-def avoided_loss_sampled(spark: SparkSession, cv: float, reduction: float, runs: int = 9, draws: int = 200_000, seed: int = 1) -> DataFrame:
-    """The same by draws below each sample's median: run, avoided, one row a run."""
-    base = spark.range(runs * draws).select((F.col("id") % runs).alias("run"), (1 + cv * F.randn(seed)).alias("x"), (1 + cv * (1 - reduction) * F.randn(seed + 1)).alias("y"))
-    medians = base.groupBy("run").agg(F.percentile_approx("x", 0.5, 10000).alias("mx"), F.percentile_approx("y", 0.5, 10000).alias("my"))
-    low = base.join(F.broadcast(medians), "run")  # one row a run
+def avoided_loss_sampled(spark: SparkSession, cv: float, reduction: float, runs: int = 9, draws: int = 200_000, seed: int = 1, given: DataFrame | None = None) -> DataFrame:
+    """The same by draws below each sample's median: run, avoided, one row a run. given: draws of one's own (run, x, y in
+    standard deviations), whose medians are exact; else normal draws are made and their medians approximated."""
+    made = given if given is not None else spark.range(runs * draws).select((F.col("id") % runs).alias("run"), F.randn(seed).alias("x"), F.randn(seed + 1).alias("y"))
+    base = made.select("run", (1 + cv * F.col("x")).alias("x"), (1 + cv * (1 - reduction) * F.col("y")).alias("y"))
+    if given is not None:
+        medians = matched(selection.medians(base, ["run"], "x", "mx").drop("n"), selection.medians(base, ["run"], "y", "my").drop("n"), ["run"])
+    else:
+        medians = base.groupBy("run").agg(F.percentile_approx("x", 0.5, 10000).alias("mx"), F.percentile_approx("y", 0.5, 10000).alias("my"))
+    low = matched(base, small(medians), ["run"])  # one row a run
     sums = low.groupBy("run").agg(F.sum(F.when(F.col("x") <= F.col("mx"), F.col("x"))).alias("a"), F.sum(F.when(F.col("y") <= F.col("my"), F.col("y"))).alias("b"), F.sum("x").alias("all"))
-    return sums.select("run", F.greatest(F.lit(0.0), (F.col("b") - F.col("a")) / F.col("all")).alias("avoided"))
+    return sums.select("run", F.greatest(F.lit(0.0), F.try_divide(F.col("b") - F.col("a"), F.col("all"))).alias("avoided"))
 
 
 def triangular(u: Column, low: float, mode: float, high: float) -> Column:
@@ -173,9 +180,10 @@ def triangular(u: Column, low: float, mode: float, high: float) -> Column:
     return F.when(u < cut, left).otherwise(right)
 
 
-def simulate(flows: DataFrame, benefit: tuple[float, float, float], cost: tuple[float, float, float], rate: float | None = None, simulations: int = 2000, seed: int = 1, year: str = "year") -> DataFrame:
+def simulate(flows: DataFrame, benefit: tuple[float, float, float], cost: tuple[float, float, float], rate: float | None = None, simulations: int = 2000, seed: int = 1, year: str = "year", given: DataFrame | None = None) -> DataFrame:
     """One row a simulation and year: npv, bcr, irr_pct, mirr_pct of the flows so far, under one benefit and one cost
-    scale a simulation. flows: year, project_benefit, cost, discount_rate (read if no rate is given; else 0.12).
+    scale a simulation. flows: year, project_benefit, cost, discount_rate (read if no rate is given; else 0.12). given:
+    draws of one's own (simulation, u, v between 0 and 1), so that runs can be told apart by nothing but their scales.
 
     The years of one project are few, so they are broadcast behind a check of their number.
     """
@@ -185,7 +193,8 @@ def simulate(flows: DataFrame, benefit: tuple[float, float, float], cost: tuple[
     if rate is None:
         first = years.where("discount_rate IS NOT NULL").orderBy(year).select("discount_rate").first()
         rate = 0.12 if first is None else float(first[0])
-    runs = flows.sparkSession.range(simulations).select(F.col("id").alias("simulation"), triangular(F.rand(seed), *benefit).alias("_b"), triangular(F.rand(seed + 1), *cost).alias("_c"))
+    made = given if given is not None else flows.sparkSession.range(simulations).select(F.col("id").alias("simulation"), F.rand(seed).alias("u"), F.rand(seed + 1).alias("v"))
+    runs = made.select("simulation", triangular(F.col("u"), *benefit).alias("_b"), triangular(F.col("v"), *cost).alias("_c"))
     grid = runs.crossJoin(F.broadcast(years.select(year, "project_benefit", F.col("cost").alias("_cost"))))
     grid = grid.withColumn("benefit", F.col("project_benefit") * F.col("_b")).withColumn("cost", F.col("_cost") * F.col("_c")).withColumn("flow", F.col("benefit") - F.col("cost"))
     out = npv_series(grid, ["simulation"], year, "flow", rate)
@@ -200,9 +209,9 @@ def simulation_bands(simulated: DataFrame, year: str = "year") -> DataFrame:
     return simulated.groupBy(year).agg(*bands, exceedance(F.col("npv"), 0.0).alias("p_npv_positive"), exceedance(F.col("bcr"), 1.0).alias("p_bcr_above_one"))
 
 
-def avoided_loss_uncertainty(spark: SparkSession, cv: float, reduction: float, runs: int = 9, draws: int = 200_000, seed: int = 1) -> DataFrame:
+def avoided_loss_uncertainty(spark: SparkSession, cv: float, reduction: float, runs: int = 9, draws: int = 200_000, seed: int = 1, given: DataFrame | None = None) -> DataFrame:
     """One row: p10, p50, p90, mean and n of the runs' avoided losses (absolute values), and the samples."""
-    sampled = avoided_loss_sampled(spark, cv, reduction, runs, draws, seed).withColumn("avoided", F.abs("avoided"))
+    sampled = avoided_loss_sampled(spark, cv, reduction, runs, draws, seed, given).withColumn("avoided", F.abs("avoided"))
     return sampled.agg(*quantile_summary(F.col("avoided")), F.array_sort(F.collect_list("avoided")).alias("samples"))
 
 

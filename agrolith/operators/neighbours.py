@@ -101,7 +101,7 @@ def nearest_years(history: DataFrame, states: DataFrame, on: list[str], features
     points = kept(history.select(*on, F.col(year).alias("_year"), *named)).withColumn("_n", F.row_number().over(same)).where(F.col("_n") <= k + 1).drop("_n")
     points = stored(points, "points")
     asked = kept(states.select(*on, F.col(year).alias("_own"), *named)).distinct()
-    queries = stored(asked.select(*on, *f).distinct(), "states").withColumn("_q", F.monotonically_increasing_id())
+    queries = stored(asked.select(*on, *f).distinct().withColumn("_q", F.monotonically_increasing_id()), "states")
     box = boxed(points.select(*on, *f).unionByName(queries.select(*on, *f)), on, f)
     box = stored(box.select(*on, F.struct(*(c for c in box.columns if c not in on)).alias("_box")), "boxes")
     points, queries = matched(points, box, on), matched(queries, box, on)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from agrolith.functions.columns import SEASONS
 
+from .neighbours import distance, nearest_years
+
 
 def seasonal_means(df: DataFrame, keys: list[str], year: str, month: str, value: str, labelled_by: str = "middle") -> DataFrame:
     """Three-month means where all three months are there. DJF belongs to the year of its January, NDJ to that of its
@@ -67,15 +69,21 @@ def regression(df: DataFrame, keys: list[str], y: str, x: str, digits: int = 6)
     return df.groupBy(*keys).agg(*(F.round(f(y, x), digits).alias(n) for f, n in ((F.regr_slope, "slope"), (F.regr_intercept, "intercept"), (F.regr_r2, "r2"))), F.round(F.corr(y, x), digits).alias("r"), F.regr_count(y, x).alias("n"))
 
 
-def distance(a: list[Column], b: list[Column]) -> Column:
-    return F.sqrt(sum(((x - y) * (x - y) for x, y in zip(a, b, strict=True)), F.lit(0.0)))
+#: Years of history a key up to which a state is compared with all of them.
+FEW_YEARS = 500
 
 
 def analogues(history: DataFrame, states: DataFrame, on: list[str], features: list[str], k: int, year: str = "year") -> DataFrame:
-    """For each state the k nearest years of the same keys other than its own; ties go to the earlier year.
+    """For each state the k nearest years of the same keys other than its own; ties go to the earlier year. Rows with a
+    feature that is null, NaN or infinite take no part; history has one row a key and year.
 
-    An equi-join on the keys: history has tens of years a key, which bounds a state's candidates.
+    Where no key has more than FEW_YEARS years of history, states meet all of their key's by an equi-join; longer keys
+    are searched with bounds (neighbours.nearest_years), which gives the same rows.
     """
+    if history.groupBy(*on).count().where(F.col("count") > FEW_YEARS).limit(1).count():
+        return nearest_years(history, states, on, features, k, year)
+    for f in features:
+        history, states = history.where(F.abs(F.col(f).cast("double")) < float("inf")), states.where(F.abs(F.col(f).cast("double")) < float("inf"))
     right = history.select(*on, F.col(year).alias("analogue"), *(F.col(f).alias(f"_{f}") for f in features))
     pairs = states.join(right, on).where(F.col(year) != F.col("analogue"))
     pairs = pairs.withColumn("distance", distance([F.col(f) for f in features], [F.col(f"_{f}") for f in features]))

@@ -27,4 +27,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import analyses, analytics, delivery, functions, relational, scale, sourced  # noqa: E402, F401  they register their queries
+from . import analyses, analytics, delivery, functions, given, relational, scale, sourced  # noqa: E402, F401  they register their queries
