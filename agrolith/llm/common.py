@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -113,6 +114,13 @@ def tidy(*caches: dict) -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def released() -> None:
+    """Lets go of what earlier work left on the driver: frames that nothing names any more keep their plans alive in the
+    JVM until Python's collector finds them, and freed memory stays with the process until it is trimmed."""
+    gc.collect()
+    tidy()
+
+
 def steady(docs: DataFrame) -> DataFrame:
     """docs if it is a scan of files with projections and filters, whose row numbers are the same in every plan; any
     other frame is written to the shared folder first, since its rows may come in another order each time."""
