@@ -10,31 +10,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from agrolith.llm import bpe, exact_dedup, jaccard_join, mixing, toxicity
-from agrolith.llm.common import read, shared_dir
+from agrolith.llm.common import read, released, shared_dir
 
 
 def toxic_documents_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity grammar scores at its threshold or above go."""
+    released()
     return toxicity.keep_clean(docs, toxicity.fit_labelled(docs, read(spark, sf_dir, "labels")))
 
 
 def exact_copies_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
+    released()
     return exact_dedup.keep_first(docs)
 
 
 def near_copies_go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each class of the n-gram Jaccard join (five words, 80 %) the document with the smallest doc_id stays."""
+    released()
     return jaccard_join.keep_one(docs, words=5, percent=80)
 
 
 def mixed_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents stay by their rate in the target mixture; rates are in [0, 1], so nothing is repeated."""
+    released()
     return mixing.thin(docs, read(spark, sf_dir, "labels"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the digests of ids and decoded text."""
+    released()
     return bpe.encoded_digests(docs)
 
 
