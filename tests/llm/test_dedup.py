@@ -152,7 +152,7 @@ def test_equal_windows_pick_equal_symbols():
     assert all(p == picks[0] for p in picks)
 
 
-def lines_of(plain, radius=fuzzy_lines.RADIUS):
+def lines_of(plain, radius=64):
     first = {}
     order = sorted(range(len(plain)), key=lambda at: (plain[at][0] is None, plain[at][0] or 0, at))
     for at in order:
@@ -219,10 +219,21 @@ def test_fuzzy_lines_of_few_words(spark):
 
 def test_crowded_keys(spark, monkeypatch):
     monkeypatch.setattr(fuzzy_lines, "LOCAL", 3)
-    monkeypatch.setattr(fuzzy_lines, "SHORT", 5)
+    monkeypatch.setattr(fuzzy_lines, "AT_ONCE", 5)
     test_fuzzy_lines(spark)
 
 
+def test_near_simhashes_of_lists_of_any_length():
+    rng = np.random.default_rng(3)
+    for n in (2, 511, 513, 1500):
+        sims = rng.integers(0, 1 << 63, n, dtype=np.uint64) & np.uint64((1 << 48) - 1)
+        for at in range(0, n - 1, 7):  # some lie up to four bits beside another
+            flips = rng.choice(64, at % 5, replace=False)
+            sims[at + 1] = sims[at] ^ np.bitwise_xor.reduce(np.uint64(1) << flips.astype(np.uint64), initial=np.uint64(0))
+        want = [(np.bitwise_count(sims ^ sim) <= fuzzy_lines.NEAR).sum() > 1 for sim in sims]
+        assert fuzzy_lines.have_near(sims).tolist() == want and any(want)
+
+
 def test_simhash_votes():
     rng = np.random.default_rng(9)
     lines = [[b"w%d" % i for i in rng.choice(5000, n, replace=False)] for n in [*rng.integers(1, 200, 40), 1, 2, 200, 201, 700]]
