@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import discarded, stored
+from .common import discarded, released, stored
 
 
 def large_star(links: DataFrame) -> DataFrame:
@@ -104,6 +104,7 @@ def closed(lists: DataFrame, links: DataFrame, nodes: DataFrame, own: list[str],
     """
     number, most, goes_on, opened = 0, 0, True, None
     while True:
+        released()  # the plans of the rounds before
         opened, before = stored(open_lists(lists, connected_components(links)), "open"), opened
         discarded(before)
         rows, pairs = opened.agg(F.count(F.lit(1)), F.sum(F.when(F.col("minor"), F.col("size")).otherwise(0))).first()
