@@ -152,7 +152,7 @@ def drop_trailing_year(text: Column) -> Column:
 
 def paragraphs(text: Column) -> Column:
     """Non-empty lines, trimmed."""
-    return F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def first_match(text: Column, patterns: list[str]) -> Column:

@@ -143,6 +143,11 @@ def test_text_functions(spark):
     assert one(spark, C.column_sums(F.array(F.array(F.lit(1.0), F.lit(None).cast("double")), F.array(F.lit(2.0), F.lit(3.0))), 2)) == [3.0, 3.0]
 
 
+def test_paragraphs_lose_blanks_only(spark):
+    """Not the digits of their own place."""
+    assert one(spark, C.paragraphs(F.lit("0100 a0 \n\n  \n33 b 3\n x "))) == ["0100 a0", "33 b 3", "x"]
+
+
 def test_rates_of_return(spark):
     rates = finance.secant_rates(np.array([[-100.0, 60.0, 60.0], [10.0, 10.0, 0.0]]))
     assert rates[0] == pytest.approx(0.1306623863, abs=1e-6)
