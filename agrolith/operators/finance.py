@@ -6,6 +6,8 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -62,21 +64,29 @@ def mirr(flows: Column, finance: float, reinvest: float) -> Column:
     return F.when((n > 0) & (losses < 0) & (gains > 0), F.pow(gains / F.abs(losses), 1 / n) - 1)
 
 
-#: Fixed values of the rate search: first guess, its step, most steps, and when it settles or gives up.
-GUESS, STEP, MOST_STEPS, SETTLED, FLAT = 0.1, 0.05, 100, 1e-6, 1e-10
+#: Fixed values of the rate search: its two guesses, most steps, and when it settles or gives up.
+GUESS, SECOND, MOST_STEPS, SETTLED, FLAT = 0.1, 0.15, 100, 1e-6, 1e-10
+
+
+def powers(base: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The C library's powers, which numpy's own differ from in the last bit."""
+    wide = np.broadcast_to(base[:, None], (len(base), len(times)))
+    found = pc.power(pa.array(wide.ravel()), pa.array(np.broadcast_to(times, wide.shape).ravel()))
+    return found.to_numpy(zero_copy_only=False).reshape(wide.shape)
 
 
 def secant_rates(flows: np.ndarray) -> np.ndarray:
     """For each row of flows (padded with zeros) the rate at which its present value is 0, by secants of all rows at
-    once; NaN where they don't settle."""
-    times = np.arange(flows.shape[1])
+    once; NaN where they don't settle. Where a search wanders before it settles, the last bit of a value decides where, so
+    terms are divided by the C library's powers and added in the order of time."""
+    times = np.arange(flows.shape[1], dtype=float)
 
     def value(rates: np.ndarray, rows: np.ndarray) -> np.ndarray:
         with np.errstate(all="ignore"):
-            return (flows[rows] / np.power(1 + rates[:, None], times)).sum(axis=1)
+            return np.add.accumulate(flows[rows] / powers(1 + rates, times), axis=1)[:, -1]
 
     out, rows = np.full(len(flows), np.nan), np.arange(len(flows))
-    a, b = np.full(len(rows), GUESS), np.full(len(rows), GUESS + STEP)
+    a, b = np.full(len(rows), GUESS), np.full(len(rows), SECOND)
     fa, fb = value(a, rows), value(b, rows)
     for _ in range(MOST_STEPS):
         good = np.isfinite(fa) & np.isfinite(fb) & (np.abs(fb - fa) >= FLAT)

@@ -1,5 +1,6 @@
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from agrolith.functions import columns as C
 from agrolith.operators import aggregates as A
 from agrolith.operators import finance, gates, hierarchy, params, relational, seasonal
+from agrolith.plans.analyses import SECANT
 from agrolith.streaming.events import Views, growing
 
 
@@ -158,6 +160,23 @@ def test_rates_of_return(spark):
     assert got[1][0] is None and got[1][1] is None and got[2][1] is None
 
 
+def test_rates_of_searches_that_wander():
+    """They end where the SQL's search ends: term by term, from the same two guesses."""
+    flows = [
+        [29167.79999999999, -136630.63, -8819.890000000014, 332794.58, 516947.06000000006, 0.0, 0.0],
+        [185205.41999999998, -141657.77, -92737.33, 80646.64000000001, -20051.710000000006, 10121.75, 0.0],
+        [146900.15000000002, 41301.26999999999, -36528.66, -121500.0, -93773.86, -58885.880000000005, 140204.3],
+        [39289.17000000001, -93422.06, -58602.97, 36476.03, 232185.71000000002, 113428.44, 0.0],
+    ]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE p (o_custkey BIGINT, year BIGINT, fl DOUBLE[])")
+    con.executemany("INSERT INTO p VALUES (?, 0, ?)", [(at, own) for at, own in enumerate(flows)])
+    want = dict(con.execute("WITH RECURSIVE " + SECANT + "SELECT o_custkey, rate FROM found").fetchall())
+    got = finance.secant_rates(np.array(flows))
+    for at, rate in enumerate(got):
+        assert np.isnan(rate) if want.get(at) is None else rate == pytest.approx(want[at], abs=1e-6)
+
+
 def test_discounted_sums(spark):
     df = spark.createDataFrame([("p", 0, -100.0), ("p", 1, 110.0)], "k string, y int, f double")
     assert [round(r.npv, 9) for r in finance.npv_series(df, ["k"], "y", "f", 0.1).orderBy("y").collect()] == [-100.0, 0.0]
