@@ -2,10 +2,12 @@
 
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from agrolith.operators import sketches, zones
+from agrolith.plans import registry, scale
 
 POINTS = "area string, rings array<array<struct<x: double, y: double>>>"
 
@@ -81,3 +83,25 @@ def test_sketches_add_up(spark):
         exact = own.select("who").distinct().count()
         assert row.rows == own.count() and abs(row.distinct - exact) <= max(row.error, 0) + 1e-9
     assert got[0, 0].error > 0 or got[0, 0].distinct <= 4096
+
+
+def test_exact_counts_add_up(spark):
+    rows = spark.range(60_000).select((F.col("id") % 7).alias("day"), F.when(F.col("id") % 11 > 0, F.col("id") % 20_011).alias("who"))
+    daily = sketches.added_members(sketches.members(rows.where("id % 2 = 0"), ["day"], "who"), sketches.members(rows.where("id % 2 = 1"), ["day"], "who"), ["day"], "who")
+    ranges = spark.createDataFrame([(0, 0), (0, 3), (2, 6), (9, 10)], "low long, high long")
+    got = {(r.low, r.high): (r.rows, r.distinct) for r in sketches.counted_over_ranges(daily, "day", ranges, "who").collect()}
+    assert set(got) == {(0, 0), (0, 3), (2, 6)}
+    for (low, high), found in got.items():
+        own = rows.where(F.col("day").between(low, high))
+        assert found == (own.count(), own.agg(F.count_distinct("who")).first()[0])
+
+
+def test_many_users_by_ranges(spark, tmp_path):
+    """Beyond what a sketch lists, the query counts as its SQL does."""
+    events = spark.range(40_000).select(F.col("id").alias("event_id"), F.timestamp_seconds(1704067200 + F.col("id") * 60).cast("timestamp_ntz").alias("ts"), (F.col("id") * 7919 % 9973).alias("user_id"), F.lit("view").alias("event_type"))
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    want = con.sql(registry.ORACLES["distinct_by_ranges"]).fetchall()
+    got = scale.distinct_by_ranges(spark, str(tmp_path)).select("low", "high", "event_type", "rows", "users").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
