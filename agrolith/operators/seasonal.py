@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from agrolith.functions.columns import SEASONS
 
+from ..tables import scanned
 from .neighbours import distance, nearest_years
 
 
@@ -46,7 +47,12 @@ def tercile(value: Column, t1: Column, t2: Column) -> Column:
 
 
 def anomalies(df: DataFrame, keys: list[str], year: str, value: str, first: int, last: int, least: int = 20) -> DataFrame:
-    """Rows of keys with a baseline: anomaly in percent (null where the mean is 0) and tercile."""
+    """Rows of keys with a baseline: anomaly in percent (null where the mean is 0) and tercile.
+
+    Rows that are not plain scans are stored before they are read twice: a mean that is computed anew may differ in its last
+    bit from the one that is its own tercile.
+    """
+    df = scanned(df, "anomalies")
     base = baseline(df, keys, year, value, first, last, least)
     joined = df.join(base, keys)
     return joined.withColumn("anomaly_pct", F.try_divide(F.col(value) - F.col("clim_mean"), F.col("clim_mean")) * 100).withColumn("tercile", tercile(F.col(value), F.col("t1"), F.col("t2")))

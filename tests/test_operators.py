@@ -1,4 +1,5 @@
 import math
+import random
 
 import duckdb
 import numpy as np
@@ -145,6 +146,14 @@ def test_text_functions(spark):
     assert one(spark, C.column_sums(F.array(F.array(F.lit(1.0), F.lit(None).cast("double")), F.array(F.lit(2.0), F.lit(3.0))), 2)) == [3.0, 3.0]
 
 
+def test_terciles_of_values_that_vary(spark):
+    """Of seven years the third and fifth are terciles themselves, also where each computation gives other last bits."""
+    noise = F.udf(lambda x: x + random.random() * 1e-6, "double").asNondeterministic()
+    df = spark.range(210).select((F.col("id") % 30).alias("k"), (F.floor(F.col("id") / 30) + 2000).alias("y")).withColumn("v", noise(F.col("y").cast("double")))
+    got = seasonal.anomalies(df, ["k"], "y", "v", 0, 9999, least=3).groupBy("tercile").count()
+    assert dict(map(tuple, got.collect())) == {"Dry": 90, "Near": 60, "Wet": 60}
+
+
 def test_paragraphs_lose_blanks_only(spark):
     """Not the digits of their own place."""
     assert one(spark, C.paragraphs(F.lit("0100 a0 \n\n  \n33 b 3\n x "))) == ["0100 a0", "33 b 3", "x"]
