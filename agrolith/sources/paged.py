@@ -58,18 +58,22 @@ def fetched(client: Client, number: int, tries: int, pause: float) -> str | None
 
 
 class PageReader(DataSourceStreamReader):
+    """from: the page where a batch begins until Spark names another; until: the last batch's end; batch: most pages of one."""
+
     def __init__(self, client: Client, options: dict) -> None:
         self.client, self.until = client, int(options["until"]) if "until" in options else None
+        self.at, self.batch = int(options.get("from", 0)), int(options["batch"]) if "batch" in options else None
         self.each, self.tries, self.pause = int(options.get("each", 20)), int(options.get("tries", 4)), float(options.get("pause", 2.0))
 
     def initialOffset(self) -> dict:  # noqa: N802  Spark's name
         return {"page": 0}
 
     def latestOffset(self) -> dict:  # noqa: N802
-        there = self.client.pages()
-        return {"page": there if self.until is None else min(there, self.until)}
+        there = self.client.pages() if self.until is None else self.until
+        return {"page": there if self.batch is None else min(there, self.at + self.batch)}
 
     def partitions(self, start: dict, end: dict) -> Sequence[InputPartition]:
+        self.at = end["page"]  # a batch that is run; the next one begins behind it
         return [Stretch(low, min(low + self.each, end["page"])) for low in range(start["page"], end["page"], self.each)]
 
     def read(self, partition: Stretch) -> Iterator[tuple]:
@@ -116,14 +120,19 @@ class Harvest:
         return 0 if last is None else last + 1
 
     def advance(self) -> None:
+        """One stream runs all batches, so a batch costs its fetching and no stream's start."""
         register(self.spark, self.client)
-        there, until = self.client.pages(), self.cursor()
-        while until < there:
-            until = min(until + self.batch, there)
-            stream = self.spark.readStream.format(NAME).options(until=until, **self.options).load()
+        there, at = self.client.pages(), self.cursor()
+        if at >= there:
+            return
+        options = {"from": at, "until": there, "batch": self.batch, **self.options}
+        stream = self.spark.readStream.format(NAME).options(**options).load()
 
-            def store(batch: DataFrame, number: int) -> None:
-                batch.write.mode("overwrite").parquet(f"{self.out}/{number}")
+        def store(batch: DataFrame, number: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{self.out}/{number}")
 
-            query = stream.writeStream.option("checkpointLocation", self.state).trigger(availableNow=True).foreachBatch(store).start()
-            query.awaitTermination()
+        query = stream.writeStream.option("checkpointLocation", self.state).foreachBatch(store).start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()

@@ -3,9 +3,12 @@
 import random
 import re
 
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from agrolith.operators import finance, neighbours
 from agrolith.sources import paged, records
@@ -80,6 +83,18 @@ def test_harvest_goes_on(spark):
     assert sorted(map(tuple, first.rows().collect())) == [(n, f"{n}:text") for n in range(13)]
 
 
+def test_harvest_is_one_stream(spark, monkeypatch):
+    """Of as many batches as its pages need."""
+    started, start = [], DataStreamWriter.start
+    monkeypatch.setattr(DataStreamWriter, "start", lambda self, *a, **k: started.append(1) or start(self, *a, **k))
+    harvest = paged.Harvest(spark, numbers(20), 3, each=2)
+    harvest.advance()
+    assert len(started) == 1
+    assert sorted(map(tuple, harvest.rows().collect())) == [(n, f"{n}:text") for n in range(20)]
+    batches = [p.name for p in Path(harvest.out).iterdir() if p.name.isdigit()]
+    assert sorted(map(int, batches)) == list(range(7))
+
+
 def test_harvest_of_nothing(spark):
     harvest = paged.Harvest(spark, numbers(0))
     harvest.advance()
