@@ -3,8 +3,10 @@
 First every state gets a bound on how far its k-th neighbour may be: the distances to some rows that stand near it on a
 curve through the features (bits of all features in turn), within blocks of consecutive rows. Then distances to a few
 pivots, corners of the key's box, are the coordinates of a grid: by the triangle inequality neighbours within a bound
-lie within the same bound in each coordinate. A state looks into the cells of a grid whose cells are as wide as its own
-bound, 3 a pivot at most; history is put into the grids that states use. What lies within the bound is ranked.
+lie within the same bound in each coordinate. A state looks into the cells of a grid whose cells are twice to four times
+as wide as its own bound, 2 a pivot at most, since a state is written once a cell that it looks into; history is put
+into the grids that states use. What lies within the bound is ranked, and stored, so that shuffles of cells can be let go
+before states are told their neighbours.
 
 Equal points are one: of history's equal points only the first k + 1 years can be among any state's k, and equal states
 are searched once.
@@ -27,6 +29,8 @@ from .ordered import matched, numbered
 
 #: Consecutive rows of the curve within which bounds are sought, pivots, and grids, each of half the width of the one before.
 BLOCK, PIVOTS, LEVELS = 512, 3, 24
+#: Bounds that a cell is wide, at least.
+WIDE = 2
 
 
 def distance(a: list[Column], b: list[Column]) -> Column:
@@ -70,22 +74,34 @@ def pivot_distances(f: list[str]) -> list[Column]:
     return out
 
 
-def candidates(points: DataFrame, queries: DataFrame, on: list[str], f: list[str]) -> DataFrame:
-    """Pairs (_q, _year, _distance) that share a cell, before their distance is looked at."""
+def width(span: Column) -> Column:
+    return F.when(F.col("_level") < 0, F.lit(float("inf"))).otherwise(span * F.pow(F.lit(2.0), -F.col("_level")))
+
+
+def cell(d: Column) -> Column:
+    return F.floor(F.when(F.col("_level") < 0, F.lit(0.0)).otherwise(d / F.col("_w"))).cast("long")
+
+
+def looked_into(queries: DataFrame, f: list[str]) -> DataFrame:
+    """queries with the level of their grid, once a cell (_c0, _c1...) that they look into."""
     span, reach = F.col("_box._span"), F.col("_reach") * (1 + 1e-9) + 1e-12 * F.col("_box._span")
-    finest = F.least(F.floor(F.log2(span / reach)), F.lit(LEVELS))
+    finest = F.least(F.floor(F.log2(span / reach / WIDE)), F.lit(LEVELS))
     level = F.when(reach.isNull(), -1).otherwise(F.greatest(finest, F.lit(0))).cast("int")
-    width = lambda own: F.when(F.col("_level") < 0, F.lit(float("inf"))).otherwise(own * F.pow(F.lit(2.0), -F.col("_level")))
-    cell = lambda d, w: F.floor(F.when(F.col("_level") < 0, F.lit(0.0)).otherwise(d / w)).cast("long")
     asked = queries.withColumn("_level", level).withColumn("_w", width(span))
+    for at, d in enumerate(pivot_distances(f)):
+        wide = F.coalesce(reach, F.lit(0.0))
+        asked = asked.withColumn(f"_c{at}", F.explode(F.sequence(cell(d - wide), cell(d + wide))))
+    return asked
+
+
+def candidates(points: DataFrame, queries: DataFrame, on: list[str], f: list[str]) -> DataFrame:
+    """Pairs (_q, _year, _distance) that share a cell, before their distance is looked at."""
+    asked = looked_into(queries, f)
     pivots = pivot_distances(f)
     cells = [f"_c{at}" for at in range(len(pivots))]
-    for name, d in zip(cells, pivots, strict=True):
-        wide = F.coalesce(reach, F.lit(0.0))
-        asked = asked.withColumn(name, F.explode(F.sequence(cell(d - wide, F.col("_w")), cell(d + wide, F.col("_w")))))
     levels = stored(asked.select(*on, "_level").distinct(), "levels")
-    put = points.join(levels, on).withColumn("_w", width(span))
-    put = put.withColumns({name: cell(d, F.col("_w")) for name, d in zip(cells, pivots, strict=True)})
+    put = points.join(levels, on).withColumn("_w", width(F.col("_box._span")))
+    put = put.withColumns({name: cell(d) for name, d in zip(cells, pivots, strict=True)})
     there = put.select(*on, "_level", *cells, "_year", *(F.col(c).alias(f"{c}_") for c in f))
     met = asked.select("_q", *on, "_level", *cells, "_reach", *f).join(there, [*on, "_level", *cells])
     return met.select("_q", "_year", "_reach", distance([F.col(c) for c in f], [F.col(f"{c}_") for c in f]).alias("_distance"))
@@ -108,7 +124,7 @@ def nearest_years(history: DataFrame, states: DataFrame, on: list[str], features
     queries = stored(bounded(points, queries, on, f, k + 1), "bounds")
     pairs = candidates(points, queries, on, f).where("_reach IS NULL OR _distance <= _reach")
     best = F.row_number().over(W.partitionBy("_q").orderBy("_distance", "_year"))
-    found = pairs.withColumn("_n", best).where(F.col("_n") <= k + 1).drop("_n", "_reach")
+    found = stored(pairs.withColumn("_n", best).where(F.col("_n") <= k + 1).drop("_n", "_reach"), "nearest")
     told = asked.join(queries.select(*on, *f, "_q"), [*on, *f]).join(found, "_q").where(F.col("_own") != F.col("_year"))
     place = F.row_number().over(W.partitionBy(*on, "_own", *f).orderBy("_distance", "_year"))
     return told.withColumn("place", place).where(F.col("place") <= k).select(*on, F.col("_own").alias(year), F.col("_year").alias("analogue"), F.col("_distance").alias("distance"), "place")

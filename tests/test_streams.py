@@ -2,7 +2,6 @@
 
 import random
 import re
-
 from pathlib import Path
 
 import numpy as np
@@ -83,6 +82,16 @@ def test_harvest_goes_on(spark):
     assert sorted(map(tuple, first.rows().collect())) == [(n, f"{n}:text") for n in range(13)]
 
 
+def test_states_are_written_to_few_cells(spark):
+    """Two a pivot at most, whatever their bounds."""
+    f, rng = ["x", "y", "z"], np.random.default_rng(5)
+    rows = [(q, *map(float, rng.uniform(0, 100, 3)), float(rng.uniform(0.001, 40))) for q in range(300)]
+    queries = spark.createDataFrame(rows, "_q long, x double, y double, z double, _reach double")
+    box = F.struct(*(F.lit(v).alias(f"_{side}{c}") for c in f for side, v in (("lo", 0.0), ("hi", 100.0))), F.lit(100.0).alias("_span"))
+    counts = neighbours.looked_into(queries.withColumn("_box", box), f).groupBy("_q", "_level").count().where("_level > 0").collect()
+    assert max(r["count"] for r in counts) <= 8
+
+
 def test_harvest_is_one_stream(spark, monkeypatch):
     """Of as many batches as its pages need."""
     started, start = [], DataStreamWriter.start
