@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from agrolith.llm import components, exact_dedup, fuzzy_lines, jaccard_join, recompression
+from agrolith.llm.common import stored
 
 
 def az(text):
@@ -289,6 +290,18 @@ def test_components(spark):
     assert got == {x: find(x) for x in parent if any(a != b and x in (a, b) for a, b in links)}
 
 
+@pytest.mark.parametrize("few", [0, 50_000])
+def test_components_of_few_and_many_links(spark, monkeypatch, few):
+    """Few links are joined without exchanges, many with them, to the same components."""
+    monkeypatch.setattr(components, "FEW_LINKS", few)
+    links = spark.createDataFrame([(i, i * 7 % 101) for i in range(40)] + [(300 - i, 299 - i) for i in range(30)], "a bigint, b bigint")
+    got = {r.node: r.component for r in components.connected_components(links).collect()}
+    for a, b in map(tuple, links.where("a <> b").collect()):
+        assert got[a] == got[b] <= min(a, b)
+    one = stored(links, "links").coalesce(1)
+    assert "hashpartitioning" not in components.small_star(components.large_star(one))._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("run", [exact_dedup.deduplicate, jaccard_join.classes_of, recompression.remove_repeats, fuzzy_lines.remove_fuzzy_lines])
 def test_empty_tables(empty, run):
     assert run(empty).count() == 0
