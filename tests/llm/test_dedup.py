@@ -224,6 +224,30 @@ def test_crowded_keys(spark, monkeypatch):
     test_fuzzy_lines(spark)
 
 
+def test_long_lines_are_compared_together(monkeypatch):
+    """Pairs of any number of words go step by step, whether equal letters stand at their beginning, end or middle."""
+    rng = np.random.default_rng(15)
+    text = lambda n: bytes(rng.choice(list(b"abcdefgh "), n).tolist())
+    pairs, alone = [], fuzzy_lines.distance
+    for n in [330, 500, 700] * 12:
+        whole, share = text(n), int(n * rng.choice([0.5, 0.79, 0.85, 0.97]))
+        pairs += [(whole, whole[:share] + text(n - share)), (whole, text(n - share) + whole[n - share :]), (whole, whole[: share // 2] + text(n - share) + whole[share // 2 : share])]
+    most = np.array([max(len(a), len(b)) // 5 for a, b in pairs])
+    exact = np.array([alone(a, b) for a, b in pairs])
+    counted = []
+    monkeypatch.setattr(fuzzy_lines, "distance", lambda *args: counted.append(args) or alone(*args))
+    found = fuzzy_lines.distances(pairs, most)
+    assert ((found <= most) == (exact <= most)).all() and (found[exact <= most] == exact[exact <= most]).all()
+    assert 20 < (exact <= most).sum() < len(pairs) - 20 and len(counted) < len(pairs) / 2
+
+
+def test_the_table_of_lines_goes_once_lists_stand(spark, monkeypatch):
+    gone = []
+    monkeypatch.setattr(fuzzy_lines, "discarded", lambda *frames: gone.extend(frames))
+    fuzzy_lines.remove_fuzzy_lines(spark.createDataFrame([(1, "one line\none lime"), (2, "one line")], "doc_id bigint, text string")).collect()
+    assert [set(fuzzy_lines.NODE_NAMES) == set(frame.columns) for frame in gone] == [True]
+
+
 def test_near_simhashes_of_lists_of_any_length():
     rng = np.random.default_rng(3)
     for n in (2, 511, 513, 1500):
