@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .common import read, small_batches, steady, stored, tidy
 from .components import closed, connected_components, near_pairs
-from .jaccard_join import NAME_OF, SIGNS, parity, possible, set_value, shingles, signed, verified, word_names
+from .jaccard_join import SIGNS, parity, possible, set_value, shingles, signed, verified, word_names
 
 WORDS, PERCENT = 5, 85
 BUCKET_BITS, MANTISSA, BAND = 7, 10, 4
@@ -124,7 +124,7 @@ def described(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
                 batch.column(0), batch.column(1), pa.array([len(x) for x in sets], pa.int64()), pa.array([x[0] for x in sums], pa.int64()), pa.array([x[1] for x in sums], pa.int64()),
                 pa.array(held[0], pa.int32()), pa.array(held[1], longs), pa.array(held[2], longs),
             ], names)
-    tidy(NAME_OF)
+    tidy()
 
 
 def screened(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .common import read, steady, stored, tidy, unused
 from .components import closed, connected_components, near_pairs, rows_wanted
-from .recompression import K1, K2, NameCache, mix
+from .recompression import K1, K2, mix
 
 #: Counters of the table of word counts by hashed word.
 COUNTERS = 1 << 18
@@ -46,21 +46,51 @@ COUNTERS = 1 << 18
 LIST_PART = 1000
 SLICES = 32
 WORDS, PERCENT = 3, 90
-NAME_OF = NameCache()
 #: Longs of the parity signature: sets of up to about twice as many shingles as bits are told apart by it.
 SIGNS = 16
 DOC_SCHEMA = "row bigint, doc_id bigint, n bigint, s1 bigint, s2 bigint, " + "".join(f"b{i} bigint, " for i in range(SIGNS)) + "hist binary, slice int, counts binary"
 
 
-def word_names(text: bytes | None) -> np.ndarray:
-    """A-Z are lower-cased; words are [^\\x20\\x09-\\x0D]+."""
-    tokens = (text or b"").lower().split()
-    return np.fromiter(map(NAME_OF.__getitem__, tokens), np.uint64, len(tokens))
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes of a word from which it is named by itself.
+LONG_WORD = 512
+#: The bits of the first k of eight bytes.
+FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 
 
-def shingles(names: np.ndarray, words: int, counts: np.ndarray | None = None):
-    """The distinct shingles' 64-bit names, in order; with counts also how often each is to be expected (as the
-    logarithm of its words' counters) and the least counter of its words."""
+def word_names(text: bytes | None) -> np.ndarray:
+    """64 bits a word. A-Z are lower-cased; words are [^\\x20\\x09-\\x0D]+. All words of a text advance together, eight
+    bytes a step."""
+    lowered = (text or b"").lower()
+    if not lowered:
+        return np.empty(0, np.uint64)
+    edges = np.ones(len(lowered) + 2, bool)
+    np.take(SPACE, np.frombuffer(lowered, np.uint8), out=edges[1:-1], mode="clip")
+    edges = np.flatnonzero(edges[1:] != edges[:-1])
+    starts, sizes = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray((len(lowered) + 1,), "<u8", lowered + bytes(8), 0, (1,))
+    names = mix((eight[starts] & FIRST_BYTES[np.minimum(sizes, 8)]) + sizes.astype(np.uint64) * K1)
+    for at in np.flatnonzero(sizes > LONG_WORD).tolist():
+        names[at] = xxhash.xxh3_64_intdigest(lowered[starts[at] : starts[at] + sizes[at]])
+    sizes[sizes > LONG_WORD] = 0
+    own = np.flatnonzero(sizes > 8)
+    while len(own):
+        starts, sizes = starts[sizes > 8] + 8, sizes[sizes > 8] - 8
+        names[own] = mix(names[own] * K1 + (eight[starts] & FIRST_BYTES[np.minimum(sizes, 8)]))
+        own = own[sizes > 8]
+    return names
+
+
+def in_order(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
+def shingles(names: np.ndarray, words: int, counts: np.ndarray | None = None, logs: np.ndarray | None = None):
+    """The distinct shingles' 64-bit names, in order; with counts, and the logarithms of one more than each, also how often
+    each is to be expected (as the logarithm of its words' counters) and the least counter of its words."""
     if not len(names):
         return (names, np.empty(0), np.empty(0)) if counts is not None else names
     width = min(words, len(names))
@@ -69,10 +99,13 @@ def shingles(names: np.ndarray, words: int, counts: np.ndarray | None = None):
     for at in range(1, width):
         out = mix(out * K1 + names[at : stop + at])
     if counts is None:
-        return np.unique(out)
-    out, first = np.unique(out, return_index=True)
-    own = counts[(names % np.uint64(COUNTERS)).astype(np.int64)]
-    logs = np.log(own + 1.0)
+        return in_order(out)
+    order = np.argsort(out)
+    out = out[order]
+    fresh = np.append(True, out[1:] != out[:-1])
+    out, first = out[fresh], order[fresh]
+    counter = (names % np.uint64(COUNTERS)).astype(np.int64)
+    own, logs = counts[counter], (np.log(counts + 1.0) if logs is None else logs)[counter]
     expected, least = logs[:stop].copy(), own[:stop].copy()
     for at in range(1, width):
         expected += logs[at : stop + at]
@@ -133,7 +166,7 @@ def describe(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Recor
                 column.append(value)
         n = batch.num_rows
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, pa.int64()) for c in rows), pa.array(hists, pa.binary()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
-    tidy(NAME_OF)  # workers don't carry caches into other stages
+    tidy()
     parts = np.array_split(counts.astype("<u4"), SLICES)
     none = [pa.nulls(SLICES, pa.int64())] * (5 + SIGNS)
     yield pa.RecordBatch.from_arrays([*none, pa.nulls(SLICES, pa.binary()), pa.array(range(SLICES), pa.int32()), pa.array([x.tobytes() for x in parts], pa.binary())], names)
@@ -172,6 +205,7 @@ def keys_of(batches: Iterator[pa.RecordBatch], words: int, percent: int, counts:
     names = [part.split()[0] for part in KEY_SCHEMA.split(", ")]
     seen: set[tuple[int, int]] = set()
     common, least = 4 * counts.mean(), small_sizes(percent).start
+    logs = np.log(counts + 1.0)
     columns: list[list[np.ndarray]] = [[] for _ in names]
     held = 0
 
@@ -189,7 +223,7 @@ def keys_of(batches: Iterator[pa.RecordBatch], words: int, percent: int, counts:
     for batch in batches:
         for value in batch.column(0).cast(pa.binary()):
             text = value.as_py()
-            own, expected, rarest = shingles(word_names(text), words, counts)
+            own, expected, rarest = shingles(word_names(text), words, counts, logs)
             n = len(own)
             if n < least:  # linked with equal sets only
                 continue
@@ -203,7 +237,7 @@ def keys_of(batches: Iterator[pa.RecordBatch], words: int, percent: int, counts:
             if least < n <= limit + 1:
                 held += put(np.full(n, SUBSET), s1 - a, s2 - b, np.full(n, s1), np.full(n, s2), np.ones(n, np.int64))
             if n > limit:
-                order = np.lexsort((own, expected))[: n - needed(n, percent) + 1]
+                order = np.argsort(expected, kind="stable")[: n - needed(n, percent) + 1]  # of equal ones the least name
                 rare, parts = own[order], 1 + np.maximum(rarest[order] - common, 0).astype(np.int64) // LIST_PART
                 k = len(rare)
                 held += put(np.full(k, LIST), rare, s1 % parts.astype(np.uint64), np.full(k, s1), np.full(k, s2), parts)
@@ -212,11 +246,11 @@ def keys_of(batches: Iterator[pa.RecordBatch], words: int, percent: int, counts:
                 held = 0
     if held:
         yield out()
-    tidy(NAME_OF)
+    tidy()
 
 
 def overlap_at_least(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    both = len(a) + len(b) - len(np.union1d(a, b))
+    both = len(a) + len(b) - len(in_order(np.concatenate([a, b])))
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
@@ -233,7 +267,7 @@ def verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> Dat
             one, two = (batch.column(at).cast(pa.binary()) for at in (2, 3))
             good = [overlap_at_least(shingles(word_names(x.as_py()), words), shingles(word_names(y.as_py()), words), percent) for x, y in zip(one, two, strict=True)]
             yield batch.select([0, 1]).filter(pa.array(good, pa.bool_()))
-        tidy(NAME_OF)
+        tidy()
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(check, "a bigint, b bigint")
 

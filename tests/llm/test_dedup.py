@@ -224,6 +224,30 @@ def test_crowded_keys(spark, monkeypatch):
     test_fuzzy_lines(spark)
 
 
+def test_names_of_words(monkeypatch):
+    """Equal words have equal names, different ones different names, wherever they stand; a text's words are named together."""
+    rng = np.random.default_rng(16)
+    words = [bytes(rng.choice(list(b"ab\x00\x1f\xc3\xa9\xff"), n).tolist()) for n in [*range(1, 40)] * 6 + [510, 511, 512, 513, 514, 600]]
+    monkeypatch.setattr(recompression.NameCache, "__missing__", lambda cache, word: pytest.fail("words are named one by one"))
+    words += [b"a" * n for n in range(1, 30)] + [b"a" + b"\x00" * n for n in range(1, 30)]
+    names = {}
+    for _ in range(5):
+        some = rng.permutation(len(words)).tolist()
+        text = b"".join(words[at].upper() + bytes(rng.choice(list(b" \t\n\r\x0b\x0c"), rng.integers(1, 4)).tolist()) for at in some)
+        for lead in (b"", b" \n"):
+            found = jaccard_join.word_names(lead + text).tolist()
+            assert len(found) == len(some)
+            for at, name in zip(some, found, strict=True):
+                assert names.setdefault(words[at].lower(), name) == name
+    assert len(set(names.values())) == len(names) == len(set(words))
+    for empty in (None, b"", b" \n\t"):
+        assert len(jaccard_join.word_names(empty)) == 0
+    counts = rng.integers(0, 50, jaccard_join.COUNTERS)
+    own = jaccard_join.word_names(b" ".join(words[at] for at in rng.integers(0, 40, 400)))
+    whole, expected, least = jaccard_join.shingles(own, 3, counts)
+    assert whole.tolist() == sorted(set(jaccard_join.shingles(own, 3).tolist())) and len(whole) == len(expected) == len(least)
+
+
 def test_long_lines_are_compared_together(monkeypatch):
     """Pairs of any number of words go step by step, whether equal letters stand at their beginning, end or middle."""
     rng = np.random.default_rng(15)
