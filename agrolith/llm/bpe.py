@@ -5,7 +5,8 @@ bytes with one pass over the merges. Each document has one `Encoder`, which take
 soon as nothing that follows can change them: white space ends everything that the vocabulary's normaliser, splitter
 and merges do, so the words before it are stable; a word without an end goes on through a `Transducer`, which holds a
 block and the lookahead at most. What a finished word or piece came to is remembered in tables of bounded bytes, which
-changes no result. The encoder holds no ids and no text beyond an unfinished word's last block.
+changes no result. Words that a few documents bring and the tables lack are merged together before these are encoded,
+one merge of each a step. The encoder holds no ids and no text beyond an unfinished word's last block.
 
 The decoder is a state machine, one for a document, that takes ids as they come and gives the text that they make
 certain: `pieces` joins vocabulary entries by a space, as a vocabulary without a decoder does; `text` turns entries back
@@ -28,6 +29,7 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 import tokenizers
@@ -47,6 +49,11 @@ ENTRY_BYTES = 140
 #: Bytes of text that an encoder is given at a time, and the longest word or piece that is remembered.
 CHUNK, LONGEST = 1 << 16, 64
 NONE = 1 << 30
+#: New words that are merged together, bytes of text in which they are looked for, and pieces of one length from which that
+#: is cheaper than one by one.
+NEW_WORDS, NEW_BYTES, WORTH = 20_000, 4_000_000, 8
+#: No byte of UTF-8 below LATEST reaches this one.
+LATEST_BYTE = 0xD4
 #: Between these a letter may join with the one before it.
 JAMO = ((0x1100, 0x11FF), (0xA960, 0xA97F), (0xD7B0, 0xD7FF))
 SCHEMA = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -145,8 +152,13 @@ class Vocabulary:
             rules.append(rule)
         self.merged_of = [rule[2] for rule in rules]
         self.lookahead = sufficient_lookahead(rules, self.width)
+        # the same as arrays: the rank of a pair stands where its key does
+        keys = np.array([left * len(self.entries) + right for left, right in self.rank_of], np.int64)
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[order], np.array([*self.rank_of.values()], np.int64)[order]
+        self.inner_of, self.final_of, self.merged_at = (np.array(x, np.int64) for x in (self.inner, self.final, self.merged_of))
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.splitter = regex.compile(pattern)
+        self.splitter, self.marked = regex.compile(pattern), regex.compile(f"{pattern}| ")
         self.specials = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")")
         self.longest_special = max(map(len, self.special), default=0)
         self.words, self.pieces = Memo(WORD_BYTES), Memo(PIECE_BYTES)
@@ -202,6 +214,88 @@ class Vocabulary:
                 heapq.heappush(heap, (new, last))
         return [symbol for symbol in symbols if symbol >= 0]
 
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left * len(self.entries) + right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NONE)
+
+    def merged(self, pieces: list[bytes]) -> list[bytes]:
+        """The packed ids of whole pieces of one length. All advance by a merge a step, so those not done yet have as many
+        symbols."""
+        letters = np.frombuffer(b"".join(pieces), np.uint8).reshape(len(pieces), -1)
+        symbols = self.inner_of[letters]
+        symbols[:, -1] = self.final_of[letters[:, -1]]
+        out, left = [b""] * len(pieces), np.arange(len(pieces))
+
+        def done(rows: np.ndarray, found: np.ndarray) -> None:
+            blob, width = found.astype("<u4").tobytes(), 4 * found.shape[1]
+            for number, row in enumerate(rows.tolist()):
+                out[row] = blob[number * width : (number + 1) * width]
+
+        ranks = self.ranks_of(symbols[:, :-1], symbols[:, 1:])
+        while ranks.shape[1] and len(left):
+            at = ranks.argmin(axis=1)
+            best = ranks[np.arange(len(left)), at]
+            if not (goes_on := best != NONE).all():
+                done(left[~goes_on], symbols[~goes_on])
+                left, symbols, ranks, at, best = left[goes_on], symbols[goes_on], ranks[goes_on], at[goes_on], best[goes_on]
+            rows, width = np.arange(len(left)), ranks.shape[1]
+            symbols[rows, at] = self.merged_at[best]
+            stays = np.ones(symbols.shape, bool)
+            stays[rows, at + 1] = False
+            symbols, ranks = symbols[stays].reshape(len(left), width), ranks[stays[:, 1:]].reshape(len(left), width - 1)
+            for own, pair in ((np.flatnonzero(at > 0), at - 1), (np.flatnonzero(at < width - 1), at)):
+                ranks[own, pair[own]] = self.ranks_of(symbols[own, pair[own]], symbols[own, pair[own] + 1])
+        done(left, symbols)
+        return out
+
+    def learn(self, words: list[bytes]) -> None:
+        """Remembers what words come to, their new pieces merged together."""
+        words = [word for word in words if len(word) <= LONGEST and max(word) < LATEST_BYTE and b"<|" not in word]
+        if not words:
+            return
+        tokens = self.marked.findall(self.normalise(b" ".join(words).decode()))
+        ids: dict[str, bytes] = {}
+        new: dict[int, list[tuple[str, bytes]]] = {}
+        for token in set(tokens) - {" "}:
+            piece = token.encode()
+            known = self.pieces.get(piece) or self.pieces.old.get(piece)
+            if known is None:
+                new.setdefault(len(piece), []).append((token, piece))
+            else:
+                ids[token] = known
+        for size, own in new.items():
+            pieces = [piece for _, piece in own]
+            if len(own) < WORTH or size > LONGEST:
+                ids.update((token, self.piece(piece)) for token, piece in own)
+                continue
+            for (token, piece), found in zip(own, self.merged(pieces), strict=True):
+                ids[token] = self.pieces.put(piece, found)
+        own, which = [], iter(words)
+        for token in tokens:
+            if token == " ":
+                self.words.put(next(which), b"".join(own))
+                own = []
+            else:
+                own.append(ids[token])
+        self.words.put(next(which), b"".join(own))
+
+    def blocks(self, texts: Iterator[bytes]) -> Iterator[list[bytes]]:
+        """The texts in order, a few at a time, after their new words were learnt. A text of more than a chunk brings none."""
+        block, new, size = [], set(), 0
+        for text in texts:
+            block.append(text)
+            size += len(text)
+            if len(text) <= CHUNK:
+                known, old = self.words, self.words.old
+                new.update(word for word in set(text.split()) if word not in known and word not in old)
+            if len(new) >= NEW_WORDS or size >= NEW_BYTES:
+                self.learn([*new])
+                yield block
+                block, new, size = [], set(), 0
+        self.learn([*new])
+        yield block
+
     def piece(self, piece: bytes) -> bytes:
         """The packed ids of one piece between splits, through the transducer."""
         known = self.pieces.get(piece) or self.pieces.old.get(piece)
@@ -299,8 +393,10 @@ class Encoder:
         if self.open and words:
             out.append(self.finished(words.pop(0)))
         known, old, v = self.vocabulary.words, self.vocabulary.words.old, self.vocabulary
-        for word in words:
-            ids = known.get(word)
+        found = [*map(known.get, words)]
+        for at in [at for at, ids in enumerate(found) if ids is None] if None in found else ():
+            word = words[at]
+            ids = known.get(word)  # an earlier one may have brought it
             if ids is None:
                 ids = old.get(word)
                 if ids is None:
@@ -308,7 +404,8 @@ class Encoder:
                 if len(word) <= LONGEST:
                     known.put(word, ids)
                     old = known.old
-            out.append(ids)
+            found[at] = ids
+        out += found
         if len(self.held) > BLOCK:
             out.append(self.advanced())
         return b"".join(out)
@@ -433,10 +530,11 @@ def encode_documents(docs: DataFrame, path: str | None = None, digests: bool = F
         v = vocabulary(path)
         for batch in batches:
             counts, first, second = [], [], []
-            for value in batch.column(1).cast(pa.binary()):
+            values = (value.as_py() or b"" for value in batch.column(1).cast(pa.binary()))
+            for text in itertools.chain.from_iterable(v.blocks(values)):
                 decoder, n, ids_seen, text_seen = Decoder(v), 0, hashlib.sha256(), hashlib.sha256()
                 ids, decoded = array("I"), []
-                for some in encoded_stream(value.as_py() or b"", v):
+                for some in encoded_stream(text, v):
                     found = decoder.feed_block(some)
                     if digests:
                         n += len(some)

@@ -511,6 +511,25 @@ def test_streaming_equals_whole():
         assert [*got, *t.close()] == v.merge([*map(v.inner.__getitem__, data[:-1]), v.final[data[-1]]])
 
 
+def test_new_words_are_merged_together(library, monkeypatch):
+    """Words that documents bring are learnt before these are encoded, so hardly one is merged by itself."""
+    v, rng, merges = bpe.vocabulary(bpe.default_path()), random.Random(5), []
+    v.forget()
+    words = ["".join(rng.choice("abcdeinthrsé'.,1") for _ in range(rng.randint(1, 30))) for _ in range(3000)]
+    odd = ["ΣΑΣ", "İ", "e\u0301a", "\u0301a", "a\xa0b", "\x85", "\x1c", "don't", "''s", "a<|endoftext|>b", "<|", "日本", "x" * 64, "x" * 65, "½²", "´s"]
+    texts = [" ".join(rng.choice(words + odd * 5) for _ in range(rng.randint(0, 400))) for _ in range(40)] + ["", " ", " ".join(odd), "é" * bpe.CHUNK]
+    monkeypatch.setattr(bpe, "NEW_WORDS", 1000)
+    inner = v.merge
+    monkeypatch.setattr(v, "merge", lambda symbols: merges.append(1) or inner(symbols))
+    blocks = [*v.blocks(text.encode() for text in texts)]
+    assert [text for block in blocks for text in block] == [text.encode() for text in texts] and len(blocks) > 2
+    for text in texts:
+        assert through(text, v) == by_library(library, text)
+    assert len(merges) < 300
+    v.forget()
+    assert [*v.blocks(iter([]))] == [[]]
+
+
 def test_decoding_to_text():
     v = bpe.vocabulary(bpe.default_path())
     d = bpe.Decoder(v, "text")
