@@ -19,6 +19,7 @@ time; other columns, clashing names included, are ignored.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import read, remainder
+from .common import read, remainder, tidy
 
 SAMPLE_LABELS = 12_000
 HELD_OUT = (4, 2)
@@ -274,8 +275,8 @@ def fit(texts: list[str], toxic: list[int], steps: int = 50, ridge: float = 1e-3
 def fit_labelled(docs: DataFrame, labels: DataFrame, sample_labels: int = SAMPLE_LABELS) -> Model:
     """Fits on at most sample_labels labelled rows outside the held-out remainder, in the order of a hash of doc_id.
 
-    The rows that reach the driver are bounded by sample_labels, and so is the table that is broadcast. The fit is the
-    same whatever the order of the rows in their files.
+    The rows that one task fits are bounded by sample_labels, and so is the table that is broadcast; the driver gets the
+    model alone. The fit is the same whatever the order of the rows in their files.
     """
     chosen = (
         labels.where(labels["toxic"].isNotNull() & labels["doc_id"].isNotNull())
@@ -287,8 +288,17 @@ def fit_labelled(docs: DataFrame, labels: DataFrame, sample_labels: int = SAMPLE
     )
     rows = docs.select(docs["doc_id"].cast("long").alias("_doc"), docs["text"].alias("_text")).join(F.broadcast(chosen), "_doc")
     # one text for each chosen label, the last in order where a doc_id has several: at most sample_labels rows
-    table = rows.groupBy("_doc", "_toxic").agg(F.max("_text").alias("_text")).select("_text", "_toxic", "_doc").toArrow().sort_by([("_doc", "ascending"), ("_toxic", "ascending")])
-    return fit([text or "" for text in table.column(0).to_pylist()], table.column(1).to_pylist())
+    sample = rows.groupBy("_doc", "_toxic").agg(F.max("_text").alias("_text")).select("_text", "_toxic", "_doc")
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if own := [*batches]:
+            table = pa.Table.from_batches(own).sort_by([("_doc", "ascending"), ("_toxic", "ascending")])
+            model = fit([text or "" for text in table.column(0).to_pylist()], table.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+            tidy()
+
+    found = sample.coalesce(1).mapInArrow(fitted, "model binary").collect()
+    return pickle.loads(found[0][0]) if found else fit([], [])
 
 
 SCHEMA = "doc_id bigint, score double"

@@ -321,6 +321,13 @@ def test_edit_distance():
     assert fuzzy_lines.similar_pairs(list(first), list(second)).tolist() == [fuzzy_lines.similar(a, b) for a, b in zip(first, second, strict=True)]
 
 
+def test_few_links_need_no_rounds(spark, monkeypatch):
+    monkeypatch.setattr(components, "are_stars", None)
+    links = spark.createDataFrame([(5, 4), (4, 3), (9, 8), (3, 5), (2, 9)], "a long, b long")
+    assert sorted(map(tuple, components.connected_components(links).collect())) == [(2, 2), (3, 3), (4, 3), (5, 3), (8, 2), (9, 2)]
+    assert components.connected_components(links.where("a = b")).count() == 0
+
+
 def test_components(spark):
     rng = np.random.default_rng(8)
     links = [(int(a), int(b)) for a, b in rng.integers(0, 80, (60, 2))] + [(100 + i, 101 + i) for i in range(20)] + [(200, 200 + i) for i in range(1, 30)]

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import math
+import os
 import random
 import re
 import struct
@@ -350,6 +351,20 @@ def test_toxicity_held_out(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i in got if not got[i].predicted}
 
 
+def test_toxicity_is_not_fitted_on_the_driver(stored_docs, spark, monkeypatch):
+    labels = spark.createDataFrame([(n, n % 2) for n in range(40)], "doc_id long, toxic int")
+    before = toxicity.fit_labelled(stored_docs, labels)
+    inner, home = toxicity.fit, os.getpid()
+
+    def elsewhere(texts, toxic):
+        assert os.getpid() != home
+        return inner(texts, toxic)
+
+    monkeypatch.setattr(toxicity, "fit", elsewhere)
+    model = toxicity.fit_labelled(stored_docs, labels)
+    assert (model.words, model.prefixes, model.bias) == (before.words, before.prefixes, before.bias)
+
+
 def test_toxicity_edges(stored_docs, spark, empty):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     model = toxicity.fit_labelled(stored_docs, none)
