@@ -1,6 +1,7 @@
 """Exact, near, substring and line deduplication against brute force."""
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -321,6 +322,40 @@ def test_edit_distance():
     assert fuzzy_lines.similar_pairs(list(first), list(second)).tolist() == [fuzzy_lines.similar(a, b) for a, b in zip(first, second, strict=True)]
 
 
+def test_ways_between_lines(monkeypatch):
+    """Lines a few edits apart are seen to be similar without their distance; a way that is found is never too short."""
+    rng, first, second = random.Random(6), [], []
+    word = lambda: "".join(rng.choice("abcdeinthrs") for _ in range(rng.randint(1, 9)))
+    for _ in range(200):
+        words = [word() for _ in range(60)]
+        first.append(" ".join(words).encode())
+        for at in rng.sample(range(60), 4):
+            words[at] = rng.choice(["", word(), f"{words[at]} {word()}"])
+        second.append(" ".join(words).encode())
+    measured, inner = [], fuzzy_lines.distances
+    monkeypatch.setattr(fuzzy_lines, "distances", lambda pairs, most: measured.extend(pairs) or inner(pairs, most))
+    assert fuzzy_lines.similar_pairs(first, second).all() and len(measured) < 20
+    for _ in range(1000):
+        a = bytes(rng.choice(b"ab ") for _ in range(rng.randint(0, 60)))
+        b = bytearray(a)
+        for _ in range(rng.randint(0, 12)):
+            at = rng.randint(0, len(b))
+            b[at : at + rng.randint(0, 3)] = bytes(rng.choice(b"ab ") for _ in range(rng.randint(0, 3)))
+        most = rng.randint(0, 10)
+        assert fuzzy_lines.distance(a, bytes(b)) <= most or not fuzzy_lines.way_found(a, bytes(b), most)
+
+
+def test_single_distances_end_early():
+    """A pair of long lines that is certain to exceed its bound is left once a column does."""
+    rng = random.Random(7)
+    for _ in range(60):
+        a, b = (bytes(rng.choice(b"abc") for _ in range(rng.randint(300, 500))) for _ in range(2))
+        whole = fuzzy_lines.distance(a, b)
+        for most in (20, whole - 1, whole, whole + 1):
+            found = fuzzy_lines.distance(a, b, most)
+            assert found == whole if whole <= most else found > most
+
+
 def test_few_links_need_no_rounds(spark, monkeypatch):
     monkeypatch.setattr(components, "are_stars", None)
     links = spark.createDataFrame([(5, 4), (4, 3), (9, 8), (3, 5), (2, 9)], "a long, b long")
