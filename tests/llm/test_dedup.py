@@ -266,6 +266,35 @@ def test_long_lines_are_compared_together(monkeypatch):
     assert 20 < (exact <= most).sum() < len(pairs) - 20 and len(counted) < len(pairs) / 2
 
 
+def test_pairs_of_nearly_as_many_words_go_together(monkeypatch):
+    """Pairs of 20 widths go in a few groups, with the distances that each has alone."""
+    rng = np.random.default_rng(16)
+    text = lambda n: bytes(rng.choice(list(b"abcdefgh "), n).tolist())
+    pairs = []
+    for n in [64 * words - 5 for words in range(6, 26)] * 6:
+        whole = text(n)
+        other = bytearray(whole if rng.random() < 0.5 else text(n))
+        for at in [0, n - 1, *rng.choice(n, n // 10)]:
+            other[at] = ord("z")
+        pairs.append((whole, bytes(other)))
+    most = np.array([max(len(a), len(b)) // 5 for a, b in pairs])
+    exact = np.array([fuzzy_lines.distance(a, b) for a, b in pairs])
+    groups, inner = [], fuzzy_lines.together
+    monkeypatch.setattr(fuzzy_lines, "together", lambda pairs, *args: groups.append(len(pairs)) or inner(pairs, *args))
+    found = fuzzy_lines.distances(pairs, most)
+    assert ((found <= most) == (exact <= most)).all() and (found[exact <= most] == exact[exact <= most]).all()
+    assert 20 < (exact <= most).sum() < len(pairs) - 20 and sum(groups) > 100 and len(groups) < 8
+
+
+def test_entries_and_bands_are_not_stored(spark, monkeypatch):
+    """What blocks send to the parts goes there in one exchange; a table holds nodes and lists alone."""
+    kept, inner = [], fuzzy_lines.stored
+    monkeypatch.setattr(fuzzy_lines, "stored", lambda frame, purpose: kept.append(frame.dtypes) or inner(frame, purpose))
+    got = fuzzy_lines.remove_fuzzy_lines(spark.createDataFrame([(1, "one line\none lime"), (None, "one line"), (0, "another")], "doc_id bigint, text string"))
+    assert sorted((r.n_lines, r.n_removed) for r in got.collect()) == [(1, 0), (1, 1), (2, 1)]
+    assert kept and not [name for frame in kept for name, kind in frame if kind == "binary" and name != "line"]
+
+
 def test_the_table_of_lines_goes_once_lists_stand(spark, monkeypatch):
     gone = []
     monkeypatch.setattr(fuzzy_lines, "discarded", lambda *frames: gone.extend(frames))
