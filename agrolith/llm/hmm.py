@@ -51,6 +51,7 @@ TOKENS_AT_ONCE = 600_000
 HELD_TOKENS = 5_000_000
 COUNT_AT_ONCE = 1_500_000
 CACHE = 500_000
+SOME_TEXTS = 64
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
@@ -68,6 +69,14 @@ def word_class(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(f"{text[:3]}\t{text[-3:]}\t{min(len(text), 7)}".encode()) % CLASSES
 
 
+def classes_of(words: list[bytes]) -> np.ndarray:
+    """The classes of many words (END's too) at once."""
+    keys = [word[:3] + word[-3:] + LENGTHS[min(len(word), 7)] if word.isascii() else None for word in words]
+    out = np.fromiter((word_class(word) if key is None else xxhash.xxh3_64_intdigest(key) % CLASSES for word, key in zip(words, keys, strict=True)), np.int32, len(words))
+    out[[at for at, word in enumerate(words) if word == END]] = CLASSES
+    return out
+
+
 class ClassCache(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= CACHE:
@@ -79,12 +88,36 @@ class ClassCache(dict):
 CLASS_OF = ClassCache()
 
 
+class Numbers(dict):
+    """Words numbered as they come; the classes of all of them are found at once, when texts have been numbered."""
+
+    def __init__(self) -> None:
+        self.words, self.classes, self.cleared = [], np.empty(0, np.int32), 0
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = len(self.words)
+        self.words.append(word)
+        return found
+
+    def of(self, tokenised: list[list[bytes]]) -> list[np.ndarray]:
+        """The numbers of each text's words. Earlier ones hold no more once there were CACHE words."""
+        if len(self) >= CACHE:
+            self.clear()
+        numbers = [np.fromiter(map(self.__getitem__, words), np.int32, len(words)) for words in tokenised]
+        if len(self.words) > len(self.classes):
+            self.classes = np.concatenate([self.classes, classes_of(self.words[len(self.classes) :])])
+        return numbers
+
+    def clear(self) -> None:
+        super().clear()
+        self.words, self.classes, self.cleared = [], np.empty(0, np.int32), self.cleared + 1
+
+
+NUMBERS = Numbers()
+
+
 def class_sequences(tokenised: list[list[bytes]]) -> list[np.ndarray]:
-    out = []
-    for words in tokenised:
-        row = np.fromiter(map(CLASS_OF.__getitem__, words), np.int32, len(words))
-        out.append(np.append(row, np.int32(CLASSES)))
-    return out
+    return [np.append(NUMBERS.classes[row], np.int32(CLASSES)) for row in NUMBERS.of(tokenised)]
 
 
 class Parameters:
@@ -209,6 +242,12 @@ def start_parameters(docs: DataFrame, start_docs: int = START_DOCS) -> Parameter
     return p
 
 
+def slices_of(column: pa.Array) -> Iterator[list[bytes | None]]:
+    """A column's values, SOME_TEXTS at a time, so that few texts' words are held."""
+    for at in range(0, len(column), SOME_TEXTS):
+        yield column.slice(at, SOME_TEXTS).to_pylist()
+
+
 def baum_welch(docs: DataFrame, p: Parameters, passes: int = PASSES) -> Parameters:
     """Each pass covers all training texts. The first one also stores their class sequences (two bytes a token), which
     the others read instead of the texts. What a partition sends is one fixed-size block of counts, cut in slices
@@ -224,13 +263,11 @@ def baum_welch(docs: DataFrame, p: Parameters, passes: int = PASSES) -> Paramete
             held, size = [], 0
             for batch in batches:
                 sequences = []
-                for value in batch.column(0).cast(pa.binary()):
-                    if first:
-                        held += class_sequences([tokens_of(value.as_py())])
-                        sequences.append(held[-1].astype("<u2").tobytes())
-                    else:
-                        held.append(np.frombuffer(value.as_py(), "<u2").astype(np.int32))
-                    size += len(held[-1])
+                for some in slices_of(batch.column(0).cast(pa.binary())):
+                    own = class_sequences([tokens_of(value) for value in some]) if first else [np.frombuffer(value, "<u2").astype(np.int32) for value in some]
+                    sequences += [row.astype("<u2").tobytes() for row in own] if first else []
+                    held += own
+                    size += sum(map(len, own))
                     seen = True
                     if size >= HELD_TOKENS:
                         expected_counts(p, held, totals)
@@ -239,7 +276,7 @@ def baum_welch(docs: DataFrame, p: Parameters, passes: int = PASSES) -> Paramete
                     yield pa.RecordBatch.from_arrays([pa.nulls(len(sequences), pa.int32()), pa.array(sequences, pa.binary())], names)
             if held:
                 expected_counts(p, held, totals)
-            tidy(CLASS_OF)
+            tidy(NUMBERS)
             if seen:
                 vector = np.concatenate([x.ravel() for x in totals]).astype(np.float64)
                 parts = np.array_split(vector, slices)
@@ -308,7 +345,7 @@ def lexical(counts: DataFrame) -> Lexical:
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, kinds = np.zeros(CLASSES + 1, np.int64), np.zeros(CLASSES + 1, np.int64)
         for batch in batches:
-            own = np.fromiter(map(CLASS_OF.__getitem__, batch.column(0).to_pylist()), np.int64, batch.num_rows)
+            own = classes_of(batch.column(0).to_pylist())
             n = batch.column(1).to_numpy()
             tokens += np.bincount(own, weights=n, minlength=CLASSES + 1).astype(np.int64)
             kinds += np.bincount(own, minlength=CLASSES + 1)
@@ -332,23 +369,31 @@ def score_documents(docs: DataFrame, p: Parameters, lex: Lexical, counts: DataFr
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, lex = broadcast.value
         log_of = {word: math.log10(n + ALPHA) for word, n in lex.heavy.items()}.get
+        end, logs_of = log_of(END, math.nan), np.empty(0)
+        ends = [END] if math.isnan(end) else []
+        cleared = NUMBERS.cleared - 1
         names = ["key", "n", "row", "n_tokens", "known", "sum", "model", "doc"]
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).cast(pa.binary())
             sequences, keys, times, lights = [], [], [], np.zeros(len(texts), np.int64)
             known, sums, model = np.zeros(len(texts), np.int64), np.zeros(len(texts)), np.zeros(len(texts))
-            for at, text in enumerate(texts):
-                found = tokens_of(text.as_py())
-                sequences += class_sequences([found])
-                words = Counter(found)
-                words[END] = 1
-                often = np.fromiter(words.values(), np.int64, len(words))
-                logs = np.fromiter(map(log_of, words, itertools.repeat(math.nan)), np.float64, len(words))
-                light = np.isnan(logs)
-                keys += itertools.compress(words, light.tolist())
-                times.append(often[light])
-                lights[at] = len(times[-1])
-                known[at], sums[at] = often[~light].sum(), logs[~light] @ often[~light]
+            at = -1
+            for some in slices_of(texts):
+                numbered, words = NUMBERS.of([tokens_of(text) for text in some]), NUMBERS.words
+                if NUMBERS.cleared != cleared:
+                    logs_of, cleared = np.empty(0), NUMBERS.cleared
+                fresh = words[len(logs_of) :]
+                logs_of = np.append(logs_of, np.fromiter(map(log_of, fresh, itertools.repeat(math.nan)), np.float64, len(fresh)))
+                for at, row in enumerate(numbered, at + 1):
+                    sequences.append(np.append(NUMBERS.classes[row], np.int32(CLASSES)))
+                    own, often = np.unique(row, return_counts=True)
+                    logs = logs_of[own]
+                    light = np.isnan(logs)
+                    keys += map(words.__getitem__, own[light].tolist())
+                    keys += ends
+                    times += [often[light], np.ones(len(ends), np.int64)]
+                    lights[at] = light.sum() + len(ends)
+                    known[at], sums[at] = often[~light].sum() + 1 - len(ends), logs[~light] @ often[~light] + (0.0 if ends else end)
             times, owners = np.concatenate(times) if times else np.empty(0, np.int64), np.repeat(np.array(ids, np.int64), lights)
             for group in batches_by_length(sequences):
                 model[group] = forward(p, [sequences[at] for at in group])[0]

@@ -636,3 +636,19 @@ def test_merkle_of_nothing(empty):
 def test_no_rows(empty, spark):
     assert pii.find(empty, pii.fit([])).count() == 0 and pii.fit_sample(empty).skip == 0
     assert bpe.encode_documents(empty).count() == 0 and bpe.encoded_digests(empty).count() == 0
+
+
+def test_classes_of_many_words_are_found_at_once(monkeypatch):
+    """Numbered words have the classes that each has alone, also once numbers are given anew."""
+    words = [b"a", b"of", b"word", b"longer,", b"another-one", "é".encode(), "Übergröße".encode(), "日本".encode()]
+    alone, counted = hmm.word_class, []
+    monkeypatch.setattr(hmm, "word_class", lambda word: counted.append(word) or alone(word))
+    monkeypatch.setattr(hmm, "CACHE", 4)
+    hmm.NUMBERS.clear()
+    texts = [words, [], words[::-1] * 2, [b"new", b"words", b"of", b"a"]]
+    for _ in range(3):
+        for text, found in zip(texts, hmm.class_sequences(texts), strict=True):
+            assert found.tolist() == [*map(alone, text), hmm.CLASSES]
+    assert hmm.classes_of([b"a", hmm.END]).tolist() == [alone(b"a"), hmm.CLASSES]
+    assert not [word for word in counted if word.isascii()]
+    hmm.NUMBERS.clear()
