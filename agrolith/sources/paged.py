@@ -21,6 +21,11 @@ from ..streaming.events import shared
 
 SCHEMA = "page bigint, text string"
 NAME = "agrolith_pages"
+#: A batch costs its log and its commit, whatever it holds, so of many pages it has one part in so many at least; each is
+#: fetched by so many tasks a core, if these have more pages then.
+BATCHES, TASKS = 20, 4
+#: Pages of a task, unless told otherwise.
+EACH = 20
 
 
 class Client:
@@ -63,7 +68,7 @@ class PageReader(DataSourceStreamReader):
     def __init__(self, client: Client, options: dict) -> None:
         self.client, self.until = client, int(options["until"]) if "until" in options else None
         self.at, self.batch = int(options.get("from", 0)), int(options["batch"]) if "batch" in options else None
-        self.each, self.tries, self.pause = int(options.get("each", 20)), int(options.get("tries", 4)), float(options.get("pause", 2.0))
+        self.each, self.tries, self.pause = int(options.get("each", EACH)), int(options.get("tries", 4)), float(options.get("pause", 2.0))
 
     def initialOffset(self) -> dict:  # noqa: N802  Spark's name
         return {"page": 0}
@@ -102,8 +107,8 @@ def register(spark: SparkSession, client: Client) -> None:
 
 
 class Harvest:
-    """Pages below the shared folder. advance() fetches what is there beyond the cursor, at most so many pages a batch; another
-    session that is given the same folders and the same size of batches goes on from there."""
+    """Pages below the shared folder. advance() fetches what is there beyond the cursor, so many pages a batch, or one part in
+    BATCHES of all pages where that is more; another session that is given the same folders goes on from there."""
 
     def __init__(self, spark: SparkSession, client: Client, pages_a_batch: int = 1000, out: str | None = None, state: str | None = None, **options) -> None:
         self.spark, self.client, self.batch, self.options = spark, client, pages_a_batch, options
@@ -120,12 +125,15 @@ class Harvest:
         return 0 if last is None else last + 1
 
     def advance(self) -> None:
-        """One stream runs all batches, so a batch costs its fetching and no stream's start."""
+        """One stream runs all batches, so a batch costs its fetching and no stream's start. Their number doesn't grow with the
+        pages, and what is fetched again after a failure is a fixed share of them at most."""
         register(self.spark, self.client)
         there, at = self.client.pages(), self.cursor()
         if at >= there:
             return
-        options = {"from": at, "until": there, "batch": self.batch, **self.options}
+        batch = max(self.batch, -(-there // BATCHES))
+        each = max(int(self.options.get("each", EACH)), -(-batch // (TASKS * self.spark.sparkContext.defaultParallelism)))
+        options = {"from": at, "until": there, "batch": batch, **self.options, "each": each}
         stream = self.spark.readStream.format(NAME).options(**options).load()
 
         def store(batch: DataFrame, number: int) -> None:

@@ -104,6 +104,20 @@ def test_harvest_is_one_stream(spark, monkeypatch):
     assert sorted(map(int, batches)) == list(range(7))
 
 
+def test_batches_of_a_harvest_stay_few(spark):
+    """However many pages there are; a harvest that failed goes on in larger batches if pages came meanwhile, and each page is there once."""
+    options = {"each": 2, "tries": 1, "pause": 0.01}
+    first = paged.Harvest(spark, numbers(100, broken=(57,)), 3, **options)
+    with pytest.raises(Exception, match="could not be had"):
+        first.advance()
+    assert first.cursor() == 55
+    second = paged.Harvest(spark, numbers(180), 3, first.out, first.state, **options)
+    second.advance()
+    assert sorted(map(tuple, second.rows().collect())) == [(n, f"{n}:text") for n in range(180)]
+    batches = [p.name for p in Path(second.out).iterdir() if p.name.isdigit()]
+    assert sorted(map(int, batches)) == list(range(11 + 1 + 14))  # of 5 pages, the one that failed, and of 9
+
+
 def test_harvest_of_nothing(spark):
     harvest = paged.Harvest(spark, numbers(0))
     harvest.advance()
