@@ -266,6 +266,32 @@ def test_long_lines_are_compared_together(monkeypatch):
     assert 20 < (exact <= most).sum() < len(pairs) - 20 and len(counted) < len(pairs) / 2
 
 
+def test_words_of_columns_go_together(monkeypatch):
+    """All words of a column take one step, and pairs leave once what is left of both lines shows that they exceed their bound;
+    distances are those that each pair has alone."""
+    rng, pairs = np.random.default_rng(11), []
+    for at in range(300):
+        a = rng.integers(0, 20, int(rng.integers(900, 1000)), np.uint8)
+        b = rng.integers(0, 20, int(rng.integers(900, 1000)), np.uint8) if at % 3 else np.delete(a, rng.integers(0, len(a), 5 * (at % 50)))
+        pairs.append((a.tobytes(), b.tobytes()))
+    most = np.array([max(map(len, pair)) * 20 // 100 for pair in pairs])
+    exact = np.array([fuzzy_lines.distance(a, b) for a, b in pairs])
+
+    class Counting:
+        taken = 0
+
+        def __getattr__(self, name):
+            Counting.taken += name == "invert"
+            return getattr(np, name)
+
+    monkeypatch.setattr(fuzzy_lines, "np", Counting())
+    found = fuzzy_lines.distances([pair for pair, own in zip(pairs, exact > most, strict=True) if own], most[exact > most])
+    assert (found > most[exact > most]).all() and Counting.taken < 1200
+    found = fuzzy_lines.distances(pairs, most)
+    assert (found[exact <= most] == exact[exact <= most]).all() and (found[exact > most] > most[exact > most]).all()
+    assert 50 < (exact <= most).sum() < 150
+
+
 def test_pairs_of_nearly_as_many_words_go_together(monkeypatch):
     """Pairs of 20 widths go in a few groups, with the distances that each has alone."""
     rng = np.random.default_rng(16)
